@@ -29,9 +29,12 @@ NA_TOKENS = [
     "null",
 ]
 
-# (?U): all Unicode white space, not only blanks, and the four separators that
-# Python's str.strip() removes as well.
-EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# The characters Python's str.strip() removes.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 DATE_TIME = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
 
@@ -41,7 +44,8 @@ def na_to_null(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, EDGE_SPACE, "")
+    """Outer white space removed; ``trim`` alone removes blanks only."""
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def strip_upper(c: Column) -> Column:
@@ -52,19 +56,14 @@ def strip_lower(c: Column) -> Column:
     return F.lower(strip(c))
 
 
-def is_number(c: Column) -> Column:
-    return strip(c).rlike(NUMBER)
-
-
 def to_decimal(c: Column, kind: T.DecimalType) -> Column:
     """Text to decimal, rounded half-up; NULL for what is no number or too big."""
-    text = strip(c)
-    return F.when(text.rlike(NUMBER), text).try_cast(kind)
+    return strip(c).try_cast(kind)
 
 
 def too_big(c: Column, kind: T.DecimalType) -> Column:
     """True where the text is a number that the type cannot hold."""
-    return F.coalesce(is_number(c) & to_decimal(c, kind).isNull(), F.lit(False))
+    return F.coalesce(to_decimal(c, kind).isNull() & strip(c).rlike(NUMBER), F.lit(False))
 
 
 def to_time(c: Column) -> Column:

@@ -31,14 +31,15 @@ def resolve_order_keys(orders: DataFrame, dims: dict[str, DataFrame]) -> DataFra
     return orders
 
 
-def assign_keys(
+def number_rows(
     df: DataFrame,
     column: str,
     order: Sequence[str],
     base: int = 0,
     path: str | None = None,
-) -> DataFrame:
-    """Number the rows ``base + 1, base + 2, …`` without gaps, by ``order``.
+) -> tuple[DataFrame, int]:
+    """Number the rows ``base + 1, base + 2, …`` without gaps, by ``order``;
+    also returns the last number.
 
     Rows are range partitioned, sorted within partitions and written once with
     Spark's own row id, which holds the partition and the place in it. The rows
@@ -59,9 +60,14 @@ def assign_keys(
         .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
     place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    return (
+    numbered = (
         placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
         .withColumn(column, F.lit(base) + F.col("_before") + place + 1)
         .drop("_at", "_part", "_before")
     )
+    return numbered, base + placed.count()
+
+
+def assign_keys(df: DataFrame, column: str, order: Sequence[str], base: int = 0) -> DataFrame:
+    return number_rows(df, column, order, base)[0]

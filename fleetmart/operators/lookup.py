@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 32
+ESTIMATE_MARGIN = 16  # rows in memory against compressed columns on disk
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -21,8 +22,20 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row.cast("bigint")), F.lit(0)).alias("size")).first()["size"]
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's own size estimate: file bytes of the columns read, before
+    filters; joins and expansions count as their worst case."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    return measured_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
+    """Whether ``df`` is small enough to send to every executor.
+
+    An estimate far below the limit decides without a job; anything else is
+    measured.
+    """
+    limit = BROADCAST_BYTES if limit is None else limit
+    return estimated_bytes(df) * ESTIMATE_MARGIN <= limit or measured_bytes(df) <= limit
 
 
 def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:

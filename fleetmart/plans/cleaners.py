@@ -56,7 +56,7 @@ def clean_orders(df: DataFrame, position: tuple[str, ...] = POSITION) -> DataFra
 
     typed = (
         tag(first, rules)
-        .withColumn("_priced", text.is_number(F.col("price")))
+        .withColumn("_too_dear", text.too_big(F.col("price"), MONEY))
         .withColumns(
             {
                 **{c: text.strip(F.col(c)) for c in ORDER_TEXTS},
@@ -67,7 +67,8 @@ def clean_orders(df: DataFrame, position: tuple[str, ...] = POSITION) -> DataFra
             }
         )
     )
-    kept = require_not_null(typed, ["created_at"]).where("_priced").drop("_priced", OVERFLOW)
+    # A price too big for its type is a number all the same: not dropped, but a violation.
+    kept = require_not_null(typed, ["created_at"]).where("price IS NOT NULL OR _too_dear").drop("_too_dear", OVERFLOW)
     return keep_first(kept, ["external_order_id"], position)
 
 

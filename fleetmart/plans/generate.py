@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from fleetmart.contracts import DEGREES, DISTANCE, MONEY, ORDER_STATUSES, TARIFFS
 from fleetmart.functions import draws
-from fleetmart.operators.keys import assign_keys
+from fleetmart.operators.keys import number_rows
 from fleetmart.sources.warehouse import Warehouse, init_warehouse
 
 # Names, prices, sizes and texts of the data set.
@@ -209,8 +209,8 @@ def generate_warehouse(
         series(spark, orders), seed, customers, min(drivers, DRIVERS_IN_USE), locations
     )
     stored = warehouse.replace("orders", with_month(fact))
-    log = assign_keys(order_events(stored), "event_id", ["_round", "order_id"])
-    warehouse.replace("order_events", log.drop("_round"))
+    log, last_id = number_rows(order_events(stored), "event_id", ["_round", "order_id"])
+    warehouse.replace("order_events", log.drop("_round"), last_id)
     return warehouse
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fleetmart.contracts import DIMENSIONS, ORDER_UPDATE_COLUMNS, ORDERS, RAW_FILES, RawFile, Table
 from fleetmart.operators import quality
-from fleetmart.operators.keys import assign_keys, resolve_order_keys
+from fleetmart.operators.keys import number_rows, resolve_order_keys
 from fleetmart.operators.lookup import lookup
 from fleetmart.operators.merge import absent_rows, add_defaults, apply_updates, split_upsert
 from fleetmart.plans import marts
@@ -26,7 +26,7 @@ from fleetmart.sources.csv_files import POSITION, read_csv
 from fleetmart.sources.layers import Layers
 from fleetmart.sources.warehouse import Warehouse, init_warehouse
 
-PARALLEL = 3
+PARALLEL = 6
 DAY_FORMAT = "%Y_%m_%d"
 
 
@@ -90,10 +90,10 @@ def load_dimension(
         for column in other_unique:
             new = _flag_clashes(new, stored, column)
         new = _gate(warehouse, table, new, on_violation)
-    numbered = assign_keys(
+    numbered, last_id = number_rows(
         new, table.identity, POSITION, warehouse.pointer(table.name).last_id, f"{staging}/numbered_{table.name}"
     )
-    warehouse.append(table.name, numbered)
+    warehouse.append(table.name, numbered, last_id)
 
 
 def _flag_clashes(new: DataFrame, stored: DataFrame, column: str) -> DataFrame:
@@ -127,25 +127,25 @@ def load_orders(warehouse: Warehouse, silver: DataFrame, staging: str, on_violat
             "current_status unknown": F.col("current_status").isNotNull() & F.col("_known_status").isNull(),
         },
     ).drop("_known_status")
-    layers = Layers(warehouse.spark, staging)
-    batch = _gate(warehouse, ORDERS, layers.save(resolved, "stage", "resolved"), on_violation)
-
     key, month = ORDERS.natural_key, ORDERS.partition_by
     stored = warehouse.read(ORDERS.name)
     keys = stored.select(key, F.col(month).alias("_stored_month"))
-    flagged = layers.save(with_month(split_upsert(keys, batch, key)), "stage", "flagged")
+    flagged = materialize(with_month(split_upsert(keys, resolved, key)), "flagged", f"{staging}/flagged")
+    batch = _gate(warehouse, ORDERS, flagged, on_violation)
 
-    new = flagged.where("NOT _known")
-    changes = flagged.where("_known")
     months = F.when(F.col("_known"), F.col("_stored_month")).otherwise(F.col(month))
-    touched = [r["m"] for r in flagged.select(months.alias("m")).distinct().collect()]
-
-    numbered = assign_keys(
-        new, ORDERS.identity, POSITION, warehouse.pointer(ORDERS.name).last_id, f"{staging}/numbered_orders"
+    touched = [r["m"] for r in batch.select(months.alias("m")).distinct().collect()]
+    numbered, last_id = number_rows(
+        batch.where("NOT _known"),
+        ORDERS.identity,
+        POSITION,
+        warehouse.pointer(ORDERS.name).last_id,
+        f"{staging}/numbered_orders",
     )
-    updated = apply_updates(stored.where(F.col(month).isin(touched)), changes, key, ORDER_UPDATE_COLUMNS)
+    affected = stored.where(F.col(month).isin(touched))
+    updated = apply_updates(affected, batch.where("_known"), key, ORDER_UPDATE_COLUMNS)
     rows = updated.unionByName(numbered.select(*updated.columns))
-    warehouse.replace_partitions(ORDERS.name, rows, touched)
+    warehouse.replace_partitions(ORDERS.name, rows, touched, last_id)
 
 
 # -- marts -------------------------------------------------------------------

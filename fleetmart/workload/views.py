@@ -10,6 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetmart.contracts import DEGREES, DISTANCE, MONEY
 
@@ -24,13 +25,20 @@ def numbered(prefix: str, c: str) -> Column:
     return F.concat(F.lit(prefix), F.col(c).cast("string"))
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 class Views:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A test table; its footer is read for the schema only once."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     @cached_property
     def lines(self) -> DataFrame:
