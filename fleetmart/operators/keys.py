@@ -26,9 +26,10 @@ def resolve_order_keys(orders: DataFrame, dims: dict[str, DataFrame]) -> DataFra
 
     A key without a match becomes NULL; the row stays.
     """
+    resolved = orders
     for raw, dim, natural, surrogate, column in ORDER_KEYS:
-        orders = lookup(orders, dims[dim], (raw, natural), {surrogate: column}).drop(raw)
-    return orders
+        resolved = lookup(resolved, dims[dim], (raw, natural), {surrogate: column}, keys_from=orders).drop(raw)
+    return resolved
 
 
 def number_rows(

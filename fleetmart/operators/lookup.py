@@ -65,6 +65,7 @@ def lookup(
     how: str = "left",
     limit: int | None = None,
     fact_unique: bool = False,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add columns of ``dim`` to ``fact``.
 
@@ -72,39 +73,60 @@ def lookup(
     names, ``how`` is ``left``, ``inner`` or ``left_anti``. ``dim`` has at most
     one row per key.
 
-    A dim of measured small size is broadcast: the fact is not shuffled. A
-    larger one is joined by shuffle, but rows without a key and rows of hot
-    keys stay out of it: the former match nothing, the latter meet their dim
-    rows (fewer than P) by broadcast. ``fact_unique`` says that no key occurs
-    twice in the fact, so there is nothing hot to look for.
+    A dim small enough is broadcast: the fact is not shuffled. Otherwise see
+    ``_spread_join``; ``fact_unique`` says that no key occurs twice in the
+    fact, and ``keys_from`` names a cheaper source of the fact's keys to look
+    for hot ones.
     """
     fact_key, dim_key = on
     dim = dim.select(
         F.col(dim_key).alias("_key"), *[F.col(c).alias(new) for c, new in take.items()]
     ).where(F.col("_key").isNotNull())
-    same = F.col(fact_key) == F.col("_key")
-
-    def joined(rows: DataFrame, side: DataFrame) -> DataFrame:
-        return rows.join(side, same, how).drop("_key")
 
     if fits_broadcast(dim, limit):
-        return joined(fact, F.broadcast(dim))
+        return fact.join(F.broadcast(dim), F.col(fact_key) == F.col("_key"), how).drop("_key")
+    hot = None if fact_unique else hot_keys(keys_from if keys_from is not None else fact, fact_key)
+    return _spread_join(fact, dim, fact_key, list(take.values()), how, hot)
 
-    keyed = fact.where(F.col(fact_key).isNotNull())
-    if fact_unique:
-        result = joined(keyed, dim)
-    else:
-        hot = hot_keys(keyed, fact_key)
-        is_hot = F.col(fact_key) == F.col("_hot")
-        hot_fact = F.broadcast(hot.withColumnRenamed("_key", "_hot"))
-        hot_dim = F.broadcast(dim.join(F.broadcast(hot), "_key", "left_semi"))
-        result = joined(keyed.join(hot_fact, is_hot, "left_anti"), dim).unionByName(
-            joined(keyed.join(hot_fact, is_hot, "left_semi"), hot_dim)
+
+def _spread_join(
+    fact: DataFrame, dim: DataFrame, key: str, names: list[str], how: str, hot: DataFrame | None
+) -> DataFrame:
+    """Shuffle join in one pass over the fact, safe against hot keys.
+
+    Hot keys (fewer than P) meet their dim rows by broadcast first. Their rows,
+    and rows without a key, then go through the shuffle without a key but with
+    a number of their own, so they spread over all reducers and match nothing.
+    """
+    apart = F.col(key).isNull()
+    near = {}
+    if hot is not None:
+        of_hot = dim.join(F.broadcast(hot), "_key", "left_semi").withColumn("_found", F.lit(True))
+        beside = hot.join(F.broadcast(of_hot), "_key", "left").select(
+            F.col("_key").alias("_hot"),
+            F.col("_found").alias("_near"),
+            *[F.col(n).alias(f"_near_{n}") for n in names],
         )
-    if how == "inner":
-        return result
-    keyless = fact.where(F.col(fact_key).isNull())
-    if how == "left":
-        types = {f.name: f.dataType for f in dim.schema}
-        keyless = keyless.withColumns({new: F.lit(None).cast(types[new]) for new in take.values()})
-    return result.unionByName(keyless)
+        columns = fact.columns
+        fact = fact.join(F.broadcast(beside), F.col(key) == F.col("_hot"), "left")
+        apart = apart | F.col("_hot").isNotNull()
+        near = {n: F.col(f"_near_{n}") for n in names}
+    else:
+        columns = fact.columns
+    placed = fact.withColumns(
+        {
+            "_key": F.when(~apart, F.col(key)),
+            "_spread": F.when(apart, 1 + F.pmod(F.xxhash64(*columns), F.lit(1 << 30))).otherwise(F.lit(0)),
+        }
+    )
+    # Always 0, but not a constant that the optimizer would take out of the key.
+    zero = F.pmod(F.xxhash64("_key"), F.lit(1))
+    joined = placed.join(
+        dim.withColumns({"_spread": zero, "_far": F.lit(True)}), ["_key", "_spread"], "left"
+    )
+    found = F.coalesce(*([F.col("_near")] if hot is not None else []), F.col("_far"), F.lit(False))
+    if how != "left":
+        joined = joined.where(found if how == "inner" else ~found)
+    if how == "left_anti":
+        return joined.select(*columns)
+    return joined.select(*columns, *[F.coalesce(near[n], F.col(n)).alias(n) if near else F.col(n) for n in names])

@@ -28,14 +28,18 @@ def absent_rows(target: DataFrame, batch: DataFrame, key: str, order: Sequence[s
     return lookup(first, target.select(key), (key, key), {}, "left_anti", fact_unique=True)
 
 
-def split_upsert(target_keys: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+def split_upsert(
+    target_keys: DataFrame, batch: DataFrame, key: str, batch_keys: DataFrame | None = None
+) -> DataFrame:
     """Flag each batch row (unique on ``key``) as ``_known`` or not.
 
-    ``target_keys`` has the key and whatever the caller wants to carry over.
+    ``target_keys`` has the key and whatever the caller wants to carry over;
+    ``batch_keys`` is a cheaper source of the batch's keys, if there is one.
     The target is only read, never shuffled, where the batch is small.
     """
     carried = [c for c in target_keys.columns if c != key]
-    hits = lookup(target_keys, batch.select(key), (key, key), {}, "inner", fact_unique=True)
+    wanted = (batch if batch_keys is None else batch_keys).select(key)
+    hits = lookup(target_keys, wanted, (key, key), {}, "inner", fact_unique=True)
     return lookup(
         batch,
         hits.withColumn("_known", F.lit(True)),

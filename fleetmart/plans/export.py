@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from fleetmart.contracts import RAW_FILES
+from fleetmart.contracts import RAW_FILES, TABLES
 from fleetmart.operators.lookup import lookup
 from fleetmart.sources.csv_files import write_csv
 from fleetmart.sources.warehouse import Warehouse
@@ -20,12 +20,16 @@ def export_dimension(rows: DataFrame, entity: str) -> DataFrame:
 
 def export_orders(orders: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Orders with names in place of ids, as a delivery file has them."""
-    out = lookup(orders, dims["customers"], ("customer_id", "customer_id"), {"external_id": "customer_external_id"}, "inner")
-    out = lookup(out, dims["drivers"], ("driver_id", "driver_id"), {"external_id": "driver_external_id"}, "left")
-    for end in ("pickup", "dropoff"):
-        on = (f"{end}_location_id", "location_id")
-        out = lookup(out, dims["locations"], on, {"address": f"{end}_address"}, "inner")
-    out = lookup(out, dims["tariffs"], ("tariff_id", "tariff_id"), {"name": "tariff_name"}, "inner")
+    out = orders
+    for column, dim, natural, name, how in (
+        ("customer_id", "customers", "external_id", "customer_external_id", "inner"),
+        ("driver_id", "drivers", "external_id", "driver_external_id", "left"),
+        ("pickup_location_id", "locations", "address", "pickup_address", "inner"),
+        ("dropoff_location_id", "locations", "address", "dropoff_address", "inner"),
+        ("tariff_id", "tariffs", "name", "tariff_name", "inner"),
+    ):
+        identity = TABLES[dim].identity
+        out = lookup(out, dims[dim], (column, identity), {natural: name}, how, keys_from=orders)
     return out.select(*RAW_FILES["orders"].required, "delivered_at", "current_status")
 
 

@@ -76,7 +76,7 @@ def customer_analytics(orders: DataFrame, customers: DataFrame) -> DataFrame:
 def orders_sla(orders: DataFrame, statuses: DataFrame, tariffs: DataFrame) -> DataFrame:
     """How long each order took. Orders without a known status are left out."""
     named = lookup(orders, statuses, ("current_status", "status_id"), {"name": "final_status"}, "inner")
-    named = lookup(named, tariffs, ("tariff_id", "tariff_id"), {"name": "tariff_name"}, "inner")
+    named = lookup(named, tariffs, ("tariff_id", "tariff_id"), {"name": "tariff_name"}, "inner", keys_from=orders)
     return named.select(
         "order_id",
         "external_order_id",
