@@ -16,7 +16,13 @@ POSITION = ("_file", "_block", "_row")
 OVERFLOW = "_overflow"
 
 _RAW = "_raw_record"
-_DIALECT = {"header": True, "escape": '"', "encoding": "UTF-8"}
+_DIALECT = {
+    "header": True,
+    "escape": '"',
+    "encoding": "UTF-8",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def _input(spark: SparkSession, path: str, read) -> DataFrame:

@@ -1,0 +1,151 @@
+import pytest
+
+from fleetmart.operators.quality import VIOLATIONS, QualityError
+from fleetmart.plans.cleaners import CLEANERS
+from fleetmart.plans.pipelines import extract
+from fleetmart.sources.csv_files import POSITION, has_line_breaks_in_quotes, query, read_csv, write_csv
+from tests.conftest import rows
+
+BOM = b"\xef\xbb\xbf"
+
+
+def put(path, text, bom=False):
+    path.write_bytes((BOM if bom else b"") + text.encode())
+    return str(path)
+
+
+def test_dialect(spark, tmp_path):
+    path = put(tmp_path / "a.csv", 'name,b,c\n"q ""z"" , y",2,3\n\n pad ,NA,""\nshort,1\nlong,1,2,3\nafter, NA ,None\n', bom=True)
+    assert rows(read_csv(spark, path), "name", "b", "c", "_overflow") == sorted(
+        [
+            ('q "z" , y', "2", "3", False),
+            (" pad ", None, None, False),
+            ("short", "1", None, False),
+            ("long", "1", "2", True),
+            ("after", " NA ", None, False),
+        ]
+    )
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    plain = put(tmp_path / "plain.csv", 'a,b\n"x, ""y""",1\n')
+    broken = put(tmp_path / "broken.csv", 'a,b\n"one\ntwo",1\nthree,2\n')
+    assert not has_line_breaks_in_quotes(spark, plain)
+    assert has_line_breaks_in_quotes(spark, broken)
+    assert rows(read_csv(spark, broken), "a", "b") == [("one\ntwo", "1"), ("three", "2")]
+
+
+def test_numbers_stay_text(spark, tmp_path):
+    path = put(tmp_path / "a.csv", "phone,code\n+79990000001,00123\n")
+    assert rows(read_csv(spark, path), "phone", "code") == [("+79990000001", "00123")]
+
+
+def test_position_is_file_order(spark, tmp_path):
+    """Several files, many splits each, packed into tasks by size."""
+    expected = []
+    for f, size in (("p1", 400), ("p2", 3000)):
+        lines = [f"{f}-{n}" for n in range(size)]
+        (tmp_path / f"{f}.csv").write_text("v,w\n" + "".join(f"{x},{'.' * 40}\n" for x in lines))
+        expected += lines
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        df = read_csv(spark, str(tmp_path))
+        got = [r.v for r in df.orderBy(*POSITION).collect()]
+        assert df.rdd.getNumPartitions() > 5
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == expected
+
+
+def test_missing_file(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        read_csv(spark, str(tmp_path / "none.csv"))
+
+
+def test_gates(spark, tmp_path):
+    with pytest.raises(QualityError, match="lon"):
+        extract(spark, "locations", put(tmp_path / "l.csv", "address,lat\nx,1\n"))
+    with pytest.raises(QualityError, match="no rows"):
+        extract(spark, "orders", put(tmp_path / "o.csv", ",".join(["external_order_id", "customer_external_id", "driver_external_id", "pickup_address", "dropoff_address", "tariff_name", "price", "distance_km", "created_at"]) + "\n"))
+    assert extract(spark, "statuses", put(tmp_path / "s.csv", "name,extra\n")).columns[:2] == ["name", "extra"]
+
+
+def test_seed_files(spark, tmp_path):
+    path = put(tmp_path / "statuses.csv", "name\n Создан\nВ пути\n", bom=True)
+    assert rows(CLEANERS["statuses"](extract(spark, "statuses", path)), "name") == [("в пути",), ("создан",)]
+
+
+def test_write_and_read_back(spark, tmp_path):
+    texts = [(1, 'a "b", c'), (2, "line\nbreak"), (3, " pad "), (4, None), (5, "back\\slash")]
+    path = write_csv(spark.createDataFrame(texts, "n int, t string"), str(tmp_path / "out"))
+    assert rows(read_csv(spark, path), "n", "t") == rows(spark.createDataFrame(texts, "n int, t string").selectExpr("string(n)", "t"))
+
+
+def test_single_file(spark, tmp_path):
+    write_csv(spark.range(100).repartition(4), str(tmp_path / "out"), single_file=True)
+    assert len(list((tmp_path / "out").glob("part-*"))) == 1
+
+
+def test_sql(spark, frame):
+    t = frame("a int", (1,), (2,))
+    assert rows(query(spark, "SELECT sum(a) FROM {t}", t=t)) == [(3,)]
+
+
+HEADER = "external_order_id,customer_external_id,driver_external_id,pickup_address,dropoff_address,tariff_name,price,distance_km,created_at,delivered_at,current_status\n"
+TAIL = "c,d,p,q,t,{price},{km},{at},{done},{status}\n"
+
+
+def orders(spark, tmp_path, *lines):
+    body = "".join(
+        key + "," + TAIL.format(**{"price": 1, "km": 1, "at": "2026-01-01 00:00:00", "done": "", "status": 5, **values}) for key, values in lines
+    )
+    return CLEANERS["orders"](extract(spark, "orders", put(tmp_path / "orders.csv", HEADER + body)))
+
+
+def test_first_delivery_wins(spark, tmp_path):
+    got = orders(spark, tmp_path, ("o1", {"price": 10}), ("o1", {"price": 20}))
+    assert [str(r[0]) for r in rows(got, "price")] == ["10.00"]
+
+
+def test_bad_first_delivery_takes_its_copies_along(spark, tmp_path):
+    assert orders(spark, tmp_path, ("o1", {"price": "abc"}), ("o1", {"price": 20})).isEmpty()
+
+
+def test_padded_duplicate(spark, tmp_path):
+    got = orders(spark, tmp_path, (" o1", {"price": 1}), ("o1", {"price": 2}))
+    assert [(k, str(p)) for k, p in rows(got, "external_order_id", "price")] == [("o1", "1.00")]
+
+
+def test_dropped_and_kept(spark, tmp_path):
+    got = orders(
+        spark,
+        tmp_path,
+        ("o1", {"at": "10:00"}),
+        ("o2", {"price": ""}),
+        ("NA", {}),
+        ("o3", {"km": "far"}),
+        ("o4", {"status": "", "done": "2026-01-01T00:10:00"}),
+    )
+    assert rows(got, "external_order_id", "distance_km", "current_status")[0][0] == "o3"
+    assert [r[0] for r in rows(got, "external_order_id")] == ["o3", "o4"]
+
+
+def test_violations(spark, tmp_path):
+    got = orders(
+        spark,
+        tmp_path,
+        ("o1", {"done": "soon"}),
+        ("o2", {"status": "open"}),
+        ("o3", {"price": "99999999999"}),
+        ("o4", {"status": "5,extra"}),
+        ("o5", {"status": "5.0"}),
+    )
+    assert {r.external_order_id: r[VIOLATIONS] for r in got.collect()} == {
+        "o1": ["delivered_at unreadable"],
+        "o2": ["current_status unreadable"],
+        "o3": ["price out of range"],
+        "o4": ["too many fields"],
+        "o5": [],
+    }

@@ -1,0 +1,119 @@
+import datetime
+import decimal
+
+import pytest
+
+from fleetmart.contracts import TABLES
+from fleetmart.plans.generate import with_month
+from fleetmart.sources import files
+from fleetmart.sources.layers import Layers
+from fleetmart.sources.warehouse import Warehouse, init_warehouse
+from tests.conftest import rows
+
+D = decimal.Decimal
+
+
+@pytest.fixture
+def warehouse(spark, tmp_path):
+    return init_warehouse(spark, str(tmp_path / "gold"))
+
+
+def statuses(frame, *names):
+    return frame("status_id int, name string", *enumerate(names, 1))
+
+
+def order(n, day, price=1):
+    at = datetime.datetime.fromisoformat(day)
+    return (n, f"o{n}", 1, None, 1, 1, 1, D(price), D(1), at, None, 5)
+
+
+def orders(frame, *items):
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TABLES["orders"].schema)
+    return with_month(frame(schema, *items))
+
+
+def test_new_tables_are_empty_with_their_types(warehouse):
+    for name, table in TABLES.items():
+        df = warehouse.read(name)
+        assert df.isEmpty()
+        assert [c for c in df.columns if c != table.partition_by] == table.columns
+
+
+def test_replace_is_one_step(warehouse, frame, spark):
+    first = warehouse.replace("order_statuses", statuses(frame, "a", "b"))
+    second = warehouse.replace("order_statuses", statuses(frame, "c"))
+    assert rows(first) == [(1, "a"), (2, "b")], "a reader that began earlier still sees all it needs"
+    assert rows(second) == [(1, "c")]
+    assert rows(Warehouse(spark, warehouse.root).read("order_statuses")) == [(1, "c")]
+
+
+def test_a_table_may_replace_itself(warehouse, frame):
+    now = warehouse.replace("order_statuses", statuses(frame, "a", "b"))
+    assert rows(warehouse.replace("order_statuses", now.where("status_id = 2"))) == [(2, "b")]
+
+
+def test_failed_write_leaves_the_table(warehouse, frame):
+    warehouse.replace("order_statuses", statuses(frame, "a"))
+    with pytest.raises(Exception):
+        warehouse.replace("order_statuses", statuses(frame, "b").selectExpr("status_id", "raise_error('no') AS name"))
+    assert rows(warehouse.read("order_statuses")) == [(1, "a")]
+
+
+def test_append_and_restart(warehouse, frame):
+    warehouse.append("order_statuses", statuses(frame, "a"))
+    warehouse.append("order_statuses", frame("status_id int, name string", (2, "b")))
+    assert rows(warehouse.read("order_statuses")) == [(1, "a"), (2, "b")]
+    assert warehouse.pointer("order_statuses").last_id == 2
+    warehouse.create("order_statuses")
+    assert warehouse.pointer("order_statuses").last_id == 0
+
+
+def test_partitions_are_exchanged_alone(warehouse, frame):
+    warehouse.replace_partitions("orders", orders(frame, order(1, "2026-01-05"), order(2, "2026-02-05"), order(3, "2026-03-05")), ["2026-01", "2026-02", "2026-03"])
+    before = set(warehouse.pointer("orders").folders)
+    now = warehouse.replace_partitions("orders", orders(frame, order(2, "2026-02-05", 9), order(4, "2026-02-06")), ["2026-02"])
+    assert [(n, str(p), m) for n, p, m in rows(now, "order_id", "price", "created_month")] == [
+        (1, "1.00", "2026-01"),
+        (2, "9.00", "2026-02"),
+        (3, "1.00", "2026-03"),
+        (4, "1.00", "2026-02"),
+    ]
+    kept = set(warehouse.pointer("orders").folders) & before
+    assert {f.rsplit("/")[-1] for f in kept} == {"created_month=2026-01", "created_month=2026-03"}
+    assert "created_month" in str(now.where("created_month = '2026-01'")._jdf.queryExecution().executedPlan()).split("PartitionFilters")[1]
+
+
+def test_rows_outside_the_touched_partitions_are_refused(warehouse, frame):
+    with pytest.raises(ValueError):
+        warehouse.replace_partitions("orders", orders(frame, order(1, "2026-01-05")), ["2026-02"])
+    assert warehouse.read("orders").isEmpty()
+
+
+def test_old_versions_go_on_request(warehouse, frame, spark):
+    for name in "abc":
+        warehouse.replace("order_statuses", statuses(frame, name))
+    base = f"{warehouse.root}/order_statuses"
+    assert len(files.children(spark, base)) == 3
+    warehouse.drop_old_versions("order_statuses")
+    assert len(files.children(spark, base)) == 1
+    assert rows(warehouse.read("order_statuses")) == [(1, "c")]
+
+
+def test_a_number_too_big_is_an_error(warehouse, frame):
+    df = frame("tariff_id int, name string, base_price decimal(20,2), per_km decimal(10,2), created_at timestamp", (1, "x", D(10**12), D(1), None))
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|out of range"):
+        warehouse.replace("tariffs", df)
+
+
+def test_layers(spark, tmp_path, frame):
+    layers = Layers(spark, str(tmp_path))
+    with pytest.raises(FileNotFoundError):
+        layers.load("silver", "orders")
+    assert rows(layers.save(frame("a int", (1,)), "bronze", "x")) == [(1,)]
+    layers.save_day(frame("a int", (1,)), "silver", "orders", "2026_01_01")
+    layers.save_day(frame("a int", (2,)), "silver", "orders", "2026_01_02")
+    layers.save_day(frame("a int", (3,)), "silver", "orders", "2026_01_02")
+    assert rows(layers.load_day("silver", "orders", "2026_01_01")) == [(1,)]
+    assert rows(layers.load_day("silver", "orders", "2026_01_02")) == [(3,)]
+    plan = str(layers.load_day("silver", "orders", "2026_01_02")._jdf.queryExecution().executedPlan())
+    assert "PartitionFilters: [isnotnull(ds" in plan
