@@ -36,7 +36,7 @@ WHITE_SPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-DATE_TIME = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
+DATE = r"(?U)^\s*\d{4}-\d{2}-\d{2}"
 
 
 def na_to_null(c: Column) -> Column:
@@ -61,9 +61,13 @@ def to_decimal(c: Column, kind: T.DecimalType) -> Column:
     return strip(c).try_cast(kind)
 
 
+def is_number(c: Column) -> Column:
+    return strip(c).rlike(NUMBER)
+
+
 def too_big(c: Column, kind: T.DecimalType) -> Column:
     """True where the text is a number that the type cannot hold."""
-    return F.coalesce(to_decimal(c, kind).isNull() & strip(c).rlike(NUMBER), F.lit(False))
+    return F.coalesce(to_decimal(c, kind).isNull() & is_number(c), F.lit(False))
 
 
 def to_time(c: Column) -> Column:
@@ -72,8 +76,7 @@ def to_time(c: Column) -> Column:
     The pattern is needed: Spark alone reads ``10:00`` as today and ``2026`` as
     the first of January.
     """
-    text = strip(c)
-    return F.when(text.rlike(DATE_TIME), text).try_cast("timestamp")
+    return F.when(c.rlike(DATE), strip(c)).try_cast("timestamp")
 
 
 def to_code(c: Column) -> Column:

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from fleetmart.contracts import DEGREES, DISTANCE, MONEY
 from fleetmart.functions import text
-from fleetmart.operators.dedup import keep_first
-from fleetmart.operators.quality import require_not_null, tag
+from fleetmart.operators.dedup import keep_first, keep_first_of_few
+from fleetmart.operators.quality import VIOLATIONS, require_not_null, tag
 from fleetmart.sources.csv_files import OVERFLOW, POSITION
 
 ORDER_TEXTS = (
@@ -37,39 +37,43 @@ def clean_orders(df: DataFrame, position: tuple[str, ...] = POSITION) -> DataFra
     """First delivery of each order, typed and stripped.
 
     Duplicates go before anything else, so a bad first row takes its later
-    copies with it. A second pass is for keys that differ only in outer blanks.
-    Rows without a key are dropped at the end anyway; dropping them first keeps
-    them out of the shuffle.
+    copies with it. A second pass is for keys that differ only in outer blanks,
+    and is left out if no key has any. Rows without a key are dropped at the
+    end anyway; dropping them first keeps them out of the shuffle.
     """
-    first = keep_first(require_not_null(df, ["external_order_id"]), ["external_order_id"], position)
-
-    rules = {**_overflow(df), **_too_big(price=MONEY, distance_km=DISTANCE)}
-    optional = {}
-    if "delivered_at" in df.columns:
-        raw = F.col("delivered_at")
-        optional["delivered_at"] = text.to_time(raw)
-        rules["delivered_at unreadable"] = text.unreadable(raw, text.to_time(raw))
-    if "current_status" in df.columns:
-        raw = F.col("current_status")
-        optional["current_status"] = text.to_code(raw)
-        rules["current_status unreadable"] = text.unreadable(raw, text.to_code(raw))
-
-    typed = (
-        tag(first, rules)
-        .withColumn("_too_dear", text.too_big(F.col("price"), MONEY))
-        .withColumns(
-            {
-                **{c: text.strip(F.col(c)) for c in ORDER_TEXTS},
-                "price": text.to_decimal(F.col("price"), MONEY),
-                "distance_km": text.to_decimal(F.col("distance_km"), DISTANCE),
-                "created_at": text.to_time(F.col("created_at")),
-                **optional,
-            }
-        )
+    keyed = require_not_null(df, ["external_order_id"])
+    padded = keyed.where(text.strip(F.col("external_order_id")) != F.col("external_order_id"))
+    first = keep_first_of_few(keyed, "external_order_id", position)
+
+    optional = {"delivered_at": text.to_time, "current_status": text.to_code}
+    optional = {c: parse for c, parse in optional.items() if c in df.columns}
+    # Parsed once under other names, so that the rules can compare with the raw text.
+    parsed = first.withColumns(
+        {
+            "_price": text.to_decimal(F.col("price"), MONEY),
+            "_distance_km": text.to_decimal(F.col("distance_km"), DISTANCE),
+            **{f"_{c}": parse(F.col(c)) for c, parse in optional.items()},
+        }
+    )
+    rules = {
+        **_overflow(df),
+        "price out of range": text.unreadable(F.col("price"), F.col("_price")) & text.is_number(F.col("price")),
+        "distance_km out of range": text.unreadable(F.col("distance_km"), F.col("_distance_km"))
+        & text.is_number(F.col("distance_km")),
+        **{f"{c} unreadable": text.unreadable(F.col(c), F.col(f"_{c}")) for c in optional},
+    }
+    typed = tag(parsed, rules).withColumns(
+        {
+            **{c: text.strip(F.col(c)) for c in ORDER_TEXTS},
+            **{c: F.col(f"_{c}") for c in ("price", "distance_km", *optional)},
+            "created_at": text.to_time(F.col("created_at")),
+        }
     )
     # A price too big for its type is a number all the same: not dropped, but a violation.
-    kept = require_not_null(typed, ["created_at"]).where("price IS NOT NULL OR _too_dear").drop("_too_dear", OVERFLOW)
-    return keep_first(kept, ["external_order_id"], position)
+    priced = F.col("price").isNotNull() | F.array_contains(VIOLATIONS, "price out of range")
+    kept = require_not_null(typed, ["created_at"]).where(priced)
+    kept = kept.drop(OVERFLOW, *[f"_{c}" for c in ("price", "distance_km", *optional)])
+    return kept if padded.isEmpty() else keep_first(kept, ["external_order_id"], position)
 
 
 def clean_customers(df: DataFrame) -> DataFrame:
