@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from fleetmart.operators.lookup import fits_broadcast
 from fleetmart.session import materialize
 
+FEW_BYTES = 4 * 1024 * 1024
+
 
 def keep_first(
     df: DataFrame,
@@ -48,7 +50,7 @@ def keep_first_of_few(df: DataFrame, key: str, order: Sequence[str]) -> DataFram
     repeated = materialize(counts.select(F.col(key).alias("_repeated")), "repeated")
     if repeated.isEmpty():
         return df
-    if not fits_broadcast(repeated):
+    if not fits_broadcast(repeated, FEW_BYTES):
         return keep_first(df, [key], order)
     is_repeated = F.col(key) == F.col("_repeated")
     once = df.join(F.broadcast(repeated), is_repeated, "left_anti")

@@ -11,6 +11,7 @@ from fleetmart.contracts import ForeignKey, Table
 from fleetmart.operators.lookup import lookup
 
 VIOLATIONS = "_violations"
+SEPARATOR = "; "
 
 
 class QualityError(ValueError):
@@ -47,12 +48,19 @@ def extra_columns(df: DataFrame, table: Table) -> list[str]:
 
 
 def tag(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """Add the names of the broken rules of each row to its violations."""
-    broken = F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in rules.items()]))
-    broken = broken.cast("array<string>")
-    if VIOLATIONS in df.columns:
-        broken = F.concat(F.col(VIOLATIONS), broken)
-    return df.withColumn(VIOLATIONS, broken)
+    """Add the names of the broken rules of each row to its violations.
+
+    They are kept as one text, empty for a good row: unlike the functions that
+    filter arrays, text concatenation is compiled.
+    """
+    before = [F.when(F.col(VIOLATIONS) != "", F.col(VIOLATIONS))] if VIOLATIONS in df.columns else []
+    broken = [F.when(cond, F.lit(name)) for name, cond in rules.items()]
+    return df.withColumn(VIOLATIONS, F.concat_ws(SEPARATOR, *before, *broken) if before or broken else F.lit(""))
+
+
+def broken_rules() -> Column:
+    """The violations of a row, one row each."""
+    return F.explode(F.split(VIOLATIONS, SEPARATOR))
 
 
 def not_null_rules(table: Table, columns: Sequence[str] | None = None) -> dict[str, Column]:
@@ -67,7 +75,8 @@ def check_rules(table: Table) -> dict[str, Column]:
 
 def violations_of(df: DataFrame, rules: dict[str, Column], key: Sequence[str]) -> DataFrame:
     """One row per row and broken rule: key columns and rule name."""
-    return tag(df.drop(VIOLATIONS), rules).select(*key, F.explode(VIOLATIONS).alias("rule"))
+    tagged = tag(df.drop(VIOLATIONS), rules).where(F.col(VIOLATIONS) != "")
+    return tagged.select(*key, broken_rules().alias("rule"))
 
 
 def not_null_violations(df: DataFrame, table: Table, key: Sequence[str]) -> DataFrame:
@@ -108,11 +117,11 @@ def enforce(df: DataFrame, name: str, on_violation: str = "fail") -> tuple[DataF
     """
     if on_violation not in ("fail", "quarantine"):
         raise ValueError(f"on_violation is 'fail' or 'quarantine', not {on_violation!r}")
-    bad = df.where(F.size(VIOLATIONS) > 0)
-    good = df.where(F.size(VIOLATIONS) == 0).drop(VIOLATIONS)
+    bad = df.where(F.col(VIOLATIONS) != "")
+    good = df.where(F.col(VIOLATIONS) == "").drop(VIOLATIONS)
     if on_violation == "quarantine":
         return good, bad
-    counts = bad.select(F.explode(VIOLATIONS).alias("rule")).groupBy("rule").count().collect()
+    counts = bad.select(broken_rules().alias("rule")).groupBy("rule").count().collect()
     if counts:
         found = ", ".join(f"{r['rule']} ({r['count']} rows)" for r in sorted(counts))
         raise QualityError(f"{name}: {found}")

@@ -70,7 +70,7 @@ def clean_orders(df: DataFrame, position: tuple[str, ...] = POSITION) -> DataFra
         }
     )
     # A price too big for its type is a number all the same: not dropped, but a violation.
-    priced = F.col("price").isNotNull() | F.array_contains(VIOLATIONS, "price out of range")
+    priced = F.col("price").isNotNull() | F.contains(F.col(VIOLATIONS), F.lit("price out of range"))
     kept = require_not_null(typed, ["created_at"]).where(priced)
     kept = kept.drop(OVERFLOW, *[f"_{c}" for c in ("price", "distance_km", *optional)])
     return kept if padded.isEmpty() else keep_first(kept, ["external_order_id"], position)

@@ -165,7 +165,7 @@ SELECT external_order_id, CAST(l_partkey AS VARCHAR) AS customer_external_id, CA
   CAST(CAST(l_extendedprice AS DECIMAL(10,2)) AS DOUBLE) AS price,
   CASE WHEN l_linenumber <> 2 THEN CAST(CAST(l_quantity AS DECIMAL(7,3)) AS DOUBLE) END AS distance_km,
   l_shipdate AS created_at, CAST(NULL AS TIMESTAMP) AS delivered_at,
-  CASE l_linenumber WHEN 5 THEN 5 ELSE 6 END AS current_status, CASE l_linenumber WHEN 4 THEN 1 ELSE 0 END AS violations
+  CASE l_linenumber WHEN 5 THEN 5 ELSE 6 END AS current_status, CASE l_linenumber WHEN 4 THEN 'delivered_at unreadable' ELSE '' END AS violations
 FROM kept WHERE again = 1""",
 }
 

@@ -211,7 +211,7 @@ def clean_order_lines(v: Views) -> DataFrame:
     )
     position = tuple(f"_{c}" for c in (*LINE_ORDER, "l_linenumber"))
     cleaned = clean_orders(raw, position)
-    return cleaned.withColumn("violations", F.size(quality.VIOLATIONS)).drop(quality.VIOLATIONS, *position)
+    return cleaned.withColumnRenamed(quality.VIOLATIONS, "violations").drop(*position)
 
 
 def _padded(df: DataFrame, columns: list[str]) -> DataFrame:

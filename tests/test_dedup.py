@@ -36,7 +36,7 @@ def test_hot_keys_are_cut_before_the_shuffle(spark):
 @pytest.mark.parametrize("limit", [None, -1])
 @pytest.mark.parametrize("keys", [["a", "b", "c"], ["a", "hot", "b", "hot", "c", "hot", "d", "a"]])
 def test_few_repeats(spark, keys, limit, monkeypatch):
-    monkeypatch.setattr(dedup, "fits_broadcast", lambda df: limit is None)
+    monkeypatch.setattr(dedup, "fits_broadcast", lambda df, size: limit is None)
     df = spark.createDataFrame([(k, n) for n, k in enumerate(keys)], "k string, at int").repartition(4)
     expected = {k: keys.index(k) for k in keys}
     assert {r.k: r.at for r in dedup.keep_first_of_few(df, "k", ["at"]).collect()} == expected
