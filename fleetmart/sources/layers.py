@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DAY = "ds"
 
@@ -25,12 +26,14 @@ class Layers:
 
     def save(self, df: DataFrame, layer: str, entity: str) -> DataFrame:
         df.write.mode("overwrite").parquet(self.path(layer, entity))
-        return self.load(layer, entity)
+        return self.load(layer, entity, df.schema)
 
-    def load(self, layer: str, entity: str) -> DataFrame:
+    def load(self, layer: str, entity: str, schema: T.StructType | None = None) -> DataFrame:
+        """A stored table; with a known schema no file is opened for it."""
         path = self.path(layer, entity)
+        reader = self.spark.read.schema(schema) if schema else self.spark.read
         try:
-            return self.spark.read.parquet(path)
+            return reader.parquet(path)
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
                 raise FileNotFoundError(path) from e
@@ -44,8 +47,10 @@ class Layers:
             .partitionBy(DAY)
             .parquet(self.path(layer, entity))
         )
-        return self.load_day(layer, entity, day)
+        return self.load_day(layer, entity, day, df.schema)
 
-    def load_day(self, layer: str, entity: str, day: str) -> DataFrame:
-        found = self.load(layer, entity).where(F.col(DAY) == day).drop(DAY)
-        return found
+    def load_day(self, layer: str, entity: str, day: str, schema: T.StructType | None = None) -> DataFrame:
+        """The rows of one day; other days' folders are not listed as input."""
+        if schema:
+            schema = T.StructType([*schema.fields, T.StructField(DAY, T.StringType())])
+        return self.load(layer, entity, schema).where(F.col(DAY) == day).drop(DAY)
