@@ -11,6 +11,7 @@ from fleetmart.contracts import Table
 from fleetmart.operators.dedup import keep_first
 from fleetmart.operators.keys import assign_keys
 from fleetmart.operators.lookup import lookup
+from fleetmart.session import materialize
 
 
 def add_defaults(df: DataFrame, table: Table) -> DataFrame:
@@ -29,17 +30,21 @@ def absent_rows(target: DataFrame, batch: DataFrame, key: str, order: Sequence[s
 
 
 def split_upsert(
-    target_keys: DataFrame, batch: DataFrame, key: str, batch_keys: DataFrame | None = None
+    target_keys: DataFrame,
+    batch: DataFrame,
+    key: str,
+    batch_keys: DataFrame | None = None,
+    path: str | None = None,
 ) -> DataFrame:
     """Flag each batch row (unique on ``key``) as ``_known`` or not.
 
     ``target_keys`` has the key and whatever the caller wants to carry over;
     ``batch_keys`` is a cheaper source of the batch's keys, if there is one.
-    The target is only read, never shuffled, where the batch is small.
+    The target is only read, and once, never shuffled, where the batch is small.
     """
     carried = [c for c in target_keys.columns if c != key]
     wanted = (batch if batch_keys is None else batch_keys).select(key)
-    hits = lookup(target_keys, wanted, (key, key), {}, "inner", fact_unique=True)
+    hits = materialize(lookup(target_keys, wanted, (key, key), {}, "inner", fact_unique=True), "hits", path)
     return lookup(
         batch,
         hits.withColumn("_known", F.lit(True)),

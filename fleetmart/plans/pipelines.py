@@ -130,7 +130,8 @@ def load_orders(warehouse: Warehouse, silver: DataFrame, staging: str, on_violat
     key, month = ORDERS.natural_key, ORDERS.partition_by
     stored = warehouse.read(ORDERS.name)
     keys = stored.select(key, F.col(month).alias("_stored_month"))
-    flagged = materialize(with_month(split_upsert(keys, resolved, key, silver)), "flagged", f"{staging}/flagged")
+    flagged = split_upsert(keys, resolved, key, silver, f"{staging}/hits")
+    flagged = materialize(with_month(flagged), "flagged", f"{staging}/flagged")
     batch = _gate(warehouse, ORDERS, flagged, on_violation)
 
     months = F.when(F.col("_known"), F.col("_stored_month")).otherwise(F.col(month))
