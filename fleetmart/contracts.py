@@ -34,6 +34,7 @@ class Table:
     defaults: dict[str, str] = field(default_factory=dict)
     foreign_keys: tuple[ForeignKey, ...] = ()
     partition_by: str | None = None
+    sort_by: str | None = None
 
     @property
     def not_null(self) -> list[str]:
@@ -160,6 +161,7 @@ ORDERS = Table(
         ForeignKey("current_status", "order_statuses", "status_id"),
     ),
     partition_by="created_month",
+    sort_by="created_at",
 )
 
 # Columns an already stored order takes over from a new delivery of it.
@@ -227,6 +229,8 @@ DM_ORDERS_SLA = Table(
         ("distance_km", DISTANCE, _REQ),
     ),
     unique=("order_id",),
+    partition_by="created_month",
+    sort_by="order_created_at",
 )
 
 DIMENSIONS = (CUSTOMERS, DRIVERS, LOCATIONS, TARIFFS, ORDER_STATUSES)

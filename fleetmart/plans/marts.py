@@ -73,8 +73,11 @@ def customer_analytics(orders: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def orders_sla(orders: DataFrame, statuses: DataFrame, tariffs: DataFrame) -> DataFrame:
-    """How long each order took. Orders without a known status are left out."""
+def orders_sla(orders: DataFrame, statuses: DataFrame, tariffs: DataFrame, *also: str) -> DataFrame:
+    """How long each order took. Orders without a known status are left out.
+
+    ``also`` names further columns of the orders to carry along.
+    """
     named = lookup(orders, statuses, ("current_status", "status_id"), {"name": "final_status"}, "inner")
     named = lookup(named, tariffs, ("tariff_id", "tariff_id"), {"name": "tariff_name"}, "inner", keys_from=orders)
     return named.select(
@@ -87,4 +90,5 @@ def orders_sla(orders: DataFrame, statuses: DataFrame, tariffs: DataFrame) -> Da
         elapsed_minutes(F.col("created_at"), F.col("delivered_at")).alias("total_duration_minutes"),
         "price",
         "distance_km",
+        *also,
     )

@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.contracts import DIMENSIONS, ORDER_UPDATE_COLUMNS, ORDERS, RAW_FILES, RawFile, Table
+from fleetmart.contracts import DIMENSIONS, DM_ORDERS_SLA, ORDER_UPDATE_COLUMNS, ORDERS, RAW_FILES, RawFile, Table
 from fleetmart.operators import quality
 from fleetmart.operators.keys import number_rows, resolve_order_keys
 from fleetmart.operators.lookup import lookup
@@ -24,7 +24,7 @@ from fleetmart.session import materialize
 from fleetmart.sources import files
 from fleetmart.sources.csv_files import POSITION, read_csv
 from fleetmart.sources.layers import Layers
-from fleetmart.sources.warehouse import Warehouse, init_warehouse
+from fleetmart.sources.warehouse import Warehouse, init_warehouse, partition_of
 
 PARALLEL = 6
 DAY_FORMAT = "%Y_%m_%d"
@@ -163,8 +163,24 @@ def build_customers_mart(warehouse: Warehouse) -> DataFrame:
 
 
 def build_sla_mart(warehouse: Warehouse) -> DataFrame:
-    rows = marts.orders_sla(warehouse.read("orders"), warehouse.read("order_statuses"), warehouse.read("tariffs"))
-    return warehouse.replace("dm_orders_sla", rows)
+    """Built month by month: months whose orders are still in the files they
+    were in at the last build keep their rows, unless a dimension has changed.
+
+    What the last build read is taken from the report's own pointer, so a build
+    that failed or was left out is made up for by the next.
+    """
+    name, month = DM_ORDERS_SLA.name, DM_ORDERS_SLA.partition_by
+    orders, statuses, tariffs = (warehouse.read(t) for t in ("orders", "order_statuses", "tariffs"))
+    fact = set(warehouse.pointer("orders").folders)
+    dims = {f"{t}/{f}" for t in ("order_statuses", "tariffs") for f in warehouse.pointer(t).folders}
+    built = set(warehouse.pointer(name).built_from)
+    sources = sorted(fact | dims)
+    if dims <= built:
+        months = {partition_of(f) for f in (fact | dims) ^ built}
+        changed = orders.where(F.col(month).isin(sorted(months)))
+        rows = marts.orders_sla(changed, statuses, tariffs, month)
+        return warehouse.replace_partitions(name, rows, sorted(months), built_from=sources)
+    return warehouse.replace(name, marts.orders_sla(orders, statuses, tariffs, month), built_from=sources)
 
 
 def build_marts(warehouse: Warehouse) -> None:

@@ -671,4 +671,4 @@ def run_daily(v: Views) -> DataFrame:
     changed = orders.where(again).withColumn("price", (F.col("price").cast(MONEY) + 1).cast(MONEY).cast("string"))
     write_csv(_in_key_order(changed), f"{raw}/orders_1999_01_01.csv")
     warehouse = pipelines.run_daily(v.spark, "1999_01_01", raw, root)
-    return warehouse.read("dm_orders_sla")
+    return warehouse.read("dm_orders_sla").drop("created_month")

@@ -101,6 +101,33 @@ def test_daily_run_updates_five_columns_and_adds(spark, loaded, copy, tmp_path):
     assert twice == once
 
 
+def test_daily_run_on_a_generated_warehouse(spark, generated, loaded, tmp_path):
+    """Its fact was written in one go; re-delivered orders still appear once."""
+    shutil.copytree(generated[0].root, tmp_path / "wh" / "gold")
+    _delivery(spark, loaded, tmp_path, "2026_08_15", lambda df: df.withColumn("price", F.lit("5")))
+    warehouse = pipelines.run_daily(spark, "2026_08_15", str(tmp_path), str(tmp_path / "wh"))
+    assert warehouse.read("orders").groupBy("price").count().collect()[0]["count"] == 600
+    assert warehouse.read("dm_orders_sla").count() == 600
+
+
+def test_turnaround_report_is_built_by_month(spark, loaded, copy, tmp_path):
+    from fleetmart.sources.warehouse import Warehouse
+
+    before = Warehouse(spark, f"{copy}/gold")
+    old = set(before.pointer("dm_orders_sla").folders)
+    _delivery(spark, loaded, tmp_path, "2026_08_16", lambda df: df.where("created_at < '2026-03-01'").withColumn("price", F.lit("6")))
+    warehouse = pipelines.run_daily(spark, "2026_08_16", str(tmp_path), copy)
+    kept = {f.rsplit("=")[-1] for f in old & set(warehouse.pointer("dm_orders_sla").folders)}
+    assert kept == {"2026-03"}
+    assert rows(warehouse.read("dm_orders_sla"), "order_id", "price") == rows(warehouse.read("orders"), "order_id", "price")
+    same = warehouse.pointer("dm_orders_sla").folders
+    pipelines.build_sla_mart(warehouse)
+    assert warehouse.pointer("dm_orders_sla").folders == same, "nothing changed, nothing rebuilt"
+    warehouse.replace("tariffs", warehouse.read("tariffs").withColumn("name", F.concat("name", F.lit("!"))))
+    renamed = pipelines.build_sla_mart(warehouse)
+    assert renamed.where("tariff_name NOT LIKE '%!'").isEmpty() and renamed.count() == 600
+
+
 def test_optional_columns_may_be_absent(spark, loaded, copy, tmp_path):
     _delivery(spark, loaded, tmp_path, "2026_08_12", lambda df: df.drop("delivered_at", "current_status"))
     orders = pipelines.run_daily(spark, "2026_08_12", str(tmp_path), copy).read("orders")
