@@ -2,6 +2,7 @@
 
 import decimal
 import math
+import re
 
 import pytest
 
@@ -36,6 +37,15 @@ def table(names, found):
     return sorted(sorted(names)), sorted((tuple(plain(r[i]) for i in order) for r in found), key=str)
 
 
+def stays_distributed(df):
+    """No Python per row, no nested loops, no window without partitions."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"EvalPython|MapInPandas|CartesianProduct|NestedLoopJoin", plan)
+    for line in plan.splitlines():
+        if "Window [" in line and "_part" not in line:
+            assert not re.search(r"\], \[\], \[", line), line
+
+
 def test_every_query_has_a_twin():
     assert set(contract.queries()) == set(contract.oracle_sql())
 
@@ -43,6 +53,7 @@ def test_every_query_has_a_twin():
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query(spark, sql, name):
     df = contract.queries()[name](spark, FOLDER)
+    stays_distributed(df)
     found = sql.execute(contract.oracle_sql()[name])
     expected = table([c[0] for c in found.description], found.fetchall())
     assert table(df.columns, [tuple(r) for r in df.collect()]) == expected

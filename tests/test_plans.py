@@ -2,28 +2,14 @@
 
 import re
 
-import pytest
-
 from fleetmart.workload.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-WHOLE_RUNS = {"run_full", "run_daily"}
-
 
 def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - WHOLE_RUNS))
-def test_stays_in_the_jvm_and_distributed(spark, name):
-    plan = physical(QUERIES[name](spark, FOLDER))
-    assert not re.search(r"BatchEvalPython|ArrowEvalPython|MapInPandas|CartesianProduct|BroadcastNestedLoopJoin", plan)
-    for line in plan.splitlines():
-        if "Window [" in line and "_part" not in line:
-            assert "unspecifiedframe" in line or "windowspecdefinition(" in line
-            assert not re.search(r"\], \[\], \[", line), "window without partitions"
-
-
 def columns_read(plan, table):
     return {
         c.split(":")[0]
