@@ -70,5 +70,33 @@ def number_rows(
     return numbered, base + placed.count()
 
 
+def number_delivered(df: DataFrame, column: str, base: int = 0, chunk_bits: int = 20) -> tuple[DataFrame, int]:
+    """``number_rows`` for a stored table with row positions, without a copy.
+
+    Rows are ranked within chunks of at most 2**20 rows of one input split; the
+    sizes of the chunks (one small row each, from the position columns alone)
+    give every chunk its offset. The ids follow from the data, so nothing has
+    to be written to fix them, and no chunk is large, whatever the files are.
+    """
+    chunk = F.shiftright("_row", chunk_bits)
+    keys = ["_file", "_block", "_chunk"]
+    rows = df.withColumn("_chunk", chunk)
+    # One row per chunk: a window without partitions is fine here.
+    before = W.orderBy(*keys).rowsBetween(W.unboundedPreceding, -1)
+    offsets = (
+        rows.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    )
+    place = F.row_number().over(W.partitionBy(*keys).orderBy("_row"))
+    numbered = (
+        rows.withColumn("_place", place)
+        .join(offsets, keys)
+        .withColumn(column, F.lit(base) + F.col("_before") + F.col("_place"))
+        .drop("_chunk", "_place", "_before")
+    )
+    return numbered, base + df.count()
+
+
 def assign_keys(df: DataFrame, column: str, order: Sequence[str], base: int = 0) -> DataFrame:
     return number_rows(df, column, order, base)[0]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fleetmart.contracts import DIMENSIONS, DM_ORDERS_SLA, ORDER_UPDATE_COLUMNS, ORDERS, RAW_FILES, RawFile, Table
 from fleetmart.operators import quality
-from fleetmart.operators.keys import number_rows, resolve_order_keys
+from fleetmart.operators.keys import number_delivered, number_rows, resolve_order_keys
 from fleetmart.operators.lookup import lookup
 from fleetmart.operators.merge import absent_rows, add_defaults, apply_updates, split_upsert
 from fleetmart.plans import marts
@@ -136,13 +136,8 @@ def load_orders(warehouse: Warehouse, silver: DataFrame, staging: str, on_violat
 
     months = F.when(F.col("_known"), F.col("_stored_month")).otherwise(F.col(month))
     touched = [r["m"] for r in batch.select(months.alias("m")).distinct().collect()]
-    numbered, last_id = number_rows(
-        batch.where("NOT _known"),
-        ORDERS.identity,
-        POSITION,
-        warehouse.pointer(ORDERS.name).last_id,
-        f"{staging}/numbered_orders",
-    )
+    last_before = warehouse.pointer(ORDERS.name).last_id
+    numbered, last_id = number_delivered(batch.where("NOT _known"), ORDERS.identity, last_before)
     affected = stored.where(F.col(month).isin(touched))
     updated = apply_updates(affected, batch.where("_known"), key, ORDER_UPDATE_COLUMNS)
     rows = updated.unionByName(numbered.select(*updated.columns))

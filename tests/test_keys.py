@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from fleetmart.operators.keys import assign_keys, number_rows
+from fleetmart.operators.keys import assign_keys, number_delivered, number_rows
 
 
 @pytest.mark.parametrize("parts", [1, 3, 9])
@@ -21,3 +21,19 @@ def test_numbering_is_stable_and_reports_the_last(spark):
 def test_nothing_to_number(spark):
     numbered, last = number_rows(spark.range(0).withColumnRenamed("id", "at"), "key", ["at"], base=3)
     assert (numbered.count(), last) == (0, 3)
+
+
+@pytest.mark.parametrize("bits", [2, 20])
+def test_delivered_rows_are_numbered_in_file_order(spark, bits):
+    """Two files of two splits; row ids rise within a split but not over the file."""
+    rows, expected = [], []
+    for file in ("a", "b"):
+        for block, start in ((0, 5000), (128, 100)):
+            for n in range(40):
+                rows.append((file, block, start + 3 * n))
+                expected.append((file, block, start + 3 * n))
+    df = spark.createDataFrame(rows, "_file string, _block bigint, _row bigint").repartition(5)
+    numbered, last = number_delivered(df, "key", base=7, chunk_bits=bits)
+    got = sorted((r["key"], (r["_file"], r["_block"], r["_row"])) for r in numbered.collect())
+    assert got == [(n + 8, at) for n, at in enumerate(expected)]
+    assert last == 7 + len(expected)
