@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-WIDE = T.DecimalType(38, 2)
 
 
 def exact_average(total: Column, n: Column) -> Column:

@@ -38,11 +38,6 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     return estimated_bytes(df) * ESTIMATE_MARGIN <= limit or measured_bytes(df) <= limit
 
 
-def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast only where its measured size allows it."""
-    return F.broadcast(df) if fits_broadcast(df, limit) else df
-
-
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys that hold more rows than one shuffle partition should.
 

@@ -6,8 +6,9 @@ One run at a time per warehouse: the writes assume a single writer.
 from __future__ import annotations
 
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -212,18 +213,20 @@ def run_full(spark: SparkSession, raw_dir: str, root: str, on_violation: str = "
 
 
 def run_daily(
-    spark: SparkSession, date_str: str, raw_dir: str, root: str, on_violation: str = "fail"
+    spark: SparkSession, day: str | date, raw_dir: str, root: str, on_violation: str = "fail"
 ) -> Warehouse:
-    """One day's order file into the warehouse, then the marts.
+    """One day's order file into the warehouse, then the reports.
 
+    ``day`` is a date, or its text as in the file name (``2026_08_11``).
     Running a day again gives the same warehouse. Dimensions are not touched.
     """
+    day = day if isinstance(day, str) else day.strftime(DAY_FORMAT)
     warehouse = Warehouse(spark, f"{root}/gold")
     layers = Layers(spark, root)
     staging = f"{root}/staging/{uuid.uuid4().hex}"
-    raw = extract(spark, "orders", f"{raw_dir}/orders_{date_str}.csv")
-    bronze = layers.save_day(raw, "bronze", "orders", date_str)
-    silver = layers.save_day(CLEANERS["orders"](bronze), "silver", "orders", date_str)
+    raw = extract(spark, "orders", f"{raw_dir}/orders_{day}.csv")
+    bronze = layers.save_day(raw, "bronze", "orders", day)
+    silver = layers.save_day(CLEANERS["orders"](bronze), "silver", "orders", day)
     load_orders(warehouse, silver, staging, on_violation)
     files.remove(spark, staging)
     build_marts(warehouse)

@@ -1,4 +1,3 @@
-import datetime
 import sys
 from pathlib import Path
 
@@ -26,10 +25,6 @@ def frame(spark):
     return make
 
 
-def utc(text):
-    return datetime.datetime.fromisoformat(text)
-
-
 def rows(df, *columns):
     picked = df.select(*columns) if columns else df
     return sorted((tuple(r) for r in picked.collect()), key=lambda r: tuple((v is not None, str(v)) for v in r))

@@ -1,3 +1,4 @@
+import datetime
 import shutil
 
 import pytest
@@ -97,7 +98,7 @@ def test_daily_run_updates_five_columns_and_adds(spark, loaded, copy, tmp_path):
     assert all(after[k] == before[k] for k in others)
 
     once = snapshot(warehouse)
-    twice = snapshot(pipelines.run_daily(spark, "2026_08_11", str(tmp_path), copy))
+    twice = snapshot(pipelines.run_daily(spark, datetime.date(2026, 8, 11), str(tmp_path), copy))
     assert twice == once
 
 
