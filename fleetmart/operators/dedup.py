@@ -8,12 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fleetmart.operators.lookup import fits_broadcast
-from fleetmart.session import materialize
-
-FEW_BYTES = 4 * 1024 * 1024
-
-
 def keep_first(
     df: DataFrame,
     keys: Sequence[str | Column],
@@ -38,20 +32,3 @@ def keep_first(
         cols = [*cols, F.when(no_key, F.struct(*at))]
     first = F.row_number().over(W.partitionBy(*cols).orderBy(*order))
     return df.withColumn("_nth", first).where("_nth = 1").drop("_nth")
-
-
-def keep_first_of_few(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """``keep_first`` for a stored table without NULL keys where few keys repeat.
-
-    The repeated keys are found first, from the key column alone. If they are
-    few, only their rows are sorted and shuffled; all others pass as they are.
-    """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1")
-    repeated = materialize(counts.select(F.col(key).alias("_repeated")), "repeated")
-    if repeated.isEmpty():
-        return df
-    if not fits_broadcast(repeated, FEW_BYTES):
-        return keep_first(df, [key], order)
-    is_repeated = F.col(key) == F.col("_repeated")
-    once = df.join(F.broadcast(repeated), is_repeated, "left_anti")
-    return once.unionByName(keep_first(df.join(F.broadcast(repeated), is_repeated, "left_semi"), [key], order))

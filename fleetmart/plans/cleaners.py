@@ -11,10 +11,14 @@ from pyspark.sql import functions as F
 
 from fleetmart.contracts import DEGREES, DISTANCE, MONEY
 from fleetmart.functions import text
-from fleetmart.operators.dedup import keep_first, keep_first_of_few
+from fleetmart.operators.dedup import keep_first
+from fleetmart.operators.lookup import fits_broadcast
 from fleetmart.operators.quality import VIOLATIONS, require_not_null, tag
+from fleetmart.session import materialize
 from fleetmart.sources.csv_files import OVERFLOW, POSITION
 
+FEW_BYTES = 4 * 1024 * 1024
+
 ORDER_TEXTS = (
     "external_order_id",
     "customer_external_id",
@@ -37,16 +41,36 @@ def clean_orders(df: DataFrame, position: tuple[str, ...] = POSITION) -> DataFra
     """First delivery of each order, typed and stripped.
 
     Duplicates go before anything else, so a bad first row takes its later
-    copies with it. A second pass is for keys that differ only in outer blanks,
-    and is left out if no key has any. Rows without a key are dropped at the
-    end anyway; dropping them first keeps them out of the shuffle.
-    """
-    keyed = require_not_null(df, ["external_order_id"])
-    padded = keyed.where(text.strip(F.col("external_order_id")) != F.col("external_order_id"))
-    first = keep_first_of_few(keyed, "external_order_id", position)
+    copies with it. A second pass is for keys that differ only in outer blanks.
+    Rows without a key are dropped at the end anyway, so they go first.
 
+    Few deliveries repeat: the doubtful keys, repeated or padded, are found from
+    the key column alone, and only their rows are shuffled and sorted. ``df``
+    should be a stored table, as it is read more than once.
+    """
+    key = "external_order_id"
+    keyed = require_not_null(df, [key])
+
+    def settled(rows: DataFrame) -> DataFrame:
+        return keep_first(_typed_orders(keep_first(rows, [key], position)), [key], position)
+
+    bare = text.strip(F.col(key))
+    copies = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"))
+    doubtful = copies.where((F.col("_copies") > 1) | (bare != F.col(key)))
+    doubtful = materialize(doubtful.select(bare.alias("_doubtful")).distinct(), "doubtful_keys")
+    if doubtful.isEmpty():
+        return _typed_orders(keyed)
+    if not fits_broadcast(doubtful, FEW_BYTES):
+        return settled(keyed)
+    is_doubtful = bare == F.col("_doubtful")
+    sure = keyed.join(F.broadcast(doubtful), is_doubtful, "left_anti")
+    unsure = keyed.join(F.broadcast(doubtful), is_doubtful, "left_semi")
+    return _typed_orders(sure).unionByName(settled(unsure))
+
+
+def _typed_orders(first: DataFrame) -> DataFrame:
     optional = {"delivered_at": text.to_time, "current_status": text.to_code}
-    optional = {c: parse for c, parse in optional.items() if c in df.columns}
+    optional = {c: parse for c, parse in optional.items() if c in first.columns}
     # Parsed once under other names, so that the rules can compare with the raw text.
     parsed = first.withColumns(
         {
@@ -56,7 +80,7 @@ def clean_orders(df: DataFrame, position: tuple[str, ...] = POSITION) -> DataFra
         }
     )
     rules = {
-        **_overflow(df),
+        **_overflow(first),
         "price out of range": text.unreadable(F.col("price"), F.col("_price")) & text.is_number(F.col("price")),
         "distance_km out of range": text.unreadable(F.col("distance_km"), F.col("_distance_km"))
         & text.is_number(F.col("distance_km")),
@@ -72,8 +96,7 @@ def clean_orders(df: DataFrame, position: tuple[str, ...] = POSITION) -> DataFra
     # A price too big for its type is a number all the same: not dropped, but a violation.
     priced = F.col("price").isNotNull() | F.contains(F.col(VIOLATIONS), F.lit("price out of range"))
     kept = require_not_null(typed, ["created_at"]).where(priced)
-    kept = kept.drop(OVERFLOW, *[f"_{c}" for c in ("price", "distance_km", *optional)])
-    return kept if padded.isEmpty() else keep_first(kept, ["external_order_id"], position)
+    return kept.drop(OVERFLOW, *[f"_{c}" for c in ("price", "distance_km", *optional)])
 
 
 def clean_customers(df: DataFrame) -> DataFrame:

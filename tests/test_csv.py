@@ -1,6 +1,9 @@
+import random
+
 import pytest
 
 from fleetmart.operators.quality import VIOLATIONS, QualityError
+from fleetmart.plans import cleaners
 from fleetmart.plans.cleaners import CLEANERS
 from fleetmart.plans.pipelines import extract
 from fleetmart.sources.csv_files import POSITION, has_line_breaks_in_quotes, query, read_csv, write_csv
@@ -104,6 +107,24 @@ def orders(spark, tmp_path, *lines):
     return CLEANERS["orders"](extract(spark, "orders", put(tmp_path / "orders.csv", HEADER + body)))
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_deliveries_against_brute_force(spark, tmp_path, monkeypatch, few):
+    """First row per raw key, then the valid ones' first per stripped key."""
+    monkeypatch.setattr(cleaners, "fits_broadcast", lambda df, size: few)
+    dice = random.Random(3)
+    lines = [(dice.choice(["", " "]) + f"o{dice.randrange(30)}", dice.choice(["x", str(n)])) for n in range(80)]
+    lines += [(f"u{n}", str(n)) for n in range(40)] + [("hot", str(n)) for n in range(60)]
+    firsts, expected = {}, {}
+    for key, price in lines:
+        firsts.setdefault(key, price)
+    for key, price in firsts.items():
+        if price != "x":
+            expected.setdefault(key.strip(), f"{price}.00")
+    got = orders(spark, tmp_path, *[(key, {"price": price}) for key, price in lines])
+    assert {k: str(p) for k, p in rows(got, "external_order_id", "price")} == expected
+    assert got.count() == len(expected)
+
+
 def test_first_delivery_wins(spark, tmp_path):
     got = orders(spark, tmp_path, ("o1", {"price": 10}), ("o1", {"price": 20}))
     assert [str(r[0]) for r in rows(got, "price")] == ["10.00"]

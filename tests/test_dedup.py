@@ -1,8 +1,6 @@
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from fleetmart.operators import dedup
 from fleetmart.operators.dedup import keep_first
 from tests.conftest import rows
 
@@ -31,12 +29,3 @@ def test_hot_keys_are_cut_before_the_shuffle(spark):
     plan = keep_first(df, ["k"], ["at"])._jdf.queryExecution().executedPlan().toString()
     below = plan[plan.index("Exchange") :]
     assert "WindowGroupLimit" in below and "Partial" in below
-
-
-@pytest.mark.parametrize("limit", [None, -1])
-@pytest.mark.parametrize("keys", [["a", "b", "c"], ["a", "hot", "b", "hot", "c", "hot", "d", "a"]])
-def test_few_repeats(spark, keys, limit, monkeypatch):
-    monkeypatch.setattr(dedup, "fits_broadcast", lambda df, size: limit is None)
-    df = spark.createDataFrame([(k, n) for n, k in enumerate(keys)], "k string, at int").repartition(4)
-    expected = {k: keys.index(k) for k in keys}
-    assert {r.k: r.at for r in dedup.keep_first_of_few(df, "k", ["at"]).collect()} == expected
