@@ -11,33 +11,14 @@ from functools import lru_cache
 import numpy as np
 import regex
 
-WORD_BPE = "word_bpe_49k.json"
+from fleetmart.llm.recent import Recent
 
-#: Most parts remembered by a worker, twice over (recent and before), and the longest part remembered.
-REMEMBERED, LONGEST = 300_000, 48
+WORD_BPE = "word_bpe_49k.json"
 
 # Printable ASCII and Latin-1: here NFC changes nothing and lower case needs no context.
 _PLAIN = regex.compile(r"[!-~¡-ÿ]+")
 
 
-class _Recent(dict):
-    """Values by key; of the older half only those asked for again stay."""
-
-    def __init__(self, make, most: int = REMEMBERED):
-        self.make, self.most, self.before = make, most, {}
-
-    def __missing__(self, key):
-        value = self.before.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(key) <= LONGEST:
-            if len(self) >= self.most:
-                self.before = self.copy()
-                self.clear()
-            self[key] = value
-        return value
-
-
 class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -53,8 +34,8 @@ class Encoder:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in set(shown)]
         self._stand_in = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
-        self._word = _Recent(self._encode_word)
-        self._part = _Recent(self._encode_part)
+        self._word = Recent(self._encode_word)
+        self._part = Recent(self._encode_part)
 
     def _encode_word(self, word: str) -> bytes:
         text = "".join([self._stand_in[b] for b in word.encode()])

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetmart.llm import packing
+from fleetmart.llm import near_dup, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,3 +26,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query
 def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
+
+
+@query
+def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_dup.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -1,0 +1,119 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from fleetmart.llm import near_dup, queries
+from fleetmart.llm.components import components
+
+
+def plain_fingerprint(text, n=4):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words, word = [], ""
+    for c in low + " ":
+        if c == " " or "\x09" <= c <= "\x0d":
+            words += [word] if word else []
+            word = ""
+        else:
+            word += c
+    shingles = [" ".join(words[k : k + n]) for k in range(max(1, len(words) - n + 1))] if words else []
+    hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(prints, bits):
+    """{id: smallest id reachable} by looking at all pairs."""
+    root = {k: k for k in prints}
+
+    def top(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    ids = sorted(prints)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            if (prints[a] ^ prints[b]).bit_count() <= bits and top(a) != top(b):
+                root[max(top(a), top(b))] = min(top(a), top(b))
+    return {k: top(k) for k in ids}
+
+
+def unsigned(fp):
+    return fp & (1 << 64) - 1
+
+
+TEXTS = ["", None, " \t\n", "one", "Two words", "A b C d", "a B c D e", "ÄÖ É x\x1cy z\x85w \xa0 q", "no\x0bbreak\x0chere x y z", "r " * 500]
+
+
+def test_fingerprint_is_the_plain_one():
+    for text in TEXTS:
+        assert unsigned(near_dup.fingerprint(text)) == plain_fingerprint(text), text
+
+
+def test_spark_has_the_same_hash(frame):
+    own = frame("s string", ("a b c d",)).select(F.xxhash64("s")).first()[0]
+    assert unsigned(own) == xxhash.xxh64("a b c d".encode(), seed=42).intdigest() == plain_fingerprint("A b C d")
+
+
+@pytest.mark.parametrize("groups", [6, 7, 8])
+def test_every_link_shares_a_cell(groups):
+    rng = random.Random(groups)
+    masks = near_dup.projections(groups, 4)
+    assert len(masks) == len(set(masks))
+    for _ in range(500):
+        a = rng.getrandbits(64)
+        b = a
+        for bit in rng.sample(range(64), rng.randint(0, 4)):
+            b ^= 1 << bit
+        u, v = near_dup._unary(np.array([a, b], dtype=np.uint64)).tolist()
+        assert (u ^ v).bit_count() <= (a ^ b).bit_count()
+        assert any(not (u ^ v) & m for m in masks)
+
+
+@pytest.mark.parametrize("cell", [1024, 5])
+def test_links_connect_what_is_near(spark, frame, cell):
+    rng = random.Random(cell)
+    seeds = [rng.getrandbits(64) for _ in range(30)]
+    points = {0, 1, (1 << 64) - 1}
+    for s in seeds:
+        for _ in range(rng.choice([1, 4, 20, 150])):
+            for bit in rng.sample(range(64), rng.randint(0, 3)):
+                s ^= 1 << bit if rng.random() < 0.7 else 0
+            points.add(s)
+    df = frame("fp long", *[(p - (1 << 64) if p >> 63 else p,) for p in points])
+    found = near_dup.links(df, 4, cell).collect()
+    assert all((r["a"] ^ r["b"]) & (1 << 64) - 1 for r in found)
+    root = plain_components({p: p for p in points}, 4)
+    own = {r["node"]: r["root"] for r in components(spark.createDataFrame(found, "a long, b long")).collect()}
+    classes = lambda of: sorted(sorted(k for k in points if of(k) == c) for c in {of(k) for k in points})
+    signed = lambda p: p - (1 << 64) if p >> 63 else p
+    assert classes(lambda p: unsigned(own.get(signed(p), signed(p)))) == classes(lambda p: root[p])
+
+
+def test_components(spark, frame):
+    chain = [(k, k + 1) for k in range(1, 60)] + [(100, 100), (None, 3), (7, None), (201, 200), (200, 201), (300, 202), (300, 201)]
+    found = {r["node"]: r["root"] for r in components(frame("x long, y long", *chain)).collect()}
+    assert found == {k: 1 for k in range(2, 61)} | {201: 200, 202: 200, 300: 200}
+    assert components(frame("x long, y long")).collect() == []
+
+
+def test_query_on_the_smallest_tables(spark):
+    folder = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in queries.table(spark, folder, "documents").collect()}
+    prints = {k: plain_fingerprint(t) for k, t in texts.items()}
+    root = plain_components(prints, 4)
+    found = queries.QUERIES["op8_simhash_near_dedup"](spark, folder).collect()
+    assert sorted(tuple(r) for r in found) == sorted((k, f"{p:016x}", root[k]) for k, p in prints.items())
+
+
+def test_odd_rows(spark, frame):
+    rows = [(5, None, 1), (3, "", 1), (3, "", 1), (None, "a b c d e f", 2), (9, "a b c d e f", 2), (None, "lone words without an id", 0)]
+    docs = frame("doc_id long, text string, component_id int", *rows)
+    found = sorted(((r["doc_id"], r["component_id"]) for r in near_dup.near_duplicates(docs).collect()), key=str)
+    assert found == sorted([(5, 3), (3, 3), (3, 3), (None, 9), (9, 9), (None, None)], key=str)
+    kept = near_dup.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((tuple(r) for r in kept.collect()), key=str) == sorted([rows[1], rows[3], rows[4], rows[5]], key=str)
+    assert near_dup.near_duplicates(docs.limit(0)).collect() == [] == near_dup.keep_one(docs.limit(0)).collect()
