@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.llm import near_dup, packing
+from fleetmart.llm import language, near_dup, packing, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,7 +28,22 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+@query
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
+@query
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = near_dup.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.rate(table(spark, folder, "documents"), table(spark, folder, "labels"))
