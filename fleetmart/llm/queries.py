@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.llm import decontamination, language, near_dup, packing, quality, toxicity
+from fleetmart.llm import decontamination, html_extraction, language, near_dup, packing, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,6 +33,12 @@ def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontamination.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query
+def op4_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    found = html_extraction.extract(table(spark, folder, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
