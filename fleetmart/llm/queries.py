@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.llm import decontamination, html_extraction, language, near_dup, packing, quality, toxicity
+from fleetmart.llm import chat, decontamination, html_extraction, language, near_dup, packing, quality, sharding, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,6 +33,11 @@ def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontamination.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, folder, "documents"))
+
+
 @query
 def op4_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     found = html_extraction.extract(table(spark, folder, "pages"))
@@ -49,6 +54,14 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+SHARDS = [f"shard-{k:05d}" for k in range(sharding.SHARDS)]
+
+
+@query
+def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.assign(table(spark, folder, "documents").select("doc_id"), SHARDS)
+
+
 @query
 def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = near_dup.near_duplicates(table(spark, folder, "documents"))
@@ -58,3 +71,8 @@ def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.rate(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.format_chats(table(spark, folder, "conversations"))
