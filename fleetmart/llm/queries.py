@@ -76,3 +76,43 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.format_chats(table(spark, folder, "conversations"))
+
+
+# The shards' claims, one turn after the other; free says of every slot whether it still is.
+ORACLES["op7_sharding"] = f"""
+WITH RECURSIVE shards AS (
+    SELECT k, 'shard-' || lpad(k::VARCHAR, 5, '0') AS shard FROM range({sharding.SHARDS}) r(k)
+), drawn AS (
+    SELECT k, ('0x' || substr(md5(shard || ' start'), 1, 15))::BIGINT % {sharding.SLOTS} AS start,
+           ('0x' || substr(md5(shard || ' stride'), 1, 15))::BIGINT % {sharding.SLOTS - 1} + 1 AS stride
+    FROM shards
+), orders AS MATERIALIZED (
+    SELECT k, list(((start + j * stride) % {sharding.SLOTS})::INTEGER ORDER BY j) AS preferred FROM drawn, range({sharding.SLOTS}) r(j) GROUP BY k
+), turns AS (
+    SELECT 0::BIGINT AS turn, NULL::BIGINT AS slot, NULL::BIGINT AS k, repeat('1', {sharding.SLOTS})::BIT AS free
+    UNION ALL
+    SELECT turn + 1, now, k, set_bit(free, now::INTEGER, 0)
+    FROM (
+        SELECT turn, o.k, free, preferred[list_position(list_transform(preferred, lambda s: get_bit(free, s)), 1)] AS now
+        FROM turns JOIN orders o ON o.k = turn % {sharding.SHARDS} WHERE turn < {sharding.SLOTS}
+    )
+)
+SELECT doc_id, t.slot::INTEGER AS slot, shard
+FROM (SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT % {sharding.SLOTS} AS slot FROM documents) d
+JOIN turns t ON t.slot = d.slot JOIN shards s ON s.k = t.k
+"""
+
+ORACLES["op10_chat_formatting"] = f"""
+WITH turns AS (
+    SELECT DISTINCT conv_id, turn, role, text FROM conversations
+), whole AS (
+    SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY turn NULLS FIRST) AS said FROM turns GROUP BY conv_id
+), once AS (
+    SELECT said, min(conv_id) AS conv_id FROM whole GROUP BY said
+), prefixes AS (
+    SELECT DISTINCT said[1:n] AS said FROM once, unnest(range(1, len(said))) r(n)
+)
+SELECT conv_id, len(said)::BIGINT AS n_turns,
+       list_aggregate(list_transform(said, lambda t: '{chat.BEGIN}' || coalesce(t.role, '') || chr(10) || coalesce(t.text, '') || '{chat.END}' || chr(10)), 'string_agg', '') AS text
+FROM once ANTI JOIN prefixes USING (said)
+"""

@@ -1,0 +1,76 @@
+"""The pipeline's stages, each against a plain version of its decision over its own input."""
+
+import re
+from collections import Counter
+
+import corpus_pipeline as pipeline
+from fleetmart.llm import decontamination, packing, quality, queries, toxicity
+from tests.llm.test_decontamination import plain
+from tests.llm.test_near_dup import plain_components, plain_fingerprint
+from tests.llm.test_quality import plain_counts, plain_measures
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def test_stages(spark):
+    docs = queries.table(spark, FOLDER, "documents")
+    labels = queries.table(spark, FOLDER, "labels")
+    columns, before = docs.columns, docs.collect()
+    names = [n for n, _ in pipeline.STAGES]
+    assert names == ["toxicity", "quality_rules", "simhash_near_dedup", "benchmark_decontamination", "best_fit_packing"]
+    model = toxicity.train(docs, labels)
+    trusted = {r["doc_id"] for r in labels.where("quality = 1").collect()}
+    items = [r["text"] for r in queries.table(spark, FOLDER, "benchmark").collect()]
+    for name, stage in pipeline.STAGES[:-1]:
+        after = stage(spark, docs, FOLDER)
+        assert after.columns == columns
+        rows = after.collect()
+        if name == "toxicity":
+            expected = {r["doc_id"] for r in before if model.score(r["text"]) < 0.5}
+        elif name == "quality_rules":
+            ratio = quality.np.log(plain_counts([r["text"] for r in before if r["doc_id"] in trusted]) + 1)
+            ratio -= quality.np.log(quality.np.exp(ratio).sum())
+            corpus = plain_counts([r["text"] for r in before]) + 1
+            ratio -= quality.np.log(corpus / corpus.sum())
+            expected = set()
+            for r in before:
+                own, counts = plain_measures(r["text"]), plain_counts([r["text"]])
+                if own[0] >= 20 and 100 * own[4] <= 30 * own[0] and counts @ ratio / counts.sum() >= quality.THRESHOLD:
+                    expected.add(r["doc_id"])
+        elif name == "simhash_near_dedup":
+            root = plain_components({r["doc_id"]: plain_fingerprint(r["text"]) for r in before}, 4)
+            expected = {k for k, top in root.items() if k == top}
+        else:
+            cut = lambda t: {tuple(w[k : k + 5]) for w in [decontamination.words_of(t)] for k in range(len(w) - 4)}
+            own = [(i, cut(i)) for i in items]
+            expected = {r["doc_id"] for r in before if not any(s & cut(r["text"]) and plain(r["text"], i) >= 0.8 for i, s in own)}
+        assert {r["doc_id"] for r in rows} == expected and len(rows) == len(expected) < len(before), name
+        own = {r["doc_id"]: r for r in before}
+        assert all(own[r["doc_id"]] == r for r in rows)
+        docs, before = spark.createDataFrame(rows, docs.schema), rows
+    packed = pipeline.STAGES[-1][1](spark, docs, FOLDER).collect()
+    assert {r["doc_id"] for r in packed} == {r["doc_id"] for r in before}
+    used = Counter()
+    for r in packed:
+        used[r["sequence_id"]] += r["length"]
+    assert max(used.values()) <= packing.CAPACITY
+    whole = pipeline.run(spark, FOLDER).collect()
+    key = ("doc_id", "piece", "start", "length", "ids_crc32")
+    assert sorted(tuple(r[c] for c in key) for r in whole) == sorted(tuple(r[c] for c in key) for r in packed)
+
+
+def test_odd_documents(spark, frame, tmp_path):
+    """Null columns, empty and very long texts, repeated rows, extra columns; then an empty table."""
+    text = " ".join(f"word{k}" for k in range(30))
+    rows = [(1, text, "en", "s", 3, "x"), (1, text, "en", "s", 3, "x"), (2, None, None, None, None, None), (None, text + " more", None, None, None, "x")]
+    rows += [(3, "", "en", "s", 0, "x"), (4, " ".join(f"long{k}" for k in range(60000)), "en", "s", 0, "x")]
+    columns = "doc_id long, text string, lang string, source string, n_chars long, component_id string"
+    for n, given in enumerate((rows, [])):
+        folder = f"{tmp_path}/{n}"
+        frame(columns, *given).write.parquet(f"{folder}/documents.parquet")
+        frame("doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        frame("item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+        found = pipeline.run(spark, folder).collect()
+        assert {r["doc_id"] for r in found} == ({1, None, 4} if given else set())
+        assert sum(r["doc_id"] == 1 for r in found) == bool(given)
+    assert re.match(r"\w", text)
