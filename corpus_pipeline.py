@@ -1,19 +1,48 @@
-"""The corpus pipeline: documents in, packed training sequences out."""
+"""The corpus pipeline: documents in, packed training sequences out.
+
+Every stage keeps the columns of documents but the last, works on all that the stage before it kept, and is written
+before the next one reads it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetmart.llm import packing
+from fleetmart.llm import decontamination, near_dup, packing, quality, toxicity
 from fleetmart.session import materialize
 
 
-def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.keep_clean(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
+def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs, quality.ratios(docs, _table(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dup.keep_one(docs, near_dup.SHINGLE, near_dup.BITS)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that repeat a benchmark item go as a whole."""
+    return decontamination.keep_clean(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
 STAGES = [
-    ("best_fit_packing", best_fit_packing),
+    ("toxicity", drop_toxic),
+    ("quality_rules", drop_poor),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_leaks),
+    ("best_fit_packing", pack),
 ]
 
 #: Tokenizers, fingerprints and trained models have no SQL; tests/llm holds the stages against brute force.
@@ -21,7 +50,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
