@@ -16,11 +16,19 @@ STEP = 2654435761  # 2**32 / golden ratio, spreads neighbouring salts
 
 
 def draw(i: Column, salt: int) -> Column:
-    """A 32-bit integer that looks random in ``i`` and ``salt``."""
+    """A 32-bit integer that looks random in ``i`` and ``salt``.
+
+    The low word of ``i`` is mixed in a first round; the high word comes in
+    only then, so rows 2**32 apart differ. The salt comes in at both places, so
+    no column is another one shifted.
+    """
     i = i.cast("bigint")
-    h = (i + F.shiftright(i, 32) * MIX + F.lit(salt * STEP % SPAN)) % SPAN
-    for _ in range(2):
-        h = (h.bitwiseXOR(F.shiftright(h, 16)) * MIX) % SPAN
+    before = salt * STEP % SPAN
+    between = (before ^ before >> 16) * MIX % SPAN
+    h = (i + F.lit(before)) % SPAN
+    h = (h.bitwiseXOR(F.shiftright(h, 16)) * MIX) % SPAN
+    h = h.bitwiseXOR((F.shiftright(i, 32) * STEP + F.lit(between)) % SPAN)
+    h = (h.bitwiseXOR(F.shiftright(h, 16)) * MIX) % SPAN
     return h.bitwiseXOR(F.shiftright(h, 16))
 
 

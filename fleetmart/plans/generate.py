@@ -6,6 +6,8 @@ Spark makes the rows where they are needed.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,8 @@ from pyspark.sql import types as T
 from fleetmart.contracts import DEGREES, DISTANCE, MONEY, ORDER_STATUSES, TARIFFS
 from fleetmart.functions import draws
 from fleetmart.operators.keys import number_rows
+from fleetmart.session import require_utc
+from fleetmart.sources import files
 from fleetmart.sources.warehouse import Warehouse, init_warehouse
 
 # Names, prices, sizes and texts of the data set.
@@ -36,8 +40,8 @@ DRIVERS_IN_USE = 2_000
 DIMENSION_START, ORDER_START = "2026-01-01 00:00:00Z", "2026-02-01 00:00:00Z"
 DAY_SECONDS = 86_400
 
-# Plate numbers repeat after lcm(12**3, 1000) drivers.
-MAX_DRIVERS = 216_000
+# Letters and digits of a plate repeat after lcm(12**3, 1000) drivers.
+PLATES = 216_000
 
 
 def series(spark: SparkSession, n: int) -> DataFrame:
@@ -63,7 +67,8 @@ def _numbered(prefix: str, i: Column) -> Column:
 
 
 def _phone(prefix: str, i: Column) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(i.cast("string"), 7, "0"))
+    digits = i.cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(7), F.length(digits)), "0"))
 
 
 def plate(i: Column) -> Column:
@@ -73,7 +78,9 @@ def plate(i: Column) -> Column:
         return F.element_at(letters, (F.floor(i / every) % 12 + 1).cast("int"))
 
     digits = F.lpad((i * 7 % 1000).cast("string"), 3, "0")
-    return F.concat(letter(1), digits, letter(12), letter(144), F.lit(PLATE_REGION))
+    known = F.concat(letter(1), digits, letter(12), letter(144), F.lit(PLATE_REGION))
+    series = F.floor((i - 1) / PLATES).cast("bigint")
+    return F.when(series > 0, F.concat(known, F.lit("-"), series.cast("string"))).otherwise(known)
 
 
 def generate_statuses(spark: SparkSession) -> DataFrame:
@@ -195,22 +202,24 @@ def generate_warehouse(
     customers: int = CUSTOMERS,
     drivers: int = DRIVERS,
     locations: int = LOCATIONS,
+    drivers_in_use: int = DRIVERS_IN_USE,
 ) -> Warehouse:
-    """Empty the warehouse and fill all base tables."""
-    if drivers > MAX_DRIVERS:
-        raise ValueError(f"plate numbers are unique for at most {MAX_DRIVERS} drivers")
+    """Empty the warehouse and fill all base tables; orders go to the first ``drivers_in_use`` drivers."""
+    require_utc(spark)
     warehouse = init_warehouse(spark, root)
+    staging = f"{warehouse.root}/staging/{uuid.uuid4().hex}"
     warehouse.replace("order_statuses", generate_statuses(spark))
     warehouse.replace("tariffs", generate_tariffs(spark))
     warehouse.replace("locations", generate_locations(series(spark, locations), seed))
     warehouse.replace("customers", generate_customers(series(spark, customers), seed))
     warehouse.replace("drivers", generate_drivers(series(spark, drivers), seed))
     fact = generate_orders(
-        series(spark, orders), seed, customers, min(drivers, DRIVERS_IN_USE), locations
+        series(spark, orders), seed, customers, min(drivers, drivers_in_use), locations
     )
     stored = warehouse.replace("orders", with_month(fact))
-    log, last_id = number_rows(order_events(stored), "event_id", ["_round", "order_id"])
+    log, last_id = number_rows(order_events(stored), "event_id", ["_round", "order_id"], path=f"{staging}/events")
     warehouse.replace("order_events", log.drop("_round"), last_id)
+    files.remove(spark, staging)
     return warehouse
 
 

@@ -25,6 +25,13 @@ def local_session(name: str = "fleetmart", cores: str = "*", **conf: str) -> Spa
     return spark
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Texts without a zone and months of creation are meant in UTC."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"set spark.sql.session.timeZone to UTC; it is {zone}")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as named by ``spark.checkpoint.dir``.
 

@@ -25,6 +25,11 @@ def numbered(prefix: str, c: str) -> Column:
     return F.concat(F.lit(prefix), F.col(c).cast("string"))
 
 
+def phone(prefix: str, c: str) -> Column:
+    digits = F.col(c).cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(7), F.length(digits)), "0"))
+
+
 _SCHEMAS: dict[str, T.StructType] = {}
 
 
@@ -81,7 +86,7 @@ class Views:
             F.col("c_custkey").alias("customer_id"),
             numbered("cust_ext_", "c_custkey").alias("external_id"),
             F.col("c_name").alias("name"),
-            F.concat(F.lit("+7999"), F.lpad(F.col("c_custkey").cast("string"), 7, "0")).alias("phone"),
+            phone("+7999", "c_custkey").alias("phone"),
             F.concat(F.lit("user_"), F.col("c_custkey").cast("string"), F.lit("@example.com")).alias("email"),
             F.lit(STAMP).cast("timestamp").alias("created_at"),
         )
@@ -92,7 +97,7 @@ class Views:
             F.col("s_suppkey").alias("driver_id"),
             numbered("drv_ext_", "s_suppkey").alias("external_id"),
             F.col("s_name").alias("name"),
-            F.concat(F.lit("+7911"), F.lpad(F.col("s_suppkey").cast("string"), 7, "0")).alias("phone"),
+            phone("+7911", "s_suppkey").alias("phone"),
             numbered("CAR ", "s_suppkey").alias("vehicle_number"),
             F.lit(STAMP).cast("timestamp").alias("created_at"),
         )

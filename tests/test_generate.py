@@ -68,8 +68,23 @@ def test_delivery_follows_status(orders):
 def test_plates_are_unique(spark):
     assert g.generate_drivers(g.series(spark, 20_000)).select("vehicle_number").distinct().count() == 20_000
     assert spark.range(1).select(g.plate(F.lit(1))).first()[0] == "В007АА66"
-    with pytest.raises(ValueError):
-        g.generate_warehouse(spark, "/nowhere", drivers=g.MAX_DRIVERS + 1)
+    far = spark.range(1, 1_000_000, 997).select(g.plate(F.col("id")))
+    assert far.distinct().count() == far.count()
+
+
+def test_phones_keep_all_digits(spark):
+    numbers = spark.range(1, 10**9, 99_999_999).withColumnRenamed("id", "i")
+    found = [r.phone for r in g.generate_customers(numbers).collect()]
+    assert found[:2] == ["+79990000001", "+7999100000000"] and len(set(found)) == len(found)
+
+
+def test_draws_differ_beyond_the_low_word(spark):
+    columns = [c for c in g.generate_orders(g.series(spark, 1)).columns if c not in ("order_id", "external_order_id")]
+    near = spark.range(1, 300).withColumnRenamed("id", "i")
+    for step in (1 << 32, (1 << 32) - 73244475, (1 << 32) + 73244475):
+        far = near.select((F.col("i") + step).alias("i"))
+        a, b = ({tuple(r) for r in g.generate_orders(d).select(columns).collect()} for d in (near, far))
+        assert not a & b
 
 
 def test_events(frame):
