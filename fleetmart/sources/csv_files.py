@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,14 +36,15 @@ def _input(spark: SparkSession, path: str, read) -> DataFrame:
         raise
 
 
-def has_line_breaks_in_quotes(spark: SparkSession, path: str) -> bool:
-    """Whether a record of the input spans lines.
+def files_with_line_breaks_in_quotes(spark: SparkSession, path: str) -> list[str]:
+    """Files of the input in which a record spans lines.
 
-    If every line holds an even number of quotes, every line starts outside
-    quotes, and the input may be split at any line.
+    If every line of a file holds an even number of quotes, every line starts
+    outside quotes, and the file may be split at any line.
     """
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+    odd = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file")).where(quotes % 2 == 1)
+    return [r["_file"] for r in odd.select("_file").distinct().collect()]
 
 
 def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
@@ -49,22 +52,38 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None) ->
 
     ``_overflow`` marks records with more fields than the header; records with
     fewer are filled up with NULL. ``multi_line=None`` looks for quoted line
-    breaks first, so that files without any are read in splits, not by one task
-    per file.
+    breaks first; only files that have some are read by one task each, all
+    others in splits.
     """
     header = _input(spark, path, spark.read.options(**_DIALECT).csv)
-    if multi_line is None:
-        multi_line = has_line_breaks_in_quotes(spark, path)
     names = header.columns
+    if multi_line is not None:
+        return _rows(spark, [path], names, multi_line)
+    broken = set(files_with_line_breaks_in_quotes(spark, path))
+    if not broken:
+        return _rows(spark, [path], names, False)
+    # Both lists come from Spark, but not with the same number of slashes after the scheme.
+    known = {_slashes(b) for b in broken}
+    plain = [f for f in header.inputFiles() if _slashes(f) not in known]
+    rows = _rows(spark, sorted(broken), names, True)
+    return rows.unionByName(_rows(spark, plain, names, False)) if plain else rows
+
+
+def _slashes(file: str) -> str:
+    return re.sub(":/+", ":/", file, count=1)
+
+
+def _rows(spark: SparkSession, paths: list[str], names: list[str], multi_line: bool) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _RAW]])
     rows = (
         spark.read.options(
             **_DIALECT, multiLine=multi_line, enforceSchema=False, columnNameOfCorruptRecord=_RAW
         )
         .schema(schema)
-        .csv(path)
+        .csv(paths)
     )
-    unquoted = F.regexp_replace(_RAW, r'"([^"]|"")*"', "")
+    # A doubled quote reads as two neighbouring strings; nothing here recurses over a long text.
+    unquoted = F.regexp_replace(_RAW, r'"[^"]*"', "")
     separators = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit("")))
     return rows.select(
         *[na_to_null(F.col(f"`{c}`")).alias(c) for c in names],

@@ -29,9 +29,12 @@ class Layers:
         return self.load(layer, entity, df.schema)
 
     def load(self, layer: str, entity: str, schema: T.StructType | None = None) -> DataFrame:
-        """A stored table; with a known schema no file is opened for it."""
+        """A stored table; with a known schema no file is opened for it.
+
+        Without one it has the columns of all its files: days may differ.
+        """
         path = self.path(layer, entity)
-        reader = self.spark.read.schema(schema) if schema else self.spark.read
+        reader = self.spark.read.schema(schema) if schema else self.spark.read.option("mergeSchema", True)
         try:
             return reader.parquet(path)
         except AnalysisException as e:

@@ -6,7 +6,7 @@ from fleetmart.operators.quality import VIOLATIONS, QualityError
 from fleetmart.plans import cleaners
 from fleetmart.plans.cleaners import CLEANERS
 from fleetmart.plans.pipelines import extract
-from fleetmart.sources.csv_files import POSITION, has_line_breaks_in_quotes, query, read_csv, write_csv
+from fleetmart.sources.csv_files import POSITION, files_with_line_breaks_in_quotes, query, read_csv, write_csv
 from tests.conftest import rows
 
 BOM = b"\xef\xbb\xbf"
@@ -33,11 +33,31 @@ def test_dialect(spark, tmp_path):
 def test_quoted_line_breaks(spark, tmp_path):
     plain = put(tmp_path / "plain.csv", 'a,b\n"x, ""y""",1\n')
     broken = put(tmp_path / "broken.csv", 'a,b\n"one\ntwo",1\nthree,2\n')
-    assert not has_line_breaks_in_quotes(spark, plain)
-    assert has_line_breaks_in_quotes(spark, broken)
+    assert not files_with_line_breaks_in_quotes(spark, plain)
+    assert files_with_line_breaks_in_quotes(spark, broken)
     assert rows(read_csv(spark, broken), "a", "b") == [("one\ntwo", "1"), ("three", "2")]
 
 
+def test_long_malformed_records(spark, tmp_path):
+    text = 'say ""no"", or, ' * 5000
+    path = put(tmp_path / "long.csv", f'a,b,c\n"{text}",1\n"{text}",1,2,3\n"{text}",1,2\n')
+    assert [(r.a == text.replace('""', '"'), r.b, r.c, r._overflow) for r in read_csv(spark, path).orderBy("_row").collect()] == [
+        (True, "1", None, False),
+        (True, "1", "2", True),
+        (True, "1", "2", False),
+    ]
+
+
+def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    put(tmp_path / "in" / "plain.csv", "a,b\nx,1\ny,2\n")
+    put(tmp_path / "in" / "broken.csv", 'a,b\n"one\ntwo",1\n')
+    assert len(files_with_line_breaks_in_quotes(spark, str(tmp_path / "in"))) == 1
+    back = read_csv(spark, str(tmp_path / "in"))
+    assert rows(back, "a", "b") == [("one\ntwo", "1"), ("x", "1"), ("y", "2")]
+    assert back.select("_file", "_block", "_row").distinct().count() == 3
+
+
 def test_numbers_stay_text(spark, tmp_path):
     path = put(tmp_path / "a.csv", "phone,code\n+79990000001,00123\n")
     assert rows(read_csv(spark, path), "phone", "code") == [("+79990000001", "00123")]
