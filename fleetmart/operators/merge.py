@@ -11,6 +11,7 @@ from fleetmart.contracts import Table
 from fleetmart.operators.dedup import keep_first
 from fleetmart.operators.keys import assign_keys
 from fleetmart.operators.lookup import lookup
+from fleetmart.operators.quality import QualityError, unique_violations
 from fleetmart.session import materialize
 
 
@@ -92,8 +93,13 @@ def upsert(
     update_columns: Sequence[str],
     order: Sequence[str],
 ) -> DataFrame:
-    """The target with known keys updated and unknown ones added."""
+    """The target with known keys updated and unknown ones added.
+
+    A batch that names a key twice is refused: it doesn't say what to store.
+    """
     key = table.natural_key
+    if not unique_violations(batch, key).isEmpty():
+        raise QualityError(f"{table.name}: the batch repeats values of {key}")
     flagged = split_upsert(target.select(key), add_defaults(batch, table), key)
     numbered = assign_keys(flagged.where("NOT _known"), table.identity, order, top_id(target, table.identity))
     updated = apply_updates(target, flagged.where("_known"), key, update_columns)

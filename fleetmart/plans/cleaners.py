@@ -37,7 +37,7 @@ def _too_big(**kinds) -> dict[str, Column]:
     return {f"{c} out of range": text.too_big(F.col(c), kind) for c, kind in kinds.items()}
 
 
-def clean_orders(df: DataFrame, position: tuple[str, ...] = POSITION) -> DataFrame:
+def clean_orders(df: DataFrame, position: tuple[str, ...] = POSITION, scratch: str | None = None) -> DataFrame:
     """First delivery of each order, typed and stripped.
 
     Duplicates go before anything else, so a bad first row takes its later
@@ -46,7 +46,8 @@ def clean_orders(df: DataFrame, position: tuple[str, ...] = POSITION) -> DataFra
 
     Few deliveries repeat: the doubtful keys, repeated or padded, are found from
     the key column alone, and only their rows are shuffled and sorted. ``df``
-    should be a stored table, as it is read more than once.
+    should be a stored table, as it is read more than once. The doubtful keys are
+    written to ``scratch``, or else to the session's shared folder.
     """
     key = "external_order_id"
     keyed = require_not_null(df, [key])
@@ -57,7 +58,7 @@ def clean_orders(df: DataFrame, position: tuple[str, ...] = POSITION) -> DataFra
     bare = text.strip(F.col(key))
     copies = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"))
     doubtful = copies.where((F.col("_copies") > 1) | (bare != F.col(key)))
-    doubtful = materialize(doubtful.select(bare.alias("_doubtful")).distinct(), "doubtful_keys")
+    doubtful = materialize(doubtful.select(bare.alias("_doubtful")).distinct(), "doubtful_keys", scratch)
     if doubtful.isEmpty():
         return _typed_orders(keyed)
     if not fits_broadcast(doubtful, FEW_BYTES):

@@ -6,6 +6,7 @@ One run at a time per warehouse: the writes assume a single writer.
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
@@ -13,7 +14,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.contracts import DIMENSIONS, DM_ORDERS_SLA, ORDER_UPDATE_COLUMNS, ORDERS, RAW_FILES, RawFile, Table
+from fleetmart.contracts import DIMENSIONS, DM_ORDERS_SLA, ORDER_UPDATE_COLUMNS, ORDERS, RAW_FILES, TABLES, RawFile, Table
 from fleetmart.operators import quality
 from fleetmart.operators.keys import number_delivered, number_rows, resolve_order_keys
 from fleetmart.operators.lookup import lookup
@@ -21,13 +22,16 @@ from fleetmart.operators.merge import absent_rows, add_defaults, apply_updates,
 from fleetmart.plans import marts
 from fleetmart.plans.cleaners import CLEANERS
 from fleetmart.plans.generate import with_month
-from fleetmart.session import materialize
+from fleetmart.session import materialize, require_utc
 from fleetmart.sources import files
 from fleetmart.sources.csv_files import POSITION, read_csv
 from fleetmart.sources.layers import Layers
-from fleetmart.sources.warehouse import Warehouse, init_warehouse, partition_of
+from fleetmart.sources.warehouse import Warehouse, partition_of
 
 PARALLEL = 6
+FULL = "full"
+# Most folders a month may have before it is rewritten as one.
+MOST_FOLDERS = 32
 DAY_FORMAT = "%Y_%m_%d"
 
 
@@ -49,30 +53,40 @@ def extract(spark: SparkSession, entity: str, path: str, multi_line: bool | None
     return rows if raw.may_be_empty else quality.require_rows(rows, path)
 
 
+def _clean(entity: str, bronze: DataFrame, staging: str) -> DataFrame:
+    if entity == "orders":
+        return CLEANERS[entity](bronze, scratch=f"{staging}/doubtful_keys")
+    return CLEANERS[entity](bronze)
+
+
 # -- load --------------------------------------------------------------------
 
 
-def _to_contract(df: DataFrame, table: Table, on_violation: str) -> DataFrame:
-    """The table's columns only. Others are refused, or left out in quarantine."""
+def _to_contract(warehouse: Warehouse, df: DataFrame, table: Table, on_violation: str, run: str) -> DataFrame:
+    """The table's columns only. Others are refused; in quarantine their values
+    are put aside with the rows' natural keys."""
     unknown = quality.extra_columns(df, table)
     if unknown and on_violation == "fail":
         raise quality.QualityError(f"{table.name}: unknown columns {unknown}")
+    if unknown:
+        _put_aside(warehouse, f"unknown/{table.name}", df.select(table.natural_key, *unknown), run)
     return df.drop(*unknown)
 
 
-def _reject(warehouse: Warehouse, table: Table, bad: DataFrame | None) -> None:
-    if bad is not None:
-        bad.write.mode("append").parquet(f"{warehouse.root}/rejects/{table.name}/run={uuid.uuid4().hex}")
+def _put_aside(warehouse: Warehouse, what: str, rows: DataFrame, run: str) -> None:
+    """One folder per run; the same run again replaces it."""
+    rows.write.mode("overwrite").parquet(f"{warehouse.root}/{what}/run={run}")
 
 
-def _gate(warehouse: Warehouse, table: Table, rows: DataFrame, on_violation: str) -> DataFrame:
+def _gate(warehouse: Warehouse, table: Table, rows: DataFrame, on_violation: str, run: str) -> DataFrame:
     good, bad = quality.enforce(rows, table.name, on_violation)
-    _reject(warehouse, table, bad)
+    if bad is not None:
+        _put_aside(warehouse, f"rejects/{table.name}", bad, run)
     return good
 
 
 def load_dimension(
-    warehouse: Warehouse, table: Table, silver: DataFrame, staging: str, on_violation: str = "fail"
+    warehouse: Warehouse, table: Table, silver: DataFrame, staging: str, on_violation: str = "fail", run: str = FULL
 ) -> None:
     """Insert-if-absent on the natural key, with new ids in file order.
 
@@ -80,9 +94,9 @@ def load_dimension(
     skipped because its key is known. Other unique columns are no conflict
     target: a repeated value there is a violation.
     """
-    rows = _to_contract(add_defaults(silver, table), table, on_violation)
+    rows = _to_contract(warehouse, add_defaults(silver, table), table, on_violation, run)
     rows = quality.tag(rows, {**quality.not_null_rules(table), **quality.check_rules(table)})
-    rows = _gate(warehouse, table, rows, on_violation)
+    rows = _gate(warehouse, table, rows, on_violation, run)
     stored = warehouse.read(table.name)
     new = absent_rows(stored, rows, table.natural_key, POSITION)
     other_unique = [c for c in table.unique if c != table.natural_key]
@@ -90,7 +104,7 @@ def load_dimension(
         new = materialize(new, "new", f"{staging}/new_{table.name}")
         for column in other_unique:
             new = _flag_clashes(new, stored, column)
-        new = _gate(warehouse, table, new, on_violation)
+        new = _gate(warehouse, table, new, on_violation, f"{run}_unique")
     numbered, last_id = number_rows(
         new, table.identity, POSITION, warehouse.pointer(table.name).last_id, f"{staging}/numbered_{table.name}"
     )
@@ -105,15 +119,18 @@ def _flag_clashes(new: DataFrame, stored: DataFrame, column: str) -> DataFrame:
     return quality.tag(flagged, {f"{column} not unique": F.col("_taken")}).drop("_taken")
 
 
-def load_orders(warehouse: Warehouse, silver: DataFrame, staging: str, on_violation: str = "fail") -> None:
+def load_orders(
+    warehouse: Warehouse, silver: DataFrame, staging: str, on_violation: str = "fail", run: str = FULL
+) -> None:
     """Keys resolved, then upsert on the external order id.
 
-    Only months that hold a re-delivered order or receive a new one are read
-    whole and rewritten; all other files stay.
+    Only months that hold a re-delivered order are read whole and rewritten.
+    New orders of other months are added to them as further folders, until a
+    month has ``MOST_FOLDERS``; then it is rewritten as one.
     """
     dims = {t.name: warehouse.read(t.name) for t in DIMENSIONS}
     resolved = resolve_order_keys(silver, dims)
-    resolved = _to_contract(add_defaults(resolved, ORDERS), ORDERS, on_violation)
+    resolved = _to_contract(warehouse, add_defaults(resolved, ORDERS), ORDERS, on_violation, run)
     resolved = lookup(
         resolved,
         dims["order_statuses"].withColumn("_known_status", F.lit(True)),
@@ -133,16 +150,18 @@ def load_orders(warehouse: Warehouse, silver: DataFrame, staging: str, on_violat
     keys = stored.select(key, F.col(month).alias("_stored_month"))
     flagged = split_upsert(keys, resolved, key, silver, f"{staging}/hits")
     flagged = materialize(with_month(flagged), "flagged", f"{staging}/flagged")
-    batch = _gate(warehouse, ORDERS, flagged, on_violation)
+    batch = _gate(warehouse, ORDERS, flagged, on_violation, run)
 
-    months = F.when(F.col("_known"), F.col("_stored_month")).otherwise(F.col(month))
-    touched = [r["m"] for r in batch.select(months.alias("m")).distinct().collect()]
-    last_before = warehouse.pointer(ORDERS.name).last_id
-    numbered, last_id = number_delivered(batch.where("NOT _known"), ORDERS.identity, last_before)
-    affected = stored.where(F.col(month).isin(touched))
-    updated = apply_updates(affected, batch.where("_known"), key, ORDER_UPDATE_COLUMNS)
-    rows = updated.unionByName(numbered.select(*updated.columns))
-    warehouse.replace_partitions(ORDERS.name, rows, touched, last_id)
+    before = warehouse.pointer(ORDERS.name)
+    folders = Counter(map(partition_of, before.folders))
+    known = [r["_stored_month"] for r in batch.where("_known").select("_stored_month").distinct().collect()]
+    touched = sorted({*known, *(m for m, n in folders.items() if n >= MOST_FOLDERS)})
+    is_touched = F.col(month).isin(touched)
+    numbered, last_id = number_delivered(batch.where("NOT _known"), ORDERS.identity, before.last_id)
+    updated = apply_updates(stored.where(is_touched), batch.where("_known"), key, ORDER_UPDATE_COLUMNS)
+    new = numbered.select(*updated.columns)
+    rows = updated.unionByName(new.where(is_touched))
+    warehouse.replace_partitions(ORDERS.name, rows, touched, last_id, added=new.where(~is_touched))
 
 
 # -- marts -------------------------------------------------------------------
@@ -188,14 +207,22 @@ def build_marts(warehouse: Warehouse) -> None:
 
 
 def run_full(spark: SparkSession, raw_dir: str, root: str, on_violation: str = "fail") -> Warehouse:
-    """Everything from the raw files: dimensions, fact, marts."""
-    warehouse = init_warehouse(spark, f"{root}/gold")
+    """Everything from the raw files: dimensions, fact, marts.
+
+    Tables are built beside the present ones and shown at the end; a run that
+    fails leaves the warehouse as it was.
+    """
+    require_utc(spark)
+    warehouse = Warehouse(spark, f"{root}/gold")
+    warehouse.hold()
+    for name in TABLES:
+        warehouse.create(name)
     staging = f"{root}/staging/{uuid.uuid4().hex}"
     layers = Layers(spark, staging)
 
     def to_silver(entity: str) -> DataFrame:
         bronze = layers.save(extract(spark, entity, f"{raw_dir}/{entity}.csv"), "bronze", entity)
-        return layers.save(CLEANERS[entity](bronze), "silver", entity)
+        return layers.save(_clean(entity, bronze, staging), "silver", entity)
 
     def dimension(raw: RawFile) -> None:
         load_dimension(warehouse, raw.table, to_silver(raw.entity), staging, on_violation)
@@ -209,6 +236,7 @@ def run_full(spark: SparkSession, raw_dir: str, root: str, on_violation: str = "
     load_orders(warehouse, layers.load("silver", "orders"), staging, on_violation)
     files.remove(spark, staging)
     build_marts(warehouse)
+    warehouse.publish()
     return warehouse
 
 
@@ -221,13 +249,14 @@ def run_daily(
     Running a day again gives the same warehouse. Dimensions are not touched.
     """
     day = day if isinstance(day, str) else day.strftime(DAY_FORMAT)
+    require_utc(spark)
     warehouse = Warehouse(spark, f"{root}/gold")
     layers = Layers(spark, root)
     staging = f"{root}/staging/{uuid.uuid4().hex}"
     raw = extract(spark, "orders", f"{raw_dir}/orders_{day}.csv")
     bronze = layers.save_day(raw, "bronze", "orders", day)
-    silver = layers.save_day(CLEANERS["orders"](bronze), "silver", "orders", day)
-    load_orders(warehouse, silver, staging, on_violation)
+    silver = layers.save_day(_clean("orders", bronze, staging), "silver", "orders", day)
+    load_orders(warehouse, silver, staging, on_violation, day)
     files.remove(spark, staging)
     build_marts(warehouse)
     return warehouse

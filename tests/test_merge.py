@@ -1,10 +1,12 @@
 import datetime
 import decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from fleetmart.contracts import CUSTOMERS, ORDER_STATUSES, ORDER_UPDATE_COLUMNS, ORDERS, TARIFFS
 from fleetmart.operators.merge import add_defaults, apply_updates, insert_if_absent, upsert
+from fleetmart.operators.quality import QualityError
 from tests.conftest import rows
 
 D = decimal.Decimal
@@ -66,3 +68,10 @@ def test_defaults_are_for_absent_columns_only(frame):
     assert rows(add_defaults(frame("name string, base_price decimal(10,2)", ("x", None)), TARIFFS), "base_price", "per_km") == [(None, D("0.00"))]
     assert rows(add_defaults(frame("name string", ("x",)), TARIFFS), "base_price") == [(D("300.00"),)]
     assert add_defaults(frame("name string", ("x",)), TARIFFS).where(F.col("created_at").isNull()).isEmpty()
+
+
+def test_upsert_refuses_a_batch_that_repeats_a_key(frame):
+    stored = frame(ORDER_SCHEMA)
+    row = ("k", 1, None, 1, 1, 1, D(1), D(1), T0, None, 1)
+    with pytest.raises(QualityError, match="external_order_id"):
+        upsert(stored, frame(BATCH_SCHEMA, (1, *row), (2, *row)), ORDERS, ORDER_UPDATE_COLUMNS, ["at"])

@@ -177,3 +177,71 @@ def test_repeated_vehicle_number_is_refused(spark, generated, tmp_path):
     )
     with pytest.raises(QualityError, match="vehicle_number not unique .2 rows"):
         pipelines.run_full(spark, str(tmp_path / "raw"), str(tmp_path / "wh"))
+
+
+def test_failed_rebuild_leaves_the_old_rows(spark, loaded, copy, tmp_path):
+    from fleetmart.sources.warehouse import Warehouse
+
+    before = snapshot(loaded[0])
+    with pytest.raises(FileNotFoundError):
+        pipelines.run_full(spark, str(tmp_path / "nowhere"), copy)
+    assert snapshot(Warehouse(spark, f"{copy}/gold")) == before
+
+
+def test_other_time_zones_are_refused(spark, generated, copy, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        for run in (
+            lambda: pipelines.run_full(spark, generated[1], copy),
+            lambda: pipelines.run_daily(spark, "2026_08_11", generated[1], copy),
+            lambda: generate.generate_warehouse(spark, str(tmp_path), orders=1),
+        ):
+            with pytest.raises(ValueError, match="UTC"):
+                run()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_runs_need_no_folder_but_their_own(spark, generated, loaded, tmp_path, monkeypatch):
+    """As on a cluster without spark.checkpoint.dir: nothing may ask for the session's folder."""
+    import fleetmart.session
+
+    def refuse(spark):
+        raise ValueError("no shared folder")
+
+    monkeypatch.setattr(fleetmart.session, "shared_folder", refuse)
+    root = f"{tmp_path}/wh"
+    pipelines.run_full(spark, generated[1], root)
+    _delivery(spark, loaded, tmp_path, "2026_08_18", lambda df: df.limit(3))
+    pipelines.run_daily(spark, "2026_08_18", str(tmp_path), root)
+    warehouse = generate.generate_warehouse(spark, f"{tmp_path}/made", orders=20, customers=5, drivers=5, locations=5, drivers_in_use=1)
+    assert rows(warehouse.read("orders").where("driver_id is not null").select("driver_id").distinct()) == [(1,)]
+    from fleetmart.sources import files
+
+    assert files.children(spark, f"{root}/staging") == [] == files.children(spark, f"{tmp_path}/made/staging")
+
+
+def test_new_orders_add_folders_and_are_joined_at_last(spark, loaded, copy, tmp_path, monkeypatch):
+    monkeypatch.setattr(pipelines, "MOST_FOLDERS", 3)
+    before = set(loaded[0].pointer("orders").folders)
+    for n, kept in enumerate((True, True, False), 1):
+        _delivery(spark, loaded, tmp_path, f"2026_09_0{n}", lambda df, n=n: df.limit(40).withColumn("external_order_id", F.concat("external_order_id", F.lit(f"_{n}"))))
+        warehouse = pipelines.run_daily(spark, f"2026_09_0{n}", str(tmp_path), copy)
+        assert warehouse.read("orders").count() == 600 + 40 * n
+        assert (before <= set(warehouse.pointer("orders").folders)) == kept
+    orders = warehouse.read("orders")
+    assert orders.select("order_id").distinct().count() == orders.count() == orders.agg(F.max("order_id")).first()[0]
+    assert warehouse.read("dm_orders_sla").count() == 720
+
+
+def test_quarantine_keeps_unknown_columns_and_replaces_a_rerun(spark, loaded, copy, tmp_path):
+    def change(df):
+        stranger = F.when(F.col("external_order_id") == "order_ext_7", "stranger").otherwise(F.col("customer_external_id"))
+        return df.withColumn("customer_external_id", stranger).withColumn("tip", F.lit("3"))
+
+    _delivery(spark, loaded, tmp_path, "2026_08_19", change)
+    for _ in range(2):
+        pipelines.run_daily(spark, "2026_08_19", str(tmp_path), copy, on_violation="quarantine")
+        assert [r.external_order_id for r in spark.read.parquet(f"{copy}/gold/rejects/orders").collect()] == ["order_ext_7"]
+        unknown = spark.read.parquet(f"{copy}/gold/unknown/orders")
+        assert unknown.count() == 600 and rows(unknown.select("tip").distinct()) == [("3",)]
