@@ -9,6 +9,12 @@ from __future__ import annotations
 STAMP = "TIMESTAMP '1995-01-01 00:00:00'"
 FIRST_LOAD_END, DAILY_START, RECENT = "1999-01-01", "1998-01-01", "2001-01-01"
 
+
+def phone(prefix: str, i: str) -> str:
+    digits = f"CAST({i} AS VARCHAR)"
+    return f"'{prefix}' || lpad({digits}, greatest(7, length({digits}))::INT, '0')"
+
+
 LINES = """lines AS (
   SELECT l_orderkey, min(l_suppkey) AS driver_id, max(l_quantity) AS quantity, max(l_shipdate) AS shipped
   FROM lineitem GROUP BY l_orderkey)"""
@@ -25,13 +31,13 @@ full_rides AS (SELECT * REPLACE (coalesce(distance_km, 0)::DECIMAL(7,3) AS dista
 
 CUSTOMERS = f"""customers AS (
   SELECT c_custkey AS customer_id, 'cust_ext_' || c_custkey AS external_id, c_name AS name,
-    '+7999' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS phone, 'user_' || c_custkey || '@example.com' AS email,
+    {phone('+7999', 'c_custkey')} AS phone, 'user_' || c_custkey || '@example.com' AS email,
     {STAMP} AS created_at
   FROM customer)"""
 
 DRIVERS = f"""drivers AS (
   SELECT s_suppkey AS driver_id, 'drv_ext_' || s_suppkey AS external_id, s_name AS name,
-    '+7911' || lpad(CAST(s_suppkey AS VARCHAR), 7, '0') AS phone, 'CAR ' || s_suppkey AS vehicle_number,
+    {phone('+7911', 's_suppkey')} AS phone, 'CAR ' || s_suppkey AS vehicle_number,
     {STAMP} AS created_at
   FROM supplier)"""
 
@@ -190,7 +196,7 @@ UNION ALL SELECT order_id, 'distance_km_sign' FROM rides WHERE distance_km - 25
     "unique_violations": """SELECT l_orderkey || '-' || l_linenumber AS external_order_id, count(*) AS copies FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "fk_orphans": """SELECT o_orderkey AS order_id, o_custkey AS customer_id FROM orders
-WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)""",
+WHERE o_orderpriority NOT LIKE '1%' AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)""",
     "decimal_rounding": """SELECT l_orderkey, l_linenumber, CAST(sum((
   CAST(round(l_extendedprice * 100) AS HUGEINT) * CAST(round(l_discount * 100) AS HUGEINT) + 50) // 100) AS DOUBLE) / 100 AS discount
 FROM lineitem GROUP BY l_orderkey, l_linenumber""",
@@ -277,7 +283,9 @@ EVENTS = LINES + f""", log AS (
   FROM orders LEFT JOIN lines ON o_orderkey = l_orderkey WHERE {CODE} IN (5, 6))"""
 
 ORACLES |= {
-    "delete_restrict": f"""SELECT c_custkey AS customer_id FROM customer WHERE c_acctbal < 0
+    "delete_restrict": """SELECT c_custkey AS customer_id FROM customer
+WHERE c_acctbal >= 0 OR c_custkey IN (SELECT o_custkey FROM orders)""",
+    "blocked_parents": f"""SELECT c_custkey AS customer_id FROM customer WHERE c_acctbal < 0
 AND c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderdate >= '{RECENT}')""",
     "delete_set_null": f"""WITH {RIDES} SELECT order_id, CASE WHEN s_suppkey IS NULL THEN driver_id END AS driver_id, CAST(price AS DOUBLE) AS price
 FROM rides LEFT JOIN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0) ON driver_id = s_suppkey""",
@@ -298,12 +306,19 @@ JOIN tariffs t ON r.tariff_id = t.tariff_id""",
 SPAN = 2**32
 
 
+def named(expression: str, name: str, body: str) -> str:
+    """``body`` with ``name`` standing for the expression."""
+    return f"list_transform([{expression}], lambda {name}: {body})[1]"
+
+
 def draw(salt: int, seed: int = 1) -> str:
     """The generator's integer draw for row ``i``."""
-    h = f"((i + (i >> 32) * 73244475 + {(seed * 64 + salt) * 2654435761 % SPAN}) % {SPAN})"
-    for _ in range(2):
-        h = f"((xor({h}, {h} >> 16) * 73244475) % {SPAN})"
-    return f"xor({h}, {h} >> 16)"
+    start = (seed * 64 + salt) * 2654435761 % SPAN
+    inner = (start ^ start >> 16) * 73244475 % SPAN
+    turn = f"(xor(h, h >> 16) * 73244475) % {SPAN}"
+    h = named(f"(i + {start}) % {SPAN}", "h", turn)
+    h = named(f"xor({h}, ((i >> 32) * 2654435761 + {inner}) % {SPAN})", "h", turn)
+    return named(h, "h", "xor(h, h >> 16)")
 
 
 def below(salt: int, n: int) -> str:
@@ -314,10 +329,10 @@ def rounded(salt: int, width: int) -> str:
     return f"((h{salt} * {width} + {SPAN // 2}) >> 32)"
 
 
-def drawn(table: str, key: str, *salts: int) -> str:
+def drawn(table: str, key: str, *salts: int, stride: int = 1) -> str:
     """Rows numbered from one, with the draws they need as h<salt>."""
     draws = ", ".join(f"{draw(s)} AS h{s}" for s in salts)
-    return f"rows AS (SELECT i, {draws} FROM (SELECT CAST({key} + 1 AS BIGINT) AS i FROM {table}))"
+    return f"rows AS (SELECT i, {draws} FROM (SELECT CAST({key} AS BIGINT) * {stride} + 1 AS i FROM {table}))"
 
 
 def moment(start: str, salt: int, seconds: int, extra: int = 0) -> str:
@@ -329,12 +344,17 @@ def moment(start: str, salt: int, seconds: int, extra: int = 0) -> str:
 LETTERS = "['А','В','Е','К','М','Н','О','Р','С','Т','У','Х']"
 PLATE = (
     f"{LETTERS}[i % 12 + 1] || lpad(CAST((i * 7) % 1000 AS VARCHAR), 3, '0') || "
-    f"{LETTERS}[(i // 12) % 12 + 1] || {LETTERS}[(i // 144) % 12 + 1] || '66'"
+    f"{LETTERS}[(i // 12) % 12 + 1] || {LETTERS}[(i // 144) % 12 + 1] || '66' || "
+    "CASE WHEN i > 216000 THEN '-' || ((i - 1) // 216000) ELSE '' END"
 )
 YEAR_START, ORDER_START = "TIMESTAMP '2026-01-01'", "TIMESTAMP '2026-02-01'"
 DAY = 86_400
 
-GEN_ORDERS = f"""{drawn('orders', 'o_orderkey', 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16)}, placed AS (
+FAR_NUMBERS, FAR_ORDERS = 70_001, 3_000_017
+
+
+def gen_orders(stride: int = 1) -> str:
+    return f"""{drawn('orders', 'o_orderkey', 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16, stride=stride)}, placed AS (
   SELECT *, CAST(CASE WHEN h5 * 100 < {85 * SPAN} THEN 5 WHEN h5 * 100 < {95 * SPAN} THEN 6 ELSE 1 + {below(6, 4)} END AS INT) AS current_status,
     {moment(ORDER_START, 10, 45 * DAY)} AS created_at FROM rows), made AS (
   SELECT i AS order_id, 'order_ext_' || i AS external_order_id, 1 + {below(11, 10_000)} AS customer_id,
@@ -345,15 +365,27 @@ GEN_ORDERS = f"""{drawn('orders', 'o_orderkey', 5, 6, 7, 8, 9, 10, 11, 12, 13, 1
     CASE WHEN current_status = 5 THEN {moment('created_at', 9, 3_000, 600_000_000)} END AS delivered_at, current_status
   FROM placed)"""
 
+
+def gen_customers(stride: int = 1) -> str:
+    return f"""WITH {drawn('customer', 'c_custkey', 3, stride=stride)} SELECT i AS customer_id, 'cust_ext_' || i AS external_id, 'Клиент ' || i AS name,
+  {phone('+7999', 'i')} AS phone, 'user_' || i || '@example.com' AS email, {moment(YEAR_START, 3, 45 * DAY)} AS created_at FROM rows"""
+
+
+def gen_drivers(stride: int = 1) -> str:
+    return f"""WITH {drawn('customer', 'c_custkey', 4, stride=stride)} SELECT i AS driver_id, 'drv_ext_' || i AS external_id, 'Водитель ' || i AS name,
+  {phone('+7911', 'i')} AS phone, {PLATE} AS vehicle_number, {moment(YEAR_START, 4, 30 * DAY)} AS created_at FROM rows"""
+
+
 ORACLES |= {
     "gen_locations": f"""WITH {drawn('part', 'p_partkey', 1, 2)} SELECT i AS location_id, 'ул. Генерации, д. ' || i AS address,
   CAST(55500000 + {rounded(1, 400_000)} AS DOUBLE) / 1000000 AS lat, CAST(37300000 + {rounded(2, 600_000)} AS DOUBLE) / 1000000 AS lon FROM rows""",
-    "gen_customers": f"""WITH {drawn('customer', 'c_custkey', 3)} SELECT i AS customer_id, 'cust_ext_' || i AS external_id, 'Клиент ' || i AS name,
-  '+7999' || lpad(CAST(i AS VARCHAR), 7, '0') AS phone, 'user_' || i || '@example.com' AS email, {moment(YEAR_START, 3, 45 * DAY)} AS created_at FROM rows""",
-    "gen_drivers": f"""WITH {drawn('customer', 'c_custkey', 4)} SELECT i AS driver_id, 'drv_ext_' || i AS external_id, 'Водитель ' || i AS name,
-  '+7911' || lpad(CAST(i AS VARCHAR), 7, '0') AS phone, {PLATE} AS vehicle_number, {moment(YEAR_START, 4, 30 * DAY)} AS created_at FROM rows""",
-    "gen_orders": f"WITH {GEN_ORDERS} SELECT * FROM made",
-    "gen_orders_sla": f"""WITH {GEN_ORDERS},
+    "gen_customers": gen_customers(),
+    "gen_customers_far": gen_customers(FAR_NUMBERS),
+    "gen_drivers": gen_drivers(),
+    "gen_drivers_far": gen_drivers(FAR_NUMBERS),
+    "gen_orders": f"WITH {gen_orders()} SELECT * FROM made",
+    "gen_orders_far": f"WITH {gen_orders(FAR_ORDERS)} SELECT * FROM made",
+    "gen_orders_sla": f"""WITH {gen_orders()},
 statuses(status_id, name) AS (VALUES (1, 'Создан'), (2, 'Водитель назначен'), (3, 'Машина подъехала'), (4, 'В пути'), (5, 'Завершен'), (6, 'Отменен')),
 tariffs(tariff_id, name) AS (VALUES (1, 'Эконом'), (2, 'Комфорт'), (3, 'Бизнес'), (4, 'Минивэн'), (5, 'Доставка')),
 sla AS ({sla_mart('made', 'statuses')})
@@ -372,15 +404,18 @@ NA_TEXTS = (
 LOADED = f"""loaded_customers AS (
   SELECT row_number() OVER (ORDER BY c_custkey) AS customer_id, c_custkey, c_name AS name, 'user_' || c_custkey || '@example.com' AS email
   FROM customer),
+loaded_drivers AS (
+  SELECT row_number() OVER (ORDER BY s_suppkey) AS driver_id, s_suppkey, s_name AS name, 'CAR ' || s_suppkey AS vehicle_number
+  FROM supplier),
 loaded_tariffs AS (SELECT row_number() OVER (ORDER BY tariff_id) AS tariff_id, name FROM tariffs),
 loaded_statuses(status_id, name) AS (VALUES (1, 'f'), (2, 'o'), (3, 'p'))"""
 
 
 def loaded_orders(numbering: str, price: str) -> str:
     return f"""loaded AS (
-  SELECT {numbering} AS order_id, r.external_order_id, c.customer_id, lt.tariff_id, {price} AS price, r.distance_km,
+  SELECT {numbering} AS order_id, r.external_order_id, c.customer_id, ld.driver_id, lt.tariff_id, {price} AS price, r.distance_km,
     r.created_at, r.delivered_at, CASE chr(r.current_status) WHEN 'f' THEN 1 WHEN 'o' THEN 2 ELSE 3 END AS current_status
-  FROM full_rides r JOIN loaded_customers c ON r.customer_id = c.c_custkey
+  FROM full_rides r JOIN loaded_customers c ON r.customer_id = c.c_custkey LEFT JOIN loaded_drivers ld ON r.driver_id = ld.s_suppkey
   JOIN tariffs t ON r.tariff_id = t.tariff_id JOIN loaded_tariffs lt ON t.name = lt.name)"""
 
 
@@ -393,8 +428,42 @@ ORACLES |= {
   o_orderdate AS created_at, CASE WHEN o_orderdate >= '{FIRST_LOAD_END}' THEN '1999_01_01' ELSE '1998_12_31' END AS ds FROM orders""",
     "run_full": f"""WITH {RIDES}, {TARIFFS}, {LOADED}, {loaded_orders("row_number() OVER (ORDER BY r.order_id)", "r.price")}
 {customers_mart('loaded', 'loaded_customers')}""",
+    "run_full_drivers": f"""WITH {RIDES}, {DRIVERS}, {TARIFFS}, {LOADED}, {loaded_orders("row_number() OVER (ORDER BY r.order_id)", "r.price")}
+{drivers_mart('loaded').replace('JOIN drivers', 'JOIN loaded_drivers')}""",
+    "run_full_sla": f"""WITH {RIDES}, {TARIFFS}, {LOADED}, {loaded_orders("row_number() OVER (ORDER BY r.order_id)", "r.price")}
+{sla_mart('loaded', 'loaded_statuses', 'loaded_tariffs')}""",
     "run_daily": f"""WITH {RIDES}, {TARIFFS}, {LOADED}, {loaded_orders(
         f"row_number() OVER (ORDER BY r.created_at >= '{FIRST_LOAD_END}', r.order_id)",
         f"r.price + CASE WHEN r.created_at >= '{DAILY_START}' THEN 1 ELSE 0 END")}
 {sla_mart('loaded', 'loaded_statuses', 'loaded_tariffs')}""",
 }
+
+# Values that the cleaners turn into NULL.
+ORACLES |= {
+    "clean_customers": CLEAN["customers"].replace("created_at FROM customers", "CASE WHEN customer_id % 3 <> 0 THEN created_at END AS created_at FROM customers"),
+    "clean_locations": f"""WITH {LOCATIONS} SELECT address, CASE WHEN location_id % 3 <> 0 THEN CAST(lat AS DOUBLE) END AS lat, CAST(lon AS DOUBLE) AS lon FROM locations""",
+    "clean_tariffs": f"""WITH {TARIFFS} SELECT name, CASE WHEN tariff_id <> 2 THEN base_price END AS base_price, per_km,
+  CASE WHEN tariff_id <> 3 THEN created_at END AS created_at FROM tariffs""",
+    "daily_columns": f"""SELECT o_orderkey AS order_id, CASE WHEN o_orderdate >= '{FIRST_LOAD_END}' THEN o_orderdate END AS placed_at FROM orders""",
+    "csv_malformed": f"""SELECT doc_id, CASE WHEN doc_id % 3 <> 1 AND text NOT IN ({NA_TEXTS}) THEN text END AS text,
+  doc_id % 3 = 2 AS _overflow, CASE WHEN doc_id % 3 = 1 THEN NULL ELSE length(text) END AS chars FROM lined""",
+    "append_orders": f"""WITH {RIDES}, {TARIFFS}, {LOADED}, {loaded_orders(
+        "row_number() OVER (ORDER BY r.order_id % 2, r.order_id)", "r.price")}
+SELECT order_id, external_order_id, CAST(price AS DOUBLE) AS price, true AS files_stayed FROM loaded""",
+    "rejects_twice": f"""SELECT 'order_ext_' || o_orderkey AS external_order_id, 'customer_id is null' AS violations FROM orders WHERE o_custkey % 2 = 0""",
+}
+ORACLES["csv_malformed"] = (
+    "WITH lined AS (SELECT doc_id, replace(replace(text, chr(10), ' '), chr(13), ' ') AS text FROM documents) " + ORACLES["csv_malformed"]
+)
+
+# Events and deletes on stored tables; gates of a delivered file.
+ORACLES |= {
+    "append_events": """SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS event_id, o_orderkey AS order_id,
+  CASE o_orderstatus WHEN 'F' THEN 2 ELSE 1 END AS status_id, o_orderdate AS event_time, 'placed' AS note FROM orders""",
+    "stored_delete_orders": f"""SELECT o_orderkey AS order_id, what FROM orders, (VALUES ('order'), ('event')) t(what) WHERE o_orderdate < '{RECENT}'""",
+    "stored_delete_drivers": f"""WITH {RIDES} SELECT order_id, CASE WHEN s_suppkey IS NULL THEN driver_id END AS driver_id
+FROM rides LEFT JOIN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0) ON driver_id = s_suppkey""",
+    "stored_delete_customers": "SELECT c_custkey AS customer_id FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)",
+    "input_gates": """SELECT * FROM (VALUES ('missing', 'FileNotFoundError'), ('empty', 'QualityError'), ('incomplete', 'QualityError')) t("case", outcome)
+UNION ALL SELECT c, count(*) || CASE c WHEN 'unknown' THEN ' tip' ELSE '' END FROM orders, (VALUES ('complete'), ('bom'), ('unknown')) t(c) GROUP BY c""",
+}

@@ -25,7 +25,7 @@ from fleetmart.operators import deletes, quality
 from fleetmart.operators.dedup import keep_first
 from fleetmart.operators.keys import assign_keys, resolve_order_keys
 from fleetmart.operators.merge import add_defaults, insert_if_absent, upsert
-from fleetmart.plans import generate, marts, pipelines
+from fleetmart.plans import changes, generate, marts, pipelines
 from fleetmart.plans.cleaners import CLEANERS, clean_orders
 from fleetmart.plans.export import export_dimension, export_orders
 from fleetmart.session import scratch_path
@@ -226,34 +226,46 @@ def _as_text(df: DataFrame, entity: str) -> DataFrame:
     return rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
 
 
-def _cleaned(v: Views, entity: str) -> DataFrame:
+def _cleaned(v: Views, entity: str, **changed: Column) -> DataFrame:
     raw = _as_text(v.dims[RAW_FILES[entity].table.name], entity)
+    raw = raw.withColumns({c: value.cast("string") for c, value in changed.items()})
     return CLEANERS[entity](_padded(raw, raw.columns)).drop(quality.VIOLATIONS)
 
 
+def _number_in(c: str) -> Column:
+    return F.regexp_extract(c, r"\d+$", 0).cast("int")
+
+
 @register
 def clean_customers(v: Views) -> DataFrame:
-    return _cleaned(v, "customers")
+    """Some times are none."""
+    return _cleaned(v, "customers", created_at=F.when(_number_in("external_id") % 3 == 0, "soon").otherwise(F.col("created_at")))
 
 
 @register
 def clean_drivers(v: Views) -> DataFrame:
-    return _cleaned(v, "drivers")
+    return _cleaned(v, "drivers", vehicle_number=F.lower("vehicle_number"))
 
 
 @register
 def clean_locations(v: Views) -> DataFrame:
-    return _cleaned(v, "locations")
+    """Some numbers are none."""
+    bad = v.locations.where("location_id % 3 = 0").select(F.col("address").alias("_bad"))
+    raw = _as_text(v.locations, "locations").join(bad, F.col("address") == F.col("_bad"), "left")
+    raw = raw.withColumn("lat", F.when(F.col("_bad").isNull(), F.col("lat")).otherwise("north")).drop("_bad")
+    return CLEANERS["locations"](_padded(raw, raw.columns)).drop(quality.VIOLATIONS)
 
 
 @register
 def clean_tariffs(v: Views) -> DataFrame:
-    return _cleaned(v, "tariffs")
+    """A price and a time are none."""
+    price = F.when(F.col("base_price") == "200.00", "2OO").otherwise(F.col("base_price"))
+    return _cleaned(v, "tariffs", base_price=price, created_at=F.when(F.col("base_price") == "300.00", "n. d.").otherwise(F.col("created_at")))
 
 
 @register
 def clean_statuses(v: Views) -> DataFrame:
-    return _cleaned(v, "statuses")
+    return _cleaned(v, "statuses", name=F.upper("name"))
 
 
 # -- quality -----------------------------------------------------------------
@@ -286,10 +298,12 @@ def unique_violations(v: Views) -> DataFrame:
 
 @register
 def fk_orphans(v: Views) -> DataFrame:
-    """References to customers in debt, who are left out of the parent table."""
+    """References to customers in debt, who are left out of the parent table;
+    urgent orders have no customer, which is no orphan."""
     solvent = v.table("customer").where("c_acctbal >= 0").select(F.col("c_custkey").alias("customer_id"))
     fk = ForeignKey("customer_id", "customers", "customer_id")
-    return quality.fk_orphans(v.rides.select("order_id", "customer_id"), solvent, fk)
+    customer = F.when(F.col("tariff_id") != 1, F.col("customer_id")).alias("customer_id")
+    return quality.fk_orphans(v.rides.select("order_id", customer), solvent, fk)
 
 
 @register
@@ -426,6 +440,15 @@ def _in_debt(v: Views, table: str, key: str, balance: str, name: str) -> DataFra
 
 @register
 def delete_restrict(v: Views) -> DataFrame:
+    """Customers left when those in debt that have no order are deleted."""
+    doomed = _in_debt(v, "customer", "c_custkey", "c_acctbal", "customer_id")
+    free = doomed.join(v.rides.select("customer_id").distinct(), "customer_id", "left_anti")
+    kept = deletes.delete_restrict(v.customers, free, v.rides, "customer_id", "customer_id")
+    return kept.select("customer_id")
+
+
+@register
+def blocked_parents(v: Views) -> DataFrame:
     """Customers in debt that may not be deleted: they have late orders."""
     doomed = _in_debt(v, "customer", "c_custkey", "c_acctbal", "customer_id")
     late = v.rides.where(F.col("created_at") >= F.lit(RECENT).cast("timestamp_ntz"))
@@ -445,6 +468,57 @@ def delete_cascade(v: Views) -> DataFrame:
     return deletes.delete_cascade(events, doomed, "order_id", "order_id").drop("_round")
 
 
+def _stored(v: Views) -> Warehouse:
+    """Rides, their customers, drivers and events as stored tables."""
+    warehouse = init_warehouse(v.spark, scratch_path(v.spark, "stored"))
+    for name in ("customers", "drivers"):
+        warehouse.replace(name, v.dims[name])
+    known = F.when(F.col("current_status") == F.ascii(F.lit("f")), 2).otherwise(1)
+    warehouse.replace("order_statuses", v.spark.createDataFrame([(1, "a"), (2, "b")], ORDER_STATUSES.schema))
+    warehouse.replace("orders", generate.with_month(v.full_rides.withColumn("current_status", known)))
+    events = warehouse.read("orders").select(
+        "order_id", F.col("current_status").alias("status_id"), F.col("created_at").alias("event_time"), F.lit("placed").alias("note")
+    )
+    changes.append_events(warehouse, events, f"{warehouse.root}/staging")
+    return warehouse
+
+
+@register
+def append_events(v: Views) -> DataFrame:
+    return _stored(v).read("order_events")
+
+
+@register
+def stored_delete_orders(v: Views) -> DataFrame:
+    """Recent orders deleted, and their events with them."""
+    warehouse = _stored(v)
+    recent = warehouse.read("orders").where(F.col("created_at") >= F.lit(RECENT).cast("timestamp_ntz"))
+    changes.delete_rows(warehouse, "orders", recent)
+    left = warehouse.read("orders").select("order_id", F.lit("order").alias("what"))
+    return left.unionByName(warehouse.read("order_events").select("order_id", F.lit("event").alias("what")))
+
+
+@register
+def stored_delete_drivers(v: Views) -> DataFrame:
+    """Drivers in debt deleted; their orders stay without a driver."""
+    warehouse = _stored(v)
+    changes.delete_rows(warehouse, "drivers", _in_debt(v, "supplier", "s_suppkey", "s_acctbal", "driver_id"))
+    return warehouse.read("orders").select("order_id", "driver_id")
+
+
+@register
+def stored_delete_customers(v: Views) -> DataFrame:
+    """Customers without orders can be deleted; one with orders can't, and then nothing is."""
+    warehouse = _stored(v)
+    idle = v.customers.join(v.rides.select("customer_id").distinct(), "customer_id", "left_anti").select("customer_id")
+    changes.delete_rows(warehouse, "customers", idle)
+    try:
+        changes.delete_rows(warehouse, "customers", v.rides.select("customer_id"))
+    except quality.QualityError:
+        return warehouse.read("customers").select("customer_id")
+    raise AssertionError("customers with orders were deleted")
+
+
 # -- events, export ----------------------------------------------------------
 
 
@@ -492,8 +566,8 @@ def export_statuses(v: Views) -> DataFrame:
 # -- generator, over row numbers taken from the tables -----------------------
 
 
-def _series(v: Views, table: str, key: str) -> DataFrame:
-    return v.table(table).select((F.col(key) + 1).alias("i"))
+def _series(v: Views, table: str, key: str, stride: int = 1) -> DataFrame:
+    return v.table(table).select((F.col(key).cast("bigint") * stride + 1).alias("i"))
 
 
 @register
@@ -516,6 +590,25 @@ def gen_orders(v: Views) -> DataFrame:
     return generate.generate_orders(_series(v, "orders", "o_orderkey"))
 
 
+# Numbers beyond seven digits and the first series of plates, and beyond 2**32.
+FAR_NUMBERS, FAR_ORDERS = 70_001, 3_000_017
+
+
+@register
+def gen_customers_far(v: Views) -> DataFrame:
+    return generate.generate_customers(_series(v, "customer", "c_custkey", FAR_NUMBERS))
+
+
+@register
+def gen_drivers_far(v: Views) -> DataFrame:
+    return generate.generate_drivers(_series(v, "customer", "c_custkey", FAR_NUMBERS))
+
+
+@register
+def gen_orders_far(v: Views) -> DataFrame:
+    return generate.generate_orders(_series(v, "orders", "o_orderkey", FAR_ORDERS))
+
+
 @register
 def gen_orders_sla(v: Views) -> DataFrame:
     orders = generate.generate_orders(_series(v, "orders", "o_orderkey"))
@@ -591,6 +684,60 @@ def csv_texts(v: Views) -> DataFrame:
     return back.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "_overflow")
 
 
+@register
+def input_gates(v: Views) -> DataFrame:
+    """What becomes of a delivered file: its number of rows, or why it is refused."""
+    folder = scratch_path(v.spark, "gates")
+    rows = _order_file(v)
+    write_csv(rows, f"{folder}/complete")
+    write_csv(rows.limit(0), f"{folder}/empty")
+    write_csv(rows.drop("price"), f"{folder}/incomplete")
+    write_csv(rows.withColumnRenamed("external_order_id", "\ufeffexternal_order_id"), f"{folder}/bom")
+    write_csv(rows.withColumn("tip", F.lit("1")), f"{folder}/unknown")
+
+    def outcome(case: str) -> str:
+        try:
+            found = pipelines.extract(v.spark, "orders", f"{folder}/{case}")
+        except (FileNotFoundError, quality.QualityError) as e:
+            return type(e).__name__
+        unknown = sorted(set(found.columns) - {*RAW_FILES["orders"].required, "delivered_at", "current_status", "_overflow", *POSITION})
+        return " ".join([str(found.count()), *unknown])
+
+    cases = ("complete", "missing", "empty", "incomplete", "bom", "unknown")
+    return v.spark.createDataFrame([(c, outcome(c)) for c in cases], "case string, outcome string")
+
+
+@register
+def csv_malformed(v: Views) -> DataFrame:
+    """Whole documents on one line each, some with a field too few or too many."""
+    path = scratch_path(v.spark, "malformed_csv")
+    line = F.translate("text", "\n\r", "  ")
+    quoted = F.concat(F.lit('"'), F.replace(line, F.lit('"'), F.lit('""')), F.lit('"'))
+    key, size = F.col("doc_id").cast("string"), F.length(line).cast("string")
+    record = (
+        F.when(F.col("doc_id") % 3 == 1, key)
+        .when(F.col("doc_id") % 3 == 2, F.concat_ws(",", key, quoted, size, F.lit("more")))
+        .otherwise(F.concat_ws(",", key, quoted, size))
+    )
+    # One column of ready records, with a separator and a quote that no text has.
+    raw = {"header": True, "sep": "\x01", "quote": "\x02", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    v.table("documents").select(record.alias("doc_id,text,chars")).write.options(**raw).csv(path)
+    back = read_csv(v.spark, path)
+    return back.select(*[F.col(c).cast("bigint").alias(c) for c in ("doc_id", "chars")], "text", "_overflow")
+
+
+@register
+def daily_columns(v: Views) -> DataFrame:
+    """Days whose files differ in columns."""
+    layers = Layers(v.spark, scratch_path(v.spark, "columns"))
+    rides = v.rides.select("order_id", F.col("created_at").alias("placed_at"))
+    late = F.col("placed_at") >= F.lit(FIRST_LOAD_END).cast("timestamp_ntz")
+    layers.save_day(rides.where(~late).drop("placed_at"), "bronze", "orders", "1998_12_31")
+    layers.save_day(rides.where(late), "bronze", "orders", "1999_01_01")
+    days = [layers.load_day("bronze", "orders", day) for day in ("1998_12_31", "1999_01_01")]
+    return days[0].unionByName(days[1])
+
+
 @register
 def daily_layers(v: Views) -> DataFrame:
     """Two deliveries stored by day; the second comes again and replaces itself."""
@@ -659,6 +806,45 @@ def run_full(v: Views) -> DataFrame:
     return warehouse.read("dm_customer_analytics")
 
 
+@register
+def run_full_drivers(v: Views) -> DataFrame:
+    warehouse = pipelines.run_full(v.spark, _raw_folder(v, _pipeline_orders(v)), scratch_path(v.spark, "full"))
+    return warehouse.read("dm_drivers_efficiency")
+
+
+@register
+def run_full_sla(v: Views) -> DataFrame:
+    warehouse = pipelines.run_full(v.spark, _raw_folder(v, _pipeline_orders(v)), scratch_path(v.spark, "full"))
+    return warehouse.read("dm_orders_sla").drop("created_month")
+
+
+@register
+def append_orders(v: Views) -> DataFrame:
+    """Half of the orders loaded, then the others as new ones: stored files stay."""
+    orders = _pipeline_orders(v)
+    raw, root = _raw_folder(v, orders.where("o_orderkey % 2 = 0")), scratch_path(v.spark, "append")
+    before = pipelines.run_full(v.spark, raw, root).pointer("orders").folders
+    write_csv(_in_key_order(orders.where("o_orderkey % 2 = 1")), f"{raw}/orders_1999_01_01.csv")
+    warehouse = pipelines.run_daily(v.spark, "1999_01_01", raw, root)
+    stayed = set(before) <= set(warehouse.pointer("orders").folders)
+    return warehouse.read("orders").select("order_id", "external_order_id", "price", F.lit(stayed).alias("files_stayed"))
+
+
+@register
+def rejects_twice(v: Views) -> DataFrame:
+    """A day with unknown customers, run twice in quarantine."""
+    orders = _pipeline_orders(v)
+    raw, root = _raw_folder(v, orders.where("o_orderkey % 2 = 0")), scratch_path(v.spark, "rejects")
+    pipelines.run_full(v.spark, raw, root)
+    number = F.regexp_extract("customer_external_id", r"\d+$", 0).cast("int")
+    unknown = F.when(number % 2 == 1, F.col("customer_external_id")).otherwise("nobody")
+    write_csv(_in_key_order(orders.withColumn("customer_external_id", unknown)), f"{raw}/orders_1999_01_01.csv")
+    for _ in range(2):
+        pipelines.run_daily(v.spark, "1999_01_01", raw, root, on_violation="quarantine")
+    rejects = v.spark.read.parquet(f"{root}/gold/rejects/orders")
+    return rejects.select("external_order_id", F.col(quality.VIOLATIONS).alias("violations"))
+
+
 @register
 def run_daily(v: Views) -> DataFrame:
     """A full load of the early orders, then one day with all later ones and
