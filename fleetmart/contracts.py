@@ -183,6 +183,35 @@ ORDER_EVENTS = Table(
     ),
 )
 
+# What the reports are made of: totals per key and month, which add up.
+DRIVER_MONTHS = Table(
+    "driver_months",
+    _schema(
+        ("driver_id", _ID, _REQ),
+        ("rides", T.LongType(), _REQ),
+        ("priced", T.LongType(), _REQ),
+        ("revenue", MONEY_SUM),
+        ("distance_km", DISTANCE_SUM),
+    ),
+    partition_by="created_month",
+    sort_by="driver_id",
+)
+
+CUSTOMER_MONTHS = Table(
+    "customer_months",
+    _schema(
+        ("customer_id", _ID, _REQ),
+        ("rides", T.LongType(), _REQ),
+        ("priced", T.LongType(), _REQ),
+        ("spent", MONEY_SUM),
+        ("distance_km", DISTANCE_SUM),
+        ("first_ride_at", _TIME),
+        ("last_ride_at", _TIME),
+    ),
+    partition_by="created_month",
+    sort_by="customer_id",
+)
+
 DM_DRIVERS_EFFICIENCY = Table(
     "dm_drivers_efficiency",
     _schema(
@@ -235,7 +264,7 @@ DM_ORDERS_SLA = Table(
 
 DIMENSIONS = (CUSTOMERS, DRIVERS, LOCATIONS, TARIFFS, ORDER_STATUSES)
 MARTS = (DM_DRIVERS_EFFICIENCY, DM_CUSTOMER_ANALYTICS, DM_ORDERS_SLA)
-TABLES = {t.name: t for t in (*DIMENSIONS, ORDERS, ORDER_EVENTS, *MARTS)}
+TABLES = {t.name: t for t in (*DIMENSIONS, ORDERS, ORDER_EVENTS, DRIVER_MONTHS, CUSTOMER_MONTHS, *MARTS)}
 
 
 @dataclass(frozen=True)

@@ -14,7 +14,18 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.contracts import DIMENSIONS, DM_ORDERS_SLA, ORDER_UPDATE_COLUMNS, ORDERS, RAW_FILES, TABLES, RawFile, Table
+from fleetmart.contracts import (
+    CUSTOMER_MONTHS,
+    DIMENSIONS,
+    DM_ORDERS_SLA,
+    DRIVER_MONTHS,
+    ORDER_UPDATE_COLUMNS,
+    ORDERS,
+    RAW_FILES,
+    TABLES,
+    RawFile,
+    Table,
+)
 from fleetmart.operators import quality
 from fleetmart.operators.keys import number_delivered, number_rows, resolve_order_keys
 from fleetmart.operators.lookup import lookup
@@ -167,14 +178,27 @@ def load_orders(
 # -- marts -------------------------------------------------------------------
 
 
+def _totals_by_month(warehouse: Warehouse, table: Table, totals: Callable[..., DataFrame]) -> DataFrame:
+    """The stored totals per key and month, made anew for months whose orders
+    aren't in the files they were in at the last build."""
+    if not warehouse.has(table.name):
+        warehouse.create(table.name)
+    month = table.partition_by
+    fact, built = (set(x) for x in (warehouse.pointer("orders").folders, warehouse.pointer(table.name).built_from))
+    months = sorted({partition_of(f) for f in fact ^ built})
+    rows = totals(warehouse.read("orders").where(F.col(month).isin(months)), month)
+    return warehouse.replace_partitions(table.name, rows, months, built_from=sorted(fact))
+
+
 def build_drivers_mart(warehouse: Warehouse) -> DataFrame:
-    rows = marts.drivers_efficiency(warehouse.read("orders"), warehouse.read("drivers"))
-    return warehouse.replace("dm_drivers_efficiency", rows)
+    """Only changed months of the fact are read; the report adds up one row per driver and month."""
+    totals = marts.add_driver_totals(_totals_by_month(warehouse, DRIVER_MONTHS, marts.driver_totals))
+    return warehouse.replace("dm_drivers_efficiency", marts.drivers_report(totals, warehouse.read("drivers")))
 
 
 def build_customers_mart(warehouse: Warehouse) -> DataFrame:
-    rows = marts.customer_analytics(warehouse.read("orders"), warehouse.read("customers"))
-    return warehouse.replace("dm_customer_analytics", rows)
+    totals = marts.add_customer_totals(_totals_by_month(warehouse, CUSTOMER_MONTHS, marts.customer_totals))
+    return warehouse.replace("dm_customer_analytics", marts.customers_report(totals, warehouse.read("customers")))
 
 
 def build_sla_mart(warehouse: Warehouse) -> DataFrame:

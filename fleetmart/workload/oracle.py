@@ -411,9 +411,9 @@ loaded_tariffs AS (SELECT row_number() OVER (ORDER BY tariff_id) AS tariff_id, n
 loaded_statuses(status_id, name) AS (VALUES (1, 'f'), (2, 'o'), (3, 'p'))"""
 
 
-def loaded_orders(numbering: str, price: str) -> str:
+def loaded_orders(numbering: str, price: str, distance: str = "r.distance_km", driver: str = "ld.driver_id") -> str:
     return f"""loaded AS (
-  SELECT {numbering} AS order_id, r.external_order_id, c.customer_id, ld.driver_id, lt.tariff_id, {price} AS price, r.distance_km,
+  SELECT {numbering} AS order_id, r.external_order_id, c.customer_id, {driver} AS driver_id, lt.tariff_id, {price} AS price, {distance} AS distance_km,
     r.created_at, r.delivered_at, CASE chr(r.current_status) WHEN 'f' THEN 1 WHEN 'o' THEN 2 ELSE 3 END AS current_status
   FROM full_rides r JOIN loaded_customers c ON r.customer_id = c.c_custkey LEFT JOIN loaded_drivers ld ON r.driver_id = ld.s_suppkey
   JOIN tariffs t ON r.tariff_id = t.tariff_id JOIN loaded_tariffs lt ON t.name = lt.name)"""
@@ -432,10 +432,19 @@ ORACLES |= {
 {drivers_mart('loaded').replace('JOIN drivers', 'JOIN loaded_drivers')}""",
     "run_full_sla": f"""WITH {RIDES}, {TARIFFS}, {LOADED}, {loaded_orders("row_number() OVER (ORDER BY r.order_id)", "r.price")}
 {sla_mart('loaded', 'loaded_statuses', 'loaded_tariffs')}""",
-    "run_daily": f"""WITH {RIDES}, {TARIFFS}, {LOADED}, {loaded_orders(
-        f"row_number() OVER (ORDER BY r.created_at >= '{FIRST_LOAD_END}', r.order_id)",
-        f"r.price + CASE WHEN r.created_at >= '{DAILY_START}' THEN 1 ELSE 0 END")}
-{sla_mart('loaded', 'loaded_statuses', 'loaded_tariffs')}""",
+}
+
+# The increment: new orders after the stored ones, re-delivered ones changed.
+IN_DAY = f"r.created_at >= '{DAILY_START}'"
+DAILY = f"""WITH {RIDES}, {DRIVERS}, {TARIFFS}, {LOADED}, {loaded_orders(
+    f"row_number() OVER (ORDER BY r.created_at >= '{FIRST_LOAD_END}', r.order_id)",
+    f"r.price + CASE WHEN {IN_DAY} THEN 1 ELSE 0 END",
+    f"r.distance_km + CASE WHEN {IN_DAY} THEN 2 ELSE 0 END",
+    f"CASE WHEN {IN_DAY} AND r.order_id % 4 = 0 THEN (SELECT driver_id FROM loaded_drivers WHERE s_suppkey = 3) ELSE ld.driver_id END")}"""
+ORACLES |= {
+    "run_daily": f"{DAILY} {sla_mart('loaded', 'loaded_statuses', 'loaded_tariffs')}",
+    "run_daily_drivers": f"{DAILY} {drivers_mart('loaded').replace('JOIN drivers', 'JOIN loaded_drivers')}",
+    "run_daily_customers": f"{DAILY} {customers_mart('loaded', 'loaded_customers')}",
 }
 
 # Values that the cleaners turn into NULL.

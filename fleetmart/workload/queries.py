@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from fleetmart.contracts import (
     CUSTOMERS,
+    DISTANCE,
     DRIVERS,
     LOCATIONS,
     MONEY,
@@ -845,16 +846,39 @@ def rejects_twice(v: Views) -> DataFrame:
     return rejects.select("external_order_id", F.col(quality.VIOLATIONS).alias("violations"))
 
 
-@register
-def run_daily(v: Views) -> DataFrame:
+MOVED_TO = "drv_ext_3"
+
+
+def _daily_warehouse(v: Views) -> Warehouse:
     """A full load of the early orders, then one day with all later ones and
-    some of the stored ones again."""
+    some of the stored ones again, dearer, longer, and partly with another driver."""
     orders = _pipeline_orders(v)
     early = F.col("o_orderdate") < F.lit(FIRST_LOAD_END).cast("timestamp_ntz")
     again = F.col("o_orderdate") >= F.lit(DAILY_START).cast("timestamp_ntz")
     raw, root = _raw_folder(v, orders.where(early)), scratch_path(v.spark, "daily")
     pipelines.run_full(v.spark, raw, root)
-    changed = orders.where(again).withColumn("price", (F.col("price").cast(MONEY) + 1).cast(MONEY).cast("string"))
+    driver = F.when(F.col("o_orderkey") % 4 == 0, MOVED_TO).otherwise(F.col("driver_external_id"))
+    changed = orders.where(again).withColumns(
+        {
+            "price": (F.col("price").cast(MONEY) + 1).cast(MONEY).cast("string"),
+            "distance_km": (F.col("distance_km").cast(DISTANCE) + 2).cast(DISTANCE).cast("string"),
+            "driver_external_id": driver,
+        }
+    )
     write_csv(_in_key_order(changed), f"{raw}/orders_1999_01_01.csv")
-    warehouse = pipelines.run_daily(v.spark, "1999_01_01", raw, root)
-    return warehouse.read("dm_orders_sla").drop("created_month")
+    return pipelines.run_daily(v.spark, "1999_01_01", raw, root)
+
+
+@register
+def run_daily(v: Views) -> DataFrame:
+    return _daily_warehouse(v).read("dm_orders_sla").drop("created_month")
+
+
+@register
+def run_daily_drivers(v: Views) -> DataFrame:
+    return _daily_warehouse(v).read("dm_drivers_efficiency")
+
+
+@register
+def run_daily_customers(v: Views) -> DataFrame:
+    return _daily_warehouse(v).read("dm_customer_analytics")

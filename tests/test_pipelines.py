@@ -245,3 +245,19 @@ def test_quarantine_keeps_unknown_columns_and_replaces_a_rerun(spark, loaded, co
         assert [r.external_order_id for r in spark.read.parquet(f"{copy}/gold/rejects/orders").collect()] == ["order_ext_7"]
         unknown = spark.read.parquet(f"{copy}/gold/unknown/orders")
         assert unknown.count() == 600 and rows(unknown.select("tip").distinct()) == [("3",)]
+
+
+def test_reports_read_changed_months_only(spark, loaded, copy, tmp_path):
+    from fleetmart.sources.warehouse import Warehouse
+
+    before = Warehouse(spark, f"{copy}/gold")
+    old = {t: set(before.pointer(t).folders) for t in ("driver_months", "customer_months")}
+    _delivery(spark, loaded, tmp_path, "2026_08_20", lambda df: df.where("created_at < '2026-03-01'").withColumn("price", F.lit("8")))
+    warehouse = pipelines.run_daily(spark, "2026_08_20", str(tmp_path), copy)
+    for table, folders in old.items():
+        assert {f.rsplit("=")[-1] for f in folders & set(warehouse.pointer(table).folders)} == {"2026-03"}
+    from fleetmart.plans import marts
+
+    orders = warehouse.read("orders")
+    assert rows(warehouse.read("dm_drivers_efficiency")) == rows(marts.drivers_efficiency(orders, warehouse.read("drivers")))
+    assert rows(warehouse.read("dm_customer_analytics")) == rows(marts.customer_analytics(orders, warehouse.read("customers")))
