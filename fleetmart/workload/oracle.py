@@ -273,13 +273,15 @@ LEFT JOIN tariffs t ON tariff_name = t.name""",
 
 # -- deletes, events, export -------------------------------------------------
 
+# Notes of the event log.
+NOTE_CREATED, NOTE_DONE, NOTE_CANCELLED = "Заказ зарегистрирован в системе", "Заказ успешно выполнен", "Заказ отменен"
 CODE = "CASE o_orderstatus WHEN 'F' THEN 5 WHEN 'O' THEN 6 ELSE 3 END"
 EVENTS = LINES + f""", log AS (
-  SELECT o_orderkey AS order_id, 0 AS turn, 1 AS status_id, o_orderdate AS event_time, 'Заказ зарегистрирован в системе' AS note
+  SELECT o_orderkey AS order_id, 0 AS turn, 1 AS status_id, o_orderdate AS event_time, '{NOTE_CREATED}' AS note
   FROM orders
   UNION ALL
   SELECT o_orderkey, 1, {CODE}, coalesce(CASE WHEN o_orderstatus = 'F' THEN shipped END, o_orderdate + INTERVAL 5 MINUTES),
-    CASE {CODE} WHEN 5 THEN 'Заказ успешно выполнен' ELSE 'Заказ отменен' END
+    CASE {CODE} WHEN 5 THEN '{NOTE_DONE}' ELSE '{NOTE_CANCELLED}' END
   FROM orders LEFT JOIN lines ON o_orderkey = l_orderkey WHERE {CODE} IN (5, 6))"""
 
 ORACLES |= {
@@ -341,6 +343,7 @@ def moment(start: str, salt: int, seconds: int, extra: int = 0) -> str:
     return f"make_timestamp(epoch_us({start}) + {us})"
 
 
+# Letters of plates.
 LETTERS = "['А','В','Е','К','М','Н','О','Р','С','Т','У','Х']"
 PLATE = (
     f"{LETTERS}[i % 12 + 1] || lpad(CAST((i * 7) % 1000 AS VARCHAR), 3, '0') || "
@@ -350,6 +353,11 @@ PLATE = (
 YEAR_START, ORDER_START = "TIMESTAMP '2026-01-01'", "TIMESTAMP '2026-02-01'"
 DAY = 86_400
 
+# Names of statuses and tariffs.
+STATUS_ROWS = """statuses(status_id, name) AS (VALUES (1, 'Создан'), (2, 'Водитель назначен'), (3, 'Машина подъехала'), (4, 'В пути'),
+  (5, 'Завершен'), (6, 'Отменен'))"""
+TARIFF_ROWS = "tariffs(tariff_id, name) AS (VALUES (1, 'Эконом'), (2, 'Комфорт'), (3, 'Бизнес'), (4, 'Минивэн'), (5, 'Доставка'))"
+
 FAR_NUMBERS, FAR_ORDERS = 70_001, 3_000_017
 
 
@@ -386,8 +394,8 @@ ORACLES |= {
     "gen_orders": f"WITH {gen_orders()} SELECT * FROM made",
     "gen_orders_far": f"WITH {gen_orders(FAR_ORDERS)} SELECT * FROM made",
     "gen_orders_sla": f"""WITH {gen_orders()},
-statuses(status_id, name) AS (VALUES (1, 'Создан'), (2, 'Водитель назначен'), (3, 'Машина подъехала'), (4, 'В пути'), (5, 'Завершен'), (6, 'Отменен')),
-tariffs(tariff_id, name) AS (VALUES (1, 'Эконом'), (2, 'Комфорт'), (3, 'Бизнес'), (4, 'Минивэн'), (5, 'Доставка')),
+{STATUS_ROWS},
+{TARIFF_ROWS},
 sla AS ({sla_mart('made', 'statuses')})
 SELECT tariff_name, final_status, count(*) AS orders, CAST(sum(total_duration_minutes) AS BIGINT) AS minutes,
   CAST(sum(CAST(price AS DECIMAL(10,2))) AS DOUBLE) AS revenue FROM sla GROUP BY tariff_name, final_status""",
@@ -395,6 +403,7 @@ SELECT tariff_name, final_status, count(*) AS orders, CAST(sum(total_duration_mi
 
 # -- files and pipelines -----------------------------------------------------
 
+# Texts that stand for a missing value.
 NA_TEXTS = (
     "'', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', "
     "'<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null'"
