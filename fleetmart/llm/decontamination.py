@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from xxhash import xxh64_intdigest
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -185,7 +186,7 @@ def matches(
     item = T.StructField("item_id", benchmark.schema[item_column].dataType)
     schema = T.StructType([docs.schema[id_column], item, T.StructField("similarity", T.DoubleType())])
     schema = schema.add("start_word", "long").add("n_words", "long")
-    kind = pa.int64()
+    kind, items = pa.int64(), to_arrow_type(item.dataType)
     found = docs.sparkSession.createDataFrame([], schema)
     for index in indexes(benchmark, item_column):
         sent = docs.sparkSession.sparkContext.broadcast(index)
@@ -194,8 +195,8 @@ def matches(
             own = sent.value
             for batch in batches:
                 rows = [(k, *hit) for k, text in enumerate(batch.column(1)) for hit in own.find(text.as_py())]
-                where, item, similar, start, size = zip(*rows, strict=True) if rows else ((),) * 5
-                columns = [batch.column(0).take(pa.array(where, kind)), pa.array([own.ids[i] for i in item]), pa.array(similar, pa.float64())]
+                where, hit, similar, start, size = zip(*rows, strict=True) if rows else ((),) * 5
+                columns = [batch.column(0).take(pa.array(where, kind)), pa.array([own.ids[i] for i in hit], items), pa.array(similar, pa.float64())]
                 columns += [pa.array(start, kind), pa.array(size, kind)]
                 if rows:
                     yield pa.RecordBatch.from_arrays(columns, schema.names)

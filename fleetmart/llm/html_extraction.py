@@ -55,6 +55,8 @@ OUTSIDE_NAMES = frozenset(
     " social related recommended recommendations pagination pager toolbar widget widgets search form hidden".split()
 )
 MAIN = frozenset(("article", "main"))
+# No menu or page header holds the article.
+NO_ARTICLE = ("nav", "head", "header")
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|([^<]+|<)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
@@ -63,11 +65,11 @@ _HOST = re.compile(r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)
 
 
 class Block:
-    """A block of text, the path of the elements around it, and where it stands."""
+    """A block of text, the path of the elements around it (hashed), and where it stands."""
 
     __slots__ = ("chars", "linked", "main", "path", "text")
 
-    def __init__(self, text: str, path: str, main: bool, chars: int, linked: int):
+    def __init__(self, text: str, path: int, main: bool, chars: int, linked: int):
         self.text, self.path, self.main, self.chars, self.linked = text, path, main, chars, linked
 
 
@@ -75,12 +77,14 @@ class Page:
     """The tokens of a page: ``tags`` counts tags by path, ``blocks`` are the texts outside what surrounds an article."""
 
     def __init__(self, html: str | None):
-        self.tags: Counter[str] = Counter()
+        self.tags: Counter[int] = Counter()
         self.blocks: list[Block] = []
         self._parts: list[str] = []
         self._linked = 0
         # Open elements: name, path, whether it lies outside, whether it lies in an article, its number of links.
-        self._open: list[tuple[str, str, bool, bool, int]] = [("", "", False, False, 0)]
+        # Inline elements are held only if one of these changes. How many are open, by name, saves looking for none.
+        self._open: list[tuple[str, int, bool, bool, int]] = [("", 0, False, False, 0)]
+        self._count: Counter[str] = Counter()
         self._read(html or "")
         self._end_block()
 
@@ -119,10 +123,11 @@ class Page:
             while self._open[k][0] in INLINE:
                 k -= 1
             if name in CLOSED_BY_NEXT.get(self._open[k][0], ()) or self._open[k][0] == "p":
-                del self._open[k:]
-            if name in MAIN:  # no menu or page header holds the article: it was left open
-                left = [k for k, e in enumerate(self._open) if e[0] in ("nav", "head", "header")]
-                del self._open[left[0] if left else len(self._open) :]
+                self._close(k)
+            if name in MAIN and any(self._count[n] for n in NO_ARTICLE):  # it was left open
+                self._close(next(k for k, e in enumerate(self._open) if e[0] in NO_ARTICLE))
+        elif name == "a" and self._open[-1][0] == "a":
+            self._close(len(self._open) - 1)
         if name in VOID:
             return
         kind, outside = "", name in OUTSIDE
@@ -133,19 +138,23 @@ class Page:
                 words = {w.lower() for w in _NAMES.findall(kind)}
                 outside = outside or bool(words & OUTSIDE_NAMES) or given.get("role", "").lower() in OUTSIDE_ROLES
         above = self._open[-1]
-        path = above[1] if inline else f"{above[1]}/{name}" + (f".{kind}" if kind else "")
+        path = above[1] if inline else xxh64_intdigest(f"{above[1]}/{name}.{kind}")
         main = above[3] or name in MAIN or "role=\"main\"" in attributes or "role=main" in attributes
         if not inline:
             self.tags[path] += 1
-        self._open.append((name, path, above[2] or outside, main, above[4] + (name == "a")))
+        if not inline or name == "a" or (outside and not above[2]):
+            self._open.append((name, path, above[2] or outside, main, above[4] + (name == "a")))
+            self._count[name] += 1
 
     def _end(self, name: str) -> None:
         if name not in INLINE:
             self._end_block()
-        for k in range(len(self._open) - 1, 0, -1):
-            if self._open[k][0] == name:
-                del self._open[k:]
-                return
+        if self._count[name]:
+            self._close(next(k for k in range(len(self._open) - 1, 0, -1) if self._open[k][0] == name))
+
+    def _close(self, first: int) -> None:
+        self._count.subtract(e[0] for e in self._open[first:])
+        del self._open[first:]
 
     def _end_block(self) -> None:
         if self._parts:
