@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Of five parts by the checksum of the id, part 0 is held out of every training.
@@ -16,11 +15,16 @@ def held_out(id_column: str = "doc_id") -> Column:
 
 
 def sample(rows: DataFrame, label: str, id_column: str, per_label: int) -> DataFrame:
-    """(id, label) of at most ``per_label`` rows of each label that aren't held out, in the order of the ids' hashes.
+    """(id, label) of about ``per_label`` rows of each label that aren't held out; of all, if there are fewer.
 
-    A row counts once for an id and label. Only as many rows of a label as are wanted leave a task.
+    Chosen are the ids whose hash lies below the label's share, so it is a filter: no rows of a label meet in a task.
+    The size differs from ``per_label`` by chance, by a few times its square root. A row counts once for an id and label.
     """
     named = rows.where(F.col(id_column).isNotNull() & F.col(label).isNotNull() & ~held_out(id_column))
-    order = W.partitionBy(label).orderBy(F.xxhash64(id_column), id_column)
-    ranked = named.select(id_column, label).withColumn("_rank", F.row_number().over(order))
-    return ranked.where(F.col("_rank") <= per_label).select(id_column, label).distinct()
+    own = named.select(id_column, label).distinct()
+    counts = {r[0]: r[1] for r in own.groupBy(label).count().collect()}
+    chosen = F.lit(False)
+    for value, count in counts.items():
+        below = F.pmod(F.xxhash64(id_column), F.lit(1 << 32)) < min(1.0, per_label / count) * (1 << 32)
+        chosen = chosen | ((F.col(label) == value) & below)
+    return own.where(chosen)

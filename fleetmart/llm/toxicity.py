@@ -5,7 +5,7 @@ buckets, each present or not. A bucket's ratio is the logarithm of how much more
 the training sample than in others, smoothed by one. Buckets whose ratio says little are left out; a logistic
 regression is fitted on the others' ratios. The score is its probability.
 
-The sample is bounded (``PER_LABEL`` rows of each label, by the hash of the id), and so is what is counted from it. If
+The sample is bounded (about ``PER_LABEL`` rows of each label, by the hash of the id), and so is what is counted from it. If
 it lacks a label, every score is 0. Null and empty texts have no feature and get the score of the bias. Labels other
 than 0 and 1, rows without an id and null labels teach nothing; a row with both labels teaches both. Repeated rows are
 scored alike. Other columns are ignored, whatever their names.
@@ -27,7 +27,7 @@ from fleetmart.llm.labelled import held_out, sample
 
 #: Lengths of the n-grams and number of buckets.
 SHORTEST, LONGEST_GRAM, BUCKETS = 2, 5, 1 << 18
-#: Most training rows of each label: a bounded sample, by the hash of the id.
+#: Training rows of each label, about: a bounded sample, by the hash of the id.
 PER_LABEL = 20_000
 #: Least training texts that have a bucket, and its least absolute ratio; most buckets kept.
 LEAST_TEXTS, LEAST_RATIO, MOST_KEPT = 4, 1.0, 40_000
