@@ -6,6 +6,7 @@ line feeds, one after the other. Parts repeat; each worker keeps the recent ones
 
 from __future__ import annotations
 
+import json
 from functools import lru_cache
 
 import numpy as np
@@ -26,8 +27,6 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
         # The file's own split of lower-case text into words, and its stand-ins for bytes.
-        import json
-
         with open(path, encoding="utf-8") as f:
             steps = json.load(f)["pre_tokenizer"]["pretokenizers"]
         self._words = regex.compile(steps[0]["pattern"]["Regex"])
@@ -38,18 +37,24 @@ class Encoder:
         self._part = Recent(self._encode_part)
 
     def _encode_word(self, word: str) -> bytes:
-        text = "".join([self._stand_in[b] for b in word.encode()])
+        # Printable ASCII stands for itself.
+        text = word if word.isascii() else "".join([self._stand_in[b] for b in word.encode()])
         return np.array([t.id for t in self._model.tokenize(text)], dtype="<u4").tobytes()
 
     def _encode_part(self, part: str) -> bytes:
         if _PLAIN.fullmatch(part) and "<|" not in part:
-            return b"".join([self._word[w] for w in self._words.findall(part.lower())])
+            low = part.lower()
+            if low.isalpha():
+                return self._encode_word(low)
+            return b"".join([self._word[w] for w in self._words.findall(low)])
         return np.array(self._tokenizer.encode(part, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def ids(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers; no ids for a null or empty text."""
         if not text:
             return b""
+        if "<|" not in text and len(text.encode("latin-1", "ignore")) == len(text):
+            text = text.lower()  # in Latin-1 as good before the split as after it, and then fewer parts differ
         return b"".join(map(self._part.__getitem__, text.replace("\n", " ").split(" ")))
 
 
