@@ -7,12 +7,11 @@ line feeds, one after the other. Parts repeat; each worker keeps the recent ones
 from __future__ import annotations
 
 import json
-from functools import lru_cache
 
 import numpy as np
 import regex
 
-from fleetmart.llm.recent import Recent
+from fleetmart.llm.recent import Recent, kept
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -33,7 +32,7 @@ class Encoder:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in set(shown)]
         self._stand_in = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
-        self._word = Recent(self._encode_word)
+        self._word = Recent(self._encode_word, 100_000)
         self._part = Recent(self._encode_part)
 
     def _encode_word(self, word: str) -> bytes:
@@ -58,10 +57,9 @@ class Encoder:
         return b"".join(map(self._part.__getitem__, text.replace("\n", " ").split(" ")))
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One encoder for each worker and file; it outlives a task."""
-    return Encoder(path)
+    """The worker's encoder; it outlives a task."""
+    return kept(("encoder", path), lambda: Encoder(path))
 
 
 def public(name: str = WORD_BPE) -> str:

@@ -21,11 +21,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetmart.llm.labelled import held_out, sample
+from fleetmart.llm.recent import kept
 
 UNKNOWN = "und"
 #: Length of the vectors and of the n-grams, and the draw of the letters.
 DIMENSIONS, LETTERS, SEED = 1024, 3, 20
-#: Most texts a language's prototype is made from: a bounded sample, by the hash of the id.
+#: Texts a language's prototype is made from, about: a bounded sample, by the hash of the id.
 PER_LANGUAGE = 20_000
 #: Most n-gram vectors a worker keeps (a byte per place).
 KEPT = 60_000
@@ -97,10 +98,9 @@ class Vectors(dict):
         return total
 
 
-@lru_cache(maxsize=1)
 def vectors(dimensions: int, letters: int, seed: int) -> Vectors:
-    """One for each worker; it outlives a task."""
-    return Vectors(dimensions, letters, seed)
+    """The worker's vectors; they outlive a task."""
+    return kept(("language", dimensions, letters, seed), lambda: Vectors(dimensions, letters, seed))
 
 
 def prototypes(

@@ -14,7 +14,6 @@ their names. No rows: no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh32_intdigest
 
-from fleetmart.llm.recent import Recent
+from fleetmart.llm.recent import Recent, kept
 
 LEAST_WORDS, WINDOW, MOST_REPEATED = 20, 8, 30
 BUCKETS = 1 << 16
@@ -73,10 +72,9 @@ def word_tokens(word: bytes) -> bytes:
     return np.array([xxh32_intdigest(t.encode()) for t in found], dtype="<u4").tobytes()
 
 
-@lru_cache(maxsize=1)
 def _words() -> Recent:
     """The worker's memory of words; it outlives a task."""
-    return Recent(word_tokens)
+    return kept("quality", lambda: Recent(word_tokens))
 
 
 def buckets(words: list[bytes]) -> Iterator[np.ndarray]:
