@@ -24,28 +24,31 @@ def _hash(salt: int) -> Column:
 
 
 def _turns(conversations: DataFrame, conversation: str, turn: str, role: str, text: str) -> DataFrame:
+    """``key`` stands for the conversation and is never null, so joins and groups can share one shuffle."""
+    key = F.coalesce(F.concat(F.lit("id "), F.col(conversation).cast("string")), F.lit("none"))
     return conversations.select(
-        F.col(conversation).alias("conversation"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text")
+        key.alias("key"), F.col(conversation).alias("conversation"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text")
     )
 
 
 def prefixes(turns: DataFrame) -> DataFrame:
-    """(conversation, place, n_turns, a, b): the rolling hashes of every prefix."""
-    marks = turns.select("conversation", "turn", _hash(1).alias("x"), _hash(2).alias("y")).distinct()
-    whole = W.partitionBy("conversation")
+    """(key, conversation, place, n_turns, a, b): the rolling hashes of every prefix."""
+    marks = turns.select("key", "conversation", "turn", _hash(1).alias("x"), _hash(2).alias("y")).distinct()
+    whole = W.partitionBy("key")
     order = whole.orderBy(F.col("turn").asc_nulls_first(), "x", "y")
     placed = marks.withColumn("place", F.row_number().over(order)).withColumn("n_turns", F.count(F.lit(1)).over(whole))
     so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
     rolling = [F.bit_xor(F.xxhash64("place", "x", "y")).over(so_far).alias("a"), F.bit_xor(F.xxhash64("y", "place", "x")).over(so_far).alias("b")]
-    return placed.select("conversation", "place", "n_turns", *rolling)
+    return placed.select("key", "conversation", "place", "n_turns", *rolling)
 
 
 def maximal(turns: DataFrame) -> DataFrame:
-    """(conversation, n_turns) of the conversations that are no prefix of a longer one, one of each set of equals."""
+    """(key, n_turns) of the conversations that are no prefix of a longer one, one of each set of equals."""
     marks = prefixes(turns)
-    ends = marks.where("place = n_turns").groupBy("n_turns", "a", "b").agg(F.min("conversation").alias("conversation"))
+    first = F.min(F.struct(F.isnull("conversation"), "conversation", "key")).alias("first")
+    ends = marks.where("place = n_turns").groupBy("n_turns", "a", "b").agg(first)
     inner = marks.where("place < n_turns").select(F.col("place").cast("long").alias("n_turns"), "a", "b").distinct()
-    return ends.join(inner, ["n_turns", "a", "b"], "left_anti").select("conversation", "n_turns")
+    return ends.join(inner, ["n_turns", "a", "b"], "left_anti").select(F.col("first.key").alias("key"), "n_turns")
 
 
 def format_chats(
@@ -54,11 +57,11 @@ def format_chats(
 ) -> DataFrame:
     """(id, n_turns, text) of every maximal conversation, rendered turn by turn."""
     turns = _turns(conversations, conversation, turn, role, text)
-    kept = maximal(turns).withColumnRenamed("conversation", "kept")
-    own = turns.join(kept, F.col("conversation").eqNullSafe(F.col("kept")))
+    own = turns.join(maximal(turns), "key")
     parts = F.sort_array(F.collect_set(F.struct("turn", _hash(1).alias("x"), _hash(2).alias("y"), "role", "text")))
     empty = F.lit("")
     shown = F.transform(
         parts, lambda t: F.concat(F.lit(begin), F.coalesce(t["role"], empty), F.lit("\n"), F.coalesce(t["text"], empty), F.lit(f"{end}\n"))
     )
-    return own.groupBy("conversation").agg(F.first("n_turns").alias("n_turns"), F.array_join(shown, "").alias("text")).withColumnRenamed("conversation", conversation)
+    told = own.groupBy("key").agg(F.first("conversation").alias("id"), F.first("n_turns").alias("n_turns"), F.array_join(shown, "").alias("text"))
+    return told.select(F.col("id").alias(conversation), "n_turns", "text")
