@@ -20,6 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fleetmart.llm.encoding import encoder, public
+from fleetmart.session import materialize
 
 BLOCK = 1024
 
@@ -105,4 +106,5 @@ def quantiles(sums: DataFrame, shares: Sequence[float]) -> DataFrame:
 
 
 def token_counts(docs: DataFrame, tokenizer: str | None = None, text_column: str = "text") -> DataFrame:
-    return suffix_sums(histogram(docs, tokenizer, text_column))
+    """The suffix sums of all of ``docs``; texts are encoded once, and the histogram is kept in the shared folder."""
+    return suffix_sums(materialize(histogram(docs, tokenizer, text_column), "lengths"))
