@@ -25,7 +25,6 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,16 +64,16 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * votes > len(begin), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, fp) of every row."""
-    schema = T.StructType([docs.schema[id_column], T.StructField("fp", T.LongType())])
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text", carried: tuple[str, ...] = ()) -> DataFrame:
+    """(id, fp) of every row, and the ``carried`` columns."""
+    schema = T.StructType([docs.schema[id_column], T.StructField("fp", T.LongType()), *[docs.schema[c] for c in carried]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64()), *batch.columns[2:]], schema.names)
 
-    return docs.select(id_column, text_column).mapInArrow(run, schema)
+    return docs.select(id_column, text_column, *carried).mapInArrow(run, schema)
 
 
 def groups_for(points: int, bits: int) -> int:
@@ -217,29 +216,35 @@ def links(points: DataFrame, bits: int = BITS, cell_size: int = CELL, groups: in
     return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, schema).distinct()
 
 
+def _rooted(points: DataFrame, bits: int) -> DataFrame:
+    """``points`` with the ``root`` of each fingerprint's component; one without a link is its own root."""
+    reached = components(links(points, bits)).toDF("fp", "root")
+    return points.join(reached, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """(id, fp, component_id) of every row: its fingerprint and the smallest id reachable over links."""
     prints = materialize(fingerprints(docs, shingle, id_column, text_column), "fingerprints")
     points = materialize(prints.groupBy("fp").agg(F.min(id_column).alias("first")), "points")
-    reached = components(links(points, bits)).toDF("fp", "root")
-    # Fingerprints without a link are their own root; those with one share the smallest id of their component.
-    rooted = points.join(reached, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(points, bits)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = materialize(rooted.join(least, "root").select("fp", "component_id"), "named")
     return prints.join(named, "fp").select(id_column, "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with one row of each group: the one with the smallest id.
+    """``docs`` with one row of each group: one with the smallest id, and of the group's rows without an id one.
 
-    Rows without an id can't be told apart by it and all stay. Of rows that repeat an id one stays.
+    Decided by row: rows that repeat an id in different groups are different texts, and one of each group stays. Of rows
+    with the same id in one group the one with the least hash of the text stays.
     """
-    found = near_duplicates(docs, shingle, bits, id_column, text_column)
-    gone = found.where(F.col(id_column) != F.col("component_id")).select(id_column)
-    rank = fresh(docs, "rank")
-    alone = F.row_number().over(W.partitionBy(id_column).orderBy(text_column))
-    known = docs.where(F.col(id_column).isNotNull())
-    kept = known.join(gone, id_column, "left_anti").withColumn(rank, alone).where(F.col(rank) == 1)
-    return kept.select(*docs.columns).unionByName(docs.where(F.col(id_column).isNull()))
+    row, mark = fresh(docs, "row"), fresh(docs, "mark")
+    numbered = materialize(docs.withColumns({row: F.monotonically_increasing_id(), mark: F.xxhash64(text_column)}), "numbered")
+    prints = materialize(fingerprints(numbered, shingle, id_column, text_column, (mark, row)), "fingerprints")
+    own, lacks = F.struct(F.col(id_column).alias("id"), F.col(mark).alias("mark"), F.col(row).alias("row")), F.isnull(id_column)
+    points = prints.groupBy("fp").agg(F.min(F.when(~lacks, own)).alias("known"), F.min(F.when(lacks, own)).alias("nameless"))
+    least = _rooted(materialize(points, "points"), bits).groupBy("root").agg(F.min("known").alias("known"), F.min("nameless").alias("nameless"))
+    stays = least.select(F.explode(F.array("known.row", "nameless.row")).alias(row)).where(F.col(row).isNotNull())
+    return numbered.join(stays, row, "left_semi").select(*docs.columns)
