@@ -6,7 +6,9 @@ occurrences on every page of the host, were written by the same part of the temp
 at least ``LEAST_PAGES`` different pages and holds a tag of its own; a text that many articles quote has no tag that
 comes and goes with it. Classes nest as their tags' elements do. What the template leaves open are its slots; the text
 is that of the slots inside the article (where a page has one, or else of the page), outside menus, headers, footers,
-sidebars, notices, adverts, forms and comments, which are told by element, role and class.
+sidebars, notices, adverts, forms and comments, which are told by element, role and class. A class or id counts as a
+whole (``cookie-notice`` is one, ``no-header`` isn't), and none tells of an article, a main element, what holds them, or
+the headings and paragraphs inside; sections inside are left to the template unless named as comments, adverts and such.
 
 An occurrence vector is held as the number of pages and the xor of hashed (page, count) pairs, so it is summed up like
 any other statistic, over all pages of any host, before the shuffle. Copies of a page count once. Template blocks are
@@ -39,31 +41,57 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rt rp s samp small span strike strong sub sup"
-    " time tt u var wbr".split()
+    " time tt u var wbr math mi mo mn ms mtext mrow mfrac msup msub msubsup msqrt mroot munder mover munderover mtable mtr mtd mspace mstyle"
+    " mpadded mphantom menclose merror semantics annotation annotation-xml mmultiscripts mprescripts none".split()
 )
+# Parts of a formula are told apart by a space.
+FORMULA = frozenset("math mi mo mn ms mtext mrow mfrac mtr mtd mspace annotation annotation-xml".split())
 CLOSED_BY_NEXT = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
 OUTSIDE = frozenset(
-    "head nav header footer aside form menu dialog button select option datalist fieldset template svg math canvas object audio video map"
+    "head nav header footer aside form menu dialog button select option datalist fieldset template svg canvas object audio video map"
     " script style textarea title noscript iframe noembed noframes".split()
 )
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
-# Words of class and id names that say what an element is.
+# Class and id names that say what an element is, if all words of the name are among these or say but where or which it is.
 OUTSIDE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice"
     " notices alert popup modal overlay newsletter subscribe subscription signup login sidebar sidebars aside rail menu menus nav navbar"
     " navigation breadcrumb breadcrumbs footer header masthead topbar comment comments reply replies respond disqus discussion share sharing"
     " social related recommended recommendations pagination pager toolbar widget widgets search form hidden".split()
 )
+NAME_REST = frozenset(
+    "left right top bottom upper lower center main primary secondary site page global local post posts article articles story stories link links"
+    " box wrapper wrap container inner outer area section block bar list item items unit slot panel content column col button buttons icons"
+    " tags input field icon media".split()
+)
+# Names of a section in an article that can't be its own heading; its headings and paragraphs are told by no name.
+SECTION_NAMES = frozenset("ad ads advert advertisement cookie cookies comment comments replies respond disqus newsletter sidebar".split())
+HEADS = frozenset("p h1 h2 h3 h4 h5 h6 hgroup".split())
 MAIN = frozenset(("article", "main"))
+# Where an element stands: kept; in an article that a named element holds, kept if the page has no other; in a named element; outside.
+KEPT, SPARE, NAMED, OUT = range(4)
 # No menu or page header holds the article.
 NO_ARTICLE = ("nav", "head", "header")
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|([^<]+|<)", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]+|=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>\"'][^\s>]*)|=)*)(?:>|\Z)|([^<]+|<)", re.S)
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*))")
 _NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _HOST = re.compile(r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)")
 
 
+def is_outside(name: str, names: list[str], in_article: bool) -> bool:
+    """Whether an element is told to be no part of the text by one of its class and id names, each taken whole."""
+    if name in ("html", "body", "main", "article") or (in_article and name in HEADS):
+        # An article in an article is a comment where it says so.
+        return name == "article" and in_article and any(n.lower() in ("comment", "comments", "reply", "replies") for n in names)
+    known = SECTION_NAMES if in_article and name == "section" else OUTSIDE_NAMES
+    for whole in names:
+        words = {w.lower() for w in _NAMES.findall(whole)}
+        if words & known and all(w in OUTSIDE_NAMES or w in NAME_REST or w.isdigit() for w in words):
+            return True
+    return False
+
+
 class Block:
     """A block of text, the path of the elements around it (hashed), and where it stands."""
 
@@ -81,12 +109,15 @@ class Page:
         self.blocks: list[Block] = []
         self._parts: list[str] = []
         self._linked = 0
-        # Open elements: name, path, whether it lies outside, whether it lies in an article, its number of links.
+        self._spare: list[Block] = []
+        # Open elements: name, path, where it stands, whether it lies in an article, its number of links.
         # Inline elements are held only if one of these changes. How many are open, by name, saves looking for none.
-        self._open: list[tuple[str, int, bool, bool, int]] = [("", 0, False, False, 0)]
+        self._open: list[tuple[str, int, int, bool, int]] = [("", 0, KEPT, False, 0)]
         self._count: Counter[str] = Counter()
         self._read(html or "")
         self._end_block()
+        if not any(b.main for b in self.blocks):
+            self.blocks += self._spare
 
     def _read(self, html: str) -> None:
         at, low = 0, None
@@ -107,15 +138,15 @@ class Page:
                     at = len(html) if end < 0 else end
 
     def _text(self, text: str) -> None:
-        _, _, outside, _, links = self._open[-1]
-        if not outside:
+        _, _, stands, _, links = self._open[-1]
+        if stands < NAMED:
             self._parts.append(text)
             if links:
                 self._linked += len(text.strip())
 
     def _start(self, name: str, attributes: str) -> None:
         inline = name in INLINE
-        if name in ("br", "hr"):
+        if name in ("br", "hr") or name in FORMULA:
             self._parts.append(" ")
         if not inline and name not in VOID:
             self._end_block()
@@ -130,20 +161,25 @@ class Page:
             self._close(len(self._open) - 1)
         if name in VOID:
             return
-        kind, outside = "", name in OUTSIDE
+        above = self._open[-1]
+        main = name in MAIN or "role=\"main\"" in attributes or "role=main" in attributes
+        kind, stands = "", OUT if name in OUTSIDE else above[2]
         if attributes and "=" in attributes:
             given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
             kind = f"{given.get('class', '')} {given.get('id', '')} {given.get('role', '')}".strip()
-            if kind and name not in ("html", "body"):
-                words = {w.lower() for w in _NAMES.findall(kind)}
-                outside = outside or bool(words & OUTSIDE_NAMES) or given.get("role", "").lower() in OUTSIDE_ROLES
-        above = self._open[-1]
+            if kind and name not in ("html", "body") and given.get("role", "").lower() in OUTSIDE_ROLES:
+                stands = OUT
+            elif kind and stands < NAMED and not (main and name not in MAIN):
+                if is_outside(name, f"{given.get('class', '')} {given.get('id', '')}".split(), above[3]):
+                    stands = OUT if above[3] else NAMED
+        if main and stands == NAMED and above[2] == NAMED:
+            stands = SPARE if name == "article" else KEPT
         path = above[1] if inline else xxh64_intdigest(f"{above[1]}/{name}.{kind}")
-        main = above[3] or name in MAIN or "role=\"main\"" in attributes or "role=main" in attributes
+        main = main or above[3]
         if not inline:
             self.tags[path] += 1
-        if not inline or name == "a" or (outside and not above[2]):
-            self._open.append((name, path, above[2] or outside, main, above[4] + (name == "a")))
+        if not inline or name == "a" or stands != above[2]:
+            self._open.append((name, path, stands, main, above[4] + (name == "a")))
             self._count[name] += 1
 
     def _end(self, name: str) -> None:
@@ -161,8 +197,8 @@ class Page:
             raw = "".join(self._parts)
             text = " ".join(unescape(raw).split())
             if text:
-                _, path, _, main, _ = self._open[-1]
-                self.blocks.append(Block(text, path, main, len(raw.strip()), self._linked))
+                _, path, stands, main, _ = self._open[-1]
+                (self._spare if stands == SPARE else self.blocks).append(Block(text, path, main, len(raw.strip()), self._linked))
             self._parts = []
         self._linked = 0
 

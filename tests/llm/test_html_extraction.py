@@ -117,3 +117,24 @@ def test_query_on_the_smallest_tables(spark):
         plain = " ".join(unescape(re.sub(r"<(?:p|/p|br|h1|/h1)>", " ", re.sub(r"</?b>", "", inner))).split())
         assert found[r["page_id"]]["text"] == plain
         assert found[r["page_id"]]["n_chars"] == len(plain) and found[r["page_id"]]["url"] == r["url"]
+
+
+@pytest.mark.parametrize(
+    ("html", "expected"),
+    [
+        ("<main class='with-sidebar'><p>yes</p></main>", "yes"),
+        ("<article class='post has-comments'><p>yes</p></article><div class='comments-area'><article>no</article></div>", "yes"),
+        ("<div class='no-header content'><article><p>yes</p></article></div>", "yes"),
+        ("<div class='sidebar'><p>no</p><article><p>the only one</p></article></div>", "the only one"),
+        ("<div class='sidebar'><main><p>yes</p></main></div><div class='related-posts'><article>no</article></div>", "yes"),
+        ("<article><section id='discussion'>a</section><section id='related-work'>b</section><h2 id='notice'>c</h2><p class='hidden-gem'>d</p></article>", "a b c d"),
+        ("<article><h2 class='header'>a</h2><p class='search'>b</p><div class='share-buttons'>no</div><section id=comments>no</section></article>", "a b"),
+        ("<article><p>so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> holds</p></article>", "so x = 1 2 holds"),
+        ("<p title=it's>one</p><p title='a > b' id=x>two</p><p alt=5\" c=d>three</p><p>and <a href=?q=\"x>four</a> more words</p>", "one two three and four more words"),
+        ("<article>a<article class='comment'>no</article>b</article>", "a b"),
+        ("<footer class=menu><article>no</article></footer><div class='menu'>no</div><p>yes</p>", "yes"),
+        ("<div class='topbar-left ad-slot-2'>no</div><div role=search>no</div><span class=ad>no</span><p>yes</p>", "yes"),
+    ],
+)
+def test_names_are_taken_whole_and_spare_the_article(html, expected):
+    assert text(html) == expected
