@@ -39,3 +39,20 @@ def test_ties_and_nulls(frame):
 
 def test_empty_table(frame):
     assert chat.format_chats(frame("conv_id long, turn int, role string, text string")).collect() == []
+
+
+def test_long_conversations_by_ranges(spark, frame, monkeypatch):
+    rng = random.Random(7)
+    said = [(t // 3, rng.choice(["user", None]), f"{t} {rng.choice('abc')}") for t in range(400)]
+    rows = [(c, *t) for c, n in ((1, 400), (2, 399), (3, 130), (4, 400), (None, 60), (5, 2)) for t in said[:n]]
+    rows += [(6, *t) for t in said[:200]] + [(6, 500, "user", "another end"), (7, 0, "user", "short"), (8, None, None, None)] + rows[:50]
+    turns = chat._turns(frame("conv_id long, turn int, role string, text string", *rows).repartition(5), "conv_id", "turn", "role", "text")
+    whole = sorted(map(tuple, chat.prefixes(turns).collect()), key=str)
+    monkeypatch.setattr(chat, "RANGE", 100)
+    assert sorted(map(tuple, chat.prefixes(turns).collect()), key=str) == whole
+    ranges = []
+    monkeypatch.setattr(chat, "materialize", lambda df, label: ranges.append((label, kept := df.localCheckpoint())) or kept)
+    assert sorted(map(tuple, chat.prefixes(turns).collect()), key=str) == whole
+    dealt = dict(ranges)["ranges"].groupBy("key").agg({"part": "max", "*": "count"}).collect()
+    assert {r["key"] for r in dealt} == {"id 1", "id 2", "id 3", "id 4", "id 6"}
+    assert dict(ranges)["ranges"].select("part").distinct().count() > 1
