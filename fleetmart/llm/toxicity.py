@@ -5,15 +5,16 @@ buckets, each present or not. A bucket's ratio is the logarithm of how much more
 the training sample than in others, smoothed by one. Buckets whose ratio says little are left out; a logistic
 regression is fitted on the others' ratios. The score is its probability.
 
-The sample is bounded (about ``PER_LABEL`` rows of each label, by the hash of the id), and so is what is counted from it. If
-it lacks a label, every score is 0. Null and empty texts have no feature and get the score of the bias. Labels other
+The sample is bounded in ids (about ``PER_LABEL`` of each label, by the hash of the id); a text that repeats under its id
+and label counts once. The driver takes the sample's buckets if they are at most ``SENT_BYTES``; otherwise they stay
+where they are and each round of the fit sums its gradient in tasks. If the sample lacks a label, every score is 0. Null and empty texts have no feature and get the score of the bias. Labels other
 than 0 and 1, rows without an id and null labels teach nothing; a row with both labels teaches both. Repeated rows are
 scored alike. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetmart.llm.labelled import held_out, sample
+from fleetmart.session import materialize
 
 #: Lengths of the n-grams and number of buckets.
 SHORTEST, LONGEST_GRAM, BUCKETS = 2, 5, 1 << 18
@@ -33,6 +35,8 @@ PER_LABEL = 20_000
 LEAST_TEXTS, LEAST_RATIO, MOST_KEPT = 4, 1.0, 40_000
 #: Weight of the squared length of the coefficients, and rounds of the fit.
 RIDGE, ROUNDS = 0.1, 300
+#: Most bytes of the sample's buckets that the driver takes.
+SENT_BYTES = 128 << 20
 
 #: Characters taken together.
 SLAB = 1 << 20
@@ -77,19 +81,21 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -50, 50))))
 
 
-def fit(values: np.ndarray, row: np.ndarray, column: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
-    """Ridge-penalised logistic regression by accelerated gradient steps; values by column, present at (row, column)."""
-    n, k = len(y), len(values)
-    squares = np.bincount(row, weights=values[column] ** 2, minlength=n)
-    step = 1 / (0.25 * (squares.mean() * 4 + 1) + RIDGE / n)
-    weights, bias, ahead, ahead_bias = np.zeros(k), 0.0, np.zeros(k), 0.0
+def _losses(z: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
+    """The sum of the losses, and how far off each probability is."""
+    return float(np.logaddexp(0, np.where(y > 0, -z, z)).sum()), 1 / (1 + np.exp(-np.clip(z, -50, 50))) - y
+
+
+def descend(values: np.ndarray, n: int, squares: float, at: Callable) -> tuple[np.ndarray, float]:
+    """Accelerated gradient steps; ``at`` says for weights by column and a bias the summed loss, offs, and offs by column."""
+    step = 1 / (0.25 * (squares / n * 4 + 1) + RIDGE / n)
+    weights, bias, ahead, ahead_bias = np.zeros(len(values)), 0.0, np.zeros(len(values)), 0.0
     last = np.inf
     for t in range(ROUNDS):
-        z = ahead_bias + np.bincount(row, weights=(ahead * values)[column], minlength=n)
-        off = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) / n
-        slope = np.bincount(column, weights=off[row], minlength=k) * values + RIDGE / n * ahead
-        new, new_bias = ahead - step * slope, ahead_bias - step * off.sum()
-        loss = float(np.logaddexp(0, np.where(y > 0, -z, z)).mean())
+        total, off, by_column = at(ahead * values, ahead_bias)
+        slope = by_column / n * values + RIDGE / n * ahead
+        new, new_bias = ahead - step * slope, ahead_bias - step * off / n
+        loss = total / n
         if loss > last:  # too long a step: go on from here without the momentum, more carefully
             step /= 2
             ahead, ahead_bias, last = weights, bias, np.inf
@@ -100,13 +106,66 @@ def fit(values: np.ndarray, row: np.ndarray, column: np.ndarray, y: np.ndarray)
     return weights * values, bias
 
 
+def fit(values: np.ndarray, row: np.ndarray, column: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Ridge-penalised logistic regression; values by column, present at (row, column)."""
+
+    def at(weights: np.ndarray, bias: float) -> tuple[float, float, np.ndarray]:
+        total, off = _losses(bias + np.bincount(row, weights=weights[column], minlength=len(y)), y)
+        return total, float(off.sum()), np.bincount(column, weights=off[row], minlength=len(values))
+
+    return descend(values, len(y), float((values[column] ** 2).sum()), at)
+
+
+def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, y) of a batch of labels and packed columns."""
+    packed = batch.column(1).to_pylist()
+    column = np.frombuffer(b"".join(packed), dtype="<u4").astype(np.int64)
+    return np.repeat(np.arange(len(packed)), [len(p) // 4 for p in packed]), column, batch.column(0).to_numpy().astype(float)
+
+
+def fit_in_tasks(values: np.ndarray, stored: DataFrame) -> tuple[np.ndarray, float]:
+    """The same over ``stored`` rows (y, at) that are too many for the driver: tasks send sums."""
+    k = len(values)
+
+    def summed(batches_to_sums: Callable) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = sum((batches_to_sums(*_unpacked(b)) for b in batches), np.zeros(k + 2))
+            place = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(total[place])], ["place", "total"])
+
+        found = np.zeros(k + 2)
+        for r in stored.select("y", "at").mapInArrow(run, "place long, total double").groupBy("place").agg(F.sum("total")).collect():
+            found[r[0]] = r[1]
+        return found
+
+    first = summed(lambda row, column, y: np.append(np.bincount(column, minlength=k), [len(y), 0]))
+
+    def at(weights: np.ndarray, bias: float) -> tuple[float, float, np.ndarray]:
+        sent = stored.sparkSession.sparkContext.broadcast((weights, bias))
+
+        def sums(row, column, y):
+            weights, bias = sent.value
+            total, off = _losses(bias + np.bincount(row, weights=weights[column], minlength=len(y)), y)
+            return np.append(np.bincount(column, weights=off[row], minlength=k), [total, off.sum()])
+
+        found = summed(sums)
+        sent.unpersist()
+        return found[k], found[k + 1], found[:k]
+
+    return descend(values, int(first[k]), float(first[:k] @ values**2), at)
+
+
 def train(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", id_column: str = "doc_id", text_column: str = "text", per_label: int = PER_LABEL
 ) -> Model:
     """A model from a bounded sample of the labelled rows that aren't held out."""
     known = labels.select(id_column, F.col(label).cast("int").alias("_y")).where(F.col("_y").isin(0, 1))
     chosen = sample(known, "_y", id_column, per_label)
-    texts = docs.select(id_column, F.col(text_column).alias("_text")).join(F.broadcast(chosen), id_column).select(id_column, "_y", "_text")
+    # The repeats of a text under its id and label go within tasks first, by hashes, so a hot id sends a row per task.
+    named = docs.select(id_column, F.col(text_column).alias("_text")).join(F.broadcast(chosen), id_column).select(id_column, "_y", "_text")
+    hashes = [F.xxhash64("_text").alias("_p"), F.xxhash64(F.lit(1), "_text").alias("_q")]
+    once = named.groupBy(id_column, "_y", *hashes).agg(F.first("_text").alias("_text"))
+    texts = materialize(once.select(id_column, "_y", "_text"), "training")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         present, rows = np.zeros((2, BUCKETS), dtype=np.int64), np.zeros(2, dtype=np.int64)
@@ -140,10 +199,15 @@ def train(
             for text in batch.column(2):
                 at = place[features(text.as_py())]
                 own.append(at[at >= 0].astype("<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own, pa.binary())], ["id", "y", "at"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own, pa.binary())], schema.names)
 
     schema = T.StructType([T.StructField("id", docs.schema[id_column].dataType), T.StructField("y", T.IntegerType()), T.StructField("at", T.BinaryType())])
-    picked = sorted(((r["id"], r["y"], bytes(r["at"])) for r in texts.mapInArrow(strong, schema).collect()))
+    stored = materialize(texts.mapInArrow(strong, schema), "buckets")
+    # 64 for what a row takes besides.
+    if stored.agg(F.sum(F.length("at") + 64)).first()[0] > SENT_BYTES:
+        weights[bucket], bias = fit_in_tasks(ratio, stored)
+        return Model(weights, bias)
+    picked = sorted(((r["id"], r["y"], bytes(r["at"])) for r in stored.collect()))
     column = np.frombuffer(b"".join(at for _, _, at in picked), dtype="<u4").astype(np.int64)
     row = np.repeat(np.arange(len(picked)), [len(at) // 4 for _, _, at in picked])
     weights[bucket], bias = fit(ratio, row, column, np.array([float(y) for _, y, _ in picked]))

@@ -89,3 +89,23 @@ def test_query_on_small_tables(spark):
     assert len(found) == queries.table(spark, folder, "documents").count()
     labels = {r["doc_id"]: r["toxic"] for r in queries.table(spark, folder, "labels").collect() if r["doc_id"] in found}
     assert np.mean([found[k]["predicted"] == t for k, t in labels.items() if found[k]["held_out"]]) > 0.9
+
+
+def test_repeats_of_a_text_teach_once(frame, monkeypatch):
+    docs, labels = corpus()
+    lab = frame("doc_id long, quality int, toxic int", *labels)
+    hot = next(k for k in range(400) if zlib.crc32(str(k).encode()) % 5 and k % 4)
+    once = toxicity.train(frame("doc_id long, text string", *[d[:2] for d in docs]), lab)
+    many = toxicity.train(frame("doc_id long, text string", *[d[:2] for d in docs], *[docs[hot][:2]] * 300), lab)
+    assert np.array_equal(once.weights, many.weights) and once.bias == many.bias
+
+
+def test_a_fit_in_tasks_is_that_of_the_driver(frame, monkeypatch):
+    docs, labels = corpus(200)
+    d, lab = frame("doc_id long, text string", *[r[:2] for r in docs]), frame("doc_id long, quality int, toxic int", *labels)
+    monkeypatch.setattr(toxicity, "ROUNDS", 12)
+    here = toxicity.train(d, lab)
+    monkeypatch.setattr(toxicity, "SENT_BYTES", 0)
+    monkeypatch.setattr(toxicity, "fit", None)
+    there = toxicity.train(d, lab)
+    assert np.allclose(here.weights, there.weights, atol=1e-9) and abs(here.bias - there.bias) < 1e-9 and here.weights.any()
