@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+LIMIT_SETTING = "spark.fleetmart.broadcastBytes"
 ROW_OVERHEAD = 32
 ESTIMATE_MARGIN = 16  # rows in memory against compressed columns on disk
+KINDS = ("left", "inner", "left_semi", "left_anti")
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -32,9 +35,10 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     """Whether ``df`` is small enough to send to every executor.
 
     An estimate far below the limit decides without a job; anything else is
-    measured.
+    measured. The limit can be set for a session under ``LIMIT_SETTING``.
     """
-    limit = BROADCAST_BYTES if limit is None else limit
+    if limit is None:
+        limit = int(df.sparkSession.conf.get(LIMIT_SETTING, str(BROADCAST_BYTES)))
     return estimated_bytes(df) * ESTIMATE_MARGIN <= limit or measured_bytes(df) <= limit
 
 
@@ -65,14 +69,16 @@ def lookup(
     """Add columns of ``dim`` to ``fact``.
 
     ``on`` is (fact column, dim column), ``take`` maps dim columns to new
-    names, ``how`` is ``left``, ``inner`` or ``left_anti``. ``dim`` has at most
-    one row per key.
+    names, ``how`` is one of ``KINDS``; ``left_semi`` and ``left_anti`` take
+    nothing. ``dim`` has at most one row per key.
 
     A dim small enough is broadcast: the fact is not shuffled. Otherwise see
     ``_spread_join``; ``fact_unique`` says that no key occurs twice in the
     fact, and ``keys_from`` names a cheaper source of the fact's keys to look
     for hot ones.
     """
+    if how not in KINDS or (take and how in ("left_semi", "left_anti")):
+        raise ValueError(f"a {how} lookup that takes {list(take)}")
     fact_key, dim_key = on
     dim = dim.select(
         F.col(dim_key).alias("_key"), *[F.col(c).alias(new) for c, new in take.items()]
@@ -84,6 +90,19 @@ def lookup(
     return _spread_join(fact, dim, fact_key, list(take.values()), how, hot)
 
 
+def _numbers(fact: DataFrame) -> Column:
+    """A number per row that a repeated task gives the same row again.
+
+    Behind a shuffle the order of a partition's rows may change from one
+    attempt to the next, but not which rows it has; without one the place in
+    the partition is fixed as well.
+    """
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    if re.search(r"(?<!Broadcast)Exchange ", plan):
+        return F.xxhash64(F.spark_partition_id(), *fact.columns)
+    return F.xxhash64(F.monotonically_increasing_id())
+
+
 def _spread_join(
     fact: DataFrame, dim: DataFrame, key: str, names: list[str], how: str, hot: DataFrame | None
 ) -> DataFrame:
@@ -92,8 +111,10 @@ def _spread_join(
     Hot keys (fewer than P) meet their dim rows by broadcast first. Their rows,
     and rows without a key, then go through the shuffle without a key but with
     a number of their own, so they spread over all reducers and match nothing.
+    Rows that are equal in all columns spread too, see ``_numbers``.
     """
     apart = F.col(key).isNull()
+    numbers = _numbers(fact)
     near = {}
     if hot is not None:
         of_hot = dim.join(F.broadcast(hot), "_key", "left_semi").withColumn("_found", F.lit(True))
@@ -111,7 +132,7 @@ def _spread_join(
     placed = fact.withColumns(
         {
             "_key": F.when(~apart, F.col(key)),
-            "_spread": F.when(apart, 1 + F.pmod(F.xxhash64(*columns), F.lit(1 << 30))).otherwise(F.lit(0)),
+            "_spread": F.when(apart, 1 + F.pmod(numbers, F.lit(1 << 30))).otherwise(F.lit(0)),
         }
     )
     # Always 0, but not a constant that the optimizer would take out of the key.
@@ -121,7 +142,7 @@ def _spread_join(
     )
     found = F.coalesce(*([F.col("_near")] if hot is not None else []), F.col("_far"), F.lit(False))
     if how != "left":
-        joined = joined.where(found if how == "inner" else ~found)
-    if how == "left_anti":
+        joined = joined.where(~found if how == "left_anti" else found)
+    if how in ("left_semi", "left_anti"):
         return joined.select(*columns)
     return joined.select(*columns, *[F.coalesce(near[n], F.col(n)).alias(n) if near else F.col(n) for n in names])

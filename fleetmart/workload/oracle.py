@@ -485,3 +485,6 @@ FROM rides LEFT JOIN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0) ON dri
     "input_gates": """SELECT * FROM (VALUES ('missing', 'FileNotFoundError'), ('empty', 'QualityError'), ('incomplete', 'QualityError')) t("case", outcome)
 UNION ALL SELECT c, count(*) || CASE c WHEN 'unknown' THEN ' tip' ELSE '' END FROM orders, (VALUES ('complete'), ('bom'), ('unknown')) t(c) GROUP BY c""",
 }
+
+# The same deletes where no table is small enough to be sent.
+ORACLES |= {f"{name}_far": ORACLES[name] for name in ("stored_delete_orders", "stored_delete_drivers", "stored_delete_customers")}

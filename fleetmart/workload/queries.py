@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from fleetmart.functions import text
 from fleetmart.operators import deletes, quality
 from fleetmart.operators.dedup import keep_first
 from fleetmart.operators.keys import assign_keys, resolve_order_keys
+from fleetmart.operators.lookup import LIMIT_SETTING
 from fleetmart.operators.merge import add_defaults, insert_if_absent, upsert
 from fleetmart.plans import changes, generate, marts, pipelines
 from fleetmart.plans.cleaners import CLEANERS, clean_orders
@@ -520,6 +522,34 @@ def stored_delete_customers(v: Views) -> DataFrame:
     raise AssertionError("customers with orders were deleted")
 
 
+@contextmanager
+def _nothing_is_sent(spark: SparkSession) -> Iterator[None]:
+    """As with tables of any size: no lookup may broadcast."""
+    spark.conf.set(LIMIT_SETTING, "0")
+    try:
+        yield
+    finally:
+        spark.conf.unset(LIMIT_SETTING)
+
+
+@register
+def stored_delete_orders_far(v: Views) -> DataFrame:
+    with _nothing_is_sent(v.spark):
+        return stored_delete_orders(v)
+
+
+@register
+def stored_delete_drivers_far(v: Views) -> DataFrame:
+    with _nothing_is_sent(v.spark):
+        return stored_delete_drivers(v)
+
+
+@register
+def stored_delete_customers_far(v: Views) -> DataFrame:
+    with _nothing_is_sent(v.spark):
+        return stored_delete_customers(v)
+
+
 # -- events, export ----------------------------------------------------------
 
 

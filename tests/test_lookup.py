@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from fleetmart.operators.lookup import fits_broadcast, hot_keys, lookup, measured_bytes
+from fleetmart.operators.lookup import KINDS, LIMIT_SETTING, fits_broadcast, hot_keys, lookup, measured_bytes
 from tests.conftest import rows
 
 FORCE_SHUFFLE = -1
@@ -20,27 +20,59 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("limit", [None, FORCE_SHUFFLE])
-@pytest.mark.parametrize("how", ["left", "inner", "left_anti"])
+@pytest.mark.parametrize("how", KINDS)
 def test_both_ways_agree_with_a_dict(skewed, how, limit):
     keys, fact, dim = skewed
     ids = {"hot": 1, **{f"k{i}": i + 2 for i in range(50)}}
-    take = {} if how == "left_anti" else {"id": "key_id"}
+    take = {"id": "key_id"} if how in ("left", "inner") else {}
     got = rows(lookup(fact, dim, ("k", "name"), take, how, limit))
     if how == "left":
         expected = [(n, k, ids.get(k)) for n, k in enumerate(keys)]
     elif how == "inner":
         expected = [(n, k, ids[k]) for n, k in enumerate(keys) if k in ids]
+    elif how == "left_semi":
+        expected = [(n, k) for n, k in enumerate(keys) if k in ids]
     else:
         expected = [(n, k) for n, k in enumerate(keys) if k not in ids]
     assert sorted(got, key=str) == sorted(expected, key=str)
 
 
-@pytest.mark.parametrize("how", ["left", "inner", "left_anti"])
+@pytest.mark.parametrize("how", KINDS)
 def test_unique_fact_with_missing_keys(frame, how):
     fact = frame("n int, k string", (1, "a"), (2, "b"), (3, None), (4, None))
     dim = frame("name string, id int", ("a", 7), ("c", 8))
-    got = rows(lookup(fact, dim, ("k", "name"), {"id": "x"} if how != "left_anti" else {}, how, FORCE_SHUFFLE, fact_unique=True), "n")
-    assert got == {"left": [(1,), (2,), (3,), (4,)], "inner": [(1,)], "left_anti": [(2,), (3,), (4,)]}[how]
+    got = rows(lookup(fact, dim, ("k", "name"), {"id": "x"} if how in ("left", "inner") else {}, how, FORCE_SHUFFLE, fact_unique=True), "n")
+    assert got == {"left": [(1,), (2,), (3,), (4,)], "inner": [(1,)], "left_semi": [(1,)], "left_anti": [(2,), (3,), (4,)]}[how]
+
+
+def test_unknown_kinds_are_refused(frame):
+    fact, dim = frame("k string", ("a",)), frame("name string, id int", ("a", 7))
+    with pytest.raises(ValueError, match="full"):
+        lookup(fact, dim, ("k", "name"), {}, "full")
+    with pytest.raises(ValueError, match="left_semi"):
+        lookup(fact, dim, ("k", "name"), {"id": "x"}, "left_semi")
+
+
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_equal_rows_spread(spark, shuffled):
+    """A third of the rows are equal in all their columns; 32 partitions, 8 reducers."""
+    fact = spark.range(0, 96_000, 1, 32).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    if shuffled:
+        fact = fact.repartition(32)
+    dim = spark.range(0, 96_000, 2, 4).select(F.col("id").alias("name"), F.lit(1).alias("x"))
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in off}
+    for k, value in off.items():
+        spark.conf.set(k, value)
+    try:
+        joined = lookup(fact, dim, ("k", "name"), {}, "left_anti", FORCE_SHUFFLE)
+        whole = lookup(fact, dim, ("k", "name"), {"x": "x"}, "left", FORCE_SHUFFLE)
+        sizes = [r[1] for r in whole.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 96_000 and max(sizes) < 2 * 96_000 / 8
+        assert joined.count() == 32_000 + 32_000
+    finally:
+        for k, value in before.items():
+            spark.conf.set(k, value)
 
 
 def test_hot_keys_are_few(skewed):
@@ -71,3 +103,8 @@ def test_size_is_checked(spark):
     assert measured_bytes(spark.createDataFrame([("x" * 100,)] * 10, "s string")) >= 1000
     assert fits_broadcast(small)
     assert not fits_broadcast(spark.range(1_000_000), limit=1_000_000)
+    spark.conf.set(LIMIT_SETTING, "0")
+    try:
+        assert not fits_broadcast(small)
+    finally:
+        spark.conf.unset(LIMIT_SETTING)
