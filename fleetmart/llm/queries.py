@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.llm import chat, decontamination, html_extraction, language, near_dup, packing, quality, sharding, token_counts, toxicity
+from fleetmart.llm import chat, decontamination, fill_in_middle, html_extraction, language, near_dup, packing, quality, sharding, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,6 +78,16 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.format_chats(table(spark, folder, "conversations"))
 
 
+@query
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    cut = fill_in_middle.fill_in_middle(table(spark, folder, "documents"))
+    whole = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(whole, 256).alias("restored_sha256"),
+    )
+
+
 # The shards' claims, one turn after the other; free says of every slot whether it still is.
 ORACLES["op7_sharding"] = f"""
 WITH RECURSIVE shards AS (
@@ -116,3 +126,22 @@ SELECT conv_id, len(said)::BIGINT AS n_turns,
        list_aggregate(list_transform(said, lambda t: '{chat.BEGIN}' || coalesce(t.role, '') || chr(10) || coalesce(t.text, '') || '{chat.END}' || chr(10)), 'string_agg', '') AS text
 FROM once ANTI JOIN prefixes USING (said)
 """
+
+ORACLES["op13_fill_in_middle"] = f"""
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS drawn FROM documents
+), numbers AS (
+    SELECT *, list_transform([1, 9, 17, 25], lambda k: ('0x' || substr(drawn, k, 8))::BIGINT) AS h FROM docs
+), cuts AS (
+    SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+           CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR h[3] % 100 >= {fill_in_middle.CUT} THEN 'plain'
+                WHEN h[4] % 100 < {fill_in_middle.SUFFIX_FIRST} THEN 'spm' ELSE 'psm' END AS form
+    FROM numbers
+), parts AS (
+    SELECT *, substr(text, 1, a) AS prefix, substr(text, a + 1, b - a) AS middle, substr(text, b + 1) AS suffix FROM cuts
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+              ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM parts
+"""
