@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.llm import chat, decontamination, fill_in_middle, html_extraction, language, near_dup, packing, quality, sharding, token_counts, toxicity
+from fleetmart.llm import (
+    chat, decontamination, fill_in_middle, html_extraction, language, near_dup, packing, periodic_runs, quality, sharding,
+    token_counts, toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,6 +81,39 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.format_chats(table(spark, folder, "conversations"))
 
 
+def with_loops(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in about a tenth of the documents, by the checksum of the id, the words from a place on repeat."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = docs.select("doc_id", "text", h.alias("_h"), F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(0)).alias("_words"))
+    n, g = F.size("_words"), F.floor(F.col("_h") / 10)
+    placed = words.select("doc_id", "text", "_words", (F.coalesce(F.col("_h") % 10 == 0, F.lit(False)) & (n > 0)).alias("_looped"), n.alias("_n"), g.alias("_g"))
+    start = (F.col("_g") % F.col("_n")).cast("int")
+    rest = F.col("_n") - start
+    period = (1 + F.floor(rest / (3 + F.col("_g") % 8))).cast("int")
+    times = F.ceil(rest / period).cast("int")
+    loop = F.slice(F.flatten(F.array_repeat(F.slice("_words", start + 1, period), times)), F.lit(1), rest)
+    text = F.array_join(F.concat(F.slice("_words", F.lit(1), start), loop), " ")
+    return placed.select("doc_id", F.when(F.col("_looped"), text).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_loops(table(spark, folder, "documents")))
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    # Exponents are compared as fractions; of equal ones the first stays.
+    longer = lambda best, r: F.when(best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best)
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    digests = found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.aggregate("runs", none, longer).alias("best"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+    milli = F.expr("1000 * best.length div best.period").alias("exponent_milli")
+    return digests.select("doc_id", "n_runs", "best.*", milli, "runs_sha256", "collapsed_sha256")
+
+
 @query
 def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     cut = fill_in_middle.fill_in_middle(table(spark, folder, "documents"))
