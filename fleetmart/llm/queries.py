@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmart.llm import (
-    chat, decontamination, fill_in_middle, html_extraction, language, near_dup, packing, periodic_runs, quality, sharding,
-    token_counts, toxicity,
+    chat, decontamination, fill_in_middle, html_extraction, language, near_dup, nearest, packing, periodic_runs, quality,
+    sharding, token_counts, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +114,11 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return digests.select("doc_id", "n_runs", "best.*", milli, "runs_sha256", "collapsed_sha256")
 
 
+@query
+def op12_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.nearest(table(spark, folder, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 @query
 def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     cut = fill_in_middle.fill_in_middle(table(spark, folder, "documents"))
