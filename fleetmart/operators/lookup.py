@@ -16,12 +16,19 @@ ESTIMATE_MARGIN = 16  # rows in memory against compressed columns on disk
 KINDS = ("left", "inner", "left_semi", "left_anti")
 
 
+def _slot(kind: T.DataType) -> int:
+    """Bytes of an array's element of fixed size."""
+    return 16 + 8 * len(kind.fields) if isinstance(kind, T.StructType) else 8
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Upper estimate of the size of ``df`` as broadcast rows; one aggregate."""
     row = F.lit(ROW_OVERHEAD + 8 * len(df.columns))
     for f in df.schema:
-        if isinstance(f.dataType, T.StringType):
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             row = row + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif isinstance(f.dataType, T.ArrayType):
+            row = row + F.greatest(F.size(f.name), F.lit(0)) * _slot(f.dataType.elementType) + 16
     return df.agg(F.coalesce(F.sum(row.cast("bigint")), F.lit(0)).alias("size")).first()["size"]
 
 
