@@ -18,12 +18,15 @@ from fleetmart.sources.warehouse import Warehouse
 EVENT_ORDER = ("event_time", "order_id", "status_id", "note")
 
 
-def append_events(warehouse: Warehouse, events: DataFrame, staging: str) -> DataFrame:
+def append_events(warehouse: Warehouse, events: DataFrame, staging: str, run: str | None = None) -> DataFrame:
     """Events of stored orders, under the next ids, by time.
 
     Refused as a whole if a required value is missing or a reference points
-    nowhere; stored events are not read.
+    nowhere; stored events are not read. Events of a named ``run`` count once,
+    however often they are delivered.
     """
+    if run is not None and run in warehouse.pointer(ORDER_EVENTS.name).runs:
+        return warehouse.read(ORDER_EVENTS.name)
     rows = quality.tag(events.withColumn("event_id", F.lit(0)), quality.not_null_rules(ORDER_EVENTS)).drop("event_id")
     rows = materialize(quality.enforce(rows, ORDER_EVENTS.name)[0], "events", f"{staging}/events")
     for fk in ORDER_EVENTS.foreign_keys:
@@ -31,7 +34,7 @@ def append_events(warehouse: Warehouse, events: DataFrame, staging: str) -> Data
             raise quality.QualityError(f"{ORDER_EVENTS.name}: {fk.column} refers to no row of {fk.parent}")
     last = warehouse.pointer(ORDER_EVENTS.name).last_id
     numbered, last_id = number_rows(rows, "event_id", EVENT_ORDER, last, f"{staging}/numbered")
-    added = warehouse.append(ORDER_EVENTS.name, numbered, last_id)
+    added = warehouse.append(ORDER_EVENTS.name, numbered, last_id, run)
     files.remove(warehouse.spark, staging)
     return added
 
@@ -39,16 +42,11 @@ def append_events(warehouse: Warehouse, events: DataFrame, staging: str) -> Data
 def delete_rows(warehouse: Warehouse, name: str, doomed: DataFrame) -> None:
     """Rows of a table removed by id, and what refers to them treated as its references say.
 
-    All tables change at the end, or none does. Of a table laid out by month,
+    All tables change in one step, or none does. Of a table laid out by month,
     only months with affected rows are rewritten. The reports are not rebuilt.
     """
-    warehouse.hold()
-    try:
+    with warehouse.together():
         _delete(warehouse, TABLES[name], doomed)
-    except BaseException:
-        warehouse.drop_held()
-        raise
-    warehouse.publish()
 
 
 def _references(name: str) -> Sequence[tuple[Table, ForeignKey]]:

@@ -1,6 +1,7 @@
 """Full rebuild and daily increment.
 
-One run at a time per warehouse: the writes assume a single writer.
+A run is one version of the warehouse. Of two runs at the same time the one
+that ends later fails and changes nothing.
 """
 
 from __future__ import annotations
@@ -238,9 +239,6 @@ def run_full(spark: SparkSession, raw_dir: str, root: str, on_violation: str = "
     """
     require_utc(spark)
     warehouse = Warehouse(spark, f"{root}/gold")
-    warehouse.hold()
-    for name in TABLES:
-        warehouse.create(name)
     staging = f"{root}/staging/{uuid.uuid4().hex}"
     layers = Layers(spark, staging)
 
@@ -251,16 +249,18 @@ def run_full(spark: SparkSession, raw_dir: str, root: str, on_violation: str = "
     def dimension(raw: RawFile) -> None:
         load_dimension(warehouse, raw.table, to_silver(raw.entity), staging, on_violation)
 
-    _together(
-        [
-            lambda: to_silver("orders"),
-            *[lambda raw=raw: dimension(raw) for raw in RAW_FILES.values() if raw.entity != "orders"],
-        ]
-    )
-    load_orders(warehouse, layers.load("silver", "orders"), staging, on_violation)
-    files.remove(spark, staging)
-    build_marts(warehouse)
-    warehouse.publish()
+    with warehouse.together():
+        for name in TABLES:
+            warehouse.create(name)
+        _together(
+            [
+                lambda: to_silver("orders"),
+                *[lambda raw=raw: dimension(raw) for raw in RAW_FILES.values() if raw.entity != "orders"],
+            ]
+        )
+        load_orders(warehouse, layers.load("silver", "orders"), staging, on_violation)
+        files.remove(spark, staging)
+        build_marts(warehouse)
     return warehouse
 
 
@@ -280,7 +280,8 @@ def run_daily(
     raw = extract(spark, "orders", f"{raw_dir}/orders_{day}.csv")
     bronze = layers.save_day(raw, "bronze", "orders", day)
     silver = layers.save_day(_clean("orders", bronze, staging), "silver", "orders", day)
-    load_orders(warehouse, silver, staging, on_violation, day)
-    files.remove(spark, staging)
-    build_marts(warehouse)
+    with warehouse.together():
+        load_orders(warehouse, silver, staging, on_violation, day)
+        files.remove(spark, staging)
+        build_marts(warehouse)
     return warehouse

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -34,20 +37,50 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def replace_text(spark: SparkSession, path: str, text: str) -> None:
-    """Swap the file's content in one step: write beside it, then rename over it."""
-    fresh = f"{path}.{uuid.uuid4().hex}"
-    stream = _fs(spark, path).create(_path(spark, fresh))
+def listed(spark: SparkSession, path: str, folders: bool = False) -> list[tuple[str, float]]:
+    """(name, time of the last change) of the files directly below ``path``, or of the folders."""
+    if not exists(spark, path):
+        return []
+    found = [s for s in _fs(spark, path).listStatus(_path(spark, path)) if s.isDirectory() == folders]
+    return sorted((s.getPath().getName(), s.getModificationTime() / 1000) for s in found if not s.getPath().getName().startswith("."))
+
+
+def create(spark: SparkSession, path: str, text: str) -> bool:
+    """A file with this content, in one step, unless there is one: then false.
+
+    Written beside it first, so that nobody reads half of it. A rename that
+    doesn't replace does the rest on HDFS; on local disks, where that would be
+    two steps, a hard link. An object store needs a conditional put here.
+    """
+    fs = _fs(spark, path)
+    target = fs.makeQualified(_path(spark, path))
+    fresh = fs.makeQualified(_path(spark, f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}"))
+    if target.toUri().getScheme() == "file":
+        own, wanted = Path(fresh.toUri().getPath()), Path(target.toUri().getPath())
+        own.parent.mkdir(parents=True, exist_ok=True)
+        own.write_text(text, encoding="utf-8")
+        try:
+            os.link(own, wanted)
+        except FileExistsError:
+            return False
+        finally:
+            own.unlink()
+        return True
+    stream = fs.create(fresh)
     try:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
-    target = _fs(spark, path).makeQualified(_path(spark, path))
     hadoop = spark._jvm.org.apache.hadoop.fs
     context = hadoop.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
-    overwrite = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
-    overwrite[0] = hadoop.Options.Rename.OVERWRITE
-    context.rename(_fs(spark, path).makeQualified(_path(spark, fresh)), target, overwrite)
+    try:
+        context.rename(fresh, target, spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0))
+    except Py4JJavaError as e:
+        fs.delete(fresh, False)
+        if "FileAlreadyExists" in str(e.java_exception):
+            return False
+        raise
+    return True
 
 
 def remove(spark: SparkSession, path: str) -> None:

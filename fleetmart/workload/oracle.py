@@ -488,3 +488,19 @@ UNION ALL SELECT c, count(*) || CASE c WHEN 'unknown' THEN ' tip' ELSE '' END FR
 
 # The same deletes where no table is small enough to be sent.
 ORACLES |= {f"{name}_far": ORACLES[name] for name in ("stored_delete_orders", "stored_delete_drivers", "stored_delete_customers")}
+
+# What readers see of changes that were stopped, of runs delivered again, and of versions that were cleaned up.
+ORACLES |= {
+    "stopped_changes": """SELECT o_orderkey AS id, what, 2 AS stopped FROM orders, (VALUES ('orders'), ('order_events')) t(what)
+UNION ALL SELECT c_custkey, 'customers', 2 FROM customer""",
+    "append_events_once": f"""WITH placed AS (
+  SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS event_id, o_orderkey AS order_id,
+    CASE o_orderstatus WHEN 'F' THEN 2 ELSE 1 END AS status_id, o_orderdate AS event_time FROM orders
+), again AS (
+  SELECT *, (SELECT count(*) FROM orders) + row_number() OVER (ORDER BY event_time >= '{FIRST_LOAD_END}', event_time, order_id) AS new_id FROM placed
+)
+SELECT event_id, order_id, status_id, event_time, 'placed' AS note FROM placed
+UNION ALL SELECT new_id, order_id, status_id, event_time, 'seen' FROM again""",
+    "read_through_clean_up": f"""WITH {RIDES} SELECT order_id, price::DOUBLE AS price, 'then' AS seen FROM full_rides
+UNION ALL SELECT order_id, price::DOUBLE, 'now' FROM full_rides WHERE order_id % 2 <> 0""",
+}

@@ -21,6 +21,7 @@ from fleetmart.contracts import (
     RAW_FILES,
     TARIFFS,
     ForeignKey,
+    Table,
 )
 from fleetmart.functions import text
 from fleetmart.operators import deletes, quality
@@ -471,14 +472,37 @@ def delete_cascade(v: Views) -> DataFrame:
     return deletes.delete_cascade(events, doomed, "order_id", "order_id").drop("_round")
 
 
+#: Warehouses that several queries begin from, by session and folder: the root, and the version to begin from.
+_LOADED: dict[tuple[str, str, str], tuple[str, int]] = {}
+
+
+def _shared(v: Views, what: str, load: Callable[[Views], Warehouse]) -> Warehouse:
+    """A warehouse loaded once, as it was after that load."""
+    key = (v.spark.sparkContext.applicationId, v.folder, what)
+    if key not in _LOADED:
+        warehouse = load(v)
+        _LOADED[key] = warehouse.root, warehouse.version()
+        return warehouse
+    root, version = _LOADED[key]
+    warehouse = Warehouse(v.spark, root)
+    if warehouse.version() != version:
+        warehouse.restore(version)
+    return warehouse
+
+
 def _stored(v: Views) -> Warehouse:
     """Rides, their customers, drivers and events as stored tables."""
+    return _shared(v, "stored", _store)
+
+
+def _store(v: Views) -> Warehouse:
     warehouse = init_warehouse(v.spark, scratch_path(v.spark, "stored"))
-    for name in ("customers", "drivers"):
-        warehouse.replace(name, v.dims[name])
     known = F.when(F.col("current_status") == F.ascii(F.lit("f")), 2).otherwise(1)
-    warehouse.replace("order_statuses", v.spark.createDataFrame([(1, "a"), (2, "b")], ORDER_STATUSES.schema))
-    warehouse.replace("orders", generate.with_month(v.full_rides.withColumn("current_status", known)))
+    with warehouse.together():
+        for name in ("customers", "drivers"):
+            warehouse.replace(name, v.dims[name])
+        warehouse.replace("order_statuses", v.spark.createDataFrame([(1, "a"), (2, "b")], ORDER_STATUSES.schema))
+        warehouse.replace("orders", generate.with_month(v.full_rides.withColumn("current_status", known)))
     events = warehouse.read("orders").select(
         "order_id", F.col("current_status").alias("status_id"), F.col("created_at").alias("event_time"), F.lit("placed").alias("note")
     )
@@ -522,6 +546,67 @@ def stored_delete_customers(v: Views) -> DataFrame:
     raise AssertionError("customers with orders were deleted")
 
 
+class _Stopped(RuntimeError):
+    pass
+
+
+class _StopsBetweenTables(Warehouse):
+    """Ends after the files of so many tables are written."""
+
+    writes = 0
+
+    def _write(self, table: Table, df: DataFrame) -> list[str]:
+        if not self.writes:
+            raise _Stopped
+        self.writes -= 1
+        return super()._write(table, df)
+
+
+@register
+def stopped_changes(v: Views) -> DataFrame:
+    """A delete and an exchange of two tables, each stopped between two tables: readers see neither."""
+    stored = _stored(v)
+    writer = _StopsBetweenTables(v.spark, stored.root)
+    stopped = 0
+    try:
+        writer.writes = 1
+        changes.delete_rows(writer, "orders", writer.read("orders").where("order_id % 2 = 0"))
+    except _Stopped:
+        stopped += 1
+    try:
+        writer.writes = 1
+        with writer.together():
+            writer.replace("order_events", writer.read("order_events").where("order_id % 3 = 0"))
+            writer.replace("customers", writer.read("customers").where("customer_id % 3 = 0"))
+    except _Stopped:
+        stopped += 1
+    reader = Warehouse(v.spark, stored.root)
+    seen = [reader.read(t).select(F.col(key).alias("id"), F.lit(t).alias("what")) for t, key in (("orders", "order_id"), ("order_events", "order_id"), ("customers", "customer_id"))]
+    return seen[0].unionByName(seen[1]).unionByName(seen[2]).withColumn("stopped", F.lit(stopped))
+
+
+@register
+def append_events_once(v: Views) -> DataFrame:
+    """Two days of events, the first delivered three times."""
+    warehouse = _stored(v)
+    late = F.col("event_time") >= F.lit(FIRST_LOAD_END).cast("timestamp_ntz")
+    rows = warehouse.read("order_events").drop("event_id").withColumn("note", F.lit("seen"))
+    for day, part in (("early", ~late), ("early", ~late), ("late", late), ("early", ~late)):
+        changes.append_events(Warehouse(v.spark, warehouse.root), rows.where(part), f"{warehouse.root}/staging", run=day)
+    return warehouse.read("order_events")
+
+
+@register
+def read_through_clean_up(v: Views) -> DataFrame:
+    """A reader that began before half of the orders were deleted, and everything not in use with them."""
+    warehouse = _store(v)
+    with Warehouse(v.spark, warehouse.root).reading() as view:
+        changes.delete_rows(warehouse, "orders", warehouse.read("orders").where("order_id % 2 = 0"))
+        warehouse.clean_up(0.0)
+        then = view.read("orders").select("order_id", "price", F.lit("then").alias("seen"))
+        return then.unionByName(warehouse.read("orders").select("order_id", "price", F.lit("now").alias("seen")))
+
+
 @contextmanager
 def _nothing_is_sent(spark: SparkSession) -> Iterator[None]:
     """As with tables of any size: no lookup may broadcast."""
@@ -829,24 +914,24 @@ def _pipeline_orders(v: Views) -> DataFrame:
     )
 
 
+def _full_warehouse(v: Views) -> Warehouse:
+    """All six raw files loaded, and the reports."""
+    return _shared(v, "full", lambda v: pipelines.run_full(v.spark, _raw_folder(v, _pipeline_orders(v)), scratch_path(v.spark, "full")))
+
+
 @register
 def run_full(v: Views) -> DataFrame:
-    """All six raw files to the customers mart."""
-    raw = _raw_folder(v, _pipeline_orders(v))
-    warehouse = pipelines.run_full(v.spark, raw, scratch_path(v.spark, "full"))
-    return warehouse.read("dm_customer_analytics")
+    return _full_warehouse(v).read("dm_customer_analytics")
 
 
 @register
 def run_full_drivers(v: Views) -> DataFrame:
-    warehouse = pipelines.run_full(v.spark, _raw_folder(v, _pipeline_orders(v)), scratch_path(v.spark, "full"))
-    return warehouse.read("dm_drivers_efficiency")
+    return _full_warehouse(v).read("dm_drivers_efficiency")
 
 
 @register
 def run_full_sla(v: Views) -> DataFrame:
-    warehouse = pipelines.run_full(v.spark, _raw_folder(v, _pipeline_orders(v)), scratch_path(v.spark, "full"))
-    return warehouse.read("dm_orders_sla").drop("created_month")
+    return _full_warehouse(v).read("dm_orders_sla").drop("created_month")
 
 
 @register
@@ -901,14 +986,14 @@ def _daily_warehouse(v: Views) -> Warehouse:
 
 @register
 def run_daily(v: Views) -> DataFrame:
-    return _daily_warehouse(v).read("dm_orders_sla").drop("created_month")
+    return _shared(v, "daily", _daily_warehouse).read("dm_orders_sla").drop("created_month")
 
 
 @register
 def run_daily_drivers(v: Views) -> DataFrame:
-    return _daily_warehouse(v).read("dm_drivers_efficiency")
+    return _shared(v, "daily", _daily_warehouse).read("dm_drivers_efficiency")
 
 
 @register
 def run_daily_customers(v: Views) -> DataFrame:
-    return _daily_warehouse(v).read("dm_customer_analytics")
+    return _shared(v, "daily", _daily_warehouse).read("dm_customer_analytics")

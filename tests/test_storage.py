@@ -7,7 +7,7 @@ from fleetmart.contracts import TABLES
 from fleetmart.plans.generate import with_month
 from fleetmart.sources import files
 from fleetmart.sources.layers import Layers
-from fleetmart.sources.warehouse import Warehouse, init_warehouse
+from fleetmart.sources.warehouse import Pointer, Warehouse, WriteConflict, init_warehouse
 from tests.conftest import rows
 
 D = decimal.Decimal
@@ -99,6 +99,90 @@ def test_old_versions_go_on_request(warehouse, frame, spark):
     assert rows(warehouse.read("order_statuses")) == [(1, "c")]
 
 
+def test_of_two_writers_one_wins(warehouse, frame, spark):
+    first, second = (Warehouse(spark, warehouse.root) for _ in range(2))
+    with pytest.raises(WriteConflict), first.together():
+        first.replace("order_statuses", statuses(frame, "first"))
+        first.replace("customers", first.read("customers"))
+        with second.together():
+            second.replace("order_statuses", statuses(frame, "second"))
+            second.replace("customers", second.read("customers"))
+            assert rows(first.read("order_statuses")) == [(1, "first")], "a writer sees its own changes only"
+            assert rows(warehouse.read("order_statuses")) == [], "a reader sees none yet"
+    for seen in (first, second, warehouse):
+        assert rows(seen.read("order_statuses")) == [(1, "second")]
+
+
+def test_single_writes_meet_too(warehouse, frame, spark):
+    """Writers of one table conflict, writers of different tables don't."""
+    late = Warehouse(spark, warehouse.root)
+    before = late.pointer("order_statuses")
+    warehouse.replace("order_statuses", statuses(frame, "a"))
+    late.append("customers", late.read("customers"))
+    with pytest.raises(WriteConflict):
+        late._point("order_statuses", before, Pointer([]))
+    assert rows(late.read("order_statuses")) == [(1, "a")]
+
+
+def test_a_lost_answer_is_found_out(warehouse, spark, monkeypatch):
+    create = files.create
+    monkeypatch.setattr(files, "create", lambda *a: create(*a) and False)
+    with warehouse.together():
+        warehouse.create("tariffs")
+    monkeypatch.undo()
+    assert warehouse.version() == 2 and Warehouse(spark, warehouse.root).version() == 2
+
+
+def test_a_change_that_fails_is_none(warehouse, frame):
+    with pytest.raises(ZeroDivisionError), warehouse.together():
+        warehouse.replace("order_statuses", statuses(frame, "a"))
+        1 / 0
+    assert rows(warehouse.read("order_statuses")) == [] and warehouse.version() == 1
+
+
+def test_a_run_is_appended_once(warehouse, frame, spark):
+    for _ in range(2):
+        warehouse.append("order_statuses", statuses(frame, "a"), run="day 1")
+    Warehouse(spark, warehouse.root).append("order_statuses", statuses(frame, "x"), run="day 1")
+    warehouse.append("order_statuses", frame("status_id int, name string", (2, "b")), run="day 2")
+    assert rows(warehouse.read("order_statuses")) == [(1, "a"), (2, "b")]
+
+
+def test_readers_keep_their_version_through_a_clean_up(warehouse, frame, spark):
+    warehouse.replace("order_statuses", statuses(frame, "a"))
+    with Warehouse(spark, warehouse.root).reading() as view:
+        for name in "bc":
+            warehouse.replace("order_statuses", statuses(frame, name))
+        warehouse.clean_up(0.0)
+        assert len(files.children(spark, f"{warehouse.root}/order_statuses")) == 2
+        assert rows(view.read("order_statuses")) == [(1, "a")]
+        with pytest.raises(WriteConflict):
+            view.create("order_statuses")
+    warehouse.clean_up(3600)
+    assert len(files.children(spark, f"{warehouse.root}/order_statuses")) == 2, "replaced a moment ago"
+    warehouse.clean_up(0.0)
+    assert len(files.children(spark, f"{warehouse.root}/order_statuses")) == 1
+    assert rows(warehouse.read("order_statuses")) == [(1, "c")]
+
+
+def test_lost_readers_are_given_up(warehouse, frame, spark):
+    warehouse.replace("order_statuses", statuses(frame, "a"))
+    with Warehouse(spark, warehouse.root).reading(seconds=-1):
+        warehouse.replace("order_statuses", statuses(frame, "b"))
+        warehouse.clean_up(0.0)
+        assert len(files.children(spark, f"{warehouse.root}/order_statuses")) == 1
+
+
+def test_old_objects_find_the_present_version(warehouse, frame, spark):
+    """Also when the versions next to the one they knew are gone."""
+    old = Warehouse(spark, warehouse.root)
+    assert old.version() == 1
+    for name in "abc":
+        warehouse.replace("order_statuses", statuses(frame, name))
+    warehouse.clean_up(0.0)
+    assert rows(old.read("order_statuses")) == [(1, "c")] and old.version() == 4
+
+
 def test_a_number_too_big_is_an_error(warehouse, frame):
     df = frame("tariff_id int, name string, base_price decimal(20,2), per_km decimal(10,2), created_at timestamp", (1, "x", D(10**12), D(1), None))
     with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|out of range"):
