@@ -35,6 +35,8 @@ class Table:
     foreign_keys: tuple[ForeignKey, ...] = ()
     partition_by: str | None = None
     sort_by: str | None = None
+    # Columns whose files carry Bloom filters.
+    bloom: tuple[str, ...] = ()
 
     @property
     def not_null(self) -> list[str]:
@@ -167,6 +169,15 @@ ORDERS = Table(
 # Columns an already stored order takes over from a new delivery of it.
 ORDER_UPDATE_COLUMNS = ("driver_id", "price", "distance_km", "delivered_at", "current_status")
 
+# Which month a stored order is in.
+ORDER_KEYS = Table(
+    "order_keys",
+    _schema(("external_order_id", _TEXT, _REQ), ("stored_month", _TEXT, _REQ)),
+    partition_by="bucket",
+    sort_by="external_order_id",
+    bloom=("external_order_id",),
+)
+
 ORDER_EVENTS = Table(
     "order_events",
     _schema(
@@ -264,7 +275,7 @@ DM_ORDERS_SLA = Table(
 
 DIMENSIONS = (CUSTOMERS, DRIVERS, LOCATIONS, TARIFFS, ORDER_STATUSES)
 MARTS = (DM_DRIVERS_EFFICIENCY, DM_CUSTOMER_ANALYTICS, DM_ORDERS_SLA)
-TABLES = {t.name: t for t in (*DIMENSIONS, ORDERS, ORDER_EVENTS, DRIVER_MONTHS, CUSTOMER_MONTHS, *MARTS)}
+TABLES = {t.name: t for t in (*DIMENSIONS, ORDERS, ORDER_KEYS, ORDER_EVENTS, DRIVER_MONTHS, CUSTOMER_MONTHS, *MARTS)}
 
 
 @dataclass(frozen=True)

@@ -7,12 +7,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetmart.contracts import ORDER_EVENTS, TABLES, ForeignKey, Table
+from fleetmart.contracts import ORDER_EVENTS, ORDERS, TABLES, ForeignKey, Table
 from fleetmart.operators import deletes, quality
 from fleetmart.operators.keys import number_rows
 from fleetmart.operators.lookup import lookup
 from fleetmart.session import materialize
-from fleetmart.sources import files
+from fleetmart.sources import files, key_index
 from fleetmart.sources.warehouse import Warehouse
 
 EVENT_ORDER = ("event_time", "order_id", "status_id", "note")
@@ -74,12 +74,18 @@ def _delete(warehouse: Warehouse, table: Table, doomed: DataFrame) -> None:
 
 def _rewrite(warehouse: Warehouse, table: Table, hit: DataFrame, change: Callable[[DataFrame], DataFrame]) -> None:
     """The table with ``change`` made where ``hit`` has rows."""
-    stored, last = warehouse.read(table.name), warehouse.pointer(table.name).last_id
+    last = warehouse.pointer(table.name).last_id
     if not table.partition_by:
         if not hit.isEmpty():
-            warehouse.replace(table.name, change(stored), last)
+            warehouse.replace(table.name, change(warehouse.read(table.name)), last)
         return
     touched = sorted(r[0] for r in hit.select(table.partition_by).distinct().collect())
-    if touched:
-        rows = change(stored.where(F.col(table.partition_by).isin(touched)))
-        warehouse.replace_partitions(table.name, rows, touched, last)
+    if not touched:
+        return
+    indexed = table is ORDERS and key_index.is_current(warehouse)
+    before = warehouse.read(table.name, touched)
+    rows = change(before)
+    warehouse.replace_partitions(table.name, rows, touched, last)
+    if indexed:
+        left = warehouse.read(table.name, touched).select(table.identity)
+        key_index.remove(warehouse, lookup(before, left, (table.identity, table.identity), {}, "left_anti", fact_unique=True))

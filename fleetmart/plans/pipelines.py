@@ -35,7 +35,7 @@ from fleetmart.plans import marts
 from fleetmart.plans.cleaners import CLEANERS
 from fleetmart.plans.generate import with_month
 from fleetmart.session import materialize, require_utc
-from fleetmart.sources import files
+from fleetmart.sources import files, key_index
 from fleetmart.sources.csv_files import POSITION, read_csv
 from fleetmart.sources.layers import Layers
 from fleetmart.sources.warehouse import Warehouse, partition_of
@@ -136,8 +136,8 @@ def load_orders(
 ) -> None:
     """Keys resolved, then upsert on the external order id.
 
-    Only months that hold a re-delivered order are read whole and rewritten.
-    New orders of other months are added to them as further folders, until a
+    Known orders are found by the key index; only months that hold a
+    re-delivered order are read whole and rewritten. New orders of other months are added to them as further folders, until a
     month has ``MOST_FOLDERS``; then it is rewritten as one.
     """
     dims = {t.name: warehouse.read(t.name) for t in DIMENSIONS}
@@ -159,7 +159,7 @@ def load_orders(
     ).drop("_known_status")
     key, month = ORDERS.natural_key, ORDERS.partition_by
     stored = warehouse.read(ORDERS.name)
-    keys = stored.select(key, F.col(month).alias("_stored_month"))
+    keys = key_index.find(warehouse, silver).withColumnRenamed("stored_month", "_stored_month")
     flagged = split_upsert(keys, resolved, key, silver, f"{staging}/hits")
     flagged = materialize(with_month(flagged), "flagged", f"{staging}/flagged")
     batch = _gate(warehouse, ORDERS, flagged, on_violation, run)
@@ -173,7 +173,9 @@ def load_orders(
     updated = apply_updates(stored.where(is_touched), batch.where("_known"), key, ORDER_UPDATE_COLUMNS)
     new = numbered.select(*updated.columns)
     rows = updated.unionByName(new.where(is_touched))
-    warehouse.replace_partitions(ORDERS.name, rows, touched, last_id, added=new.where(~is_touched))
+    with warehouse.together():
+        warehouse.replace_partitions(ORDERS.name, rows, touched, last_id, added=new.where(~is_touched))
+        key_index.add(warehouse, batch.where("NOT _known"))
 
 
 # -- marts -------------------------------------------------------------------

@@ -17,6 +17,8 @@ def local_session(name: str = "fleetmart", cores: str = "*", **conf: str) -> Spa
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # Local folders are listed faster than a job for it starts.
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "2000")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

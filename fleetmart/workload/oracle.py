@@ -504,3 +504,18 @@ UNION ALL SELECT new_id, order_id, status_id, event_time, 'seen' FROM again""",
     "read_through_clean_up": f"""WITH {RIDES} SELECT order_id, price::DOUBLE AS price, 'then' AS seen FROM full_rides
 UNION ALL SELECT order_id, price::DOUBLE, 'now' FROM full_rides WHERE order_id % 2 <> 0""",
 }
+
+# A small day through the key index: what is stored then, and how many of its buckets hold keys of the day.
+BUCKET = "('0x' || substr(md5({}), 1, 8))::BIGINT % 64"
+ORACLES["indexed_upsert"] = f"""WITH stored AS (
+  SELECT 'order_ext_' || o_orderkey AS external_order_id, o_totalprice::DOUBLE AS price, o_orderkey % 500 = 3 AS again FROM orders
+), new AS (
+  SELECT 'new_' || external_order_id AS external_order_id, price FROM stored WHERE again
+), asked AS (
+  SELECT {BUCKET.format("external_order_id")} AS bucket FROM (SELECT external_order_id FROM new UNION ALL SELECT external_order_id FROM stored WHERE again)
+), numbers AS (
+  SELECT (SELECT count(DISTINCT bucket) FROM asked WHERE bucket IN (SELECT {BUCKET.format("external_order_id")} FROM stored))::INTEGER AS buckets_read,
+    (SELECT count(*) FROM stored WHERE again) AS keys_found
+)
+SELECT external_order_id, price + CASE WHEN again THEN 1 ELSE 0 END AS price, buckets_read, keys_found FROM stored, numbers
+UNION ALL SELECT external_order_id, price, buckets_read, keys_found FROM new, numbers"""

@@ -33,6 +33,7 @@ from fleetmart.plans import changes, generate, marts, pipelines
 from fleetmart.plans.cleaners import CLEANERS, clean_orders
 from fleetmart.plans.export import export_dimension, export_orders
 from fleetmart.session import scratch_path
+from fleetmart.sources import key_index
 from fleetmart.sources.csv_files import POSITION, query, read_csv, write_csv
 from fleetmart.sources.layers import Layers
 from fleetmart.sources.warehouse import Warehouse, init_warehouse
@@ -934,6 +935,25 @@ def run_full_sla(v: Views) -> DataFrame:
     return _full_warehouse(v).read("dm_orders_sla").drop("created_month")
 
 
+@register
+def indexed_upsert(v: Views) -> DataFrame:
+    """A small day for a full warehouse: some orders again, dearer, and as many new ones.
+
+    Of the key index only the buckets of the day's keys are read.
+    """
+    loaded = _full_warehouse(v)
+    raw, root = scratch_path(v.spark, "small_day"), loaded.root.removesuffix("/gold")
+    again = _pipeline_orders(v).where("o_orderkey % 500 = 3")
+    dearer = again.withColumn("price", (F.col("price").cast(MONEY) + 1).cast(MONEY).cast("string"))
+    new = again.withColumn("external_order_id", F.concat(F.lit("new_"), F.col("external_order_id")))
+    write_csv(_in_key_order(dearer.unionByName(new)), f"{raw}/orders_1999_01_02.csv")
+    found = key_index.find(loaded, dearer.unionByName(new))
+    buckets, known = len(key_index.folders_read(found)), found.count()
+    warehouse = pipelines.run_daily(v.spark, "1999_01_02", raw, root)
+    orders = warehouse.read("orders").select("external_order_id", "price")
+    return orders.withColumns({"buckets_read": F.lit(buckets), "keys_found": F.lit(known)})
+
+
 @register
 def append_orders(v: Views) -> DataFrame:
     """Half of the orders loaded, then the others as new ones: stored files stay."""
