@@ -223,6 +223,10 @@ CUSTOMER_MONTHS = Table(
     sort_by="customer_id",
 )
 
+# The same over longer spans, each made of the ones below it.
+DRIVER_SPANS = Table("driver_spans", DRIVER_MONTHS.schema, partition_by="span", sort_by="driver_id")
+CUSTOMER_SPANS = Table("customer_spans", CUSTOMER_MONTHS.schema, partition_by="span", sort_by="customer_id")
+
 DM_DRIVERS_EFFICIENCY = Table(
     "dm_drivers_efficiency",
     _schema(
@@ -275,7 +279,7 @@ DM_ORDERS_SLA = Table(
 
 DIMENSIONS = (CUSTOMERS, DRIVERS, LOCATIONS, TARIFFS, ORDER_STATUSES)
 MARTS = (DM_DRIVERS_EFFICIENCY, DM_CUSTOMER_ANALYTICS, DM_ORDERS_SLA)
-TABLES = {t.name: t for t in (*DIMENSIONS, ORDERS, ORDER_KEYS, ORDER_EVENTS, DRIVER_MONTHS, CUSTOMER_MONTHS, *MARTS)}
+TABLES = {t.name: t for t in (*DIMENSIONS, ORDERS, ORDER_KEYS, ORDER_EVENTS, DRIVER_MONTHS, CUSTOMER_MONTHS, DRIVER_SPANS, CUSTOMER_SPANS, *MARTS)}
 
 
 @dataclass(frozen=True)

@@ -29,9 +29,9 @@ def driver_totals(orders: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def add_driver_totals(parts: DataFrame) -> DataFrame:
-    """Totals of several months, say, to one row per driver."""
-    return parts.groupBy("driver_id").agg(
+def add_driver_totals(parts: DataFrame, *by: str) -> DataFrame:
+    """Totals of several months, say, to one row per driver, and per ``by`` if given."""
+    return parts.groupBy("driver_id", *by).agg(
         F.sum("rides").alias("rides"),
         F.sum("priced").alias("priced"),
         F.sum("revenue").cast(MONEY_SUM).alias("revenue"),
@@ -75,8 +75,8 @@ def customer_totals(orders: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def add_customer_totals(parts: DataFrame) -> DataFrame:
-    return parts.groupBy("customer_id").agg(
+def add_customer_totals(parts: DataFrame, *by: str) -> DataFrame:
+    return parts.groupBy("customer_id", *by).agg(
         F.sum("rides").alias("rides"),
         F.sum("priced").alias("priced"),
         F.sum("spent").cast(MONEY_SUM).alias("spent"),

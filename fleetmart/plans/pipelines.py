@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 
 from fleetmart.contracts import (
     CUSTOMER_MONTHS,
+    CUSTOMER_SPANS,
     DIMENSIONS,
     DM_ORDERS_SLA,
     DRIVER_MONTHS,
+    DRIVER_SPANS,
     ORDER_UPDATE_COLUMNS,
     ORDERS,
     RAW_FILES,
@@ -31,12 +33,12 @@ from fleetmart.operators import quality
 from fleetmart.operators.keys import number_delivered, number_rows, resolve_order_keys
 from fleetmart.operators.lookup import lookup
 from fleetmart.operators.merge import absent_rows, add_defaults, apply_updates, split_upsert
-from fleetmart.plans import marts
+from fleetmart.plans import marts, spans
 from fleetmart.plans.cleaners import CLEANERS
 from fleetmart.plans.generate import with_month
 from fleetmart.session import materialize, require_utc
 from fleetmart.sources import files, key_index
-from fleetmart.sources.csv_files import POSITION, read_csv
+from fleetmart.sources.csv_files import POSITION, land_csv, read_csv
 from fleetmart.sources.layers import Layers
 from fleetmart.sources.warehouse import Warehouse, partition_of
 
@@ -65,6 +67,19 @@ def extract(spark: SparkSession, entity: str, path: str, multi_line: bool | None
     return rows if raw.may_be_empty else quality.require_rows(rows, path)
 
 
+def _land(spark: SparkSession, entity: str, path: str, save: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A delivered file behind its gates, stored. A clean file is read once (and its first row, to see that there is one)."""
+    raw: RawFile = RAW_FILES[entity]
+    if not raw.may_be_empty:
+        quality.require_rows(read_csv(spark, path, multi_line=False), path)
+
+    def gated(rows: DataFrame) -> DataFrame:
+        quality.require_columns(rows, raw.required, path)
+        return save(rows)
+
+    return land_csv(spark, path, gated)
+
+
 def _clean(entity: str, bronze: DataFrame, staging: str) -> DataFrame:
     if entity == "orders":
         return CLEANERS[entity](bronze, scratch=f"{staging}/doubtful_keys")
@@ -194,13 +209,15 @@ def _totals_by_month(warehouse: Warehouse, table: Table, totals: Callable[..., D
 
 
 def build_drivers_mart(warehouse: Warehouse) -> DataFrame:
-    """Only changed months of the fact are read; the report adds up one row per driver and month."""
-    totals = marts.add_driver_totals(_totals_by_month(warehouse, DRIVER_MONTHS, marts.driver_totals))
+    """Only changed months of the fact are read; the report adds up a few rows per driver, one for every sixteen years."""
+    _totals_by_month(warehouse, DRIVER_MONTHS, marts.driver_totals)
+    totals = spans.update(warehouse, DRIVER_MONTHS, DRIVER_SPANS, marts.add_driver_totals)
     return warehouse.replace("dm_drivers_efficiency", marts.drivers_report(totals, warehouse.read("drivers")))
 
 
 def build_customers_mart(warehouse: Warehouse) -> DataFrame:
-    totals = marts.add_customer_totals(_totals_by_month(warehouse, CUSTOMER_MONTHS, marts.customer_totals))
+    _totals_by_month(warehouse, CUSTOMER_MONTHS, marts.customer_totals)
+    totals = spans.update(warehouse, CUSTOMER_MONTHS, CUSTOMER_SPANS, marts.add_customer_totals)
     return warehouse.replace("dm_customer_analytics", marts.customers_report(totals, warehouse.read("customers")))
 
 
@@ -227,7 +244,8 @@ def build_sla_mart(warehouse: Warehouse) -> DataFrame:
 
 def build_marts(warehouse: Warehouse) -> None:
     jobs = (build_drivers_mart, build_customers_mart, build_sla_mart)
-    _together([lambda job=job: job(warehouse) for job in jobs])
+    with warehouse.together():
+        _together([lambda job=job: job(warehouse) for job in jobs])
 
 
 # -- runs --------------------------------------------------------------------
@@ -245,7 +263,7 @@ def run_full(spark: SparkSession, raw_dir: str, root: str, on_violation: str = "
     layers = Layers(spark, staging)
 
     def to_silver(entity: str) -> DataFrame:
-        bronze = layers.save(extract(spark, entity, f"{raw_dir}/{entity}.csv"), "bronze", entity)
+        bronze = _land(spark, entity, f"{raw_dir}/{entity}.csv", lambda rows: layers.save(rows, "bronze", entity))
         return layers.save(_clean(entity, bronze, staging), "silver", entity)
 
     def dimension(raw: RawFile) -> None:
@@ -279,8 +297,8 @@ def run_daily(
     warehouse = Warehouse(spark, f"{root}/gold")
     layers = Layers(spark, root)
     staging = f"{root}/staging/{uuid.uuid4().hex}"
-    raw = extract(spark, "orders", f"{raw_dir}/orders_{day}.csv")
-    bronze = layers.save_day(raw, "bronze", "orders", day)
+    path = f"{raw_dir}/orders_{day}.csv"
+    bronze = _land(spark, "orders", path, lambda rows: layers.save_day(rows, "bronze", "orders", day))
     silver = layers.save_day(_clean("orders", bronze, staging), "silver", "orders", day)
     with warehouse.together():
         load_orders(warehouse, silver, staging, on_violation, day)

@@ -6,7 +6,7 @@ from fleetmart.operators.quality import VIOLATIONS, QualityError
 from fleetmart.plans import cleaners
 from fleetmart.plans.cleaners import CLEANERS
 from fleetmart.plans.pipelines import extract
-from fleetmart.sources.csv_files import POSITION, files_with_line_breaks_in_quotes, query, read_csv, write_csv
+from fleetmart.sources.csv_files import POSITION, files_with_line_breaks_in_quotes, land_csv, query, read_csv, write_csv
 from tests.conftest import rows
 
 BOM = b"\xef\xbb\xbf"
@@ -58,6 +58,94 @@ def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
     assert back.select("_file", "_block", "_row").distinct().count() == 3
 
 
+def in_small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    spark.conf.set("spark.sql.files.openCostInBytes", "64")
+
+
+def out_of_small_splits(spark):
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_records_over_many_splits(spark, tmp_path, end):
+    """Line breaks, quotes and whole records in quotes, some longer than several splits, against a plain reader."""
+    import csv
+
+    dice = random.Random(5)
+    pieces = ["x", '"', "\n", ",", "1,2\n3,4", " ", "\n\n", "word" * 20, "\n" * 30, "long line " * 90]
+    (tmp_path / "in").mkdir()
+    expected = []
+    for f in ("a", "b", "c"):
+        texts = ["".join(dice.choice(pieces) for _ in range(dice.randrange(8))) for _ in range(120)]
+        if f == "c":
+            texts = [t.replace("\n", " ") for t in texts]
+        with open(tmp_path / "in" / f"{f}.csv", "w", newline="", encoding="utf-8-sig" if f == "b" else "utf-8") as file:
+            out = csv.writer(file, lineterminator=end)
+            out.writerow(["n", "text"])
+            out.writerows([[f"{f}{k}", t] for k, t in enumerate(texts)])
+        expected += [(f"{f}{k}", t or None) for k, t in enumerate(texts)]
+    in_small_splits(spark)
+    try:
+        back = read_csv(spark, str(tmp_path / "in"))
+        assert [(r.n, r.text) for r in back.orderBy(*POSITION).collect()] == expected
+        assert back.select(*POSITION).distinct().count() == 360
+        assert not any(r._overflow for r in back.collect())
+        assert spark.read.text(str(tmp_path / "in")).rdd.getNumPartitions() > 50, "many splits, and no file in one task"
+        plan = back._jdf.queryExecution().executedPlan().toString()
+        assert "Scan text" in plan
+    finally:
+        out_of_small_splits(spark)
+
+
+def test_other_headers_are_refused(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    put(tmp_path / "in" / "a.csv", 'a,b\n"one\ntwo",1\n')
+    put(tmp_path / "in" / "b.csv", 'a,c\n"one\ntwo",1\n')
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, str(tmp_path / "in")).collect()
+
+
+def landed(spark, path, folder):
+    saves = []
+
+    def save(rows):
+        saves.append(rows)
+        rows.write.mode("overwrite").parquet(str(folder))
+        return spark.read.parquet(str(folder))
+
+    return land_csv(spark, path, save), len(saves)
+
+
+def test_clean_files_are_read_once(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    put(tmp_path / "in" / "a.csv", 'a,b\r\n"x, ""y""",1\r\n\r\n pad ,NA\r\n', bom=True)
+    put(tmp_path / "in" / "b.csv", "a,b\nz,1,2,3\nshort\n")
+    in_small_splits(spark)
+    try:
+        stored, saves = landed(spark, str(tmp_path / "in"), tmp_path / "out")
+        careful = read_csv(spark, str(tmp_path / "in"))
+    finally:
+        out_of_small_splits(spark)
+    assert saves == 1
+    assert rows(stored, "a", "b", "_overflow") == rows(careful, "a", "b", "_overflow")
+    assert [r.a for r in stored.orderBy(*POSITION).collect()] == ['x, "y"', " pad ", "z", "short"]
+
+
+@pytest.mark.parametrize("text", ['a,b\n"one\ntwo",1\nthree,2\n', "a,b\nthree,2\na,b\n"])
+def test_other_files_are_read_again(spark, tmp_path, text):
+    """A record over two lines; a record that looks like the header."""
+    stored, saves = landed(spark, put(tmp_path / "in.csv", text), tmp_path / "out")
+    assert saves == 2
+    assert rows(stored, "a", "b") == rows(read_csv(spark, str(tmp_path / "in.csv")), "a", "b") and stored.count() == 2
+
+
+def test_empty_files_land(spark, tmp_path):
+    stored, _ = landed(spark, put(tmp_path / "in.csv", "a,b\n"), tmp_path / "out")
+    assert stored.columns[:2] == ["a", "b"] and stored.isEmpty()
+
+
 def test_numbers_stay_text(spark, tmp_path):
     path = put(tmp_path / "a.csv", "phone,code\n+79990000001,00123\n")
     assert rows(read_csv(spark, path), "phone", "code") == [("+79990000001", "00123")]

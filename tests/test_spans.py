@@ -1,0 +1,60 @@
+import pytest
+
+from fleetmart.contracts import CUSTOMER_MONTHS, CUSTOMER_SPANS
+from fleetmart.plans import marts, pipelines, spans
+from fleetmart.sources.warehouse import init_warehouse, partition_of
+from tests.conftest import rows
+from tests.test_storage import order, orders
+
+
+def test_every_month_has_one_path():
+    def path(part):
+        return [part, *([] if (up := spans.above(part)) is None else path(up))]
+
+    assert path("2026-05") == ["2026-05", "q2026-2", "y2026", "f2024", "s2016"]
+    assert path("1999-12") == ["1999-12", "q1999-4", "y1999", "f1996", "s1984"]
+    assert path("0007-01")[-1] == "s0"
+    assert path("__HIVE_DEFAULT_PARTITION__") == ["__HIVE_DEFAULT_PARTITION__", spans.OTHER]
+
+
+@pytest.fixture
+def warehouse(spark, tmp_path, frame):
+    made = init_warehouse(spark, str(tmp_path / "gold"))
+    days = ["1998-11-05", "1999-02-05", "2011-07-05", "2025-01-05", "2025-03-05", "2026-03-05", "2026-12-05"]
+    with made.together():
+        made.replace("customers", frame("customer_id long, external_id string, name string, phone string, email string, created_at timestamp", (1, "c1", "n", None, None, order(1, days[0])[9])))
+        made.replace("orders", orders(frame, *[order(n, day, n) for n, day in enumerate(days, 1)]))
+        pipelines.build_customers_mart(made)
+    return made
+
+
+def folders(warehouse):
+    return {partition_of(f): f for f in warehouse.pointer(CUSTOMER_SPANS.name).folders}
+
+
+def test_a_change_makes_one_path_anew(warehouse, frame):
+    before = folders(warehouse)
+    assert {"q1998-4", "q1999-1", "y2025", "f1996", "f2008", "f2024", "s1984", "s2000", "s2016"} <= set(before)
+    with warehouse.together():
+        warehouse.replace_partitions("orders", orders(frame, order(4, "2025-01-05", 50)), ["2025-01"])
+        pipelines.build_customers_mart(warehouse)
+    after = folders(warehouse)
+    assert {s for s in after if after[s] != before[s]} == {"q2025-1", "y2025", "f2024", "s2016"}
+    expected = marts.customer_analytics(warehouse.read("orders"), warehouse.read("customers"))
+    assert rows(warehouse.read("dm_customer_analytics")) == rows(expected)
+
+
+def test_the_report_reads_the_topmost_spans(warehouse):
+    totals = spans.update(warehouse, CUSTOMER_MONTHS, CUSTOMER_SPANS, marts.add_customer_totals)
+    assert {partition_of(f.rsplit("/", 1)[0]) for f in totals.inputFiles()} == {"s1984", "s2000", "s2016"}
+
+
+def test_the_least_value_may_go(warehouse, frame):
+    """The first ride of all deleted: MIN follows, and spans without rides go."""
+    with warehouse.together():
+        warehouse.replace_partitions("orders", warehouse.read("orders").limit(0), ["1998-11"])
+        pipelines.build_customers_mart(warehouse)
+    assert "q1998-4" not in folders(warehouse) and "y1998" not in folders(warehouse) and "f1996" in folders(warehouse)
+    assert [str(r[0]) for r in rows(warehouse.read("dm_customer_analytics"), "first_ride_at")] == ["1999-02-05 00:00:00"]
+    expected = marts.customer_analytics(warehouse.read("orders"), warehouse.read("customers"))
+    assert rows(warehouse.read("dm_customer_analytics")) == rows(expected)
