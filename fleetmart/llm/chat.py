@@ -6,8 +6,8 @@ it; an anti-join drops it. Of equal conversations the one with the smallest id s
 shuffled for that; texts move once, for the conversations that stay.
 
 Exact repeats of a row count once. Turns are ordered by number (null first), then by their hashes, so ties have one
-order wherever they occur. Null roles and texts are told apart from empty ones, and rendered as empty. Rows without a
-conversation id are one conversation without an id. Other columns are ignored, whatever their names. No rows: no rows.
+order wherever they occur. Null roles and texts are told apart from empty ones, and rendered as empty. Nothing says that
+rows without a conversation id belong together: each is a conversation of its own, of one turn. Other columns are ignored, whatever their names. No rows: no rows.
 
 A conversation of more than ``RANGE`` rows is hashed on two levels: turns are ranked and hashed within ranges of their
 order, each range a task's, and the counts and hashes of the ranges before are added.
@@ -33,10 +33,12 @@ def _hash(salt: int) -> Column:
 
 def _turns(conversations: DataFrame, conversation: str, turn: str, role: str, text: str) -> DataFrame:
     """``key`` stands for the conversation and is never null, so joins and groups can share one shuffle."""
-    key = F.coalesce(F.concat(F.lit("id "), F.col(conversation).cast("string")), F.lit("none"))
-    return conversations.select(
-        key.alias("key"), F.col(conversation).alias("conversation"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text")
+    told = conversations.select(
+        F.col(conversation).alias("conversation"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text")
     )
+    own = F.concat_ws(" ", F.lit("row"), F.coalesce(F.col("turn").cast("string"), F.lit("none")), _hash(1), _hash(2))
+    key = F.coalesce(F.concat(F.lit("id "), F.col("conversation").cast("string")), own)
+    return told.select(key.alias("key"), "conversation", "turn", "role", "text")
 
 
 def _marks(turns: DataFrame) -> DataFrame:
@@ -105,7 +107,9 @@ def format_chats(
 ) -> DataFrame:
     """(id, n_turns, text) of every maximal conversation, rendered turn by turn."""
     turns = _turns(conversations, conversation, turn, role, text)
-    own = turns.join(maximal(turns), "key")
+    # The repeats of a row without an id share a key; one of each is enough.
+    once = turns.where("conversation IS NOT NULL").unionByName(turns.where("conversation IS NULL").distinct())
+    own = once.join(maximal(turns), "key")
     parts = F.sort_array(F.collect_set(F.struct("turn", _hash(1).alias("x"), _hash(2).alias("y"), "role", "text")))
     empty = F.lit("")
     shown = F.transform(

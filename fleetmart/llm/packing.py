@@ -147,34 +147,35 @@ def pack(
 ) -> DataFrame:
     """The pieces of ``cut``, each with its ``sequence_id`` and its ``offset`` there.
 
-    Texts are encoded once; the pieces (a few numbers each) are kept in the shared folder. Their places within a
-    length come from a window over (length, salt): a length with many pieces gets many salts, so that no task holds
-    more than about its share of the rows.
+    Texts are encoded once; the pieces (a few numbers each) are kept in the shared folder, with a number each. Their
+    places within a length come from a window over (length, salt): a length with many pieces gets many salts, dealt by
+    that number, so that no task holds more than about its share of the rows, repeated rows included.
     """
     spark = docs.sparkSession
-    pieces = materialize(cut(docs, capacity, tokenizer, end, id_column, text_column, ids), "pieces")
+    found = cut(docs, capacity, tokenizer, end, id_column, text_column, ids)
+    pieces = materialize(found.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     runs = best_fit(histogram, capacity)
 
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     share = max(1, -(-sum(histogram.values()) // tasks))
     salts = [(length, -(-count // share)) for length, count in sorted(histogram.items())]
-    salt = F.pmod(F.xxhash64(id_column, "piece", "ids_crc32"), F.col("_salts"))
+    salt = F.pmod(F.xxhash64("_row"), F.col("_salts"))
     salted = pieces.join(F.broadcast(spark.createDataFrame(salts, "length long, _salts long")), "length").withColumn("_salt", salt)
     before, offsets = {}, []
     for length, s, count in sorted(tuple(r) for r in salted.groupBy("length", "_salt").count().collect()):
         offsets.append((length, s, before.get(length, 0)))
         before[length] = before.get(length, 0) + count
 
-    rank = F.row_number().over(W.partitionBy("length", "_salt").orderBy(id_column, "piece", "ids_crc32"))
+    rank = F.row_number().over(W.partitionBy("length", "_salt").orderBy(id_column, "piece", "ids_crc32", "_row"))
     ranked = (
         salted.withColumn("_rank", rank)
         .join(F.broadcast(spark.createDataFrame(offsets, "length long, _salt long, _before long")), ["length", "_salt"])
-        .select(*pieces.columns, (F.col("_before") + F.col("_rank") - 1).alias("_place"))
+        .select(*found.columns, (F.col("_before") + F.col("_rank") - 1).alias("_place"))
     )
     known = spark.sparkContext.broadcast(runs)
-    schema = T.StructType([*pieces.schema, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    at = pieces.columns.index("length")
+    schema = T.StructType([*found.schema, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    at = found.columns.index("length")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         length, first, each, sequence, offset = known.value.T

@@ -155,9 +155,9 @@ JOIN turns t ON t.slot = d.slot JOIN shards s ON s.k = t.k
 
 ORACLES["op10_chat_formatting"] = f"""
 WITH turns AS (
-    SELECT DISTINCT conv_id, turn, role, text FROM conversations
+    SELECT *, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS own FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)
 ), whole AS (
-    SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY turn NULLS FIRST) AS said FROM turns GROUP BY conv_id
+    SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY turn NULLS FIRST) AS said FROM turns GROUP BY conv_id, own
 ), once AS (
     SELECT said, min(conv_id) AS conv_id FROM whole GROUP BY said
 ), prefixes AS (

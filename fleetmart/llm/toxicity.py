@@ -33,8 +33,9 @@ SHORTEST, LONGEST_GRAM, BUCKETS = 2, 5, 1 << 18
 PER_LABEL = 20_000
 #: Least training texts that have a bucket, and its least absolute ratio; most buckets kept.
 LEAST_TEXTS, LEAST_RATIO, MOST_KEPT = 4, 1.0, 40_000
-#: Weight of the squared length of the coefficients, and rounds of the fit.
-RIDGE, ROUNDS = 0.1, 300
+#: Weight of the squared length of the coefficients; the fit ends where the slope is this share of the first one, and
+#: fails if that takes more passes over the sample than this.
+RIDGE, TOLERANCE, MOST_LOOKS = 0.1, 1e-4, 5000
 #: Most bytes of the sample's buckets that the driver takes.
 SENT_BYTES = 128 << 20
 
@@ -86,24 +87,49 @@ def _losses(z: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
     return float(np.logaddexp(0, np.where(y > 0, -z, z)).sum()), 1 / (1 + np.exp(-np.clip(z, -50, 50))) - y
 
 
-def descend(values: np.ndarray, n: int, squares: float, at: Callable) -> tuple[np.ndarray, float]:
-    """Accelerated gradient steps; ``at`` says for weights by column and a bias the summed loss, offs, and offs by column."""
-    step = 1 / (0.25 * (squares / n * 4 + 1) + RIDGE / n)
-    weights, bias, ahead, ahead_bias = np.zeros(len(values)), 0.0, np.zeros(len(values)), 0.0
-    last = np.inf
-    for t in range(ROUNDS):
-        total, off, by_column = at(ahead * values, ahead_bias)
-        slope = by_column / n * values + RIDGE / n * ahead
-        new, new_bias = ahead - step * slope, ahead_bias - step * off / n
-        loss = total / n
-        if loss > last:  # too long a step: go on from here without the momentum, more carefully
-            step /= 2
-            ahead, ahead_bias, last = weights, bias, np.inf
-            continue
-        pull = t / (t + 3)
-        ahead, ahead_bias = new + pull * (new - weights), new_bias + pull * (new_bias - bias)
-        weights, bias, last = new, new_bias, loss
-    return weights * values, bias
+def _direction(slope: np.ndarray, steps: list[np.ndarray], turns: list[np.ndarray]) -> np.ndarray:
+    """Where to go from here: the slope, bent by the last steps and what they did to it."""
+    way, shares = slope.copy(), []
+    for step, turn in zip(reversed(steps), reversed(turns)):
+        shares.append((step @ way) / (step @ turn))
+        way -= shares[-1] * turn
+    if steps:
+        way *= (steps[-1] @ turns[-1]) / (turns[-1] @ turns[-1])
+    for step, turn, share in zip(steps, turns, reversed(shares)):
+        way += (share - (turn @ way) / (step @ turn)) * step
+    return -way
+
+
+def descend(values: np.ndarray, n: int, at: Callable) -> tuple[np.ndarray, float]:
+    """Quasi-Newton steps until the slope is ``TOLERANCE`` of the first; ``at`` says for weights by column and a bias the
+    summed loss, offs, and offs by column."""
+
+    def look(x: np.ndarray) -> tuple[float, np.ndarray]:
+        total, off, by_column = at(x[:-1] * values, x[-1])
+        return total / n + RIDGE / n * (x[:-1] @ x[:-1]) / 2, np.append(by_column / n * values + RIDGE / n * x[:-1], off / n)
+
+    x = np.zeros(len(values) + 1)
+    loss, slope = look(x)
+    enough, steps, turns, looks = TOLERANCE * np.linalg.norm(slope), [], [], 1
+    while np.linalg.norm(slope) > enough:
+        way = _direction(slope, steps, turns)
+        length = 1.0 if steps else min(1.0, 1 / np.linalg.norm(slope))
+        while True:
+            if looks == MOST_LOOKS:
+                raise RuntimeError(f"the fit has not converged in {MOST_LOOKS} passes over the sample")
+            new = x + length * way
+            new_loss, new_slope = look(new)
+            looks += 1
+            if new_loss <= loss + 1e-4 * length * (slope @ way) or length < 1e-12:
+                break
+            length /= 2
+        step, turn = new - x, new_slope - slope
+        if length < 1e-12:  # as low as numbers go
+            break
+        if step @ turn > 1e-12 * (turn @ turn):
+            steps, turns = [*steps[-9:], step], [*turns[-9:], turn]
+        x, loss, slope = new, new_loss, new_slope
+    return x[:-1] * values, float(x[-1])
 
 
 def fit(values: np.ndarray, row: np.ndarray, column: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
@@ -113,7 +139,7 @@ def fit(values: np.ndarray, row: np.ndarray, column: np.ndarray, y: np.ndarray)
         total, off = _losses(bias + np.bincount(row, weights=weights[column], minlength=len(y)), y)
         return total, float(off.sum()), np.bincount(column, weights=off[row], minlength=len(values))
 
-    return descend(values, len(y), float((values[column] ** 2).sum()), at)
+    return descend(values, len(y), at)
 
 
 def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -138,7 +164,7 @@ def fit_in_tasks(values: np.ndarray, stored: DataFrame) -> tuple[np.ndarray, flo
             found[r[0]] = r[1]
         return found
 
-    first = summed(lambda row, column, y: np.append(np.bincount(column, minlength=k), [len(y), 0]))
+    rows = stored.count()
 
     def at(weights: np.ndarray, bias: float) -> tuple[float, float, np.ndarray]:
         sent = stored.sparkSession.sparkContext.broadcast((weights, bias))
@@ -152,7 +178,7 @@ def fit_in_tasks(values: np.ndarray, stored: DataFrame) -> tuple[np.ndarray, flo
         sent.unpersist()
         return found[k], found[k + 1], found[:k]
 
-    return descend(values, int(first[k]), float(first[:k] @ values**2), at)
+    return descend(values, rows, at)
 
 
 def train(

@@ -6,14 +6,14 @@ from fleetmart.llm import chat
 def plain(rows):
     """Every conversation against every other one."""
     own = {}
-    for conversation, turn, role, text in set(rows):
-        own.setdefault(conversation, []).append((turn, role, text))
+    for nth, (conversation, turn, role, text) in enumerate(set(rows)):
+        own.setdefault(("row", nth) if conversation is None else conversation, []).append((turn, role, text))
     whole = {c: [t[1:] for t in sorted(ts, key=lambda t: t[0])] for c, ts in own.items()}
     for c, turns in whole.items():
         longer = any(len(o) > len(turns) and o[: len(turns)] == turns for o in whole.values())
-        equal = [k for k, o in whole.items() if o == turns and k is not None]
-        if not longer and c == (min(equal) if equal else None):
-            yield c, len(turns), "".join(f"<|im_start|>{r or ''}\n{t or ''}<|im_end|>\n" for r, t in turns)
+        equal = [k for k, o in whole.items() if o == turns]
+        if not longer and c == min(equal, key=lambda k: (isinstance(k, tuple), k)):
+            yield None if isinstance(c, tuple) else c, len(turns), "".join(f"<|im_start|>{r or ''}\n{t or ''}<|im_end|>\n" for r, t in turns)
 
 
 def test_against_every_pair(frame):
@@ -37,6 +37,16 @@ def test_ties_and_nulls(frame):
     assert found[2]["text"].endswith("<|im_start|>\n<|im_end|>\n")
 
 
+def test_rows_without_an_id_stand_alone(spark, frame):
+    """Most rows have none, and most of these are one row again and again."""
+    rows = [(None, 0, "user", "again")] * 300 + [(None, k % 3, "user", f"own {k}") for k in range(50)] + [(None, None, None, None), (None, 1, "user", "")]
+    rows += [(1, 0, "user", "own 1"), (1, 1, "user", "more"), (2, 0, "user", "own 2"), (3, 0, "user", "again"), (3, 1, "user", "own 4")]
+    found = chat.format_chats(frame("conv_id long, turn int, role string, text string", *rows).repartition(4))
+    expected = sorted(plain(rows), key=str)
+    assert sorted((tuple(r) for r in found.collect()), key=str) == expected and len(expected) == 53
+    assert max(r["count"] for r in chat._turns(frame("conv_id long, turn int, role string, text string", *set(rows)), "conv_id", "turn", "role", "text").groupBy("key").count().collect()) == 2
+
+
 def test_empty_table(frame):
     assert chat.format_chats(frame("conv_id long, turn int, role string, text string")).collect() == []
 
