@@ -4,10 +4,10 @@ import re
 from collections import Counter
 
 import corpus_pipeline as pipeline
-from fleetmart.llm import decontamination, packing, quality, queries, toxicity
+from fleetmart.llm import decontamination, packing, queries, toxicity
 from tests.llm.test_decontamination import plain
 from tests.llm.test_near_dup import plain_components, plain_fingerprint
-from tests.llm.test_quality import plain_counts, plain_measures
+from tests.llm.test_quality import plain_counts, plain_measures, plain_rule
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -28,14 +28,11 @@ def test_stages(spark):
         if name == "toxicity":
             expected = {r["doc_id"] for r in before if model.score(r["text"]) < 0.5}
         elif name == "quality_rules":
-            ratio = quality.np.log(plain_counts([r["text"] for r in before if r["doc_id"] in trusted]) + 1)
-            ratio -= quality.np.log(quality.np.exp(ratio).sum())
-            corpus = plain_counts([r["text"] for r in before]) + 1
-            ratio -= quality.np.log(corpus / corpus.sum())
+            ratio, threshold = plain_rule([(r["doc_id"], r["text"]) for r in before], [(k, 1) for k in trusted])
             expected = set()
             for r in before:
                 own, counts = plain_measures(r["text"]), plain_counts([r["text"]])
-                if own[0] >= 20 and 100 * own[4] <= 30 * own[0] and counts @ ratio / counts.sum() >= quality.THRESHOLD:
+                if own[0] >= 20 and 100 * own[4] <= 30 * own[0] and counts @ ratio / counts.sum() >= threshold:
                     expected.add(r["doc_id"])
         elif name == "simhash_near_dedup":
             root = plain_components({r["doc_id"]: plain_fingerprint(r["text"]) for r in before}, 4)

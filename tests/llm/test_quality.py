@@ -53,19 +53,37 @@ def plain_counts(texts):
     return counts
 
 
+def plain_rule(docs, labels):
+    """Ratios and threshold, each trusted text against counts made without it."""
+    good = {k for k, q in labels if q == 1 and k is not None}
+    corpus, trusted = plain_counts([t for _, t in docs]) + 1, [t for k, t in docs if k in good]
+    corpus /= corpus.sum()
+
+    def ratio(counts):
+        counts = counts + counts.sum() / 8 * corpus
+        return np.log(counts / counts.sum()) - np.log(corpus) if counts.sum() else np.zeros(quality.BUCKETS)
+
+    scores, own = [], [plain_counts([t]) for t in trusted]
+    whole = sum(own, np.zeros(quality.BUCKETS))
+    for text, counts in zip(trusted, own):
+        base, others = plain_measures(text), ratio(whole - counts)
+        if base[0] >= 20 and 100 * base[4] <= 30 * base[0] and others.any():
+            scores.append(counts @ others / counts.sum())
+    if not scores:
+        return ratio(whole), -0.25
+    spread = max(max(scores) - min(scores), -min(scores))
+    return ratio(whole), min(-0.25, min(scores) - spread * max(0.25, 2.5 / len(scores) ** 0.5))
+
+
 def check(spark, found, docs, labels):
     """Every column of ``found`` against counts made in plain Python."""
-    good = {k for k, q in labels if q == 1 and k is not None}
-    corpus, trusted = plain_counts([t for _, t in docs]) + 1, plain_counts([t for k, t in docs if k in good]) + 1
-    ratio = np.log(trusted / trusted.sum()) - np.log(corpus / corpus.sum())
-    if not any(k in good and plain_words(t) for k, t in docs):
-        ratio[:] = 0
+    ratio, threshold = plain_rule(docs, labels)
     expected = []
     for k, text in docs:
         own, counts = plain_measures(text), plain_counts([text])
         bad = own[0] < 20 or 100 * own[4] > 30 * own[0]
         mean = float(counts @ ratio / counts.sum()) if counts.sum() else 0.0
-        expected.append((k, *own, bad, mean, not bad and mean >= quality.THRESHOLD))
+        expected.append((k, *own, bad, mean, not bad and mean >= threshold))
     key = lambda r: str(r[:6])
     for a, b in zip(sorted(map(tuple, found), key=key), sorted(expected, key=key), strict=True):
         assert a[:7] == b[:7] and a[8] == b[8] and math.isclose(a[7], b[7], abs_tol=1e-9), (a, b)
@@ -77,6 +95,7 @@ def test_against_plain_counts(spark, frame, monkeypatch):
     d, lab = frame("doc_id long, text string", *docs).selectExpr("*", "1 as score", "true as _trusted"), frame("doc_id long, quality int", *labels)
     check(spark, quality.rate(d, lab).collect(), docs, labels)
     monkeypatch.setattr(quality, "SENT_IDS", 1)
+    monkeypatch.setattr(quality, "COUNTED", 100)
     check(spark, quality.rate(d, lab).collect(), docs, labels)
     kept = quality.keep_good(d, quality.ratios(d, lab))
     assert kept.columns == d.columns
@@ -96,3 +115,28 @@ def test_query_on_the_smallest_tables(spark):
     docs = [(r["doc_id"], r["text"]) for r in queries.table(spark, folder, "documents").collect()]
     labels = [(r["doc_id"], r["quality"]) for r in queries.table(spark, folder, "labels").collect()]
     check(spark, queries.QUERIES["op9_quality_rules"](spark, folder).collect(), docs, labels)
+
+
+def test_few_trusted_texts_lose_no_good_ones(spark):
+    """Of the documents kept with all labels less than a twentieth is lost with some of them, or with few of a language."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = queries.table(spark, folder, "documents"), queries.table(spark, folder, "labels")
+    good = sorted(r["doc_id"] for r in labels.where("quality = 1").select("doc_id").distinct().collect())
+    german = {r["doc_id"] for r in docs.where("lang = 'de'").select("doc_id").collect()}
+    draw = random.Random(4).sample
+    sets = [good, draw(good, 10), draw(good, 40), [k for k in good if k not in german] + draw([k for k in good if k in german], 48)]
+    own = []
+    for r in docs.select("text").collect():
+        words = (r["text"] or "").encode().split()
+        if len(words) >= 20 and not quality.failed(len(words), quality.repeated_words(words)):
+            own.append(np.concatenate(list(quality.buckets(words))))
+    ends = np.cumsum([len(b) for b in own])
+    found = []
+    for some in sets:
+        rule = quality.ratios(docs, spark.createDataFrame([(k, 1) for k in some], "doc_id long, quality int"))
+        sums = np.add.reduceat(rule.ratio[np.concatenate(own)], np.append(0, ends[:-1]))
+        found.append(sums / np.diff(ends, prepend=0) >= rule.threshold)
+    assert found[0].sum() > 8000
+    assert [bool((found[0] & ~few).sum() < 0.05 * found[0].sum()) for few in found[1:]] == [True] * 3
+    poor = {r["doc_id"] for r in labels.where("quality = 0").select("doc_id").distinct().collect()}
+    assert found[0].sum() < len(own) - len(poor) / 3, "most of the poor documents go"
