@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fleetmart.operators.lookup import lookup
+from fleetmart.operators.lookup import fits_broadcast, heavy_keys, lookup
 from fleetmart.session import materialize
 
 # raw column, dimension, natural key, surrogate key, column of the fact
@@ -24,11 +24,14 @@ ORDER_KEYS = (
 def resolve_order_keys(orders: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Replace the natural keys of delivered orders by surrogate keys.
 
-    A key without a match becomes NULL; the row stays.
+    A key without a match becomes NULL; the row stays. The hot keys of all
+    columns that look into a large dimension are found in one pass.
     """
     resolved = orders
+    far = [raw for raw, dim, natural, surrogate, _ in ORDER_KEYS if not fits_broadcast(dims[dim].select(natural, surrogate))]
+    hot = heavy_keys(orders, far) if far else {}
     for raw, dim, natural, surrogate, column in ORDER_KEYS:
-        resolved = lookup(resolved, dims[dim], (raw, natural), {surrogate: column}, keys_from=orders).drop(raw)
+        resolved = lookup(resolved, dims[dim], (raw, natural), {surrogate: column}, keys_from=orders, hot=hot.get(raw)).drop(raw)
     return resolved
 
 

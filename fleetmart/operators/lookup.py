@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 LIMIT_SETTING = "spark.fleetmart.broadcastBytes"
 ROW_OVERHEAD = 32
 ESTIMATE_MARGIN = 16  # rows in memory against compressed columns on disk
+# Values that a sketch of frequent keys keeps count of: at least, and as many as Spark allows.
+TRACKED, TRACKED_MOST = 10_000, 1_000_000
 KINDS = ("left", "inner", "left_semi", "left_anti")
 
 
@@ -63,6 +65,30 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
     return spark.createDataFrame(found, T.StructType([T.StructField("_key", df.schema[key].dataType)]))
 
 
+def heavy_keys(df: DataFrame, keys: Sequence[str]) -> dict[str, DataFrame]:
+    """The hot keys of several columns, found in one pass.
+
+    Each task keeps a sketch of the most frequent values per column, and the
+    sketches are merged: nothing is shuffled by key. Counts are estimates, so a
+    key may be named that is just not hot, which costs nothing but a place in a
+    small broadcast; one that is hot isn't missed, as far more values are
+    tracked than can be hot. NULL is no key here.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tracked = min(TRACKED_MOST, max(TRACKED, 8 * parts))
+    sketches = [F.expr(f"approx_top_k(`{k}`, {min(parts, tracked)}, {tracked})").alias(f"_{n}") for n, k in enumerate(keys)]
+    found = df.agg(F.count(F.lit(1)).alias("_total"), *sketches).first()
+    least = max(found["_total"] // parts, 1)
+    return {
+        k: spark.createDataFrame(
+            [(x["item"],) for x in found[f"_{n}"] if x["count"] > least and x["item"] is not None],
+            T.StructType([T.StructField("_key", df.schema[k].dataType)]),
+        )
+        for n, k in enumerate(keys)
+    }
+
+
 def lookup(
     fact: DataFrame,
     dim: DataFrame,
@@ -72,6 +98,7 @@ def lookup(
     limit: int | None = None,
     fact_unique: bool = False,
     keys_from: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add columns of ``dim`` to ``fact``.
 
@@ -82,7 +109,8 @@ def lookup(
     A dim small enough is broadcast: the fact is not shuffled. Otherwise see
     ``_spread_join``; ``fact_unique`` says that no key occurs twice in the
     fact, and ``keys_from`` names a cheaper source of the fact's keys to look
-    for hot ones.
+    for hot ones. ``hot`` are keys known to be hot (``heavy_keys``), for a dim
+    that is known to be too large.
     """
     if how not in KINDS or (take and how in ("left_semi", "left_anti")):
         raise ValueError(f"a {how} lookup that takes {list(take)}")
@@ -91,9 +119,10 @@ def lookup(
         F.col(dim_key).alias("_key"), *[F.col(c).alias(new) for c, new in take.items()]
     ).where(F.col("_key").isNotNull())
 
-    if fits_broadcast(dim, limit):
+    if hot is None and fits_broadcast(dim, limit):
         return fact.join(F.broadcast(dim), F.col(fact_key) == F.col("_key"), how).drop("_key")
-    hot = None if fact_unique else hot_keys(keys_from if keys_from is not None else fact, fact_key)
+    if hot is None and not fact_unique:
+        hot = hot_keys(keys_from if keys_from is not None else fact, fact_key)
     return _spread_join(fact, dim, fact_key, list(take.values()), how, hot)
 
 

@@ -519,3 +519,15 @@ ORACLES["indexed_upsert"] = f"""WITH stored AS (
 )
 SELECT external_order_id, price + CASE WHEN again THEN 1 ELSE 0 END AS price, buckets_read, keys_found FROM stored, numbers
 UNION ALL SELECT external_order_id, price, buckets_read, keys_found FROM new, numbers"""
+
+# Keys resolved where no dimension is small enough to be sent; default times; columns too many; a round trip.
+ORACLES |= {
+    "resolve_keys_far": ORACLES["resolve_keys"],
+    "insert_without_times": """SELECT row_number() OVER (ORDER BY first) AS customer_id, 'cust_ext_' || o_custkey AS external_id, true AS recent
+FROM (SELECT o_custkey, min(o_orderkey) AS first FROM orders GROUP BY o_custkey)""",
+    "unknown_columns": """SELECT row_number() OVER (ORDER BY c_custkey) AS customer_id, 'cust_ext_' || c_custkey AS external_id, c_custkey % 3 AS tip, true AS refused
+FROM customer""",
+    "round_trip": """SELECT 'orders' AS name, count(*) AS n, true AS same FROM orders UNION ALL SELECT 'customers', count(*), true FROM customer
+UNION ALL SELECT 'drivers', count(*), true FROM supplier UNION ALL SELECT 'locations', count(*), true FROM part
+UNION ALL SELECT name, n, true FROM (VALUES ('tariffs', 5), ('order_statuses', 6)) t(name, n)""",
+}

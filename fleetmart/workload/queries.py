@@ -26,12 +26,13 @@ from fleetmart.contracts import (
 from fleetmart.functions import text
 from fleetmart.operators import deletes, quality
 from fleetmart.operators.dedup import keep_first
+from fleetmart.operators.fingerprint import same_rows
 from fleetmart.operators.keys import assign_keys, resolve_order_keys
 from fleetmart.operators.lookup import LIMIT_SETTING
 from fleetmart.operators.merge import add_defaults, insert_if_absent, upsert
 from fleetmart.plans import changes, generate, marts, pipelines
 from fleetmart.plans.cleaners import CLEANERS, clean_orders
-from fleetmart.plans.export import export_dimension, export_orders
+from fleetmart.plans.export import export_all, export_dimension, export_orders
 from fleetmart.session import scratch_path
 from fleetmart.sources import key_index
 from fleetmart.sources.csv_files import POSITION, query, read_csv, write_csv
@@ -337,6 +338,61 @@ def resolve_keys(v: Views) -> DataFrame:
     return resolve_order_keys(raw, {**v.dims, "drivers": known})
 
 
+@register
+def resolve_keys_far(v: Views) -> DataFrame:
+    with _nothing_is_sent(v.spark):
+        return resolve_keys(v)
+
+
+@register
+def insert_without_times(v: Views) -> DataFrame:
+    """Customers signed up by their orders without a time get that of the insert."""
+    batch = v.table("orders").select(
+        F.concat(F.lit("cust_ext_"), F.col("o_custkey").cast("string")).alias("external_id"),
+        F.lit("by order").alias("name"),
+        F.lit(None).cast("string").alias("phone"),
+        F.lit(None).cast("string").alias("email"),
+        "o_orderkey",
+    )
+    added = insert_if_absent(v.customers.limit(0), add_defaults(batch, CUSTOMERS), CUSTOMERS, ["o_orderkey"])
+    now = F.expr("created_at BETWEEN current_timestamp() - INTERVAL 1 HOUR AND current_timestamp() + INTERVAL 1 HOUR")
+    return added.select("customer_id", "external_id", now.alias("recent"))
+
+
+@register
+def unknown_columns(v: Views) -> DataFrame:
+    """A customer file with a column too many: refused, or loaded with the column's values put aside."""
+    warehouse = init_warehouse(v.spark, scratch_path(v.spark, "unknown"))
+    rows = v.customers.withColumns({"_file": F.lit("f"), "_block": F.lit(0), "_row": F.col("customer_id"), "tip": F.col("customer_id") % 3})
+    rows = rows.drop("customer_id").withColumn(quality.VIOLATIONS, F.lit(""))
+    refused = False
+    try:
+        pipelines.load_dimension(warehouse, CUSTOMERS, rows, f"{warehouse.root}/staging")
+    except quality.QualityError:
+        refused = warehouse.read("customers").isEmpty()
+    pipelines.load_dimension(warehouse, CUSTOMERS, rows, f"{warehouse.root}/staging", "quarantine")
+    aside = v.spark.read.parquet(f"{warehouse.root}/unknown/customers").select("external_id", "tip")
+    stored = warehouse.read("customers").select("customer_id", "external_id")
+    return stored.join(aside, "external_id").withColumn("refused", F.lit(refused))
+
+
+@register
+def round_trip(v: Views) -> DataFrame:
+    """A generated warehouse of the tables' sizes, exported and loaded again: the same rows, by fingerprints."""
+    sizes = {n: v.table(t).count() for n, t in (("orders", "orders"), ("customers", "customer"), ("drivers", "supplier"), ("locations", "part"))}
+    folder = scratch_path(v.spark, "round_trip")
+    made = generate.generate_warehouse(v.spark, f"{folder}/made/gold", **sizes)
+    export_all(made, f"{folder}/raw")
+    back = pipelines.run_full(v.spark, f"{folder}/raw", f"{folder}/back")
+    seen = []
+    for name in (*sizes, "tariffs", "order_statuses"):
+        one, other = (w.read(name).drop(*(["order_id"] if name == "orders" else [])) for w in (made, back))
+        if name == "order_statuses":
+            one = one.withColumn("name", F.lower("name"))
+        seen.append((name, other.count(), same_rows(one, other)))
+    return v.spark.createDataFrame(seen, "name string, n long, same boolean")
+
+
 @register
 def insert_customers(v: Views) -> DataFrame:
     """Customers in credit are stored. Every order signs its customer up again:

@@ -1,9 +1,10 @@
+import decimal
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from fleetmart.operators.lookup import KINDS, LIMIT_SETTING, fits_broadcast, hot_keys, lookup, measured_bytes
+from fleetmart.operators.lookup import KINDS, LIMIT_SETTING, fits_broadcast, heavy_keys, hot_keys, lookup, measured_bytes
 from tests.conftest import rows
 
 FORCE_SHUFFLE = -1
@@ -80,6 +81,16 @@ def test_hot_keys_are_few(skewed):
     assert {r[0] for r in hot_keys(fact, "k").collect()} == {"hot", None}
 
 
+def test_heavy_keys_of_all_columns_at_once(spark, skewed):
+    _, fact, dim = skewed
+    wide = fact.withColumns({"m": F.when(F.col("n") % 2 == 0, 7).otherwise(F.col("n") + 100), "one": F.lit("1").cast("decimal(5,2)")})
+    found = {c: {r[0] for r in df.collect()} for c, df in heavy_keys(wide, ["k", "m", "one", "n"]).items()}
+    assert found == {"k": {"hot"}, "m": {7}, "one": {decimal.Decimal("1.00")}, "n": set()}
+    assert {c: df.isEmpty() for c, df in heavy_keys(wide.limit(0), ["k", "m"]).items()} == {"k": True, "m": True}
+    plain = rows(lookup(fact, dim, ("k", "name"), {"id": "x"}, "left"))
+    assert rows(lookup(fact, dim, ("k", "name"), {"id": "x"}, "left", hot=heavy_keys(fact, ["k"])["k"])) == plain
+
+
 def test_no_reducer_gets_a_hot_key(spark, skewed):
     """Rows per reducer after the spread, with four reducers and 900 rows."""
     _, fact, dim = skewed
