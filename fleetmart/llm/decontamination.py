@@ -5,14 +5,19 @@ Both get a SimHash over their shingles of five words (all words of a shorter ite
 multi-index finds the items near a window: fingerprints are cut into ``BLOCKS`` blocks, so two within ``RADIUS`` bits
 differ in at most RADIUS // BLOCKS bits of some block, and every such block value is looked up. Items found are
 verified exactly: weighted Jaccard similarity of the shingles (common over joint weight) of at least ``SIMILARITY``. At
-that similarity two fingerprints differ in 10 bits on average, in more than 20 in one case of some thousands.
+that similarity two fingerprints differ in 10 bits on average, in more than 20 in one case of some thousands. The fewer
+shingles, the more a fingerprint owes to each; items of at most ``FEW`` different ones are therefore compared with every
+window that has enough of them, without a fingerprint: none of their windows is missed.
+
+An item of fewer than five words is found in no longer text, where its words may stand by chance: it matches only
+documents that consist of just these words.
 
 A window needs a certain number of shingles that some item has, or no item can be similar enough; windows without them
 are passed over before any fingerprint is made.
 
 Words are lower-cased runs of word characters. Items without a word match nothing, nor do documents without. The index
 is sent to all tasks; a benchmark beyond ``BLOCK_CHARS`` characters is dealt to several indexes, with a pass over the
-documents for each. Repeated items are all reported, repeated documents too, each row by itself. Other columns are
+documents for each. It has every text once, whatever the number of items with it. Repeated items are all reported, repeated documents too, each row by itself. Other columns are
 ignored, whatever their names. No documents or no items: no rows.
 """
 
@@ -27,11 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 from xxhash import xxh64_intdigest
 
 SHINGLE, SIMILARITY = 5, 0.8
 BLOCKS, RADIUS = 7, 20
+#: Most different shingles of an item that is compared without fingerprints.
+FEW = 16
 #: Characters of the benchmark in one index, about; shingles of a document taken together.
 BLOCK_CHARS, SLAB = 32_000_000, 1 << 15
 
@@ -87,6 +93,12 @@ class Index:
         self.shingle = np.minimum(self.sizes, SHINGLE)
         self.weights = [weights(words, min(len(words), SHINGLE)) for _, words in known]
         hashes = [shingle_hashes(words, min(len(words), SHINGLE)) for _, words in known]
+        # Items of few shingles: (size, different shingles, how often each), and which of them have a shingle.
+        self.simple = {i: (len(known[i][1]), *np.unique(h, return_counts=True)) for i, h in enumerate(hashes) if len(np.unique(h)) <= FEW}
+        self.having: dict[int, list[int]] = {}
+        for i, (_, own, _) in self.simple.items():
+            for h in own.tolist():
+                self.having.setdefault(h, []).append(i)
         self.prints = np.array([simhashes(h, np.zeros(1, np.int64), len(h))[0] for h in hashes], dtype=np.uint64)
         # By shingle length: all shingles in order, and a bit map of their first bits that passes over most others.
         self.members = {}
@@ -125,7 +137,7 @@ class Index:
     def windows(self, words: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(size of items, shingle length, starts, fingerprints) of the windows that may be similar to some item."""
         for size, (own, present, shift, item_sizes) in self.members.items():
-            if len(words) < size:
+            if len(words) < size or (size < SHINGLE and len(words) > size):
                 continue
             whole = shingle_hashes(words, size)
             maybe = np.flatnonzero(present[whole >> shift])
@@ -154,13 +166,41 @@ class Index:
                         sums = running_votes(part) if sums is None else sums
                         yield n, size, starts + begin, simhashes(part, starts, width, sums)
 
+    def repeats(self, words: list[str]) -> Iterator[tuple[int, float, int, int]]:
+        """The same as ``find`` for items of few shingles, each compared with all windows by running counts."""
+        if len(words) < SHINGLE or not self.simple:
+            return
+        whole = shingle_hashes(words, SHINGLE)
+        own, present, shift, _ = self.members.get(SHINGLE, (None, None, None, None))
+        if own is None:
+            return
+        maybe = np.flatnonzero(present[whole >> shift])
+        asked = {i for h in set(whole[maybe].tolist()) for i in self.having.get(h, ()) if self.sizes[i] >= SHINGLE}
+        for i in sorted(asked):
+            n, shingles, weight = self.simple[i]
+            width, total = min(n - SHINGLE + 1, len(whole)), int(weight.sum())
+            best = (0.0, 0)
+            for begin in range(0, len(whole) - width + 1, SLAB):
+                part = whole[begin : begin + SLAB + width - 1]
+                common = np.zeros(len(part) - width + 1, np.int64)
+                for shingle, most in zip(shingles, weight.tolist()):
+                    seen = np.concatenate(([0], np.cumsum(part == shingle)))
+                    common += np.minimum(seen[width:] - seen[:-width], most)
+                top = int(common.argmax())
+                found = int(common[top]) / (total + width - int(common[top]))
+                if found > best[0]:
+                    best = (found, begin + top)
+            if best[0] >= self.least:
+                yield i, best[0], best[1], min(n, len(words) - best[1])
+
     def find(self, text: str | None) -> list[tuple[int, float, int, int]]:
         """(item, similarity, first word, words) of each item that some window repeats, at its best window."""
-        words, best = words_of(text), {}
+        words = words_of(text)
+        best = {i: (found, w, n) for i, found, w, n in self.repeats(words)}
         for n, size, starts, prints in self.windows(words):
             window, item = self.near(prints, n)
             for w, i in zip(starts[window].tolist(), item.tolist(), strict=True):
-                if i in best and best[i][0] == 1:
+                if (i in best and best[i][0] == 1) or (size == SHINGLE and i in self.simple):
                     continue
                 own = words[w : w + n]
                 found = similarity(self.weights[i], weights(own, size))
@@ -169,9 +209,10 @@ class Index:
         return [(i, *best[i]) for i in sorted(best)]
 
 
-def indexes(benchmark: DataFrame, item_column: str = "item_id", text_column: str = "text") -> Iterator[Index]:
-    """The benchmark as one index, or as several of bounded size."""
-    items = benchmark.select(F.col(item_column).alias("item"), F.col(text_column).alias("text")).where("text is not null")
+def indexes(benchmark: DataFrame, text_column: str = "text") -> Iterator[Index]:
+    """The benchmark's texts as one index, or as several of bounded size; a text's id is its hash."""
+    texts = benchmark.select(F.col(text_column).alias("text")).where("text is not null").distinct()
+    items = texts.select(F.md5("text").alias("item"), "text")
     chars = items.agg(F.sum(F.length("text").cast("long") + 1)).first()[0] or 0
     parts = -(-chars // BLOCK_CHARS)
     for part in range(parts):
@@ -183,12 +224,11 @@ def matches(
     docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id"
 ) -> DataFrame:
     """(id, item id, similarity, first word, words): one row for each document and item that it repeats."""
-    item = T.StructField("item_id", benchmark.schema[item_column].dataType)
-    schema = T.StructType([docs.schema[id_column], item, T.StructField("similarity", T.DoubleType())])
+    schema = T.StructType([docs.schema[id_column], T.StructField("_item", T.StringType()), T.StructField("similarity", T.DoubleType())])
     schema = schema.add("start_word", "long").add("n_words", "long")
-    kind, items = pa.int64(), to_arrow_type(item.dataType)
+    kind = pa.int64()
     found = docs.sparkSession.createDataFrame([], schema)
-    for index in indexes(benchmark, item_column):
+    for index in indexes(benchmark):
         sent = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -196,13 +236,15 @@ def matches(
             for batch in batches:
                 rows = [(k, *hit) for k, text in enumerate(batch.column(1)) for hit in own.find(text.as_py())]
                 where, hit, similar, start, size = zip(*rows, strict=True) if rows else ((),) * 5
-                columns = [batch.column(0).take(pa.array(where, kind)), pa.array([own.ids[i] for i in hit], items), pa.array(similar, pa.float64())]
+                columns = [batch.column(0).take(pa.array(where, kind)), pa.array([own.ids[i] for i in hit], pa.string()), pa.array(similar, pa.float64())]
                 columns += [pa.array(start, kind), pa.array(size, kind)]
                 if rows:
                     yield pa.RecordBatch.from_arrays(columns, schema.names)
 
         found = found.union(docs.select(id_column, text_column).mapInArrow(run, schema))
-    return found
+    # The items come to their texts at the end.
+    named = benchmark.where(F.col("text").isNotNull()).select(F.md5("text").alias("_item"), F.col(item_column).alias("item_id"))
+    return found.join(named, "_item").select(id_column, "item_id", "similarity", "start_word", "n_words")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text_column: str = "text") -> DataFrame:

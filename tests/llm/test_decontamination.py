@@ -14,7 +14,9 @@ def plain(text, item, least=0.8):
     words, own = re.findall(r"\w+", (text or "").lower()), re.findall(r"\w+", (item or "").lower())
     if not own:
         return 0.0
-    size = min(5, len(own))
+    if len(own) < 5:
+        return float(words == own)
+    size = 5
     cut = lambda w: Counter(tuple(w[k : k + size]) for k in range(len(w) - size + 1))
     best, goal = 0.0, cut(own)
     for at in range(max(1, len(words) - len(own) + 1)):
@@ -30,9 +32,9 @@ def corpus(seed=4):
     make = lambda n: " ".join(rng.choices(vocabulary, k=n))
     items = [(k, make(rng.choice([1, 3, 5, 9, 14, 30, 60]))) for k in range(40)] + [(90, None), (91, ""), (92, "?!")]
     docs = []
-    for k in range(150):
+    for k in range(200):
         words = make(rng.randint(0, 200)).split()
-        for _ in range(rng.choice([0, 0, 1, 2])):
+        for _ in range(rng.choice([0, 3, 4, 5])):
             own = (rng.choice(items[:40])[1]).split()
             for _ in range(rng.choice([0, 0, 1, 3])):
                 own[rng.randrange(len(own))] = rng.choice(vocabulary)
@@ -40,7 +42,9 @@ def corpus(seed=4):
             at = rng.randint(0, len(words))
             words[at:at] = own
         docs.append((k, rng.choice([" ", ", ", "\n"]).join(words).title() if k % 3 else " ".join(words)))
-    return docs + [(200, items[9][1]), (201, None), (202, ""), (203, " ".join(items[30][1].split()[:-1]))], items
+    short = next(item for _, item in items[:40] if len(item.split()) == 3)
+    docs += [(310, short), (311, short.upper() + "!"), (312, f"{short} more"), (313, short.split()[0])]
+    return docs + [(300, items[9][1]), (301, None), (302, ""), (303, " ".join(items[30][1].split()[:-1]))], items
 
 
 def test_near_finds_all_within_the_radius():
@@ -77,6 +81,29 @@ def test_against_every_window(spark, frame, monkeypatch, chars, slab):
         assert sorted(r["doc_id"] for r in kept.collect()) == sorted({k for k, _ in docs} - {k for k, _ in expected})
 
 
+@pytest.mark.parametrize("different", [1, 2, 3, 8, 16])
+@pytest.mark.parametrize("slab", [1 << 15, 32])
+def test_items_of_few_shingles_are_never_missed(monkeypatch, different, slab):
+    """Words that go round, shifted, cut short or changed in places, against every window."""
+    monkeypatch.setattr(dec, "SLAB", slab)
+    rng = random.Random(different)
+    items, docs = [], []
+    for k in range(12):
+        ring = [f"r{k}x{j}" for j in range(different)]
+        size = rng.randint(max(6, different), 120)
+        items.append((k, " ".join(ring[j % different] for j in range(size))))
+        for shift in (0, 1):
+            words = [ring[(j + shift) % different] for j in range(size - rng.choice([0, 0, 2]))]
+            for _ in range(rng.choice([0, 0, 1])):
+                words[rng.randrange(len(words))] = "other"
+            docs.append(" ".join(["before"] * rng.choice([0, 3, 40]) + words + ["after"] * rng.choice([0, 50])))
+    index = dec.Index(items)
+    assert len(index.simple) == 12
+    found = {(d, index.ids[i]): s for d, text in enumerate(docs) for i, s, _, _ in index.find(text)}
+    expected = {(d, i): s for d, text in enumerate(docs) for i, item in items if (s := plain(text, item)) >= 0.8}
+    assert found == expected and len(expected) >= 12
+
+
 def test_slabs_and_places():
     words = [f"x{k}" for k in range(1 << 16)]
     words[40000:40000] = [f"i{k}" for k in range(33)]
@@ -86,7 +113,7 @@ def test_slabs_and_places():
 
 def test_odd_rows(frame):
     docs = frame("doc_id long, text string", (1, "one two three four five six seven"), (1, "one two three four five six seven"), (None, "one two three four five six seven"), (2, None))
-    items = frame("item_id long, text string", (7, "One two, three four five six!"), (7, "One two, three four five six!"), (None, "four five"), (8, None))
+    items = frame("item_id long, text string", (7, "One two, three four five six!"), (7, "One two, three four five six!"), (None, "two three four five six"), (8, None), (9, "four five"))
     found = sorted(((r["doc_id"], r["item_id"]) for r in dec.matches(docs, items).collect()), key=str)
     assert found == sorted([(1, 7)] * 4 + [(1, None)] * 2 + [(None, 7)] * 2 + [(None, None)], key=str)
     none = docs.limit(0)
