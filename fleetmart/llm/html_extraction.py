@@ -6,7 +6,8 @@ occurrences on every page of the host, were written by the same part of the temp
 at least ``LEAST_PAGES`` different pages and holds a tag of its own; a text that many articles quote has no tag that
 comes and goes with it. Classes nest as their tags' elements do. What the template leaves open are its slots; the text
 is that of the slots inside the article (where a page has one, or else of the page), outside menus, headers, footers,
-sidebars, notices, adverts, forms and comments, which are told by element, role and class. A class or id counts as a
+sidebars, notices, adverts, forms and comments, which are told by element, role and class. A form around an article,
+or around all text of the page, is no form to be filled in: what it holds stays. A class or id counts as a
 whole (``cookie-notice`` is one, ``no-header`` isn't), and none tells of an article, a main element, what holds them, or
 the headings and paragraphs inside; sections inside are left to the template unless named as comments, adverts and such.
 
@@ -68,8 +69,9 @@ NAME_REST = frozenset(
 SECTION_NAMES = frozenset("ad ads advert advertisement cookie cookies comment comments replies respond disqus newsletter sidebar".split())
 HEADS = frozenset("p h1 h2 h3 h4 h5 h6 hgroup".split())
 MAIN = frozenset(("article", "main"))
-# Where an element stands: kept; in an article that a named element holds, kept if the page has no other; in a named element; outside.
-KEPT, SPARE, NAMED, OUT = range(4)
+# Where an element stands: kept; in an article that a named element holds, kept if the page has no other; in a form,
+# kept if the page has no text beside it, as the form then holds the page; in a named element; outside.
+KEPT, SPARE, FORM, NAMED, OUT = range(5)
 # No menu or page header holds the article.
 NO_ARTICLE = ("nav", "head", "header")
 
@@ -110,6 +112,7 @@ class Page:
         self._parts: list[str] = []
         self._linked = 0
         self._spare: list[Block] = []
+        self._form: list[Block] = []
         # Open elements: name, path, where it stands, whether it lies in an article, its number of links.
         # Inline elements are held only if one of these changes. How many are open, by name, saves looking for none.
         self._open: list[tuple[str, int, int, bool, int]] = [("", 0, KEPT, False, 0)]
@@ -118,6 +121,7 @@ class Page:
         self._end_block()
         if not any(b.main for b in self.blocks):
             self.blocks += self._spare
+        self.blocks = self.blocks or self._form
 
     def _read(self, html: str) -> None:
         at, low = 0, None
@@ -162,18 +166,23 @@ class Page:
         if name in VOID:
             return
         above = self._open[-1]
-        main = name in MAIN or "role=\"main\"" in attributes or "role=main" in attributes
+        main = name in MAIN
         kind, stands = "", OUT if name in OUTSIDE else above[2]
+        if name == "form" and above[2] < NAMED and not above[3]:
+            stands = FORM
         if attributes and "=" in attributes:
             given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
+            main = main or given.get("role", "").strip().lower() == "main"
             kind = f"{given.get('class', '')} {given.get('id', '')} {given.get('role', '')}".strip()
             if kind and name not in ("html", "body") and given.get("role", "").lower() in OUTSIDE_ROLES:
                 stands = OUT
-            elif kind and stands < NAMED and not (main and name not in MAIN):
+            elif kind and stands < NAMED and name != "form" and not (main and name not in MAIN):
                 if is_outside(name, f"{given.get('class', '')} {given.get('id', '')}".split(), above[3]):
                     stands = OUT if above[3] else NAMED
         if main and stands == NAMED and above[2] == NAMED:
             stands = SPARE if name == "article" else KEPT
+        elif main and stands == FORM:
+            stands = KEPT
         path = above[1] if inline else xxh64_intdigest(f"{above[1]}/{name}.{kind}")
         main = main or above[3]
         if not inline:
@@ -198,7 +207,7 @@ class Page:
             text = " ".join(unescape(raw).split())
             if text:
                 _, path, stands, main, _ = self._open[-1]
-                (self._spare if stands == SPARE else self.blocks).append(Block(text, path, main, len(raw.strip()), self._linked))
+                {SPARE: self._spare, FORM: self._form}.get(stands, self.blocks).append(Block(text, path, main, len(raw.strip()), self._linked))
             self._parts = []
         self._linked = 0
 

@@ -39,6 +39,25 @@ def test_pages(html, expected):
     assert text(html) == expected
 
 
+@pytest.mark.parametrize(
+    ("html", "expected"),
+    [
+        ("<body><form id=aspnetForm><nav>menu</nav><article><p>The article.</p></article><input><footer>foot</footer></form>", "The article."),
+        ("<body><form id=aspnetForm action='/x'><main><p>One.</p><p>Two.</p><form>Your name</form></main></form>", "One. Two."),
+        ("<body><form method=post><header>head</header><p>First.</p><div>Second.</div><aside>no</aside></form>", "First. Second."),
+        ("<body><form method=post><div role='main'><p>Text.</p></div><p>Send</p></form>", "Text."),
+        ("<p>Text.</p><form><p>Your name</p><button>Send</button></form>", "Text."),
+        ("<article><p>Text.</p><form><p>Your comment</p></form></article>", "Text."),
+        ("<form role=search><p>Find</p></form><p>Text.</p>", "Text."),
+        ("<div><p>menu</p></div><div role='main'><p>Text.</p></div>", "Text."),
+        ("<div><p>menu</p></div><div ROLE=\"MAIN\" class=x><p>Text.</p></div>", "Text."),
+        ("<div data-x='role=main'><p>One.</p></div><p>Two.</p>", "One. Two."),
+    ],
+)
+def test_forms_around_pages_and_main_roles(html, expected):
+    assert text(html) == expected
+
+
 def test_deep_and_crossed_tags_take_no_longer():
     n = 30_000
     for html in ("<div>" * n + "x", "<b>" * n + "<p>" * n + "x", "<div>" * n + "</p>" * n + "x", "<article>" * n + "x", "<a>" * n + "<p>" * n + "x</a>"):
