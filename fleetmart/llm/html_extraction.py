@@ -13,7 +13,7 @@ the headings and paragraphs inside; sections inside are left to the template unl
 
 An occurrence vector is held as the number of pages and the xor of hashed (page, count) pairs, so it is summed up like
 any other statistic, over all pages of any host, before the shuffle. Copies of a page count once. Template blocks are
-sent to all tasks if they are few (checked), or else joined by page.
+sent to all tasks if they are few (checked), or else joined by row.
 
 Null and empty html: empty text. Pages without a host have no template, nor have hosts with fewer pages. Repeated rows
 are all returned, and so are rows without an id. Other columns are ignored, whatever their names. No rows: no rows.
@@ -276,8 +276,10 @@ def extract(
         own = own.withColumn("_gone", F.lit(None).cast("array<long>"))
     else:
         sent = pages.sparkSession.sparkContext.broadcast(frozenset())
-        gone = slots(pages, id_column, url_column, html_column).join(keys, "key", "left_semi").groupBy("id").agg(F.collect_set("key").alias("_gone"))
-        own = own.join(gone, F.col("_id").eqNullSafe(F.col("id")), "left").select("_id", "_url", "_html", "_gone")
+        # By a number of the row, which no other row has: ids may be null or repeat.
+        own = materialize(own.withColumn("_row", F.monotonically_increasing_id()), "pages")
+        gone = slots(own, "_row", "_url", "_html").join(keys, "key", "left_semi").groupBy("id").agg(F.collect_set("key").alias("_gone"))
+        own = own.join(gone, F.col("_row") == F.col("id"), "left").select("_id", "_url", "_html", "_gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         everywhere = sent.value
