@@ -1010,14 +1010,19 @@ def indexed_upsert(v: Views) -> DataFrame:
     return orders.withColumns({"buckets_read": F.lit(buckets), "keys_found": F.lit(known)})
 
 
+def _half_warehouse(v: Views) -> Warehouse:
+    """Half of the orders loaded."""
+    half = lambda v: _raw_folder(v, _pipeline_orders(v).where("o_orderkey % 2 = 0"))
+    return _shared(v, "half", lambda v: pipelines.run_full(v.spark, half(v), scratch_path(v.spark, "half")))
+
+
 @register
 def append_orders(v: Views) -> DataFrame:
     """Half of the orders loaded, then the others as new ones: stored files stay."""
-    orders = _pipeline_orders(v)
-    raw, root = _raw_folder(v, orders.where("o_orderkey % 2 = 0")), scratch_path(v.spark, "append")
-    before = pipelines.run_full(v.spark, raw, root).pointer("orders").folders
-    write_csv(_in_key_order(orders.where("o_orderkey % 2 = 1")), f"{raw}/orders_1999_01_01.csv")
-    warehouse = pipelines.run_daily(v.spark, "1999_01_01", raw, root)
+    loaded, raw = _half_warehouse(v), scratch_path(v.spark, "others")
+    before = loaded.pointer("orders").folders
+    write_csv(_in_key_order(_pipeline_orders(v).where("o_orderkey % 2 = 1")), f"{raw}/orders_1999_01_01.csv")
+    warehouse = pipelines.run_daily(v.spark, "1999_01_01", raw, loaded.root.removesuffix("/gold"))
     stayed = set(before) <= set(warehouse.pointer("orders").folders)
     return warehouse.read("orders").select("order_id", "external_order_id", "price", F.lit(stayed).alias("files_stayed"))
 
@@ -1025,15 +1030,13 @@ def append_orders(v: Views) -> DataFrame:
 @register
 def rejects_twice(v: Views) -> DataFrame:
     """A day with unknown customers, run twice in quarantine."""
-    orders = _pipeline_orders(v)
-    raw, root = _raw_folder(v, orders.where("o_orderkey % 2 = 0")), scratch_path(v.spark, "rejects")
-    pipelines.run_full(v.spark, raw, root)
+    loaded, raw = _half_warehouse(v), scratch_path(v.spark, "unknown_customers")
     number = F.regexp_extract("customer_external_id", r"\d+$", 0).cast("int")
     unknown = F.when(number % 2 == 1, F.col("customer_external_id")).otherwise("nobody")
-    write_csv(_in_key_order(orders.withColumn("customer_external_id", unknown)), f"{raw}/orders_1999_01_01.csv")
+    write_csv(_in_key_order(_pipeline_orders(v).withColumn("customer_external_id", unknown)), f"{raw}/orders_1999_01_02.csv")
     for _ in range(2):
-        pipelines.run_daily(v.spark, "1999_01_01", raw, root, on_violation="quarantine")
-    rejects = v.spark.read.parquet(f"{root}/gold/rejects/orders")
+        pipelines.run_daily(v.spark, "1999_01_02", raw, loaded.root.removesuffix("/gold"), on_violation="quarantine")
+    rejects = v.spark.read.parquet(f"{loaded.root}/rejects/orders")
     return rejects.select("external_order_id", F.col(quality.VIOLATIONS).alias("violations"))
 
 
