@@ -11,11 +11,19 @@ or around all text of the page, is no form to be filled in: what it holds stays.
 whole (``cookie-notice`` is one, ``no-header`` isn't), and none tells of an article, a main element, what holds them, or
 the headings and paragraphs inside; sections inside are left to the template unless named as comments, adverts and such.
 
+Pages that mark no article are cut by the sums of their host, over its different pages, by place in the template: a slot
+most of whose text is linked, over all pages, is a menu, whatever a single page has there, and one that is mostly not
+linked is text. The content of a page is the deepest element, once a page, whose inner elements hold more than half of
+the unlinked text of the pages that it is on; a slot outside it whose texts are mostly repeats of other pages' goes, also
+where they are many texts in turn or the host has but two pages. Inside it nothing goes for being repeated on fewer than
+``LEAST_PAGES`` pages. A host may have several such elements, for several kinds of pages. Where the template says
+nothing (one page, no content element), a page's own links decide.
+
 An occurrence vector is held as the number of pages and the xor of hashed (page, count) pairs, so it is summed up like
-any other statistic, over all pages of any host, before the shuffle. Copies of a page count once. Template blocks are
-sent to all tasks if they are few (checked), or else joined by row.
+any other statistic, over all pages of any host, before the shuffle. Copies of a page count once. What the template says
+is sent to all tasks if it is little (checked), or else joined by row.
 
-Null and empty html: empty text. Pages without a host have no template, nor have hosts with fewer pages. Repeated rows
+Null and empty html: empty text. Pages without a host have no template. Repeated rows
 are all returned, and so are rows without an id. Other columns are ignored, whatever their names. No rows: no rows.
 """
 
@@ -23,7 +31,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from html import unescape
 
 import pyarrow as pa
@@ -34,7 +42,7 @@ from xxhash import xxh64_intdigest
 
 from fleetmart.session import materialize
 
-#: Least different pages of a host that a class occurs on; most template blocks that are sent to all tasks.
+#: Least different pages of a host that a class occurs on; most rows of templates that are sent to all tasks.
 LEAST_PAGES, SENT_BLOCKS = 5, 1_000_000
 
 # Names of HTML.
@@ -72,6 +80,9 @@ MAIN = frozenset(("article", "main"))
 # Where an element stands: kept; in an article that a named element holds, kept if the page has no other; in a form,
 # kept if the page has no text beside it, as the form then holds the page; in a named element; outside.
 KEPT, SPARE, FORM, NAMED, OUT = range(5)
+# What the template says: of a block, that it belongs to a class; of a slot, that it is linked, repeated or neither; of
+# an element, that it holds the content.
+CLASS, LINKS, REPEATS, OWN, CONTENT = range(5)
 # No menu or page header holds the article.
 NO_ARTICLE = ("nav", "head", "header")
 
@@ -109,6 +120,7 @@ class Page:
     def __init__(self, html: str | None):
         self.tags: Counter[int] = Counter()
         self.blocks: list[Block] = []
+        self.above: dict[int, int] = {}
         self._parts: list[str] = []
         self._linked = 0
         self._spare: list[Block] = []
@@ -122,6 +134,8 @@ class Page:
         if not any(b.main for b in self.blocks):
             self.blocks += self._spare
         self.blocks = self.blocks or self._form
+        #: Whether the page marks its article.
+        self.marked = any(b.main for b in self.blocks)
 
     def _read(self, html: str) -> None:
         at, low = 0, None
@@ -187,6 +201,7 @@ class Page:
         main = main or above[3]
         if not inline:
             self.tags[path] += 1
+            self.above[path] = above[1]
         if not inline or name == "a" or stands != above[2]:
             self._open.append((name, path, stands, main, above[4] + (name == "a")))
             self._count[name] += 1
@@ -211,11 +226,54 @@ class Page:
             self._parts = []
         self._linked = 0
 
+    def candidates(self) -> list[Block]:
+        """Blocks of the article; without one, all."""
+        return [b for b in self.blocks if b.main] if self.marked else self.blocks
+
     def slots(self) -> list[Block]:
         """Blocks of the article; without one, those that aren't lists of links."""
-        if any(b.main for b in self.blocks):
-            return [b for b in self.blocks if b.main]
-        return [b for b in self.blocks if 2 * b.linked <= b.chars]
+        return [b for b in self.candidates() if self.marked or 2 * b.linked <= b.chars]
+
+    def held(self) -> Counter[int]:
+        """Unlinked characters in the elements within each path."""
+        own: Counter[int] = Counter()
+        for b in self.blocks:
+            own[b.path] += max(b.chars - b.linked, 0)
+        held: Counter[int] = Counter()
+        for path, above in reversed(self.above.items()):  # an element comes after those around it
+            held[above] += held[path] + own[path]
+        return held
+
+    def text(self, host: str | None, said: Mapping[int, int]) -> str:
+        """The page's text, given what the template of its host says by key."""
+        if host is None or not said:
+            return " ".join(b.text for b in self.slots())
+        found = [b for b in self.candidates() if said.get(block_key(host, b)) != CLASS]
+        if not self.marked:
+            inside = self._inside(host, said)
+            found = [b for b in found if self._stays(b, said.get(slot_key(host, b.path)), inside)]
+        return " ".join(b.text for b in found)
+
+    def _inside(self, host: str, said: Mapping[int, int]) -> set[int] | None:
+        """Paths of the content element and all in it; None if the template names none on this page."""
+        depth, content = {0: 0}, None
+        for path, above in self.above.items():
+            depth[path] = depth[above] + 1
+            if said.get(tag_key(host, path)) == CONTENT and (content is None or depth[path] > depth[content]):
+                content = path
+        if content is None:
+            return None
+        inside = {content}
+        for path, above in self.above.items():
+            if above in inside:
+                inside.add(path)
+        return inside
+
+    @staticmethod
+    def _stays(block: Block, slot: int | None, inside: set[int] | None) -> bool:
+        if slot == REPEATS and inside is not None and block.path not in inside:
+            return False
+        return slot != LINKS and (slot == OWN or 2 * block.linked <= block.chars)
 
 
 def host_of(url: str | None) -> str | None:
@@ -227,13 +285,31 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _hash(text: str) -> int:
+    return _signed(xxh64_intdigest(text))
+
+
 def block_key(host: str, block: Block) -> int:
-    return _signed(xxh64_intdigest(f"{host}\0{block.path}\0{block.text}"))
+    return _hash(f"{host}\0{block.path}\0{block.text}")
+
+
+def slot_key(host: str, path: int) -> int:
+    return _hash(f"{host}\0{path}\0")  # no block's text is empty
+
+
+def tag_key(host: str, path: int) -> int:
+    return _hash(f"{host}\0{path}")
 
 
 def tokens(pages: DataFrame, url_column: str = "url", html_column: str = "html") -> DataFrame:
-    """(host, key, is_text, page, count): each page's tags and slots, with a hash that is the same for copies of a page."""
-    schema = "host long, key long, is_text boolean, page long, count int"
+    """One row for each token of a page: (host, key, is_text, page, count, slot, plain, other).
+
+    ``page`` is a hash that is the same for copies of a page. Of pages that mark no article, texts have their slot, their
+    unlinked and their linked characters; tags have the unlinked characters within, and those of the whole page.
+    """
+    names = ["host", "key", "is_text", "page", "count", "slot", "plain", "other"]
+    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+    schema = "host long, key long, is_text boolean, page long, count int, slot long, plain long, other long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,25 +318,49 @@ def tokens(pages: DataFrame, url_column: str = "url", html_column: str = "html")
                 if (host := host_of(url)) is None:
                     continue
                 page = Page(html)
-                slots = page.slots()
-                own = _signed(xxh64_intdigest("\0".join(b.text for b in slots)))
-                site = _signed(xxh64_intdigest(host))
-                rows += [(site, _signed(xxh64_intdigest(f"{host}\0{path}")), False, own, n) for path, n in page.tags.items()]
-                rows += [(site, key, True, own, n) for key, n in Counter(block_key(host, b) for b in slots).items()]
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 5
-            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "key", "is_text", "page", "count"])
+                own, site = _hash("\0".join(b.text for b in page.slots())), _hash(host)
+                if page.marked:
+                    rows += [(site, tag_key(host, path), False, own, n, None, None, None) for path, n in page.tags.items()]
+                    rows += [(site, key, True, own, n, None, None, None) for key, n in Counter(block_key(host, b) for b in page.candidates()).items()]
+                    continue
+                held, whole = page.held(), sum(max(b.chars - b.linked, 0) for b in page.blocks)
+                rows += [(site, tag_key(host, path), False, own, n, None, held[path], whole) for path, n in page.tags.items()]
+                texts: dict[int, list[int]] = {}
+                for b in page.blocks:
+                    sums = texts.setdefault(block_key(host, b), [0, slot_key(host, b.path), 0, 0])
+                    sums[0] += 1
+                    sums[2] += max(b.chars - b.linked, 0)
+                    sums[3] += b.linked
+                rows += [(site, key, True, own, *sums) for key, sums in texts.items()]
+            columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     return pages.select(url_column, html_column).mapInArrow(run, schema)
 
 
 def template(pages: DataFrame, least_pages: int = LEAST_PAGES, url_column: str = "url", html_column: str = "html") -> DataFrame:
-    """Keys of the text blocks that belong to valid classes of their host."""
-    seen = tokens(pages, url_column, html_column).groupBy("host", "key", "is_text", "page").agg(F.max("count").alias("count"))
-    vectors = seen.groupBy("host", "key", "is_text").agg(F.count(F.lit(1)).alias("pages"), F.bit_xor(F.xxhash64("page", "count")).alias("vector"))
-    vectors = materialize(vectors.where(F.col("pages") >= least_pages), "vectors")
-    valid = vectors.where(~F.col("is_text")).select("host", "pages", "vector").distinct()
-    return vectors.where("is_text").join(valid, ["host", "pages", "vector"], "left_semi").select("key").distinct()
+    """(key, says): blocks of valid classes, slots of pages that mark no article, and the elements that hold their content."""
+    of_page = [F.max(c).alias(c) for c in ("count", "slot", "plain", "other")]
+    seen = tokens(pages, url_column, html_column).groupBy("host", "key", "is_text", "page").agg(*of_page)
+    vectors = seen.groupBy("host", "key", "is_text").agg(
+        F.count(F.lit(1)).alias("pages"),
+        F.bit_xor(F.xxhash64("page", "count")).alias("vector"),
+        F.max("count").alias("most"),
+        F.max("slot").alias("slot"),
+        F.sum("plain").alias("plain"),
+        F.sum("other").alias("other"),
+    )
+    vectors = materialize(vectors.where((F.col("pages") >= least_pages) | F.col("plain").isNotNull()), "vectors")
+    classes = vectors.where(F.col("pages") >= least_pages)
+    valid = classes.where(~F.col("is_text")).select("host", "pages", "vector").distinct()
+    blocks = classes.where("is_text").join(valid, ["host", "pages", "vector"], "left_semi").select("key", F.lit(CLASS).alias("says"))
+    slots = vectors.where("slot is not null").groupBy(F.col("slot").alias("key")).agg(
+        F.count(F.lit(1)).alias("texts"), F.sum("pages").alias("times"), F.sum("plain").alias("plain"), F.sum("other").alias("linked")
+    )
+    says = F.when(F.col("linked") > F.col("plain"), LINKS).when(2 * F.col("texts") <= F.col("times"), REPEATS).otherwise(OWN)
+    slots = slots.where("times > 1").select("key", says.alias("says"))
+    content = vectors.where(~F.col("is_text") & (F.col("pages") > 1) & (F.col("most") == 1) & (2 * F.col("plain") > F.col("other")))
+    return blocks.union(slots).union(content.select("key", F.lit(CONTENT))).distinct()
 
 
 def extract(
@@ -272,32 +372,27 @@ def extract(
     few = keys.count() <= SENT_BLOCKS
     own = pages.select(F.col(id_column).alias("_id"), F.col(url_column).alias("_url"), F.col(html_column).alias("_html"))
     if few:
-        sent = pages.sparkSession.sparkContext.broadcast(frozenset(r["key"] for r in keys.collect()))
-        own = own.withColumn("_gone", F.lit(None).cast("array<long>"))
+        sent = pages.sparkSession.sparkContext.broadcast({r["key"]: r["says"] for r in keys.collect()})
+        own = own.withColumn("_said", F.lit(None).cast("array<struct<key:long,says:int>>"))
     else:
-        sent = pages.sparkSession.sparkContext.broadcast(frozenset())
+        sent = pages.sparkSession.sparkContext.broadcast({})
         # By a number of the row, which no other row has: ids may be null or repeat.
         own = materialize(own.withColumn("_row", F.monotonically_increasing_id()), "pages")
-        gone = slots(own, "_row", "_url", "_html").join(keys, "key", "left_semi").groupBy("id").agg(F.collect_set("key").alias("_gone"))
-        own = own.join(gone, F.col("_row") == F.col("id"), "left").select("_id", "_url", "_html", "_gone")
+        said = page_keys(own, "_row", "_url", "_html").join(keys, "key").groupBy("id").agg(F.collect_set(F.struct("key", "says")).alias("_said"))
+        own = own.join(said, F.col("_row") == F.col("id"), "left").select("_id", "_url", "_html", "_said")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         everywhere = sent.value
         for batch in batches:
-            texts = []
-            for url, html, here in zip(*[c.to_pylist() for c in batch.columns[1:]], strict=True):
-                found, host = Page(html).slots(), host_of(url)
-                known = everywhere if here is None else set(here)
-                if host is not None and known:
-                    found = [b for b in found if block_key(host, b) not in known]
-                texts.append(" ".join(b.text for b in found))
+            rows = zip(*[c.to_pylist() for c in batch.columns[1:]], strict=True)
+            texts = [Page(html).text(host_of(url), everywhere if here is None else {r["key"]: r["says"] for r in here}) for url, html, here in rows]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string())], schema.names)
 
     return own.mapInArrow(run, schema)
 
 
-def slots(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
-    """(id, key) of the text blocks of every page with a host."""
+def page_keys(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
+    """(id, key) of all that a template may say something of, on every page with a host."""
     schema = T.StructType([T.StructField("id", pages.schema[id_column].dataType), T.StructField("key", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,7 +400,11 @@ def slots(pages: DataFrame, id_column: str = "page_id", url_column: str = "url",
             where, keys = [], []
             for k, (url, html) in enumerate(zip(*[c.to_pylist() for c in batch.columns[1:]], strict=True)):
                 if (host := host_of(url)) is not None:
-                    own = {block_key(host, b) for b in Page(html).slots()}
+                    page = Page(html)
+                    own = {block_key(host, b) for b in page.candidates()}
+                    if not page.marked:
+                        own.update(slot_key(host, b.path) for b in page.blocks)
+                        own.update(tag_key(host, path) for path in page.above)
                     keys += own
                     where += [k] * len(own)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(where, pa.int64())), pa.array(keys, pa.int64())], ["id", "key"])

@@ -157,3 +157,61 @@ def test_query_on_the_smallest_tables(spark):
 )
 def test_names_are_taken_whole_and_spare_the_article(html, expected):
     assert text(html) == expected
+
+
+def unmarked(k, body, menu="<a href=/1>Start</a>", around=""):
+    return f"<body><div class=x1><div>{menu}</div></div><div class=x2><div class=x3>{body}</div>{around}</div></body>"
+
+
+def by_id(rows):
+    return {r["page_id"]: r["text"] for r in rows}
+
+
+@pytest.mark.parametrize("sent", [1_000_000, 0])
+def test_slots_of_pages_without_an_article_are_judged_by_their_host(frame, monkeypatch, sent):
+    monkeypatch.setattr(ex, "SENT_BLOCKS", sent)
+    teasers = ["Read the paper at home.", "Win a journey."]
+    rows = []
+    for k in range(6):
+        first = f"<p><a href=/{k}>Story {k} begins with a link</a></p>" if k == 0 else f"<p>Story {k} begins here.</p>"
+        body = f"<h2>Title {k}</h2>{first}<p>The text of story {k} goes on for a while, unlike the others.</p>"
+        menu = "Start here" if k == 3 else "<a href=/1>Start</a> <a href=/2>More of it</a>"
+        rows.append((k, f"http://a.com/{k}", unmarked(k, body, menu, f"<div class=x4>{teasers[k % 2]}</div>")))
+    found = by_id(ex.extract(frame("page_id long, url string, html string", *rows)).collect())
+    for k in range(6):
+        first = f"Story {k} begins with a link" if k == 0 else f"Story {k} begins here."
+        assert found[k] == f"Title {k} {first} The text of story {k} goes on for a while, unlike the others."
+
+
+def test_two_pages_tell_what_is_repeated_outside_the_content(frame):
+    body = "<p>Part {0} of the story, which is long enough to hold most of the page's text.</p><p>All parts share this.</p>"
+    pages = [(k, f"http://a.com/{k}", unmarked(k, body.format(k), around="<div>We are hiring.</div>")) for k in range(2)]
+    alone = [(9, "http://b.com/9", unmarked(9, body.format(9), around="<div>We are hiring.</div>"))]
+    found = by_id(ex.extract(frame("page_id long, url string, html string", *pages, *alone)).collect())
+    long = "Part {0} of the story, which is long enough to hold most of the page's text. All parts share this."
+    assert [found[k] for k in range(2)] == [long.format(k) for k in range(2)]
+    assert found[9] == long.format(9) + " We are hiring."
+
+
+def test_kinds_of_pages_on_a_host_have_their_own_content(frame):
+    rows = [(k, f"http://a.com/{k}", unmarked(k, f"<p>News {k}, all of it told at length for you.</p>", around="<div>Same.</div>")) for k in range(3)]
+    rows += [(10 + k, f"http://a.com/s{k}", f"<div class=y1><p>Shop item {k}, described at length for you.</p><p>Varied {k}.</p></div>") for k in range(3)]
+    rows += [(20, "http://a.com/20", "<table><tr><td>Only here.</table>")]
+    found = by_id(ex.extract(frame("page_id long, url string, html string", *rows)).collect())
+    assert [found[k] for k in range(3)] == [f"News {k}, all of it told at length for you." for k in range(3)]
+    assert [found[10 + k] for k in range(3)] == [f"Shop item {k}, described at length for you. Varied {k}." for k in range(3)]
+    assert found[20] == "Only here."
+
+
+def test_characters_held_by_elements_are_sums_over_all_within():
+    page = ex.Page("<div class=a>abc<p>defgh</p><div class=b><p>ij<a href=1>kl</a></p></div></div><p>m</p>")
+    held, above = page.held(), page.above
+    first = next(iter(above))
+    assert held[0] == 3 + 5 + 2 + 1 and held[first] == 5 + 2
+    assert sorted(held[p] for p in above) == [0, 0, 0, 2, 7]
+
+
+def test_deep_pages_are_summed_in_one_walk():
+    n = 30_000
+    page = ex.Page("".join(f"<div>{k % 10}" for k in range(n)))
+    assert page.held()[0] == n
