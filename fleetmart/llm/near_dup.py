@@ -235,16 +235,15 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with one row of each group: one with the smallest id, and of the group's rows without an id one.
+    """``docs`` with one row of each group: one with the smallest id, or without an id if none of the group's rows has one.
 
     Decided by row: rows that repeat an id in different groups are different texts, and one of each group stays. Of rows
-    with the same id in one group the one with the least hash of the text stays.
+    with the same id in one group, or of several without an id, the one with the least hash of the text stays.
     """
     row, mark = fresh(docs, "row"), fresh(docs, "mark")
     numbered = materialize(docs.withColumns({row: F.monotonically_increasing_id(), mark: F.xxhash64(text_column)}), "numbered")
     prints = materialize(fingerprints(numbered, shingle, id_column, text_column, (mark, row)), "fingerprints")
-    own, lacks = F.struct(F.col(id_column).alias("id"), F.col(mark).alias("mark"), F.col(row).alias("row")), F.isnull(id_column)
-    points = prints.groupBy("fp").agg(F.min(F.when(~lacks, own)).alias("known"), F.min(F.when(lacks, own)).alias("nameless"))
-    least = _rooted(materialize(points, "points"), bits).groupBy("root").agg(F.min("known").alias("known"), F.min("nameless").alias("nameless"))
-    stays = least.select(F.explode(F.array("known.row", "nameless.row")).alias(row)).where(F.col(row).isNotNull())
+    first = F.struct(F.isnull(id_column).alias("nameless"), F.col(id_column).alias("id"), F.col(mark).alias("mark"), F.col(row).alias("row"))
+    points = materialize(prints.groupBy("fp").agg(F.min(first).alias("first")), "points")
+    stays = _rooted(points, bits).groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
     return numbered.join(stays, row, "left_semi").select(*docs.columns)
