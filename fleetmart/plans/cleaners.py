@@ -13,7 +13,7 @@ from fleetmart.contracts import DEGREES, DISTANCE, MONEY
 from fleetmart.functions import text
 from fleetmart.operators.dedup import keep_first
 from fleetmart.operators.lookup import fits_broadcast
-from fleetmart.operators.quality import VIOLATIONS, require_not_null, tag
+from fleetmart.operators.quality import require_not_null, tag
 from fleetmart.session import materialize
 from fleetmart.sources.csv_files import OVERFLOW, POSITION
 
@@ -45,9 +45,11 @@ def clean_orders(df: DataFrame, position: tuple[str, ...] = POSITION, scratch: s
     Rows without a key are dropped at the end anyway, so they go first.
 
     Few deliveries repeat: the doubtful keys, repeated or padded, are found from
-    the key column alone, and only their rows are shuffled and sorted. ``df``
-    should be a stored table, as it is read more than once. The doubtful keys are
-    written to ``scratch``, or else to the session's shared folder.
+    the key column alone. Only the few columns that decide between their rows are
+    shuffled and sorted, down to the positions of the rows that stay, at most one
+    a doubtful key; then all columns are read once, and no row is shuffled.
+    ``df`` should be a stored table, as its key is read more often. Doubtful keys
+    and positions are written to ``scratch``, or else to the session's shared folder.
     """
     key = "external_order_id"
     keyed = require_not_null(df, [key])
@@ -64,9 +66,14 @@ def clean_orders(df: DataFrame, position: tuple[str, ...] = POSITION, scratch: s
     if not fits_broadcast(doubtful, FEW_BYTES):
         return settled(keyed)
     is_doubtful = bare == F.col("_doubtful")
-    sure = keyed.join(F.broadcast(doubtful), is_doubtful, "left_anti")
     unsure = keyed.join(F.broadcast(doubtful), is_doubtful, "left_semi")
-    return _typed_orders(sure).unionByName(settled(unsure))
+    staying = settled(unsure).select(*[F.col(p).alias(f"_at_{p}") for p in position], F.lit(True).alias("_stays"))
+    staying = materialize(staying, "positions", scratch)
+    if not fits_broadcast(staying):
+        return settled(keyed)
+    same = [F.col(p).eqNullSafe(F.col(f"_at_{p}")) for p in position]
+    marked = keyed.join(F.broadcast(doubtful), is_doubtful, "left").join(F.broadcast(staying), same, "left")
+    return _typed_orders(marked.where("_doubtful is null or _stays").select(*keyed.columns))
 
 
 def _typed_orders(first: DataFrame) -> DataFrame:
@@ -80,9 +87,11 @@ def _typed_orders(first: DataFrame) -> DataFrame:
             **{f"_{c}": parse(F.col(c)) for c, parse in optional.items()},
         }
     )
+    big_price = text.unreadable(F.col("price"), F.col("_price")) & text.is_number(F.col("price"))
+    parsed = parsed.withColumn("_big_price", F.coalesce(big_price, F.lit(False)))
     rules = {
         **_overflow(first),
-        "price out of range": text.unreadable(F.col("price"), F.col("_price")) & text.is_number(F.col("price")),
+        "price out of range": F.col("_big_price"),
         "distance_km out of range": text.unreadable(F.col("distance_km"), F.col("_distance_km"))
         & text.is_number(F.col("distance_km")),
         **{f"{c} unreadable": text.unreadable(F.col(c), F.col(f"_{c}")) for c in optional},
@@ -95,9 +104,8 @@ def _typed_orders(first: DataFrame) -> DataFrame:
         }
     )
     # A price too big for its type is a number all the same: not dropped, but a violation.
-    priced = F.col("price").isNotNull() | F.contains(F.col(VIOLATIONS), F.lit("price out of range"))
-    kept = require_not_null(typed, ["created_at"]).where(priced)
-    return kept.drop(OVERFLOW, *[f"_{c}" for c in ("price", "distance_km", *optional)])
+    kept = require_not_null(typed, ["created_at"]).where(F.col("price").isNotNull() | F.col("_big_price"))
+    return kept.drop(OVERFLOW, "_big_price", *[f"_{c}" for c in ("price", "distance_km", *optional)])
 
 
 def clean_customers(df: DataFrame) -> DataFrame:
