@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetmart.contracts import ForeignKey, Table
-from fleetmart.operators.lookup import lookup
+from fleetmart.operators.lookup import fits_broadcast, lookup
 
 VIOLATIONS = "_violations"
 SEPARATOR = "; "
@@ -106,6 +106,20 @@ def fk_orphans(child: DataFrame, parent: DataFrame, fk: ForeignKey) -> DataFrame
     return lookup(known, parent, (fk.column, fk.parent_key), {}, "left_anti")
 
 
+def all_known(child: DataFrame, parent: DataFrame, fk: ForeignKey) -> bool:
+    """Whether every reference that is set points to a parent row.
+
+    A small parent is sent to the child's rows. Otherwise the keys alone of both
+    go through one shuffle; partial results take repeated keys together before it.
+    """
+    used = child.select(F.col(fk.column).alias("_key")).where("_key IS NOT NULL")
+    there = parent.select(F.col(fk.parent_key).alias("_key"))
+    if fits_broadcast(there):
+        return used.join(F.broadcast(there), "_key", "left_anti").isEmpty()
+    both = used.withColumn("_there", F.lit(False)).unionByName(there.withColumn("_there", F.lit(True)))
+    return both.groupBy("_key").agg(F.max("_there").alias("_there")).where("NOT _there").isEmpty()
+
+
 # -- what to do with broken rows ---------------------------------------------
 
 

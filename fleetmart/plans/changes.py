@@ -30,7 +30,7 @@ def append_events(warehouse: Warehouse, events: DataFrame, staging: str, run: st
     rows = quality.tag(events.withColumn("event_id", F.lit(0)), quality.not_null_rules(ORDER_EVENTS)).drop("event_id")
     rows = materialize(quality.enforce(rows, ORDER_EVENTS.name)[0], "events", f"{staging}/events")
     for fk in ORDER_EVENTS.foreign_keys:
-        if not quality.fk_orphans(rows.select(fk.column).distinct(), warehouse.read(fk.parent).select(fk.parent_key), fk).isEmpty():
+        if not quality.all_known(rows, warehouse.read(fk.parent), fk):
             raise quality.QualityError(f"{ORDER_EVENTS.name}: {fk.column} refers to no row of {fk.parent}")
     last = warehouse.pointer(ORDER_EVENTS.name).last_id
     numbered, last_id = number_rows(rows, "event_id", EVENT_ORDER, last, f"{staging}/numbered")

@@ -1,0 +1,46 @@
+import datetime
+
+import pytest
+
+from fleetmart.contracts import ForeignKey
+from fleetmart.operators import lookup, quality
+from fleetmart.plans import changes
+from fleetmart.plans.generate import generate_warehouse
+
+PLACED = datetime.datetime(2026, 2, 1, 12)
+
+
+@pytest.fixture
+def warehouse(spark, tmp_path):
+    return generate_warehouse(spark, str(tmp_path / "gold"), orders=200, customers=5, drivers=5, locations=5)
+
+
+@pytest.fixture(params=["near", "far"])
+def limit(spark, request):
+    """Far: no parent may be sent to the children's rows."""
+    if request.param == "far":
+        spark.conf.set(lookup.LIMIT_SETTING, "0")
+    yield request.param
+    spark.conf.unset(lookup.LIMIT_SETTING)
+
+
+def events(frame, *orders):
+    return frame("order_id long, status_id int, event_time timestamp, note string", *[(n, 1, PLACED, "seen") for n in orders])
+
+
+def test_references_are_looked_up_without_a_search_for_hot_keys(warehouse, frame, limit, monkeypatch, tmp_path):
+    monkeypatch.setattr(lookup, "hot_keys", lambda *_: pytest.fail("every key occurs once"))
+    before = warehouse.read("order_events").count()
+    changes.append_events(warehouse, events(frame, 1, 1, 200), str(tmp_path / "staging"))
+    assert warehouse.read("order_events").count() == before + 3
+    with pytest.raises(quality.QualityError, match="order_id refers to no row of orders"):
+        changes.append_events(warehouse, events(frame, 1, 201), str(tmp_path / "staging"))
+    assert warehouse.read("order_events").count() == before + 3
+
+
+def test_references_that_are_not_set_need_no_parent(frame, limit):
+    fk = ForeignKey("d", "drivers", "driver_id")
+    parent = frame("driver_id int", (1,), (2,), (None,))
+    assert quality.all_known(frame("d int", (1,), (None,), (1,)), parent, fk)
+    assert not quality.all_known(frame("d int", (1,), (9,)), parent, fk)
+    assert not quality.all_known(frame("d int", (1,)), parent.limit(0), fk)
