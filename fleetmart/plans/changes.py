@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -45,17 +46,22 @@ def delete_rows(warehouse: Warehouse, name: str, doomed: DataFrame) -> None:
     All tables change in one step, or none does. Of a table laid out by month,
     only months with affected rows are rewritten. The reports are not rebuilt.
     """
-    with warehouse.together():
-        _delete(warehouse, TABLES[name], doomed)
+    staging = f"{warehouse.root}/staging/{uuid.uuid4().hex}"
+    try:
+        with warehouse.together():
+            _delete(warehouse, TABLES[name], doomed, staging)
+    finally:
+        files.remove(warehouse.spark, staging)
 
 
 def _references(name: str) -> Sequence[tuple[Table, ForeignKey]]:
     return [(child, fk) for child in TABLES.values() for fk in child.foreign_keys if fk.parent == name]
 
 
-def _delete(warehouse: Warehouse, table: Table, doomed: DataFrame) -> None:
+def _delete(warehouse: Warehouse, table: Table, doomed: DataFrame, staging: str) -> None:
     key = table.identity
-    doomed = doomed.select(key).where(F.col(key).isNotNull()).distinct()
+    # Every table that refers to this one, and the table itself, looks into the keys: they are found once.
+    doomed = materialize(doomed.select(key).where(F.col(key).isNotNull()).distinct(), "doomed", f"{staging}/{uuid.uuid4().hex}")
     children = _references(table.name)
     for child, fk in children:
         if fk.on_delete not in ("set null", "cascade"):
@@ -65,7 +71,7 @@ def _delete(warehouse: Warehouse, table: Table, doomed: DataFrame) -> None:
     for child, fk in children:
         hit = lookup(warehouse.read(child.name), doomed, (fk.column, fk.parent_key), {}, "left_semi")
         if fk.on_delete == "cascade":
-            _delete(warehouse, child, hit)
+            _delete(warehouse, child, hit, staging)
         elif fk.on_delete == "set null":
             _rewrite(warehouse, child, hit, lambda rows, fk=fk: deletes.delete_set_null(rows, doomed, fk.column, fk.parent_key))
     own = lookup(warehouse.read(table.name), doomed, (key, key), {}, "left_semi", fact_unique=True)

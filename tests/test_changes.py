@@ -1,11 +1,15 @@
 import datetime
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from fleetmart.contracts import ForeignKey
 from fleetmart.operators import lookup, quality
 from fleetmart.plans import changes
 from fleetmart.plans.generate import generate_warehouse
+from fleetmart.sources import files
+from tests.conftest import rows
 
 PLACED = datetime.datetime(2026, 2, 1, 12)
 
@@ -44,3 +48,13 @@ def test_references_that_are_not_set_need_no_parent(frame, limit):
     assert quality.all_known(frame("d int", (1,), (None,), (1,)), parent, fk)
     assert not quality.all_known(frame("d int", (1,), (9,)), parent, fk)
     assert not quality.all_known(frame("d int", (1,)), parent.limit(0), fk)
+
+
+def test_rows_to_delete_are_found_once(warehouse, spark):
+    """Rows named by a frame that differs each time it is read: what refers to them goes with the same ones."""
+    lot = F.udf(lambda _: os.urandom(1)[0] % 2 == 0, "boolean").asNondeterministic()
+    changes.delete_rows(warehouse, "orders", warehouse.read("orders").withColumn("lot", lot("order_id")).where("lot"))
+    left, seen = (rows(warehouse.read(t).select("order_id").distinct()) for t in ("orders", "order_events"))
+    assert 0 < len(left) < 200
+    assert left == seen
+    assert files.children(spark, f"{warehouse.root}/staging") == []
