@@ -60,7 +60,7 @@ def clean_orders(df: DataFrame, position: tuple[str, ...] = POSITION, scratch: s
     bare = text.strip(F.col(key))
     copies = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"))
     doubtful = copies.where((F.col("_copies") > 1) | (bare != F.col(key)))
-    doubtful = materialize(doubtful.select(bare.alias("_doubtful")).distinct(), "doubtful_keys", scratch)
+    doubtful = materialize(doubtful.select(bare.alias("_doubtful")).distinct(), "doubtful_keys", scratch and f"{scratch}/keys")
     if doubtful.isEmpty():
         return _typed_orders(keyed)
     if not fits_broadcast(doubtful, FEW_BYTES):
@@ -68,8 +68,8 @@ def clean_orders(df: DataFrame, position: tuple[str, ...] = POSITION, scratch: s
     is_doubtful = bare == F.col("_doubtful")
     unsure = keyed.join(F.broadcast(doubtful), is_doubtful, "left_semi")
     staying = settled(unsure).select(*[F.col(p).alias(f"_at_{p}") for p in position], F.lit(True).alias("_stays"))
-    staying = materialize(staying, "positions", scratch)
-    if not fits_broadcast(staying):
+    staying = materialize(staying, "positions", scratch and f"{scratch}/positions")
+    if not fits_broadcast(staying, None):
         return settled(keyed)
     same = [F.col(p).eqNullSafe(F.col(f"_at_{p}")) for p in position]
     marked = keyed.join(F.broadcast(doubtful), is_doubtful, "left").join(F.broadcast(staying), same, "left")
