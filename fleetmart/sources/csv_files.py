@@ -83,7 +83,7 @@ def land_csv(spark: SparkSession, path: str, save: Callable[[DataFrame], DataFra
     if first is None:
         return save(read_csv(spark, path))
     lines = _lines(spark, [path])
-    is_head = (F.col("_block") == 0) & (F.regexp_replace("_line", r"\r$", "") == F.lit(_bare_line(first[0])))
+    is_head = (F.col("_block") == 0) & (_no_return("_line") == F.lit(_bare_line(first[0])))
     seen = Observation()
     odd, heads = F.max(_quotes("_line") % 2), F.count_if(is_head)
     counted = lines.observe(seen, odd.alias("odd"), heads.alias("heads"))
@@ -101,13 +101,24 @@ def _bare_line(line: str) -> str:
     return line.removeprefix("\ufeff").removesuffix("\r")
 
 
+def _count(c: Column, character: str) -> Column:
+    """How often an ASCII character stands in a text, from the bytes: their number needs no look at the text."""
+    return F.octet_length(c) - F.octet_length(F.replace(c, F.lit(character), F.lit("")))
+
+
 def _quotes(column: str) -> Column:
-    return F.length(column) - F.length(F.replace(F.col(column), F.lit('"'), F.lit("")))
+    return _count(F.col(column), '"')
+
+
+def _no_return(column: str) -> Column:
+    """A line without the carriage return at its end; the pattern is only tried on lines that have one."""
+    return F.when(F.col(column).contains("\r"), F.regexp_replace(column, r"\r$", "")).otherwise(F.col(column))
 
 
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Lines with their position, without the mark at the beginning of a file."""
-    line = F.when(F.col("_metadata.file_block_start") == 0, F.regexp_replace("value", "^\ufeff", "")).otherwise(F.col("value"))
+    marked = (F.col("_metadata.file_block_start") == 0) & F.col("value").startswith("\ufeff")
+    line = F.when(marked, F.regexp_replace("value", "^\ufeff", "")).otherwise(F.col("value"))
     return spark.read.text(paths, lineSep="\n").select(
         line.alias("_line"),
         F.col("_metadata.file_path").alias("_file"),
@@ -168,13 +179,13 @@ def _too_many(record: Column, names: list[str]) -> Column:
     """Whether a record has more separators outside quotes than the header."""
     # A doubled quote reads as two neighbouring strings; nothing here recurses over a long text.
     outside = F.regexp_replace(record, r'"[^"]*"', "")
-    commas, separators = (F.length(x) - F.length(F.replace(x, F.lit(","), F.lit(""))) for x in (record, outside))
+    commas, separators = (_count(x, ",") for x in (record, outside))
     return F.when(commas >= len(names), separators >= len(names)).otherwise(F.lit(False))
 
 
 def _parsed(records: DataFrame, names: list[str]) -> DataFrame:
     """Records as text (``_line``) with their position, as rows; blank ones are none."""
-    line = F.regexp_replace("_line", r"\r$", "")
+    line = _no_return("_line")
     options = {k: str(value).lower() if isinstance(value, bool) else value for k, value in {**_DIALECT, "multiLine": True}.items()}
     fields = F.from_csv(line, _schema(names).toDDL(), options)
     found = records.where(F.trim(line) != "").select(fields.alias("_fields"), _too_many(line, names).alias(OVERFLOW), *POSITION)
