@@ -43,9 +43,14 @@ def split_upsert(
     ``batch_keys`` is a cheaper source of the batch's keys, if there is one.
     The target is only read, and once, never shuffled, where the batch is small.
     """
-    carried = [c for c in target_keys.columns if c != key]
     wanted = (batch if batch_keys is None else batch_keys).select(key)
-    hits = materialize(lookup(target_keys, wanted, (key, key), {}, "inner", fact_unique=True), "hits", path)
+    hits = lookup(target_keys, wanted, (key, key), {}, "inner", fact_unique=True)
+    return flag_known(materialize(hits, "hits", path), batch, key)
+
+
+def flag_known(hits: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """``split_upsert`` where the target's rows of the batch's keys are found already."""
+    carried = [c for c in hits.columns if c != key]
     return lookup(
         batch,
         hits.withColumn("_known", F.lit(True)),

@@ -32,7 +32,7 @@ from fleetmart.contracts import (
 from fleetmart.operators import quality
 from fleetmart.operators.keys import number_delivered, number_rows, resolve_order_keys
 from fleetmart.operators.lookup import lookup
-from fleetmart.operators.merge import absent_rows, add_defaults, apply_updates, split_upsert
+from fleetmart.operators.merge import absent_rows, add_defaults, apply_updates, flag_known
 from fleetmart.plans import marts, spans
 from fleetmart.plans.cleaners import CLEANERS
 from fleetmart.plans.generate import with_month
@@ -175,7 +175,7 @@ def load_orders(
     key, month = ORDERS.natural_key, ORDERS.partition_by
     stored = warehouse.read(ORDERS.name)
     keys = key_index.find(warehouse, silver).withColumnRenamed("stored_month", "_stored_month")
-    flagged = split_upsert(keys, resolved, key, silver, f"{staging}/hits")
+    flagged = flag_known(materialize(keys, "hits", f"{staging}/hits"), resolved, key)
     flagged = materialize(with_month(flagged), "flagged", f"{staging}/flagged")
     batch = _gate(warehouse, ORDERS, flagged, on_violation, run)
 
