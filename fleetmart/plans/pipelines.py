@@ -183,13 +183,11 @@ def load_orders(
     folders = Counter(map(partition_of, before.folders))
     known = [r["_stored_month"] for r in batch.where("_known").select("_stored_month").distinct().collect()]
     touched = sorted({*known, *(m for m, n in folders.items() if n >= MOST_FOLDERS)})
-    is_touched = F.col(month).isin(touched)
     numbered, last_id = number_delivered(batch.where("NOT _known"), ORDERS.identity, before.last_id)
-    updated = apply_updates(stored.where(is_touched), batch.where("_known"), key, ORDER_UPDATE_COLUMNS)
-    new = numbered.select(*updated.columns)
-    rows = updated.unionByName(new.where(is_touched))
+    updated = apply_updates(stored.where(F.col(month).isin(touched)), batch.where("_known"), key, ORDER_UPDATE_COLUMNS)
+    rows = updated.unionByName(numbered.select(*updated.columns))
     with warehouse.together():
-        warehouse.replace_partitions(ORDERS.name, rows, touched, last_id, added=new.where(~is_touched))
+        warehouse.replace_partitions(ORDERS.name, rows, touched, last_id, add_others=True)
         key_index.add(warehouse, batch.where("NOT _known"))
 
 

@@ -33,7 +33,7 @@ from fleetmart.operators.merge import add_defaults, insert_if_absent, upsert
 from fleetmart.plans import changes, generate, marts, pipelines
 from fleetmart.plans.cleaners import CLEANERS, clean_orders
 from fleetmart.plans.export import export_all, export_dimension, export_orders
-from fleetmart.session import scratch_path
+from fleetmart.session import materialize, scratch_path
 from fleetmart.sources import key_index
 from fleetmart.sources.csv_files import POSITION, query, read_csv, write_csv
 from fleetmart.sources.layers import Layers
@@ -999,7 +999,7 @@ def indexed_upsert(v: Views) -> DataFrame:
     """
     loaded = _full_warehouse(v)
     raw, root = scratch_path(v.spark, "small_day"), loaded.root.removesuffix("/gold")
-    again = _pipeline_orders(v).where("o_orderkey % 500 = 3")
+    again = materialize(_pipeline_orders(v).where("o_orderkey % 500 = 3"), "again")
     dearer = again.withColumn("price", (F.col("price").cast(MONEY) + 1).cast(MONEY).cast("string"))
     new = again.withColumn("external_order_id", F.concat(F.lit("new_"), F.col("external_order_id")))
     write_csv(_in_key_order(dearer.unionByName(new)), f"{raw}/orders_1999_01_02.csv")
@@ -1045,8 +1045,9 @@ MOVED_TO = "drv_ext_3"
 
 def _daily_warehouse(v: Views) -> Warehouse:
     """A full load of the early orders, then one day with all later ones and
-    some of the stored ones again, dearer, longer, and partly with another driver."""
-    orders = _pipeline_orders(v)
+    some of the stored ones again, dearer, longer, and partly with another driver.
+    Both files are cut from the same rows, which are put together once."""
+    orders = materialize(_pipeline_orders(v), "deliveries")
     early = F.col("o_orderdate") < F.lit(FIRST_LOAD_END).cast("timestamp_ntz")
     again = F.col("o_orderdate") >= F.lit(DAILY_START).cast("timestamp_ntz")
     raw, root = _raw_folder(v, orders.where(early)), scratch_path(v.spark, "daily")
