@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from fleetmart.contracts import DEGREES, DISTANCE, MONEY, ORDER_STATUSES, TARIFFS
 from fleetmart.functions import draws
 from fleetmart.operators.keys import number_rows
-from fleetmart.session import require_utc
+from fleetmart.session import require_utc, together
 from fleetmart.sources import files
 from fleetmart.sources.warehouse import Warehouse, init_warehouse
 
@@ -208,18 +208,29 @@ def generate_warehouse(
     require_utc(spark)
     warehouse = init_warehouse(spark, root)
     staging = f"{warehouse.root}/staging/{uuid.uuid4().hex}"
-    with warehouse.together():
-        warehouse.replace("order_statuses", generate_statuses(spark))
-        warehouse.replace("tariffs", generate_tariffs(spark))
-        warehouse.replace("locations", generate_locations(series(spark, locations), seed))
-        warehouse.replace("customers", generate_customers(series(spark, customers), seed))
-        warehouse.replace("drivers", generate_drivers(series(spark, drivers), seed))
+
+    def fill_orders() -> None:
         fact = generate_orders(
             series(spark, orders), seed, customers, min(drivers, drivers_in_use), locations
         )
         stored = warehouse.replace("orders", with_month(fact))
-        log, last_id = number_rows(order_events(stored), "event_id", ["_round", "order_id"], path=f"{staging}/events")
-        warehouse.replace("order_events", log.drop("_round"), last_id)
+        # One number to sort by: rounds apart, by order within.
+        place = F.shiftleft(F.col("_round").cast("bigint"), 62) + F.col("order_id")
+        events = order_events(stored).select("order_id", "status_id", "event_time", "note", place.alias("_place"))
+        log, last_id = number_rows(events, "event_id", ["_place"], path=f"{staging}/events")
+        warehouse.replace("order_events", log.drop("_place"), last_id)
+
+    with warehouse.together():
+        together(
+            [
+                fill_orders,
+                lambda: warehouse.replace("order_statuses", generate_statuses(spark)),
+                lambda: warehouse.replace("tariffs", generate_tariffs(spark)),
+                lambda: warehouse.replace("locations", generate_locations(series(spark, locations), seed)),
+                lambda: warehouse.replace("customers", generate_customers(series(spark, customers), seed)),
+                lambda: warehouse.replace("drivers", generate_drivers(series(spark, drivers), seed)),
+            ]
+        )
     files.remove(spark, staging)
     return warehouse
 

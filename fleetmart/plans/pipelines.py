@@ -8,8 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections import Counter
-from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,26 +35,18 @@ from fleetmart.operators.merge import absent_rows, add_defaults, apply_updates,
 from fleetmart.plans import marts, spans
 from fleetmart.plans.cleaners import CLEANERS
 from fleetmart.plans.generate import with_month
-from fleetmart.session import materialize, require_utc
+from fleetmart.session import materialize, require_utc, together
 from fleetmart.sources import files, key_index
 from fleetmart.sources.csv_files import POSITION, land_csv, read_csv
 from fleetmart.sources.layers import Layers
 from fleetmart.sources.warehouse import Warehouse, partition_of
 
-PARALLEL = 6
 FULL = "full"
 # Most folders a month may have before it is rewritten as one.
 MOST_FOLDERS = 32
 DAY_FORMAT = "%Y_%m_%d"
 
 
-def _together(jobs: Iterable[Callable[[], object]]) -> None:
-    """Independent steps, a few at a time; Spark shares its executors."""
-    with ThreadPoolExecutor(PARALLEL) as pool:
-        for done in [pool.submit(job) for job in jobs]:
-            done.result()
-
-
 # -- extract -----------------------------------------------------------------
 
 
@@ -243,7 +234,7 @@ def build_sla_mart(warehouse: Warehouse) -> DataFrame:
 def build_marts(warehouse: Warehouse) -> None:
     jobs = (build_drivers_mart, build_customers_mart, build_sla_mart)
     with warehouse.together():
-        _together([lambda job=job: job(warehouse) for job in jobs])
+        together([lambda job=job: job(warehouse) for job in jobs])
 
 
 # -- runs --------------------------------------------------------------------
@@ -270,7 +261,7 @@ def run_full(spark: SparkSession, raw_dir: str, root: str, on_violation: str = "
     with warehouse.together():
         for name in TABLES:
             warehouse.create(name)
-        _together(
+        together(
             [
                 lambda: to_silver("orders"),
                 *[lambda raw=raw: dimension(raw) for raw in RAW_FILES.values() if raw.entity != "orders"],

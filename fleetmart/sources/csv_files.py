@@ -184,12 +184,18 @@ def _too_many(record: Column, names: list[str]) -> Column:
 
 
 def _parsed(records: DataFrame, names: list[str]) -> DataFrame:
-    """Records as text (``_line``) with their position, as rows; blank ones are none."""
+    """Records as text (``_line``) with their position, as rows; blank ones are none.
+
+    As in ``_rows``, separators are only counted in records that the parser found
+    to have more or fewer fields than the header.
+    """
     line = _no_return("_line")
-    options = {k: str(value).lower() if isinstance(value, bool) else value for k, value in {**_DIALECT, "multiLine": True}.items()}
-    fields = F.from_csv(line, _schema(names).toDDL(), options)
-    found = records.where(F.trim(line) != "").select(fields.alias("_fields"), _too_many(line, names).alias(OVERFLOW), *POSITION)
-    return found.select(*[na_to_null(F.col(f"_fields.`{c}`")).alias(c) for c in names], OVERFLOW, *POSITION)
+    given = {**_DIALECT, "multiLine": True, "columnNameOfCorruptRecord": _RAW}
+    options = {k: str(value).lower() if isinstance(value, bool) else value for k, value in given.items()}
+    fields = F.from_csv(line, _schema([*names, _RAW]).toDDL(), options)
+    found = records.where(F.trim(line) != "").select(fields.alias("_fields"), *POSITION)
+    overflow = F.coalesce(_too_many(F.col(f"_fields.{_RAW}"), names), F.lit(False)).alias(OVERFLOW)
+    return found.select(*[na_to_null(F.col(f"_fields.`{c}`")).alias(c) for c in names], overflow, *POSITION)
 
 
 def _rows(spark: SparkSession, paths: list[str], names: list[str]) -> DataFrame:

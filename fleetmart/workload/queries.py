@@ -33,7 +33,7 @@ from fleetmart.operators.merge import add_defaults, insert_if_absent, upsert
 from fleetmart.plans import changes, generate, marts, pipelines
 from fleetmart.plans.cleaners import CLEANERS, clean_orders
 from fleetmart.plans.export import export_all, export_dimension, export_orders
-from fleetmart.session import materialize, scratch_path
+from fleetmart.session import materialize, scratch_path, together
 from fleetmart.sources import key_index
 from fleetmart.sources.csv_files import POSITION, query, read_csv, write_csv
 from fleetmart.sources.layers import Layers
@@ -384,12 +384,14 @@ def round_trip(v: Views) -> DataFrame:
     made = generate.generate_warehouse(v.spark, f"{folder}/made/gold", **sizes)
     export_all(made, f"{folder}/raw")
     back = pipelines.run_full(v.spark, f"{folder}/raw", f"{folder}/back")
-    seen = []
-    for name in (*sizes, "tariffs", "order_statuses"):
+
+    def compared(name: str) -> tuple[str, int, bool]:
         one, other = (w.read(name).drop(*(["order_id"] if name == "orders" else [])) for w in (made, back))
         if name == "order_statuses":
             one = one.withColumn("name", F.lower("name"))
-        seen.append((name, other.count(), same_rows(one, other)))
+        return name, other.count(), same_rows(one, other)
+
+    seen = together([lambda name=name: compared(name) for name in (*sizes, "tariffs", "order_statuses")])
     return v.spark.createDataFrame(seen, "name string, n long, same boolean")
 
 
@@ -946,10 +948,9 @@ def restart_identity(v: Views) -> DataFrame:
 
 def _raw_folder(v: Views, orders: DataFrame) -> str:
     folder = scratch_path(v.spark, "raw")
-    for entity, raw in RAW_FILES.items():
-        if entity != "orders":
-            write_csv(_as_text(v.dims[raw.table.name], entity), f"{folder}/{entity}.csv")
-    write_csv(_in_key_order(orders), f"{folder}/orders.csv")
+    files = {e: _as_text(v.dims[raw.table.name], e) for e, raw in RAW_FILES.items() if e != "orders"}
+    files["orders"] = _in_key_order(orders)
+    together([lambda entity=entity, rows=rows: write_csv(rows, f"{folder}/{entity}.csv") for entity, rows in files.items()])
     return folder
 
 
