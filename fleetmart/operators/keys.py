@@ -73,32 +73,35 @@ def number_rows(
     return numbered, base + placed.count()
 
 
-def number_delivered(df: DataFrame, column: str, base: int = 0, chunk_bits: int = 20) -> tuple[DataFrame, int]:
-    """``number_rows`` for a stored table with row positions, without a copy.
+def number_delivered(df: DataFrame, column: str, base: int = 0, chunk_bits: int = 14, path: str | None = None) -> tuple[DataFrame, int]:
+    """``number_rows`` for a stored table with row positions, one row each, without a copy.
 
-    Rows are ranked within chunks of at most 2**20 rows of one input split; the
+    Rows are ranked within chunks of at most 2**14 rows of one input split; the
     sizes of the chunks (one small row each, from the position columns alone)
     give every chunk its offset. The ids follow from the data, so nothing has
     to be written to fix them, and no chunk is large, whatever the files are.
+
+    In a chunk without gaps a row's rank follows from its position; only rows
+    of chunks that miss some are shuffled and sorted.
     """
-    chunk = F.shiftright("_row", chunk_bits)
     keys = ["_file", "_block", "_chunk"]
-    rows = df.withColumn("_chunk", chunk)
+    rows = df.withColumn("_chunk", F.shiftright("_row", chunk_bits))
+    chunks = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"), F.max("_row").alias("_last")
+    )
+    whole = F.col("_last") - F.col("_first") + 1 == F.col("_n")
     # One row per chunk: a window without partitions is fine here.
     before = W.orderBy(*keys).rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    )
-    place = F.row_number().over(W.partitionBy(*keys).orderBy("_row"))
-    numbered = (
-        rows.withColumn("_place", place)
-        .join(offsets, keys)
-        .withColumn(column, F.lit(base) + F.col("_before") + F.col("_place"))
-        .drop("_chunk", "_place", "_before")
-    )
-    return numbered, base + df.count()
+    offsets = chunks.select(*keys, "_n", "_first", whole.alias("_whole"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    offsets = materialize(offsets, "chunks", path)
+    placed = rows.join(F.broadcast(offsets.drop("_n")), keys)
+    rank = F.row_number().over(W.partitionBy(*keys).orderBy("_row"))
+    found = offsets.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.count_if(~F.col("_whole")).alias("gaps")).first()
+    numbered = placed.where("_whole").withColumn("_place", F.col("_row") - F.col("_first") + 1)
+    if found["gaps"]:
+        numbered = numbered.unionByName(placed.where("NOT _whole").withColumn("_place", rank.cast("bigint")))
+    numbered = numbered.withColumn(column, F.lit(base) + F.col("_before") + F.col("_place"))
+    return numbered.drop("_chunk", "_first", "_whole", "_before", "_place"), base + found["rows"]
 
 
 def assign_keys(df: DataFrame, column: str, order: Sequence[str], base: int = 0) -> DataFrame:

@@ -174,7 +174,7 @@ def load_orders(
     folders = Counter(map(partition_of, before.folders))
     known = [r["_stored_month"] for r in batch.where("_known").select("_stored_month").distinct().collect()]
     touched = sorted({*known, *(m for m, n in folders.items() if n >= MOST_FOLDERS)})
-    numbered, last_id = number_delivered(batch.where("NOT _known"), ORDERS.identity, before.last_id)
+    numbered, last_id = number_delivered(batch.where("NOT _known"), ORDERS.identity, before.last_id, path=f"{staging}/chunks")
     updated = apply_updates(stored.where(F.col(month).isin(touched)), batch.where("_known"), key, ORDER_UPDATE_COLUMNS)
     rows = updated.unionByName(numbered.select(*updated.columns))
     with warehouse.together():
@@ -186,19 +186,27 @@ def load_orders(
 
 
 def _totals_by_month(warehouse: Warehouse, table: Table, totals: Callable[..., DataFrame]) -> DataFrame:
-    """The stored totals per key and month, made anew for months whose orders
-    aren't in the files they were in at the last build."""
+    """The stored totals per key and month. Those of folders added to a month since the last build come
+    to it as further rows; months that have lost a folder are made anew."""
     if not warehouse.has(table.name):
         warehouse.create(table.name)
     month = table.partition_by
     fact, built = (set(x) for x in (warehouse.pointer("orders").folders, warehouse.pointer(table.name).built_from))
-    months = sorted({partition_of(f) for f in fact ^ built})
-    rows = totals(warehouse.read("orders").where(F.col(month).isin(months)), month)
-    return warehouse.replace_partitions(table.name, rows, months, built_from=sorted(fact))
+    if fact == built:
+        return warehouse.read(table.name)
+    anew, folders = _changed(fact, built)
+    rows = totals(warehouse.read("orders", folders=folders), month)
+    return warehouse.replace_partitions(table.name, rows, anew, built_from=sorted(fact), add_others=True)
+
+
+def _changed(fact: set[str], built: set[str]) -> tuple[list[str], list[str]]:
+    """Months that have lost a folder since the last build, and the folders to read: all of these months, and the new ones."""
+    anew = {partition_of(f) for f in built - fact}
+    return sorted(anew), sorted(f for f in fact if f not in built or partition_of(f) in anew)
 
 
 def build_drivers_mart(warehouse: Warehouse) -> DataFrame:
-    """Only changed months of the fact are read; the report adds up a few rows per driver, one for every sixteen years."""
+    """Only new folders of the fact are read, and months that lost one; the report adds up a few rows per driver and sixteen years."""
     _totals_by_month(warehouse, DRIVER_MONTHS, marts.driver_totals)
     totals = spans.update(warehouse, DRIVER_MONTHS, DRIVER_SPANS, marts.add_driver_totals)
     return warehouse.replace("dm_drivers_efficiency", marts.drivers_report(totals, warehouse.read("drivers")))
@@ -211,8 +219,9 @@ def build_customers_mart(warehouse: Warehouse) -> DataFrame:
 
 
 def build_sla_mart(warehouse: Warehouse) -> DataFrame:
-    """Built month by month: months whose orders are still in the files they
-    were in at the last build keep their rows, unless a dimension has changed.
+    """Built month by month: rows of orders that are still in the files they
+    were in at the last build stay, unless a dimension has changed. Orders added
+    to a month come to it as further rows; a month that has lost a file is made anew.
 
     What the last build read is taken from the report's own pointer, so a build
     that failed or was left out is made up for by the next.
@@ -224,10 +233,11 @@ def build_sla_mart(warehouse: Warehouse) -> DataFrame:
     built = set(warehouse.pointer(name).built_from)
     sources = sorted(fact | dims)
     if dims <= built:
-        months = {partition_of(f) for f in (fact | dims) ^ built}
-        changed = orders.where(F.col(month).isin(sorted(months)))
-        rows = marts.orders_sla(changed, statuses, tariffs, month)
-        return warehouse.replace_partitions(name, rows, sorted(months), built_from=sources)
+        if built == fact | dims:
+            return warehouse.read(name)
+        anew, folders = _changed(fact, built - dims)
+        rows = marts.orders_sla(warehouse.read("orders", folders=folders), statuses, tariffs, month)
+        return warehouse.replace_partitions(name, rows, anew, built_from=sources, add_others=True)
     return warehouse.replace(name, marts.orders_sla(orders, statuses, tariffs, month), built_from=sources)
 
 

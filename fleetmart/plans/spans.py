@@ -5,11 +5,14 @@ together, but a part can't be taken out again (a least value can't be undone).
 So every span keeps its own rows. A month that changes makes one path of the
 tree anew, each span from its few parts, and a report puts together the topmost
 spans, one for every sixteen years: it costs the same whatever the history.
+What only comes to a month goes up the same path as further rows, which add up
+with those that are there: it costs what has come, not what the months hold.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -23,6 +26,8 @@ YEARS = (("y", 1), ("f", 4), ("s", 16))
 TOP = YEARS[-1][0]
 # What isn't a month (rows without a time) is a span of the top by itself.
 OTHER = f"{TOP}other"
+# Most folders a span may have before it is made anew as one.
+MOST_FOLDERS = 32
 
 
 def above(part: str) -> str | None:
@@ -40,23 +45,31 @@ def above(part: str) -> str | None:
 
 
 def update(warehouse: Warehouse, months: Table, spans: Table, add: Callable[..., DataFrame]) -> DataFrame:
-    """The totals of all months, after making the spans of changed months anew.
+    """The totals of all months, after bringing the spans of changed months up to date.
 
     ``add`` puts rows of totals together, per key and further columns. Which
     months have changed follows from the folders that the spans were built from.
+    Spans with a part that has lost a folder, or with too many folders of their
+    own, are made anew; to the others come the totals of their parts' new folders.
     """
     if not warehouse.has(spans.name):
         warehouse.create(spans.name)
     now, built = (set(x) for x in (warehouse.pointer(months.name).folders, warehouse.pointer(spans.name).built_from))
-    source, touched = months, {above(partition_of(f)) for f in now ^ built}
-    while touched:
-        parts = {p: above(p) for p in map(partition_of, warehouse.pointer(source.name).folders) if above(p) in touched}
-        rows = warehouse.read(source.name, list(parts))
+    source, gone, new = months, built - now, now - built
+    while touched := {above(partition_of(f)) for f in gone | new} - {None}:
+        before = warehouse.pointer(spans.name).folders
+        many = {s for s, n in Counter(map(partition_of, before)).items() if n >= MOST_FOLDERS}
+        anew = touched & ({above(partition_of(f)) for f in gone} | many)
+        present = [(f, above(partition_of(f))) for f in warehouse.pointer(source.name).folders]
+        folders = [f for f, span in present if span in anew or (f in new and span in touched)]
+        parts = {p: above(p) for p in map(partition_of, folders)}
+        rows = warehouse.read(source.name, folders=folders)
         # A few parts per span: the map is as long as the path is wide.
         names = F.create_map(*[F.lit(x) for pair in parts.items() for x in pair]) if parts else F.lit(None).cast("map<string,string>")
         rows = rows.withColumn("_span", names[F.col(source.partition_by)]).drop(source.partition_by).withColumnRenamed("_span", spans.partition_by)
-        warehouse.replace_partitions(spans.name, add(rows, spans.partition_by), sorted(touched), built_from=sorted(now))
-        source, touched = spans, {above(s) for s in touched} - {None}
+        warehouse.replace_partitions(spans.name, add(rows, spans.partition_by), sorted(anew), built_from=sorted(now), add_others=True)
+        after = warehouse.pointer(spans.name).folders
+        source, gone, new = spans, set(before) - set(after), set(after) - set(before)
     return add(warehouse.read(spans.name, tops(warehouse, spans)))
 
 
