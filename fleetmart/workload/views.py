@@ -138,11 +138,20 @@ class Views:
             "order_statuses": self.statuses,
         }
 
+    @cached_property
+    def delivered(self) -> DataFrame:
+        """All orders with what their lines say, in the tables' own types."""
+        orders = self.table("orders")
+        return orders.join(self.lines, orders.o_orderkey == F.col("l_orderkey"), "left").drop("l_orderkey")
+
     @cached_property
     def deliveries(self) -> DataFrame:
         """All orders as a raw order file: names instead of ids, text only."""
-        orders = self.table("orders")
-        return orders.join(self.lines, orders.o_orderkey == F.col("l_orderkey"), "left").select(
+        return self.as_delivered(self.delivered)
+
+    @staticmethod
+    def as_delivered(orders: DataFrame) -> DataFrame:
+        return orders.select(
             "o_orderkey",
             "o_orderdate",
             "o_orderstatus",

@@ -37,3 +37,15 @@ def test_delivered_rows_are_numbered_in_file_order(spark, bits):
     got = sorted((r["key"], (r["_file"], r["_block"], r["_row"])) for r in numbered.collect())
     assert got == [(n + 8, at) for n, at in enumerate(expected)]
     assert last == 7 + len(expected)
+
+
+def test_only_chunks_with_gaps_are_sorted(spark):
+    """A file without gaps takes its ids from the positions; of one with a gap only that chunk is ranked."""
+    whole = [("a", 0, n) for n in range(1, 20)]
+    gapped = [("b", 64, n) for n in range(100, 120) if n != 105]
+    for rows, sorts in ((whole, False), (whole + gapped, True)):
+        df = spark.createDataFrame(rows, "_file string, _block bigint, _row bigint").repartition(3)
+        numbered, last = number_delivered(df, "key", base=2, chunk_bits=3)
+        assert ("Window" in numbered._jdf.queryExecution().optimizedPlan().toString()) == sorts
+        assert sorted((r["key"], r["_row"]) for r in numbered.collect()) == [(n, at[2]) for n, at in enumerate(rows, 3)]
+        assert last == 2 + len(rows)

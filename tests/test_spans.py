@@ -4,7 +4,7 @@ from fleetmart.contracts import CUSTOMER_MONTHS, CUSTOMER_SPANS
 from fleetmart.plans import marts, pipelines, spans
 from fleetmart.sources.warehouse import init_warehouse, partition_of
 from tests.conftest import rows
-from tests.test_storage import order, orders
+from tests.test_storage import D, order, orders
 
 
 def test_every_month_has_one_path():
@@ -58,3 +58,37 @@ def test_the_least_value_may_go(warehouse, frame):
     assert [str(r[0]) for r in rows(warehouse.read("dm_customer_analytics"), "first_ride_at")] == ["1999-02-05 00:00:00"]
     expected = marts.customer_analytics(warehouse.read("orders"), warehouse.read("customers"))
     assert rows(warehouse.read("dm_customer_analytics")) == rows(expected)
+
+
+def test_what_comes_to_a_month_comes_as_further_rows(warehouse, frame, monkeypatch):
+    """No span is made anew for added orders, until it has too many folders; the report is that of all orders."""
+    from fleetmart.contracts import CUSTOMER_MONTHS as months
+
+    for n, kept in enumerate((True, True, False), 8):
+        monkeypatch.setattr(spans, "MOST_FOLDERS", 3)
+        before = {t.name: set(warehouse.pointer(t.name).folders) for t in (months, CUSTOMER_SPANS)}
+        with warehouse.together():
+            warehouse.replace_partitions("orders", orders(frame, order(n, "2025-01-06", n), order(n + 10, "1970-05-05", n)), [], add_others=True)
+            pipelines.build_customers_mart(warehouse)
+        assert before[months.name] <= set(warehouse.pointer(months.name).folders)
+        assert (before[CUSTOMER_SPANS.name] <= set(warehouse.pointer(CUSTOMER_SPANS.name).folders)) == kept
+        expected = marts.customer_analytics(warehouse.read("orders"), warehouse.read("customers"))
+        assert rows(warehouse.read("dm_customer_analytics")) == rows(expected)
+    with warehouse.together():
+        warehouse.replace_partitions("orders", warehouse.read("orders").limit(0), ["2025-01"])
+        pipelines.build_customers_mart(warehouse)
+    expected = marts.customer_analytics(warehouse.read("orders"), warehouse.read("customers"))
+    assert rows(warehouse.read("dm_customer_analytics")) == rows(expected)
+
+
+def test_turnaround_of_added_orders_comes_as_further_rows(warehouse, frame):
+    with warehouse.together():
+        warehouse.replace("order_statuses", frame("status_id int, name string", (5, "done")))
+        warehouse.replace("tariffs", frame("tariff_id int, name string, base_price decimal(10,2), per_km decimal(10,2), created_at timestamp", (1, "plain", D(1), D(1), None)))
+        pipelines.build_sla_mart(warehouse)
+    before = set(warehouse.pointer("dm_orders_sla").folders)
+    with warehouse.together():
+        warehouse.replace_partitions("orders", orders(frame, order(8, "2025-01-06")), [], add_others=True)
+        pipelines.build_sla_mart(warehouse)
+    assert before < set(warehouse.pointer("dm_orders_sla").folders)
+    assert [r[0] for r in rows(warehouse.read("dm_orders_sla"), "order_id")] == list(range(1, 9))
