@@ -48,6 +48,12 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITE_SPACE))
 
 
+def strip_padded(c: Column) -> Column:
+    """``strip`` for columns whose texts hardly ever need it: those that begin and end with visible ASCII are not searched."""
+    last = F.substring(c, -1, 1)
+    return F.when((c >= "!") & (c < "\x7f") & (last >= "!") & (last < "\x7f"), c).otherwise(strip(c))
+
+
 def strip_upper(c: Column) -> Column:
     return strip(F.upper(c))
 

@@ -25,14 +25,16 @@ def resolve_order_keys(orders: DataFrame, dims: dict[str, DataFrame]) -> DataFra
     """Replace the natural keys of delivered orders by surrogate keys.
 
     A key without a match becomes NULL; the row stays. The hot keys of all
-    columns that look into a large dimension are found in one pass.
+    columns that look into a large dimension are found in one pass. These columns
+    come last: rows are shuffled for them when the other texts are numbers.
     """
     resolved = orders
     far = [raw for raw, dim, natural, surrogate, _ in ORDER_KEYS if not fits_broadcast(dims[dim].select(natural, surrogate))]
     hot = heavy_keys(orders, far) if far else {}
-    for raw, dim, natural, surrogate, column in ORDER_KEYS:
+    for raw, dim, natural, surrogate, column in sorted(ORDER_KEYS, key=lambda k: k[0] in far):
         resolved = lookup(resolved, dims[dim], (raw, natural), {surrogate: column}, keys_from=orders, hot=hot.get(raw)).drop(raw)
-    return resolved
+    texts, numbers = {k[0] for k in ORDER_KEYS}, [k[-1] for k in ORDER_KEYS]
+    return resolved.select(*[c for c in orders.columns if c not in texts], *numbers)
 
 
 def number_rows(

@@ -79,16 +79,22 @@ def clean_orders(df: DataFrame, position: tuple[str, ...] = POSITION, scratch: s
 def _typed_orders(first: DataFrame) -> DataFrame:
     optional = {"delivered_at": text.to_time, "current_status": text.to_code}
     optional = {c: parse for c, parse in optional.items() if c in first.columns}
-    # Parsed once under other names, so that the rules can compare with the raw text.
+    typed = ("price", "distance_km", "created_at", *optional)
+    # Parsed once under other names, so that the rules can compare with the raw text. The row's number keeps the filter
+    # above this step: below it, it would parse prices and times a second time.
     parsed = first.withColumns(
         {
             "_price": text.to_decimal(F.col("price"), MONEY),
             "_distance_km": text.to_decimal(F.col("distance_km"), DISTANCE),
+            "_created_at": text.to_time(F.col("created_at")),
             **{f"_{c}": parse(F.col(c)) for c, parse in optional.items()},
+            "_number": F.monotonically_increasing_id(),
         }
     )
     big_price = text.unreadable(F.col("price"), F.col("_price")) & text.is_number(F.col("price"))
     parsed = parsed.withColumn("_big_price", F.coalesce(big_price, F.lit(False)))
+    # A price too big for its type is a number all the same: not dropped, but a violation.
+    kept = parsed.where((F.col("_number") >= 0) & F.col("_created_at").isNotNull() & (F.col("_price").isNotNull() | F.col("_big_price")))
     rules = {
         **_overflow(first),
         "price out of range": F.col("_big_price"),
@@ -96,16 +102,9 @@ def _typed_orders(first: DataFrame) -> DataFrame:
         & text.is_number(F.col("distance_km")),
         **{f"{c} unreadable": text.unreadable(F.col(c), F.col(f"_{c}")) for c in optional},
     }
-    typed = tag(parsed, rules).withColumns(
-        {
-            **{c: text.strip(F.col(c)) for c in ORDER_TEXTS},
-            **{c: F.col(f"_{c}") for c in ("price", "distance_km", *optional)},
-            "created_at": text.to_time(F.col("created_at")),
-        }
-    )
-    # A price too big for its type is a number all the same: not dropped, but a violation.
-    kept = require_not_null(typed, ["created_at"]).where(F.col("price").isNotNull() | F.col("_big_price"))
-    return kept.drop(OVERFLOW, "_big_price", *[f"_{c}" for c in ("price", "distance_km", *optional)])
+    stripped = {c: text.strip_padded(F.col(c)) for c in ORDER_TEXTS}
+    cleaned = tag(kept, rules).withColumns({**stripped, **{c: F.col(f"_{c}") for c in typed}})
+    return cleaned.drop(OVERFLOW, "_big_price", "_number", *[f"_{c}" for c in typed])
 
 
 def clean_customers(df: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ import uuid
 from collections import Counter
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,9 +144,9 @@ def load_orders(
 ) -> None:
     """Keys resolved, then upsert on the external order id.
 
-    Known orders are found by the key index; only months that hold a
-    re-delivered order are read whole and rewritten. New orders of other months are added to them as further folders, until a
-    month has ``MOST_FOLDERS``; then it is rewritten as one.
+    Known orders are found by the key index and compared with what is stored; only
+    months with an order that a delivery changes are read whole and rewritten. New orders of other months are added to them as
+    further folders, until a month has ``MOST_FOLDERS``; then it is rewritten as one.
     """
     dims = {t.name: warehouse.read(t.name) for t in DIMENSIONS}
     resolved = resolve_order_keys(silver, dims)
@@ -173,15 +175,30 @@ def load_orders(
     before = warehouse.pointer(ORDERS.name)
     folders = Counter(map(partition_of, before.folders))
     known = [r["_stored_month"] for r in batch.where("_known").select("_stored_month").distinct().collect()]
-    touched = sorted({*known, *(m for m, n in folders.items() if n >= MOST_FOLDERS)})
+    changes = materialize(_changes(stored.where(F.col(month).isin(known)), batch.where("_known")), "changes", f"{staging}/changes")
+    changed = [r[month] for r in changes.select(month).distinct().collect()]
+    touched = sorted({*changed, *(m for m, n in folders.items() if n >= MOST_FOLDERS)})
     numbered, last_id = number_delivered(batch.where("NOT _known"), ORDERS.identity, before.last_id, path=f"{staging}/chunks")
-    updated = apply_updates(stored.where(F.col(month).isin(touched)), batch.where("_known"), key, ORDER_UPDATE_COLUMNS)
+    updated = apply_updates(stored.where(F.col(month).isin(touched)), changes, key, ORDER_UPDATE_COLUMNS)
     rows = updated.unionByName(numbered.select(*updated.columns))
     with warehouse.together():
         warehouse.replace_partitions(ORDERS.name, rows, touched, last_id, add_others=True)
         key_index.add(warehouse, batch.where("NOT _known"))
 
 
+def _changes(stored: DataFrame, known: DataFrame) -> DataFrame:
+    """Delivered values (key and update columns) of the stored orders that have others, with the month these are in.
+
+    Only the columns that an update takes over are read and compared; in all others an order stays as stored.
+    """
+    key, month = ORDERS.natural_key, ORDERS.partition_by
+    said = known.select(key, *[F.col(c).cast(ORDERS.schema[c].dataType) for c in ORDER_UPDATE_COLUMNS])
+    was = stored.select(key, month, *[F.col(c).alias(f"_was_{c}") for c in ORDER_UPDATE_COLUMNS])
+    both = lookup(was, said, (key, key), {c: c for c in ORDER_UPDATE_COLUMNS}, "inner", fact_unique=True)
+    same = [F.col(c).eqNullSafe(F.col(f"_was_{c}")) for c in ORDER_UPDATE_COLUMNS]
+    return both.where(~reduce(and_, same)).select(key, month, *ORDER_UPDATE_COLUMNS)
+
+
 # -- marts -------------------------------------------------------------------
 
 

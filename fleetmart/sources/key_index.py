@@ -67,11 +67,15 @@ def find(warehouse: Warehouse, keys: DataFrame) -> DataFrame:
     if not warehouse.pointer(ORDER_KEYS.name).folders:
         return warehouse.read(ORDER_KEYS.name).select(_KEY, _MONTH)
     keys = keys.select(_KEY).where(F.col(_KEY).isNotNull())
-    buckets = [r[0] for r in keys.select(bucket(_KEY)).distinct().collect()]
-    stored = warehouse.read(ORDER_KEYS.name, buckets).select(_KEY, _MONTH)
-    few = [r[0] for r in keys.limit(FEW_KEYS + 1).collect()]
+    placed = keys.select(_KEY, bucket(_KEY).alias(_BUCKET))
+    few = placed.limit(FEW_KEYS + 1).collect()
+    buckets = {r[1] for r in few}
+    # The first keys of a long batch are nearly always in all buckets, so the others needn't be looked at for theirs.
+    if len(few) > FEW_KEYS and len(buckets) < BUCKETS:
+        buckets = {r[0] for r in placed.select(_BUCKET).distinct().collect()}
+    stored = warehouse.read(ORDER_KEYS.name, sorted(buckets)).select(_KEY, _MONTH)
     if len(few) <= FEW_KEYS:
-        stored = stored.where(_one_of(sorted(set(few))))
+        stored = stored.where(_one_of(sorted({r[0] for r in few})))
     return lookup(stored, keys, (_KEY, _KEY), {}, "left_semi", fact_unique=True)
 
 

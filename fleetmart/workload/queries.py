@@ -1041,10 +1041,11 @@ def append_orders(v: Views) -> DataFrame:
 @register
 def rejects_twice(v: Views) -> DataFrame:
     """A day with unknown customers, run twice in quarantine."""
-    loaded, raw = _half_warehouse(v), scratch_path(v.spark, "unknown_customers")
+    raw = scratch_path(v.spark, "unknown_customers")
     number = F.regexp_extract("customer_external_id", r"\d+$", 0).cast("int")
     unknown = F.when(number % 2 == 1, F.col("customer_external_id")).otherwise("nobody")
-    write_csv(_sorted_orders(v).withColumn("customer_external_id", unknown), f"{raw}/orders_1999_01_02.csv")
+    day = _sorted_orders(v).withColumn("customer_external_id", unknown)
+    loaded, _ = together([lambda: _half_warehouse(v), lambda: write_csv(day, f"{raw}/orders_1999_01_02.csv")])
     for _ in range(2):
         pipelines.run_daily(v.spark, "1999_01_02", raw, loaded.root.removesuffix("/gold"), on_violation="quarantine")
     rejects = v.spark.read.parquet(f"{loaded.root}/rejects/orders")

@@ -5,6 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from fleetmart.operators import keys
 from fleetmart.plans import generate, pipelines
 from fleetmart.plans.export import export_all
 from fleetmart.sources.csv_files import write_csv
@@ -93,3 +94,44 @@ def test_rows_of_other_partitions_are_added_only_if_said(frame, spark, tmp_path)
         warehouse.replace_partitions("orders", rows_now, ["2026-02"])
     now = warehouse.replace_partitions("orders", rows_now, ["2026-02"], add_others=True)
     assert rows(now, "order_id", "price") == rows(orders(frame, order(1, "2026-01-05"), order(2, "2026-02-05", 9), order(3, "2026-01-06")), "order_id", "price")
+
+
+def test_a_month_is_rewritten_only_for_orders_that_change(spark, tmp_path):
+    """Orders delivered as they are stored change nothing, also beside others that do; a value that goes or comes is a change."""
+    made = generate.generate_warehouse(spark, str(tmp_path / "made"), orders=80, customers=6, drivers=6, locations=6)
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "wh")
+    export_all(made, raw)
+    stored = pipelines.run_full(spark, raw, root)
+    first, old = {t: stored.pointer(t).folders for t in ("orders", "dm_orders_sla", "driver_months")}, rows(stored.read("orders"))
+    again = spark.read.options(header=True).csv(f"{raw}/orders.csv")
+    write_csv(again, f"{raw}/orders_2026_03_01.csv")
+    for _ in range(2):
+        same = pipelines.run_daily(spark, "2026_03_01", raw, root)
+        assert {t: same.pointer(t).folders for t in first} == first and rows(same.read("orders")) == old
+
+    key, month = "external_order_id", F.substring("created_at", 1, 7)
+    months = sorted(r[0] for r in again.select(month).distinct().collect())
+    assert len(months) > 1
+    done = again.where((month == months[0]) & F.col("delivered_at").isNotNull()).agg(F.min(key)).first()[0]
+    for day, value in (("2026_03_02", F.lit(None).cast("string")), ("2026_03_03", F.col("delivered_at"))):
+        before = pipelines.Warehouse(spark, f"{root}/gold").pointer("orders").folders
+        write_csv(again.withColumn("delivered_at", F.when(F.col(key) == done, value).otherwise(F.col("delivered_at"))), f"{raw}/orders_{day}.csv")
+        now = pipelines.run_daily(spark, day, raw, root)
+        assert {partition_of(f) for f in set(before) - set(now.pointer("orders").folders)} == {months[0]}
+        changed = now.read("orders").where(F.col(key) == done).first()
+        assert (changed.delivered_at is None) == (day == "2026_03_02") and now.read("orders").count() == 80
+        assert now.read("dm_orders_sla").where(F.col(key) == done).first().order_delivered_at == changed.delivered_at
+    assert rows(now.read("orders")) == old
+
+
+def test_rows_meet_large_dimensions_last(frame, monkeypatch):
+    """They are shuffled when the other texts are numbers; the columns stand as ever."""
+    seen, look_up = [], keys.lookup
+    monkeypatch.setattr(keys, "fits_broadcast", lambda dim: "name" in dim.columns or "address" in dim.columns)
+    monkeypatch.setattr(keys, "lookup", lambda fact, dim, on, take, **more: seen.append(on[0]) or look_up(fact, dim, on, take, **more))
+    texts = [k[0] for k in keys.ORDER_KEYS]
+    given = frame("n int, " + ", ".join(f"{c} string" for c in texts), (1, "a", "a", "a", "b", "a"), (2, "b", "b", "b", None, "?"))
+    dims = {dim: frame(f"{natural} string, {number} long", ("a", 1), ("b", 2)) for _, dim, natural, number, _ in keys.ORDER_KEYS}
+    got = keys.resolve_order_keys(given, dims)
+    assert seen == [*texts[2:], *texts[:2]] and got.columns == ["n", *[k[-1] for k in keys.ORDER_KEYS]]
+    assert rows(got) == [(1, 1, 1, 1, 2, 1), (2, 2, 2, 2, None, None)]

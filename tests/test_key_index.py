@@ -88,3 +88,9 @@ def test_an_index_of_other_files_is_built_anew(warehouse, frame):
 def test_an_empty_store(spark, tmp_path, frame):
     empty = init_warehouse(spark, str(tmp_path / "empty"))
     assert rows(key_index.find(empty, batch(frame, "o1"))) == []
+
+
+def test_a_batch_of_all_buckets_is_looked_at_for_keys_only(warehouse, frame, monkeypatch):
+    monkeypatch.setattr(key_index, "FEW_KEYS", 600)
+    found = key_index.find(warehouse, batch(frame, *[f"o{n}" for n in range(1, 1001)], None))
+    assert len(rows(found)) == 300 and key_index.folders_read(found) <= set(ALL)

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from fleetmart.operators import merge
 from fleetmart.plans import generate, pipelines
-from fleetmart.plans.cleaners import clean_orders
+from fleetmart.plans.cleaners import ORDER_TEXTS, _typed_orders, clean_orders
 from fleetmart.plans.export import export_all
 from fleetmart.session import materialize
 from fleetmart.sources import csv_files
@@ -50,3 +50,16 @@ def test_only_lines_with_a_carriage_return_are_searched_for_it(spark, tmp_path):
     assert rows(lines.where("n > 0"), "line", "n") == [('"2,",z', 2)]
     plan = lines._jdf.queryExecution().optimizedPlan().toString()
     assert "StartsWith(value" in plan and "Contains(" in plan
+
+
+def test_prices_and_times_are_parsed_once(spark):
+    """The filter of readable rows stands above the step that parses them."""
+    texts = [*ORDER_TEXTS, "price", "distance_km", "created_at", "delivered_at", "current_status"]
+    items = [("a", *["x"] * 5, price, "1", at, None, "1") for price, at in ((" 1.005", "2026-01-01"), ("1e30", " 2026-01-01 "), ("x", "2026-01-01"), ("2", "10:00"), ("3", None))]
+    typed = _typed_orders(spark.createDataFrame(items, ", ".join(f"{c} string" for c in texts)))
+    plan = typed._jdf.queryExecution().optimizedPlan().toString()
+    kept = plan.split("Filter")[1].split("Project")[0]
+    assert "isnotnull(_created_at#" in kept and "isnotnull(_price#" in kept and "try_cast" not in kept
+    assert [(p and str(p), str(at), bad) for p, at, bad in rows(typed, "price", "created_at", "_violations")] == [
+        (None, "2026-01-01 00:00:00", "price out of range"), ("1.01", "2026-01-01 00:00:00", "")
+    ]

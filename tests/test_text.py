@@ -90,3 +90,9 @@ def test_strip_is_pythons(spark, values):
     df = spark.createDataFrame([(n, v) for n, v in enumerate(values)], "n int, v string")
     got = {r[0]: r[1] for r in df.select("n", text.strip(F.col("v"))).collect()}
     assert got == {n: v.strip() for n, v in enumerate(values)}
+
+
+def test_padded_texts_are_stripped_alike(spark):
+    given = ["", " ", "a", " a", "a ", "\ta b\n", "\xa0a", "a\x85", "é", "aé", "éa", "\x7fa", "a\x7f", "~", "!", "~ ", "a\x1f", "　", "a　", "日 本", None]
+    df = spark.createDataFrame([(t,) for t in given], "t string").select("t", text.strip_padded(F.col("t")).alias("now"), text.strip(F.col("t")).alias("was"))
+    assert [r.now for r in df.collect()] == [r.was for r in df.collect()] == [t if t is None else t.strip() for t in given]
